@@ -1,0 +1,97 @@
+"""Writers: datasets, transport-ready copies, tables, reports, metadata and digests.
+
+Datasets are written by the executors (Parquet / CSV directories, no
+``coalesce``); only small, bounded results (tables, findings, the manifest) are
+written as single files.
+"""
+
+from __future__ import annotations
+
+import json
+import logging
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from trialguard import terminology as tm
+from trialguard.functions import for_transport
+
+log = logging.getLogger(__name__)
+
+
+def write_dataset(df: DataFrame, out_dir: str, name: str, formats: tuple[str, ...] = ("parquet", "csv")) -> dict[str, str]:
+    """O1: one dataset in each format; a failing format is logged, not fatal."""
+    written: dict[str, str] = {}
+    for fmt in formats:
+        path = f"{out_dir.rstrip('/')}/{name.lower()}.{fmt}"
+        try:
+            if fmt == "parquet":
+                df.write.mode("overwrite").parquet(path)
+            elif fmt == "csv":
+                df.write.mode("overwrite").option("header", True).csv(path)
+            elif fmt == "xpt":
+                write_transport(df, out_dir, name)
+                path = f"{out_dir.rstrip('/')}/{name.lower()}.xpt.parquet"
+            else:
+                raise ValueError(f"unknown format {fmt}")
+            written[fmt] = path
+        except Exception as exc:  # noqa: BLE001 - one bad format must not lose the others
+            log.warning("could not write %s as %s: %s", name, fmt, exc)
+    return written
+
+
+def write_transport(df: DataFrame, out_dir: str, name: str) -> str:
+    """O2: the SAS-v5-ready projection (E23) as Parquet; labels and DATE9 formats ride in column metadata.
+
+    The binary XPT encoding itself is a single-file codec and is not built.
+    """
+    path = f"{out_dir.rstrip('/')}/{name.lower()}.xpt.parquet"
+    for_transport(df).write.mode("overwrite").parquet(path)
+    return path
+
+
+def write_small_csv(df: DataFrame, path: str, visible_only: bool = True) -> str:
+    """A small table (bounded size) as one CSV file; ``_`` columns dropped when ``visible_only``."""
+    cols = [f"`{c}`" for c in df.columns if not (visible_only and c.startswith("_"))]
+    df.select(*cols).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    return path
+
+
+def dataset_metadata(spark: SparkSession, datasets: dict[str, DataFrame], records: dict[str, int] | None = None) -> DataFrame:
+    """O3: dataset label, record count and variables (name, label, Num/Char; dates are Num).
+
+    Record counts come from ``records`` when known, else from one union of counts.
+    """
+    rows = []
+    for name, df in datasets.items():
+        for pos, f in enumerate(df.schema.fields, start=1):
+            num = isinstance(f.dataType, (T.NumericType, T.DateType, T.TimestampType, T.BooleanType))
+            rows.append((name, tm.DATASET_LABELS.get(name, name), pos, f.name, tm.LABELS.get(f.name, ""), "Num" if num else "Char"))
+    schema = "dataset string, label string, position int, variable string, variable_label string, type string"
+    meta = spark.createDataFrame(rows, schema)
+    if records is None:
+        counts = None
+        for name, df in datasets.items():
+            c = df.agg(F.count(F.lit(1)).alias("records")).select(F.lit(name).alias("dataset"), "records")
+            counts = c if counts is None else counts.unionByName(c)
+    else:
+        counts = spark.createDataFrame([(k, int(v)) for k, v in records.items()], "dataset string, records long")
+    return meta.join(counts, "dataset", "left").select("dataset", "label", "records", "position", "variable", "variable_label", "type")
+
+
+def content_digest(df: DataFrame) -> DataFrame:
+    """Order-insensitive digest of a dataset: row count and the sum of per-row xxhash64 (decimal(38,0)).
+
+    Computed by the executors in one aggregation, so any size of output can be
+    fingerprinted without a single task reading it whole.
+    """
+    h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
+    return df.agg(F.count(F.lit(1)).alias("records"), F.coalesce(F.sum(h), F.lit(0).cast("decimal(38,0)")).cast("string").alias("digest"))
+
+
+def write_json(spark: SparkSession, obj, path: str) -> str:
+    """A small JSON document (manifest, metadata) as one text file through Spark's writers."""
+    text = json.dumps(obj, indent=2, default=str)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return path
