@@ -102,8 +102,14 @@ class Cleaned:
     def findings(self) -> DataFrame:
         return findings_of(self.flagged, self.rules, "SUBJID")
 
+    @property
+    def essential(self) -> DataFrame:
+        """The flagged table without intermediate columns: what clean, quarantine and findings read."""
+        keep = [*self.raw_columns, *[f"_c_{c}" for c in self.clean_columns], "_hits", "QREASON"]
+        return self.flagged.select(*[F.col(f"`{c}`") for c in dict.fromkeys(keep)])
+
     def with_flagged(self, flagged: DataFrame) -> Cleaned:
-        """Same views over a materialised (checkpointed) copy of the flagged table."""
+        """Same views over a materialised copy of the (essential) flagged table."""
         return Cleaned(flagged, self.raw_columns, self.clean_columns, self.rules)
 
 
@@ -190,11 +196,22 @@ def _known_subjects(subjects: DataFrame) -> DataFrame:
     return keys.select("USUBJID", F.lit(True).alias("_known"))
 
 
+def _by_subject(df: DataFrame) -> DataFrame:
+    """Key the rows by USUBJID and hash-partition them on it.
+
+    Every later step of AE / LB (subject lookups, sequence numbers, baseline,
+    first occurrences) needs rows clustered by subject, so the one shuffle is
+    taken here: the rule evaluation runs in parallel whatever the input file
+    layout, and the SDTM / ADaM windows reuse this partitioning.
+    """
+    return df.withColumn("USUBJID", usubjid("SUBJID")).repartition("USUBJID")
+
+
 def flag_ae(raw: DataFrame, subjects: DataFrame) -> Cleaned:
     """Flag adverse events with AE-R01..AE-R06; ``subjects`` is the clean DM (or its keys)."""
     df = with_defaults(raw, "ae")
     raw_cols = _raw_columns(df)
-    df = df.withColumn("USUBJID", usubjid("SUBJID")).join(_known_subjects(subjects), "USUBJID", "left")
+    df = _by_subject(df).join(_known_subjects(subjects), "USUBJID", "left")
     df = df.withColumns(
         {
             "_p_start": iso_date("AESTDT"),
@@ -239,7 +256,7 @@ def flag_lb(raw: DataFrame, subjects: DataFrame) -> Cleaned:
     """Flag lab results with LB-R01..LB-R05; ``subjects`` is the clean DM (or its keys)."""
     df = with_defaults(raw, "lb")
     raw_cols = _raw_columns(df)
-    df = df.withColumn("USUBJID", usubjid("SUBJID")).join(_known_subjects(subjects), "USUBJID", "left")
+    df = _by_subject(df).join(_known_subjects(subjects), "USUBJID", "left")
     df = df.withColumns(
         {
             "_p_lbdt": iso_date("LBDT"),

@@ -9,7 +9,7 @@ subjects without a baseline) are aggregations. All of them become hit rows
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trialguard import schemas
@@ -45,10 +45,10 @@ def _row_checks(name: str, df: DataFrame) -> list[tuple[Rule, Column]]:
         v = F.col(col).cast("string")
         bad = v.isNull() | ((v != "") & ~is_iso_text(v))
         checks.append((Rule("SD0007", name, "ERROR", f"{col} is not ISO 8601", key=f"SD0007:{name}:{col}"), bad))
+    types = dict(df.dtypes)
     for col in [c for c in df.columns if c.endswith("DY")]:
-        checks.append(
-            (Rule("SD0008", name, "ERROR", f"{col} equals 0 (SDTM study days have no day 0)", key=f"SD0008:{name}:{col}"), to_number(F.col(col).cast("string")) == 0)
-        )
+        value = F.col(col) if types[col] in ("int", "bigint", "double", "smallint", "float") else to_number(F.col(col).cast("string"))
+        checks.append((Rule("SD0008", name, "ERROR", f"{col} equals 0 (SDTM study days have no day 0)", key=f"SD0008:{name}:{col}"), value == 0))
     if name == "DM":
         if "SEX" in cols:
             checks.append((Rule("DM0002", "DM", "ERROR", "SEX not in controlled terminology"), ~is_in("SEX", tm.SEX_CT)))
@@ -97,38 +97,49 @@ def subjects_without_baseline(lb: DataFrame) -> DataFrame:
 
 
 def check_sdtm(spark: SparkSession, domains: dict[str, DataFrame | None]) -> DataFrame:
-    """All conformance findings for the given SDTM domains (``{"DM": ..., "AE": ..., "LB": ...}``)."""
+    """All conformance findings for the given SDTM domains (``{"DM": ..., "AE": ..., "LB": ...}``).
+
+    One pass per domain: key checks become columns too -- duplicates by
+    ``row_number`` over the key, subjects without a baseline by a ``max`` over the
+    subject, orphans by a left join to the DM keys -- so every check of a domain
+    is a column of one flagged table, and the windows share the subject
+    partitioning the SDTM build already produced.
+    """
     domains = {k: v for k, v in domains.items() if v is not None}
     dm = domains.get("DM")
+    dm_keys = dm.select("USUBJID").distinct().withColumn("_in_dm", F.lit(True)) if dm is not None and "USUBJID" in dm.columns else None
     rules: list[Rule] = []
     hits: list[DataFrame] = []
     for name, df in domains.items():
         checks = _row_checks(name, df)
-        if checks:
-            rules.extend(r for r, _ in checks)
-            flagged = flag_rows(df, checks)
-            id_col = "USUBJID" if "USUBJID" in df.columns else None
-            if id_col is None:
-                flagged = flagged.withColumn("_noid", F.lit(None).cast("string"))
-            hits.append(hit_rows(flagged, [r for r, _ in checks], id_col or "_noid"))
-        if name != "DM" and "USUBJID" in df.columns:
+        cols = set(df.columns)
+        has_id = "USUBJID" in cols
+        if has_id and name != "DM":
             r = Rule("SD0005", name, "ERROR", "USUBJID not found in DM", key=f"SD0005:{name}")
-            rules.append(r)
-            hits.append(orphan_subjects(df, dm).select(F.lit(r.key).alias("key"), F.col("USUBJID").cast("string").alias("_id"), F.lit(1).cast("long").alias("_w")))
+            if dm_keys is not None:
+                df = df.join(dm_keys, "USUBJID", "left")
+                checks.append((r, F.col("_in_dm").isNull()))
+            else:
+                checks.append((r, F.lit(True)))
         seq = f"{name}SEQ"
-        if seq in df.columns and "USUBJID" in df.columns:
+        if has_id and seq in cols:
             r = Rule("SD0006", name, "ERROR", f"{seq} not unique within subject", key=f"SD0006:{name}")
-            rules.append(r)
-            hits.append(_dup_hits(df, ["USUBJID", seq], r))
-    if dm is not None and "USUBJID" in dm.columns:
-        r = Rule("DM0001", "DM", "ERROR", "USUBJID not unique in DM")
-        rules.append(r)
-        hits.append(_dup_hits(dm, ["USUBJID"], r))
-    lb = domains.get("LB")
-    if lb is not None and {"USUBJID", "LBBLFL"} <= set(lb.columns):
-        r = Rule("LB0001", "LB", "WARNING", "Subject has no baseline lab record")
-        rules.append(r)
-        hits.append(subjects_without_baseline(lb).select(F.lit(r.key).alias("key"), F.col("USUBJID").cast("string").alias("_id"), F.lit(1).cast("long").alias("_w")))
+            later = F.row_number().over(Window.partitionBy("USUBJID", seq).orderBy(F.lit(1))) > 1
+            checks.append((r, later))
+        if name == "DM" and has_id:
+            later = F.row_number().over(Window.partitionBy("USUBJID").orderBy(F.lit(1))) > 1
+            checks.append((Rule("DM0001", "DM", "ERROR", "USUBJID not unique in DM"), later))
+        if name == "LB" and has_id and "LBBLFL" in cols:
+            per_subject = Window.partitionBy("USUBJID")
+            has_base = F.max(F.coalesce(F.col("LBBLFL") == "Y", F.lit(False)).cast("int")).over(per_subject)
+            first_row = F.row_number().over(per_subject.orderBy(F.lit(1))) == 1
+            checks.append((Rule("LB0001", "LB", "WARNING", "Subject has no baseline lab record"), (has_base == 0) & first_row))
+        if not checks:
+            continue
+        rules.extend(r for r, _ in checks)
+        if not has_id:
+            df = df.withColumn("USUBJID", F.lit(None).cast("string"))
+        hits.append(hit_rows(flag_rows(df, checks), [r for r, _ in checks], "USUBJID"))
     parts = [literal_findings(spark, structural_findings(domains))]
     if hits:
         parts.append(summarize_hits(union_all(hits), rules))

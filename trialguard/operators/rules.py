@@ -48,7 +48,7 @@ class Rule:
 
 
 def flag_rows(df: DataFrame, checks: Sequence[tuple[Rule, Column]]) -> DataFrame:
-    """Evaluate ordered rules on every row: adds ``_hits`` (array of rule keys) and ``QREASON``."""
+    """Evaluate ordered rules on every row: adds ``_hits`` (rule key per rule, NULL when not hit) and ``QREASON``."""
     # Conditions are materialised as boolean columns first, so each (possibly
     # regex-heavy) condition is evaluated once per row, not once per later rule.
     conds = {f"_r{i}": F.coalesce(cond, F.lit(False)) for i, (_, cond) in enumerate(checks)}
@@ -64,14 +64,18 @@ def flag_rows(df: DataFrame, checks: Sequence[tuple[Rule, Column]]) -> DataFrame
             r = F.when(hit, F.lit(rule.quarantine))
             reason = r if reason is None else F.coalesce(reason, r)
             alive = alive & ~c
-    arr = F.filter(F.array(*hits), lambda x: x.isNotNull()) if hits else F.array().cast("array<string>")
+    # A plain array with NULL for rules that did not hit: CreateArray stays in codegen
+    # (a higher-order ``filter`` would force interpreted evaluation of every condition).
+    arr = F.array(*hits) if hits else F.array().cast("array<string>")
     return df.withColumn("_hits", arr).withColumn("QREASON", reason if reason is not None else F.lit(None).cast("string"))
 
 
 def hit_rows(flagged: DataFrame, rules: Iterable[Rule], id_col: str) -> DataFrame:
     """One row per (row, rule hit): ``key``, ``_id`` (NULL for count-only rules), ``_w`` = 1."""
     count_only = [r.key for r in rules if not r.examples]
-    exploded = flagged.select(F.explode("_hits").alias("key"), F.col(id_col).cast("string").alias("_id"))
+    exploded = flagged.select(F.explode("_hits").alias("key"), F.col(id_col).cast("string").alias("_id")).filter(
+        F.col("key").isNotNull()
+    )
     ident = F.when(F.col("key").isin(*count_only), F.lit(None).cast("string")).otherwise(F.col("_id")) if count_only else F.col("_id")
     return exploded.select("key", ident.alias("_id"), F.lit(1).cast("long").alias("_w"))
 
