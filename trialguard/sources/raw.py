@@ -16,7 +16,6 @@ from __future__ import annotations
 import csv
 import io
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +34,16 @@ class InputError(ValueError):
     """A raw file that cannot be used at all (as opposed to row-level problems)."""
 
 
+def path_size(spark: SparkSession, path: str) -> int | None:
+    """Total bytes under ``path`` from the Hadoop file system (metadata only), None if it does not exist."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    return int(fs.getContentSummary(p).getLength())
+
+
 def file_listing(spark: SparkSession, path: str) -> DataFrame:
     """``path``, ``length`` of every file under ``path`` (contents are not read)."""
     return spark.read.format("binaryFile").load(path).select("path", "length")
@@ -117,13 +126,10 @@ def read_raw(
     or for CSV the read order (file order).
     """
     name = path.rstrip("/").rsplit("/", 1)[-1]
-    try:
-        sizes = file_listing(spark, path).agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes")).first()
-    except AnalysisException as exc:
-        raise InputError(f"{name}: file not found") from exc
-    if not sizes["n"]:
+    size = path_size(spark, path)
+    if size is None:
         raise InputError(f"{name}: file not found")
-    if not sizes["bytes"]:
+    if size == 0:
         raise InputError(f"{name}: file is empty")
     kind = (fmt or ("parquet" if name.lower().endswith(".parquet") else "csv")).lower()
     try:
@@ -168,9 +174,11 @@ def _read_csv(spark: SparkSession, path: str, name: str, sep: str | None, encodi
         .schema(schema)
         .csv(path)
     )
-    bad = df.filter(F.col(_CORRUPT).isNotNull()).select(_CORRUPT).head(1)
+    # All columns are read: with CSV column pruning a narrower read would not see surplus
+    # fields (and a read of the corrupt-record column alone is refused).
+    bad = df.filter(F.col(_CORRUPT).isNotNull()).head(1)
     if bad:
-        raise InputError(f"{name}: could not be parsed (row with more fields than the header: {bad[0][0][:80]!r})")
+        raise InputError(f"{name}: could not be parsed (row with more fields than the header: {bad[0][_CORRUPT][:80]!r})")
     data = df.select(*[F.col(f"_c{i}").alias(f"_n{i}") for i in range(len(columns))])
     return data.toDF(*columns).withColumn("RECNO", F.monotonically_increasing_id())
 
@@ -179,9 +187,6 @@ def discover(spark: SparkSession, raw_dir: str, domain: str) -> str | None:
     """``{d}_raw.csv``, then ``{d}_raw.parquet``, then ``{d}.csv`` under ``raw_dir``; None if absent."""
     for candidate in (f"{domain}_raw.csv", f"{domain}_raw.parquet", f"{domain}.csv"):
         path = f"{raw_dir.rstrip('/')}/{candidate}"
-        try:
-            if file_listing(spark, path).head(1):
-                return path
-        except AnalysisException:
-            continue
+        if path_size(spark, path) is not None:
+            return path
     return None
