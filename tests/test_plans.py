@@ -26,10 +26,26 @@ def test_examples_use_partial_window_group_limit(spark):
     assert "WindowGroupLimit" in plan
 
 
-def test_lab_chain_shuffles_lb_once(spark):
-    plan = physical(catalog.QUERIES["adlb"](spark, SF0001))
-    lb_exchanges = [l for l in plan.split("\n") if "Exchange hashpartitioning(USUBJID" in l]
-    assert len(lb_exchanges) <= 2  # the LB rows once, the (small) subject table for the uniqueness guard once
+def _window_partitions(plan: str):
+    for line in plan.split("\n"):
+        if "Window [" in line and "windowspecdefinition(" in line:
+            fn = line.split("Window [", 1)[1].split("(", 1)[0]
+            spec = line.split("windowspecdefinition(", 1)[1]
+            parts = []
+            for item in spec.split(", "):
+                if " ASC" in item or " DESC" in item or item.startswith("specifiedwindowframe"):
+                    break
+                parts.append(item.split("#", 1)[0])
+            yield fn.strip(), parts
+
+
+@pytest.mark.parametrize("name", ["sdtm_ae", "sdtm_lb", "adae", "adlb"])
+def test_no_numbering_window_over_whole_subjects(spark, name):
+    """Row numbering never partitions record-level data by subject alone (a hot subject would be one task)."""
+    plan = physical(catalog.QUERIES[name](spark, SF0001))
+    for fn, parts in _window_partitions(plan):
+        if fn == "row_number":
+            assert parts != ["USUBJID"], f"{name}: row_number over USUBJID only"
 
 
 def test_no_window_without_partition(spark):

@@ -26,6 +26,7 @@ from trialguard.functions import (
     treatment_emergent,
     usubjid,
 )
+from trialguard.operators.keys import group_first_value
 from trialguard.operators.sdtm import conform
 from trialguard.terminology import STUDYID
 
@@ -91,11 +92,7 @@ def build_adae(ae_sdtm: DataFrame, adsl: DataFrame) -> DataFrame:
     ae = ae_sdtm.join(keys, "USUBJID", "inner")
     ae = ae.withColumns({"ASTDT": iso_date("AESTDTC"), "AENDT": iso_date("AEENDTC")})
     ae = ae.withColumn("TRTEMFL", treatment_emergent("ASTDT", "TRTSDT", "TRTEDT"))
-    is_teae = F.col("TRTEMFL") == "Y"
-
-    def first(*by: str):
-        w = Window.partitionBy("USUBJID", *by, "TRTEMFL").orderBy("ASTDT", "AESEQ")
-        return flag(is_teae & (F.row_number().over(w) == 1))
+    ae = ae.join(_first_occurrences(ae), ["USUBJID", "AESEQ"], "left")
 
     out = ae.select(
         F.lit(STUDYID).alias("STUDYID"),
@@ -106,13 +103,39 @@ def build_adae(ae_sdtm: DataFrame, adsl: DataFrame) -> DataFrame:
         "AENDT",
         study_day("ASTDT", "TRTSDT").alias("ASTDY"),
         "TRTEMFL",
-        first().alias("AOCCFL"),
-        first("AEBODSYS").alias("AOCCSFL"),
-        first("AEDECOD").alias("AOCCPFL"),
+        flag(F.col("_occ_s")).alias("AOCCFL"),
+        flag(F.col("_occ_b")).alias("AOCCSFL"),
+        flag(F.col("_occ_p")).alias("AOCCPFL"),
     )
     return conform(out, "ADAE")
 
 
+def _first_occurrences(ae: DataFrame) -> DataFrame:
+    """For each TEAE row that is the first (by ASTDT, AESEQ) of its subject, of its
+    (subject, SOC) and of its (subject, PT): ``(USUBJID, AESEQ, _occ_s, _occ_b, _occ_p)``.
+
+    The three groupings are one aggregation: every TEAE row is expanded to its
+    three grains, ``min(struct(ASTDT, AESEQ))`` per (subject, grain, value) is
+    partially aggregated before the shuffle, and the few winners are folded back
+    to one row per event -- no window over a subject's rows.
+    """
+    teae = ae.filter(F.col("TRTEMFL") == "Y")
+    grains = teae.select(
+        "USUBJID", "ASTDT", "AESEQ",
+        F.explode(
+            F.array(
+                F.struct(F.lit("s").alias("g"), F.lit("").alias("v")),
+                F.struct(F.lit("b").alias("g"), F.col("AEBODSYS").alias("v")),
+                F.struct(F.lit("p").alias("g"), F.col("AEDECOD").alias("v")),
+            )
+        ).alias("x"),
+    )
+    winners = grains.groupBy("USUBJID", "x.g", "x.v").agg(F.min(F.struct("ASTDT", "AESEQ")).alias("w"))
+    return winners.groupBy("USUBJID", F.col("w.AESEQ").alias("AESEQ")).agg(
+        *[F.max(F.col("g") == g).alias(f"_occ_{g}") for g in ("s", "b", "p")]
+    )
+
+
 def build_adlb(lb_sdtm: DataFrame, adsl: DataFrame) -> DataFrame:
     """ADLB with baseline value and indicator (J6), change, percent change and ratio to ULN."""
     keys = unique_on(
@@ -121,11 +144,12 @@ def build_adlb(lb_sdtm: DataFrame, adsl: DataFrame) -> DataFrame:
         "ADSL",
     )
     lb = lb_sdtm.join(keys, "USUBJID", "inner")
-    # The baseline row of (subject, parameter) -- the first flagged one in LBSEQ order --
-    # found with a window over the same subject partitioning, no self-join.
-    per_param = Window.partitionBy("USUBJID", "LBTESTCD")
-    base = F.min(F.when(F.col("LBBLFL") == "Y", F.struct("LBSEQ", "LBSTRESN", "LBNRIND"))).over(per_param)
-    lb = lb.withColumn("_base", base)
+    # Value and indicator of the baseline row of (subject, parameter) -- the first flagged
+    # one in LBSEQ order -- as a partially aggregated lookup joined back, not a window.
+    lb = group_first_value(
+        lb, ["USUBJID", "LBTESTCD"], [F.col("LBSEQ")],
+        {"_base": F.struct(F.col("LBSTRESN"), F.col("LBNRIND"))}, where=F.col("LBBLFL") == "Y",
+    )
     out = lb.select(
         F.lit(STUDYID).alias("STUDYID"),
         "USUBJID", "TRTA", "TRTAN", "SAFFL",

@@ -29,6 +29,7 @@ from trialguard.functions import (
     usubjid,
     yes_no,
 )
+from trialguard.operators.keys import rebalance
 from trialguard.operators.rules import Rule, findings_of, flag_rows
 
 # ---------------------------------------------------------------------------
@@ -197,14 +198,9 @@ def _known_subjects(subjects: DataFrame) -> DataFrame:
 
 
 def _by_subject(df: DataFrame) -> DataFrame:
-    """Key the rows by USUBJID and hash-partition them on it.
-
-    Every later step of AE / LB (subject lookups, sequence numbers, baseline,
-    first occurrences) needs rows clustered by subject, so the one shuffle is
-    taken here: the rule evaluation runs in parallel whatever the input file
-    layout, and the SDTM / ADaM windows reuse this partitioning.
-    """
-    return df.withColumn("USUBJID", usubjid("SUBJID")).repartition("USUBJID")
+    """Key the rows by USUBJID; spread them over the cores when the input arrived in fewer
+    partitions than that (an unsplittable file), so rule evaluation runs in parallel."""
+    return rebalance(df.withColumn("USUBJID", usubjid("SUBJID")))
 
 
 def flag_ae(raw: DataFrame, subjects: DataFrame) -> Cleaned:

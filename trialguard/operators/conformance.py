@@ -9,7 +9,7 @@ subjects without a baseline) are aggregations. All of them become hit rows
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trialguard import schemas
@@ -99,11 +99,10 @@ def subjects_without_baseline(lb: DataFrame) -> DataFrame:
 def check_sdtm(spark: SparkSession, domains: dict[str, DataFrame | None]) -> DataFrame:
     """All conformance findings for the given SDTM domains (``{"DM": ..., "AE": ..., "LB": ...}``).
 
-    One pass per domain: key checks become columns too -- duplicates by
-    ``row_number`` over the key, subjects without a baseline by a ``max`` over the
-    subject, orphans by a left join to the DM keys -- so every check of a domain
-    is a column of one flagged table, and the windows share the subject
-    partitioning the SDTM build already produced.
+    Row checks and the orphan check (a left join to the DM keys) are columns of
+    one flagged table per domain; duplicate keys and subjects without a baseline
+    are partially aggregated counts, so no check gathers one subject's rows in
+    one task.
     """
     domains = {k: v for k, v in domains.items() if v is not None}
     dm = domains.get("DM")
@@ -124,16 +123,16 @@ def check_sdtm(spark: SparkSession, domains: dict[str, DataFrame | None]) -> Dat
         seq = f"{name}SEQ"
         if has_id and seq in cols:
             r = Rule("SD0006", name, "ERROR", f"{seq} not unique within subject", key=f"SD0006:{name}")
-            later = F.row_number().over(Window.partitionBy("USUBJID", seq).orderBy(F.lit(1))) > 1
-            checks.append((r, later))
+            rules.append(r)
+            hits.append(_dup_hits(df, ["USUBJID", seq], r))
         if name == "DM" and has_id:
-            later = F.row_number().over(Window.partitionBy("USUBJID").orderBy(F.lit(1))) > 1
-            checks.append((Rule("DM0001", "DM", "ERROR", "USUBJID not unique in DM"), later))
+            r = Rule("DM0001", "DM", "ERROR", "USUBJID not unique in DM")
+            rules.append(r)
+            hits.append(_dup_hits(df, ["USUBJID"], r))
         if name == "LB" and has_id and "LBBLFL" in cols:
-            per_subject = Window.partitionBy("USUBJID")
-            has_base = F.max(F.coalesce(F.col("LBBLFL") == "Y", F.lit(False)).cast("int")).over(per_subject)
-            first_row = F.row_number().over(per_subject.orderBy(F.lit(1))) == 1
-            checks.append((Rule("LB0001", "LB", "WARNING", "Subject has no baseline lab record"), (has_base == 0) & first_row))
+            r = Rule("LB0001", "LB", "WARNING", "Subject has no baseline lab record")
+            rules.append(r)
+            hits.append(subjects_without_baseline(df).select(F.lit(r.key).alias("key"), F.col("USUBJID").cast("string").alias("_id"), F.lit(1).cast("long").alias("_w")))
         if not checks:
             continue
         rules.extend(r for r, _ in checks)

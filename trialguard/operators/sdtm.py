@@ -1,14 +1,15 @@
 """SDTM domains DM, AE and LB from clean raw tables.
 
-Per-subject numbering and baseline selection are windows partitioned by
-USUBJID (and USUBJID + test code); the clean tables already carry USUBJID, so
-one hash partitioning of AE / LB by subject serves the subject-date lookup,
-the sequence numbers and the baseline flag without another shuffle.
+Per-subject numbering and baseline selection use the skew-safe operators of
+``keys``: sequence numbers in two levels (per subject and date, then within),
+so a subject with very many rows is spread over many tasks; the baseline flag
+as a partially aggregated "first row per (subject, test)" joined back on the
+row's sequence number.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trialguard import schemas
@@ -20,6 +21,7 @@ from trialguard.functions import (
     study_day,
     usubjid,
 )
+from trialguard.operators import keys
 from trialguard.terminology import STUDYID
 
 
@@ -67,12 +69,12 @@ def reference_dates(dm_sdtm: DataFrame) -> DataFrame:
 def build_ae(ae_clean: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
     """B2: SDTM AE with AESEQ (per subject by start date, term, input order) and study days."""
     ae = _ensure_usubjid(ae_clean).join(reference_dates(dm_sdtm), "USUBJID", "left")
-    seq = Window.partitionBy("USUBJID").orderBy("AESTDT", "AEDECOD", "RECNO")
+    ae = keys.sequence(ae, ["USUBJID"], ["AESTDT"], ["AEDECOD", "RECNO"], "AESEQ")
     out = ae.select(
         F.lit(STUDYID).alias("STUDYID"),
         F.lit("AE").alias("DOMAIN"),
         "USUBJID",
-        F.row_number().over(seq).alias("AESEQ"),
+        "AESEQ",
         "AETERM",
         "AEDECOD",
         "AEBODSYS",
@@ -98,17 +100,16 @@ def build_lb(lb_clean: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
     lowest visit number, then input order.
     """
     lb = _ensure_usubjid(lb_clean).join(reference_dates(dm_sdtm), "USUBJID", "left")
+    lb = keys.sequence(lb, ["USUBJID"], ["LBTESTCD", "LBDT"], ["VISITNUM", "RECNO"], "LBSEQ")
     eligible = F.col("LBSTRESN").isNotNull() & F.coalesce(F.col("LBDT") <= F.col("_RFSTDT"), F.lit(False))
-    lb = lb.withColumn("_elig", eligible)
-    seq = Window.partitionBy("USUBJID").orderBy("LBTESTCD", "LBDT", "VISITNUM", "RECNO")
-    base = Window.partitionBy("USUBJID", "LBTESTCD", "_elig").orderBy(
-        F.col("LBDT").desc(), F.col("VISITNUM").asc(), F.col("RECNO").asc()
-    )
+    # latest date first (negated day number), then lowest visit, then input order
+    order = [-F.unix_date(F.col("LBDT")), F.col("VISITNUM"), F.col("RECNO")]
+    lb = keys.first_in_group(lb, ["USUBJID", "LBTESTCD"], order, ["LBSEQ"], "_base", where=eligible)
     out = lb.select(
         F.lit(STUDYID).alias("STUDYID"),
         F.lit("LB").alias("DOMAIN"),
         "USUBJID",
-        F.row_number().over(seq).alias("LBSEQ"),
+        "LBSEQ",
         "LBTESTCD",
         "LBTEST",
         "LBORRES",
@@ -118,7 +119,7 @@ def build_lb(lb_clean: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
         "LBSTRESN",
         F.col("LBORRESU").alias("LBSTRESU"),
         range_indicator("LBSTRESN", "LBORNRLO", "LBORNRHI").alias("LBNRIND"),
-        flag(F.col("_elig") & (F.row_number().over(base) == 1)).alias("LBBLFL"),
+        flag(F.col("_base")).alias("LBBLFL"),
         F.col("VISITNUM").try_cast("int").alias("VISITNUM"),
         "VISIT",
         iso_text("LBDT").alias("LBDTC"),
