@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The library's inputs are complete study extracts that are cleaned, derived and
+summarised as a whole (sequence numbers, baselines and subject counts depend on
+every record of a subject). The reference processes no streams, so no streaming
+sources, watermarks or stateful operators are provided; a growing study is
+re-run as a batch over its files.
+"""
