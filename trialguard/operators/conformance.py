@@ -1,10 +1,11 @@
 """Conformance checks on SDTM DM / AE / LB.
 
 Structural rules (required variables, name and label lengths) look only at the
-schema and run on the driver. Row rules are evaluated per domain as boolean
-columns (one pass each, ``flag_rows``); key rules (orphans, duplicate keys,
-subjects without a baseline) are aggregations. All of them become hit rows
-``(key, _id, _w)`` that one ``summarize_hits`` turns into findings.
+schema and run on the driver. Row rules are evaluated per domain as 0/1
+columns and, together with the key rules (orphans, duplicate keys, subjects
+without a baseline), counted per subject from one scan of the domain. All of
+them become hit rows ``(key, _id, _w)`` that one ``summarize_hits`` turns into
+findings.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from trialguard import schemas
 from trialguard import terminology as tm
 from trialguard.functions import iso_date, is_iso_text, is_in, to_number
-from trialguard.operators.rules import Rule, flag_rows, hit_rows, literal_findings, summarize_hits, union_all
+from trialguard.operators.rules import Rule, literal_findings, summarize_hits, union_all
 
 SPEC = {"DM": schemas.DM_VARS, "AE": schemas.AE_VARS, "LB": schemas.LB_VARS}
 
@@ -73,10 +74,44 @@ def _row_checks(name: str, df: DataFrame) -> list[tuple[Rule, Column]]:
     return checks
 
 
-def _dup_hits(df: DataFrame, keys: list[str], rule: Rule) -> DataFrame:
-    """Later copies of a key: per key group ``count - 1`` hits, example id = USUBJID."""
-    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt")).filter(F.col("_cnt") > 1)
-    return g.select(F.lit(rule.key).alias("key"), F.col("USUBJID").cast("string").alias("_id"), (F.col("_cnt") - 1).cast("long").alias("_w"))
+def _later_copies(n: Column) -> Column:
+    return F.when(n > 1, n - 1).otherwise(F.lit(0))
+
+
+def _domain_hits(df: DataFrame, checks: list[tuple[Rule, Column]], seq_rule: Rule | None, seq: str, dup_rule: Rule | None, baseline_rule: Rule | None) -> DataFrame:
+    """All hits of one domain from one scan: ``(key, _id = USUBJID, _w)``.
+
+    Row checks become 0/1 columns that are summed per (subject, sequence number)
+    and then per subject, both partially aggregated before their shuffle (a
+    subject with very many rows collapses map-side). Duplicate sequence numbers
+    (``count - 1`` per (subject, seq)), duplicate subjects (``count - 1`` per
+    subject) and "no baseline record" (``max`` of the flag per subject) come out
+    of the same two aggregates, so the domain is read once.
+    """
+    flags = [F.coalesce(cond, F.lit(False)).cast("long").alias(f"_c{i}") for i, (_, cond) in enumerate(checks)]
+    baseline = F.coalesce(F.col("LBBLFL") == "Y", F.lit(False)).cast("int") if baseline_rule is not None else F.lit(0)
+    rows = df.select("USUBJID", *([seq] if seq_rule is not None else []), *flags, baseline.alias("_bl"))
+    sums = [F.sum(f"_c{i}").alias(f"_c{i}") for i in range(len(checks))]
+    if seq_rule is not None:
+        per_seq = rows.groupBy("USUBJID", seq).agg(F.count(F.lit(1)).alias("_n"), *sums, F.max("_bl").alias("_bl"))
+        per_subject = per_seq.groupBy("USUBJID").agg(
+            F.sum("_n").alias("_n"), F.sum(_later_copies(F.col("_n"))).alias("_dup"), *sums, F.max("_bl").alias("_bl")
+        )
+    else:
+        per_subject = rows.groupBy("USUBJID").agg(F.count(F.lit(1)).alias("_n"), F.lit(0).alias("_dup"), *sums, F.max("_bl").alias("_bl"))
+    weights = [(rule.key, F.col(f"_c{i}")) for i, (rule, _) in enumerate(checks)]
+    if seq_rule is not None:
+        weights.append((seq_rule.key, F.col("_dup")))
+    if dup_rule is not None:
+        weights.append((dup_rule.key, _later_copies(F.col("_n"))))
+    if baseline_rule is not None:
+        weights.append((baseline_rule.key, 1 - F.col("_bl")))
+    pairs = F.array(*[F.struct(F.lit(k).alias("key"), w.cast("long").alias("_w")) for k, w in weights])
+    return (
+        per_subject.select(F.col("USUBJID").cast("string").alias("_id"), F.explode(pairs).alias("_h"))
+        .select(F.col("_h.key").alias("key"), "_id", F.col("_h._w").alias("_w"))
+        .filter(F.col("_w") > 0)
+    )
 
 
 def orphan_subjects(df: DataFrame, dm: DataFrame | None) -> DataFrame:
@@ -100,9 +135,10 @@ def check_sdtm(spark: SparkSession, domains: dict[str, DataFrame | None]) -> Dat
     """All conformance findings for the given SDTM domains (``{"DM": ..., "AE": ..., "LB": ...}``).
 
     Row checks and the orphan check (a left join to the DM keys) are columns of
-    one flagged table per domain; duplicate keys and subjects without a baseline
-    are partially aggregated counts, so no check gathers one subject's rows in
-    one task.
+    one scan per domain; those columns, duplicate keys and subjects without a
+    baseline are partially aggregated counts of that same scan (``_domain_hits``),
+    so each domain is read once and no check gathers one subject's rows in one
+    task.
     """
     domains = {k: v for k, v in domains.items() if v is not None}
     dm = domains.get("DM")
@@ -121,24 +157,17 @@ def check_sdtm(spark: SparkSession, domains: dict[str, DataFrame | None]) -> Dat
             else:
                 checks.append((r, F.lit(True)))
         seq = f"{name}SEQ"
-        if has_id and seq in cols:
-            r = Rule("SD0006", name, "ERROR", f"{seq} not unique within subject", key=f"SD0006:{name}")
-            rules.append(r)
-            hits.append(_dup_hits(df, ["USUBJID", seq], r))
-        if name == "DM" and has_id:
-            r = Rule("DM0001", "DM", "ERROR", "USUBJID not unique in DM")
-            rules.append(r)
-            hits.append(_dup_hits(df, ["USUBJID"], r))
-        if name == "LB" and has_id and "LBBLFL" in cols:
-            r = Rule("LB0001", "LB", "WARNING", "Subject has no baseline lab record")
-            rules.append(r)
-            hits.append(subjects_without_baseline(df).select(F.lit(r.key).alias("key"), F.col("USUBJID").cast("string").alias("_id"), F.lit(1).cast("long").alias("_w")))
-        if not checks:
+        seq_rule = Rule("SD0006", name, "ERROR", f"{seq} not unique within subject", key=f"SD0006:{name}") if has_id and seq in cols else None
+        dup_rule = Rule("DM0001", "DM", "ERROR", "USUBJID not unique in DM") if name == "DM" and has_id else None
+        baseline_rule = Rule("LB0001", "LB", "WARNING", "Subject has no baseline lab record") if name == "LB" and has_id and "LBBLFL" in cols else None
+        extra = [r for r in (seq_rule, dup_rule, baseline_rule) if r is not None]
+        if not checks and not extra:
             continue
         rules.extend(r for r, _ in checks)
+        rules.extend(extra)
         if not has_id:
             df = df.withColumn("USUBJID", F.lit(None).cast("string"))
-        hits.append(hit_rows(flag_rows(df, checks), [r for r, _ in checks], "USUBJID"))
+        hits.append(_domain_hits(df, checks, seq_rule, seq, dup_rule, baseline_rule))
     parts = [literal_findings(spark, structural_findings(domains))]
     if hits:
         parts.append(summarize_hits(union_all(hits), rules))
