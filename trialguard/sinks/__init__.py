@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import json
 import logging
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,14 +81,31 @@ def dataset_metadata(spark: SparkSession, datasets: dict[str, DataFrame], record
     return meta.join(counts, "dataset", "left").select("dataset", "label", "records", "position", "variable", "variable_label", "type")
 
 
+def digest_columns(df: DataFrame) -> list[Column]:
+    """O6 aggregates: ``records`` (row count) and ``digest`` (sum of per-row xxhash64 as decimal(38,0), as text)."""
+    h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
+    return [F.count(F.lit(1)).alias("records"), F.coalesce(F.sum(h), F.lit(0).cast("decimal(38,0)")).cast("string").alias("digest")]
+
+
 def content_digest(df: DataFrame) -> DataFrame:
     """Order-insensitive digest of a dataset: row count and the sum of per-row xxhash64 (decimal(38,0)).
 
     Computed by the executors in one aggregation, so any size of output can be
     fingerprinted without a single task reading it whole.
     """
-    h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
-    return df.agg(F.count(F.lit(1)).alias("records"), F.coalesce(F.sum(h), F.lit(0).cast("decimal(38,0)")).cast("string").alias("digest"))
+    return df.agg(*digest_columns(df))
+
+
+def observed_digest(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` with the O6 aggregates attached as observed metrics.
+
+    The digest is computed by the action that writes ``df`` (partial aggregates
+    per task, merged on the driver), so fingerprinting an output costs no
+    second scan. ``Observation.get`` returns ``{"records": ..., "digest": ...}``
+    once that action has finished.
+    """
+    obs = Observation(f"digest_{uuid.uuid4().hex}")
+    return df.observe(obs, *digest_columns(df)), obs
 
 
 def write_json(spark: SparkSession, obj, path: str) -> str:
