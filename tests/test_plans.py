@@ -67,3 +67,20 @@ def test_partition_invariance(spark, name):
             spark.conf.set("spark.sql.shuffle.partitions", "8")
 
     assert rows(1) == rows(16)
+
+
+def test_scans_are_pruned(spark):
+    """Every parquet scan reads a strict subset of its file's columns (column pruning reaches the reader)."""
+    import re
+
+    import pyarrow.parquet as pq
+
+    plan = physical(catalog.QUERIES["teae_overview"](spark, SF0001))
+    scans = [line for line in plan.split("\n") if "FileScan" in line and "ReadSchema" in line]
+    assert scans
+    for line in scans:
+        table = re.search(r"/(\w+)\.parquet", line).group(1)
+        read = re.findall(r"(\w+):", line.split("ReadSchema: struct<", 1)[1])
+        assert len(read) < len(pq.read_schema(f"{SF0001}/{table}.parquet").names), f"{table} read whole: {read}"
+        if table == "customer":
+            assert read == ["c_custkey"]
