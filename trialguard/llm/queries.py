@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trialguard.llm import simhash
+from trialguard.llm import simhash, token_records
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,8 +16,21 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def tokenizer_file(name: str) -> str:
+    """The place of a public tokenizer's vocabulary file on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token-id record files of all documents, read back."""
+    return token_records.token_records(_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op10_token_records": op10_token_records,
 }
 
 ORACLE_SQL: dict[str, str] = {}
