@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trialguard.llm import decontaminate, simhash, token_records
+from trialguard.llm import decontaminate, mixing, simhash, token_records
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix of all sources takes of each document."""
+    return mixing.mixture(_table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of each document."""
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -35,6 +40,7 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_decontamination": op2_decontamination,
+    "op3_source_mixing": op3_source_mixing,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op10_token_records": op10_token_records,
 }
