@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trialguard.llm import decontaminate, mixing, simhash, token_records
+from trialguard.llm import decontaminate, kneser_ney, mixing, simhash, token_records
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of each document under a model of trusted text, its thresholds and whether it is kept."""
+    return kneser_ney.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document inside benchmark windows, and the items they belong to."""
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -39,6 +44,7 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_decontamination": op2_decontamination,
     "op3_source_mixing": op3_source_mixing,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
