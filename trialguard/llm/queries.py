@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trialguard.llm import decontaminate, kneser_ney, mixing, simhash, token_records
+from trialguard.llm import decontaminate, kneser_ney, mixing, secret_scan, simhash, token_records
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,11 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(_table(spark, sf_dir, "documents"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of each document, and which of them are live or copied examples."""
+    return secret_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of each document."""
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -47,10 +52,12 @@ QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_decontamination": op2_decontamination,
     "op3_source_mixing": op3_source_mixing,
+    "op4_secret_scan": op4_secret_scan,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op10_token_records": op10_token_records,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_decontamination": decontaminate.SQL,
+    "op4_secret_scan": secret_scan.SQL,
 }
