@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trialguard.llm import decontaminate, kneser_ney, mixing, secret_scan, simhash, token_records
+from trialguard.llm import decontaminate, kneser_ney, mixing, secret_scan, simhash, token_records, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,22 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(_table(spark, sf_dir, "documents"))
 
 
+#: Host and path rules of the URL filter query.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule and verdict of each page, by its URL or its aliases."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge(_table(spark, sf_dir, "pages"), rules)
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of each document."""
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -53,6 +69,7 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_source_mixing": op3_source_mixing,
     "op4_secret_scan": op4_secret_scan,
+    "op6_url_filter": op6_url_filter,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op10_token_records": op10_token_records,
 }

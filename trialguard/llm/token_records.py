@@ -20,6 +20,7 @@ task can't spoil a file. Files are written under the shared folder through ``pya
 
 from __future__ import annotations
 
+import array
 import re
 import struct
 import sys
@@ -42,7 +43,7 @@ END_ID = 1
 HEAD, HEAD_SIZE = "<BBq", 10
 PAIR, PAIR_SIZE = "<QQ", 16
 #: Pieces that a worker process remembers at most.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 1_000_000
 MANIFEST = "part long, path string, records long, tokens long"
 
 
@@ -96,18 +97,21 @@ class Encoder:
     """Ids of texts by a ``tokenizers`` model whose pieces never cross white space.
 
     Texts are cut at white space and each different piece is encoded by the library once. A piece of letters with
-    closing ASCII punctuation is cut between them too, where the tokenizer's own pattern cuts. This holds for the
-    pattern and normalizer stated in ``supports``; other tokenizers, and texts with U+001C to U+001F (which Python
-    takes for white space and the library doesn't), are encoded whole.
+    closing ASCII punctuation is cut between them too, where the tokenizer's own pattern cuts, and its letters go to
+    the library's model in lower case. This holds for the pattern and normalizer stated in ``supports``; other
+    tokenizers, and texts with U+001C to U+001F (which Python takes for white space and the library doesn't), are
+    encoded whole.
     """
 
-    CUT = re.compile(r"([^\W\d_]+)([.,!?;:#$%&*|]*)")
+    PUNCTUATION = ".,!?;:#$%&*|"
 
     def __init__(self, path: str, cache: dict[str, bytes] | None = None):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.kind = "H" if self.width == 2 else "I"
         self.cache = {} if cache is None else cache
         self.by_piece = self.supports()
         self.marks = str.maketrans(self._byte_letters())
@@ -129,24 +133,28 @@ class Encoder:
         return {b: chr(b) for b in kept} | {b: chr(0x100 + k) for k, b in enumerate(rest)}
 
     def pack_ids(self, ids: list[int]) -> bytes:
-        return np.array(ids, f"<u{self.width}").tobytes()
+        packed = array.array(self.kind, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
     def whole(self, text: str) -> bytes:
         return self.pack_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def letters(self, core: str) -> bytes:
+        """Ids of lower-case letters."""
         got = self.cache.get(core)
         if got is None:
-            written = core.encode().decode("latin-1").translate(self.marks)
-            got = self.cache[core] = self.pack_ids([t.id for t in self.tokenizer.model.tokenize(written)])
+            written = core if core.isascii() else core.encode().decode("latin-1").translate(self.marks)
+            got = self.cache[core] = self.pack_ids([t.id for t in self.model.tokenize(written)])
         return got
 
     def piece(self, piece: str) -> bytes:
-        m = self.CUT.fullmatch(piece)
-        if m and (core := m[1]).isalpha() and (core.isascii() or self.plain(core)):
+        core = piece.rstrip(self.PUNCTUATION)
+        if core.isalpha() and (core.isascii() or self.plain(core)):
             got = self.letters(core.lower())
-            if m[2]:
-                got += self.cache.get(m[2]) or self.cache.setdefault(m[2], self.whole(m[2]))
+            if closing := piece[len(core) :]:
+                got += self.cache.get(closing) or self.cache.setdefault(closing, self.whole(closing))
         else:
             got = self.whole(piece)
         self.cache[piece] = got
@@ -167,8 +175,12 @@ class Encoder:
             return self.whole(text)
         if len(self.cache) > CACHE_PIECES:
             self.cache.clear()
-        get, piece = self.cache.get, self.piece
-        return b"".join([get(p) or piece(p) for p in text.split()])
+        pieces = text.split()
+        got = list(map(self.cache.get, pieces))
+        if None in got:
+            piece = self.piece
+            got = [piece(p) if g is None else g for g, p in zip(got, pieces, strict=True)]
+        return b"".join(got)
 
 
 def _worker_cache(path: str) -> dict[str, bytes]:
