@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trialguard.llm import decontaminate, kneser_ney, mixing, secret_scan, simhash, token_records, url_filter
+from trialguard.llm import decontaminate, kneser_ney, mixing, secret_scan, simhash, token_records, url_filter, wordpiece
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,12 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(_table(spark, sf_dir, "documents"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and greedy word pieces of each document."""
+    pieces = wordpiece.pieces_of(tokenizer_file("piece_bpe_32k.model"))
+    return wordpiece.token_counts(_table(spark, sf_dir, "documents"), pieces)
+
+
 #: Host and path rules of the URL filter query.
 URL_RULES = [
     ("com", "/", "allow"),
@@ -69,6 +75,7 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_source_mixing": op3_source_mixing,
     "op4_secret_scan": op4_secret_scan,
+    "op5_token_counts": op5_token_counts,
     "op6_url_filter": op6_url_filter,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op10_token_records": op10_token_records,
