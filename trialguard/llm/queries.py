@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from trialguard.llm import decontaminate, kneser_ney, mixing, secret_scan, simhash, token_records, url_filter, wordpiece
+from trialguard.llm import ann, decontaminate, kneser_ney, mixing, secret_scan, simhash, token_records, url_filter, wordpiece
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +54,11 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"), rules)
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every vector whose id is divisible by 20."""
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of each document."""
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -77,6 +83,7 @@ QUERIES = {
     "op4_secret_scan": op4_secret_scan,
     "op5_token_counts": op5_token_counts,
     "op6_url_filter": op6_url_filter,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op10_token_records": op10_token_records,
 }
