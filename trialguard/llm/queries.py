@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trialguard.llm import ann, decontaminate, kneser_ney, mixing, secret_scan, simhash, token_records, url_filter, wordpiece
+from trialguard.llm import ann, decontaminate, kneser_ney, maxent_lm, mixing, secret_scan, simhash, token_records, url_filter, wordpiece
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +71,11 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op9_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of each document under a hashed maximum-entropy model of the training documents."""
+    return maxent_lm.score(_table(spark, sf_dir, "documents"))
+
+
 def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-id record files of all documents, read back."""
     return token_records.token_records(_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
@@ -85,6 +90,7 @@ QUERIES = {
     "op6_url_filter": op6_url_filter,
     "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_maxent_lm": op9_maxent_lm,
     "op10_token_records": op10_token_records,
 }
 
