@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+import sys
+import types
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,3 +60,14 @@ def append_column(
 def words_of(text: Column) -> Column:
     """The words of a text as an array: maximal runs without white space; none for a null."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"([^{SPACE}]+)"), F.lit(1))
+
+
+def filesystem(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """File system and path of a URI in the shared folder; ``file:/x`` counts as ``file:///x``."""
+    return pyarrow.fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
+
+
+def worker_cache(name: str) -> dict:
+    """A dictionary that lives as long as the Python worker, so that its tasks share what they loaded or computed."""
+    holder = sys.modules.setdefault("trialguard_worker_cache", types.ModuleType("trialguard_worker_cache"))
+    return holder.__dict__.setdefault(name, {})
