@@ -36,11 +36,15 @@ def for_transport(df: DataFrame) -> DataFrame:
 
     Dates -> days since 1960-01-01 as double with format DATE9; booleans -> Y/'';
     numbers -> double; NULL text -> ''. Each column carries its label (<= 40
-    characters) and format as column metadata.
+    characters) and format as column metadata. Names pass unchanged; a name of
+    more than eight characters does not fit the format and is an error.
     """
+    long = [f.name for f in df.schema.fields if len(f.name) > 8]
+    if long:
+        raise ValueError(f"names longer than 8 characters: {', '.join(long)}")
     out = []
     for f in df.schema.fields:
-        c = F.col(f.name)
+        c = F.col(f"`{f.name}`")
         meta = {"label": LABELS.get(f.name, f.name)[:40]}
         if isinstance(f.dataType, (T.DateType, T.TimestampType)):
             e = F.datediff(c, F.lit(SAS_EPOCH).cast("date")).cast("double")
@@ -51,5 +55,5 @@ def for_transport(df: DataFrame) -> DataFrame:
             e = c.cast("double")
         else:
             e = F.coalesce(c.cast("string"), F.lit(""))
-        out.append(e.alias(f.name[:8], metadata=meta))
+        out.append(e.alias(f.name, metadata=meta))
     return df.select(*out)

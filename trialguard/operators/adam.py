@@ -27,16 +27,17 @@ from trialguard.functions import (
     usubjid,
 )
 from trialguard.operators.keys import group_first_value
-from trialguard.operators.sdtm import conform
+from trialguard.operators.sdtm import BASE_INDICATOR, BASE_VALUE, conform
 from trialguard.terminology import STUDYID
 
 
 def unique_on(df: DataFrame, key: str, what: str) -> DataFrame:
     """Pass ``df`` through unchanged, failing at run time if ``key`` is not unique."""
-    counted = df.withColumn("_key_rows", F.count(F.lit(1)).over(Window.partitionBy(key)))
+    others = [c for c in df.columns if c != key]
+    rows = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), F.first(F.struct(*others)).alias("_row"))
     msg = F.concat(F.lit(f"{what}: {key} not unique: "), F.col(key).cast("string"))
-    guard = F.when(F.col("_key_rows") > 1, F.raise_error(msg).cast("boolean")).otherwise(F.lit(True))
-    return counted.filter(guard).drop("_key_rows")
+    guard = F.when(F.col("_rows") > 1, F.raise_error(msg).cast("boolean")).otherwise(F.lit(True))
+    return rows.filter(guard).select(key, "_row.*")
 
 
 def build_adsl(dm_clean: DataFrame) -> DataFrame:
@@ -92,7 +93,8 @@ def build_adae(ae_sdtm: DataFrame, adsl: DataFrame) -> DataFrame:
     ae = ae_sdtm.join(keys, "USUBJID", "inner")
     ae = ae.withColumns({"ASTDT": iso_date("AESTDTC"), "AENDT": iso_date("AEENDTC")})
     ae = ae.withColumn("TRTEMFL", treatment_emergent("ASTDT", "TRTSDT", "TRTEDT"))
-    ae = ae.join(_first_occurrences(ae), ["USUBJID", "AESEQ"], "left")
+    ae = ae.join(_first_occurrences(ae), ["USUBJID", "AEBODSYS", "AEDECOD"], "left")
+    first = (F.col("TRTEMFL") == "Y") & (F.col("AESEQ") == F.col("_first.AESEQ"))
 
     out = ae.select(
         F.lit(STUDYID).alias("STUDYID"),
@@ -103,36 +105,29 @@ def build_adae(ae_sdtm: DataFrame, adsl: DataFrame) -> DataFrame:
         "AENDT",
         study_day("ASTDT", "TRTSDT").alias("ASTDY"),
         "TRTEMFL",
-        flag(F.col("_occ_s")).alias("AOCCFL"),
-        flag(F.col("_occ_b")).alias("AOCCSFL"),
-        flag(F.col("_occ_p")).alias("AOCCPFL"),
+        flag(first & F.col("_of_subject")).alias("AOCCFL"),
+        flag(first & F.col("_of_soc")).alias("AOCCSFL"),
+        flag(first & F.col("_of_pt")).alias("AOCCPFL"),
     )
     return conform(out, "ADAE")
 
 
 def _first_occurrences(ae: DataFrame) -> DataFrame:
-    """For each TEAE row that is the first (by ASTDT, AESEQ) of its subject, of its
-    (subject, SOC) and of its (subject, PT): ``(USUBJID, AESEQ, _occ_s, _occ_b, _occ_p)``.
+    """The first TEAE row (by ASTDT, AESEQ) of each (subject, SOC, PT), and whether it is also the first of
+    its subject, of its (subject, SOC) and of its (subject, PT).
 
-    The three groupings are one aggregation: every TEAE row is expanded to its
-    three grains, ``min(struct(ASTDT, AESEQ))`` per (subject, grain, value) is
-    partially aggregated before the shuffle, and the few winners are folded back
-    to one row per event -- no window over a subject's rows.
+    One aggregate, partially done before the shuffle; the wider groupings are windows over its rows, which are a
+    subject's different terms and not its events.
     """
-    teae = ae.filter(F.col("TRTEMFL") == "Y")
-    grains = teae.select(
-        "USUBJID", "ASTDT", "AESEQ",
-        F.explode(
-            F.array(
-                F.struct(F.lit("s").alias("g"), F.lit("").alias("v")),
-                F.struct(F.lit("b").alias("g"), F.col("AEBODSYS").alias("v")),
-                F.struct(F.lit("p").alias("g"), F.col("AEDECOD").alias("v")),
-            )
-        ).alias("x"),
-    )
-    winners = grains.groupBy("USUBJID", "x.g", "x.v").agg(F.min(F.struct("ASTDT", "AESEQ")).alias("w"))
-    return winners.groupBy("USUBJID", F.col("w.AESEQ").alias("AESEQ")).agg(
-        *[F.max(F.col("g") == g).alias(f"_occ_{g}") for g in ("s", "b", "p")]
+    first = F.min(F.struct("ASTDT", "AESEQ")).alias("_first")
+    terms = ae.filter(F.col("TRTEMFL") == "Y").groupBy("USUBJID", "AEBODSYS", "AEDECOD").agg(first)
+
+    def is_first(*of: str):
+        return F.col("_first") == F.min("_first").over(Window.partitionBy("USUBJID", *of))
+
+    return terms.select(
+        "USUBJID", "AEBODSYS", "AEDECOD", "_first", is_first().alias("_of_subject"),
+        is_first("AEBODSYS").alias("_of_soc"), is_first("AEDECOD").alias("_of_pt"),
     )
 
 
@@ -144,12 +139,15 @@ def build_adlb(lb_sdtm: DataFrame, adsl: DataFrame) -> DataFrame:
         "ADSL",
     )
     lb = lb_sdtm.join(keys, "USUBJID", "inner")
-    # Value and indicator of the baseline row of (subject, parameter) -- the first flagged
-    # one in LBSEQ order -- as a partially aggregated lookup joined back, not a window.
-    lb = group_first_value(
-        lb, ["USUBJID", "LBTESTCD"], [F.col("LBSEQ")],
-        {"_base": F.struct(F.col("LBSTRESN"), F.col("LBNRIND"))}, where=F.col("LBBLFL") == "Y",
-    )
+    # Value and indicator of the baseline row of (subject, parameter); already there when the labs were built in
+    # the same plan, else a partially aggregated lookup of the flagged row, joined back.
+    if BASE_VALUE in lb.columns:
+        lb = lb.withColumn("_base", F.struct(F.col(BASE_VALUE).alias("LBSTRESN"), F.col(BASE_INDICATOR).alias("LBNRIND")))
+    else:
+        lb = group_first_value(
+            lb, ["USUBJID", "LBTESTCD"], [F.col("LBSEQ")],
+            {"_base": F.struct(F.col("LBSTRESN"), F.col("LBNRIND"))}, where=F.col("LBBLFL") == "Y",
+        )
     out = lb.select(
         F.lit(STUDYID).alias("STUDYID"),
         "USUBJID", "TRTA", "TRTAN", "SAFFL",

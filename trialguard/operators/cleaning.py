@@ -29,7 +29,6 @@ from trialguard.functions import (
     usubjid,
     yes_no,
 )
-from trialguard.operators.keys import rebalance
 from trialguard.operators.rules import Rule, findings_of, flag_rows
 
 # ---------------------------------------------------------------------------
@@ -127,7 +126,7 @@ def with_defaults(raw: DataFrame, domain: str) -> DataFrame:
 
 
 def _raw_columns(df: DataFrame) -> list[str]:
-    return ["RECNO"] + [c for c in df.columns if c != "RECNO" and not c.startswith("_")]
+    return ["RECNO"] + [c for c in df.columns if c != "RECNO"]
 
 
 def flag_dm(raw: DataFrame) -> Cleaned:
@@ -151,7 +150,8 @@ def flag_dm(raw: DataFrame) -> Cleaned:
         }
     )
     age, sex, race, start, end = (F.col(c) for c in ("_p_age", "_p_sex", "_p_race", "_p_start", "_p_end"))
-    age_int = age.cast("int")
+    # only an age that passes DM-R03 is cast: any number may stand in the raw text
+    age_int = F.when((age >= tm.AGE_MIN) & (age <= tm.AGE_MAX), age).try_cast("int")
     df = df.withColumns(
         {
             "_c_AGE": age_int,
@@ -197,17 +197,11 @@ def _known_subjects(subjects: DataFrame) -> DataFrame:
     return keys.select("USUBJID", F.lit(True).alias("_known"))
 
 
-def _by_subject(df: DataFrame) -> DataFrame:
-    """Key the rows by USUBJID; spread them over the cores when the input arrived in fewer
-    partitions than that (an unsplittable file), so rule evaluation runs in parallel."""
-    return rebalance(df.withColumn("USUBJID", usubjid("SUBJID")))
-
-
 def flag_ae(raw: DataFrame, subjects: DataFrame) -> Cleaned:
     """Flag adverse events with AE-R01..AE-R06; ``subjects`` is the clean DM (or its keys)."""
     df = with_defaults(raw, "ae")
     raw_cols = _raw_columns(df)
-    df = _by_subject(df).join(_known_subjects(subjects), "USUBJID", "left")
+    df = df.withColumn("USUBJID", usubjid("SUBJID")).join(_known_subjects(subjects), "USUBJID", "left")
     df = df.withColumns(
         {
             "_p_start": iso_date("AESTDT"),
@@ -252,7 +246,7 @@ def flag_lb(raw: DataFrame, subjects: DataFrame) -> Cleaned:
     """Flag lab results with LB-R01..LB-R05; ``subjects`` is the clean DM (or its keys)."""
     df = with_defaults(raw, "lb")
     raw_cols = _raw_columns(df)
-    df = _by_subject(df).join(_known_subjects(subjects), "USUBJID", "left")
+    df = df.withColumn("USUBJID", usubjid("SUBJID")).join(_known_subjects(subjects), "USUBJID", "left")
     df = df.withColumns(
         {
             "_p_lbdt": iso_date("LBDT"),

@@ -1,11 +1,10 @@
 """Conformance checks on SDTM DM / AE / LB.
 
 Structural rules (required variables, name and label lengths) look only at the
-schema and run on the driver. Row rules are evaluated per domain as 0/1
-columns and, together with the key rules (orphans, duplicate keys, subjects
-without a baseline), counted per subject from one scan of the domain. All of
-them become hit rows ``(key, _id, _w)`` that one ``summarize_hits`` turns into
-findings.
+schema and run on the driver. Row rules are conditions of one scan per domain;
+key rules (duplicate keys, subjects without a baseline) are aggregates of the
+key columns. All become hit rows ``(key, _id, _w)`` that one ``summarize_hits``
+turns into findings.
 """
 
 from __future__ import annotations
@@ -74,44 +73,33 @@ def _row_checks(name: str, df: DataFrame) -> list[tuple[Rule, Column]]:
     return checks
 
 
-def _later_copies(n: Column) -> Column:
-    return F.when(n > 1, n - 1).otherwise(F.lit(0))
+def _hits(df: DataFrame, checks: list[tuple[Rule, Column]], weights: dict[int, Column] | None = None) -> DataFrame:
+    """``(key, _id, _w)`` for each row and check that hits; rows without a hit leave no trace.
 
-
-def _domain_hits(df: DataFrame, checks: list[tuple[Rule, Column]], seq_rule: Rule | None, seq: str, dup_rule: Rule | None, baseline_rule: Rule | None) -> DataFrame:
-    """All hits of one domain from one scan: ``(key, _id = USUBJID, _w)``.
-
-    Row checks become 0/1 columns that are summed per (subject, sequence number)
-    and then per subject, both partially aggregated before their shuffle (a
-    subject with very many rows collapses map-side). Duplicate sequence numbers
-    (``count - 1`` per (subject, seq)), duplicate subjects (``count - 1`` per
-    subject) and "no baseline record" (``max`` of the flag per subject) come out
-    of the same two aggregates, so the domain is read once.
+    ``weights`` gives a weight other than 1 for the check at an index.
     """
-    flags = [F.coalesce(cond, F.lit(False)).cast("long").alias(f"_c{i}") for i, (_, cond) in enumerate(checks)]
-    baseline = F.coalesce(F.col("LBBLFL") == "Y", F.lit(False)).cast("int") if baseline_rule is not None else F.lit(0)
-    rows = df.select("USUBJID", *([seq] if seq_rule is not None else []), *flags, baseline.alias("_bl"))
-    sums = [F.sum(f"_c{i}").alias(f"_c{i}") for i in range(len(checks))]
-    if seq_rule is not None:
-        per_seq = rows.groupBy("USUBJID", seq).agg(F.count(F.lit(1)).alias("_n"), *sums, F.max("_bl").alias("_bl"))
-        per_subject = per_seq.groupBy("USUBJID").agg(
-            F.sum("_n").alias("_n"), F.sum(_later_copies(F.col("_n"))).alias("_dup"), *sums, F.max("_bl").alias("_bl")
-        )
-    else:
-        per_subject = rows.groupBy("USUBJID").agg(F.count(F.lit(1)).alias("_n"), F.lit(0).alias("_dup"), *sums, F.max("_bl").alias("_bl"))
-    weights = [(rule.key, F.col(f"_c{i}")) for i, (rule, _) in enumerate(checks)]
+    weights = weights or {}
+    marks = [
+        F.when(F.coalesce(cond, F.lit(False)), F.struct(F.lit(rule.key).alias("key"), weights.get(i, F.lit(1)).cast("long").alias("_w")))
+        for i, (rule, cond) in enumerate(checks)
+    ]
+    found = df.select(F.col("USUBJID").cast("string").alias("_id"), F.explode(F.array(*marks)).alias("_h"))
+    return found.filter(F.col("_h").isNotNull()).select("_h.key", "_id", "_h._w")
+
+
+def _key_hits(df: DataFrame, seq: str | None, seq_rule: Rule | None, dup_rule: Rule | None, baseline_rule: Rule | None) -> list[DataFrame]:
+    """Hits of the rules on keys: later copies of (subject, sequence number), later copies of a subject, and
+    subjects without a baseline record. Each reads its key columns only."""
+    out = []
     if seq_rule is not None:
-        weights.append((seq_rule.key, F.col("_dup")))
+        counts = df.groupBy("USUBJID", seq).agg(F.count(F.lit(1)).alias("_n"))
+        out.append(_hits(counts, [(seq_rule, F.col("_n") > 1)], {0: F.col("_n") - 1}))
     if dup_rule is not None:
-        weights.append((dup_rule.key, _later_copies(F.col("_n"))))
+        counts = df.groupBy("USUBJID").agg(F.count(F.lit(1)).alias("_n"))
+        out.append(_hits(counts, [(dup_rule, F.col("_n") > 1)], {0: F.col("_n") - 1}))
     if baseline_rule is not None:
-        weights.append((baseline_rule.key, 1 - F.col("_bl")))
-    pairs = F.array(*[F.struct(F.lit(k).alias("key"), w.cast("long").alias("_w")) for k, w in weights])
-    return (
-        per_subject.select(F.col("USUBJID").cast("string").alias("_id"), F.explode(pairs).alias("_h"))
-        .select(F.col("_h.key").alias("key"), "_id", F.col("_h._w").alias("_w"))
-        .filter(F.col("_w") > 0)
-    )
+        out.append(_hits(subjects_without_baseline(df), [(baseline_rule, F.lit(True))]))
+    return out
 
 
 def orphan_subjects(df: DataFrame, dm: DataFrame | None) -> DataFrame:
@@ -134,11 +122,9 @@ def subjects_without_baseline(lb: DataFrame) -> DataFrame:
 def check_sdtm(spark: SparkSession, domains: dict[str, DataFrame | None]) -> DataFrame:
     """All conformance findings for the given SDTM domains (``{"DM": ..., "AE": ..., "LB": ...}``).
 
-    Row checks and the orphan check (a left join to the DM keys) are columns of
-    one scan per domain; those columns, duplicate keys and subjects without a
-    baseline are partially aggregated counts of that same scan (``_domain_hits``),
-    so each domain is read once and no check gathers one subject's rows in one
-    task.
+    Row checks and the orphan check (a left join to the DM keys) are conditions
+    of one scan per domain, and only rows that hit are counted. Duplicate keys
+    and missing baselines are partially aggregated counts of the key columns.
     """
     domains = {k: v for k, v in domains.items() if v is not None}
     dm = domains.get("DM")
@@ -167,7 +153,8 @@ def check_sdtm(spark: SparkSession, domains: dict[str, DataFrame | None]) -> Dat
         rules.extend(extra)
         if not has_id:
             df = df.withColumn("USUBJID", F.lit(None).cast("string"))
-        hits.append(_domain_hits(df, checks, seq_rule, seq, dup_rule, baseline_rule))
+        hits.append(_hits(df, checks))
+        hits.extend(_key_hits(df, seq, seq_rule, dup_rule, baseline_rule))
     parts = [literal_findings(spark, structural_findings(domains))]
     if hits:
         parts.append(summarize_hits(union_all(hits), rules))

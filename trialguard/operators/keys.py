@@ -1,27 +1,13 @@
-"""Per-group operators that stay balanced when one group is huge.
-
-Sequence numbers and "first row of a group" are the two per-subject operations
-of the SDTM / ADaM derivations. A window partitioned by subject would put every
-row of one subject into one task and buffer it there; if one subject (or one
-subject-test pair) holds a third of all rows, that task is a third of the job.
-These operators avoid it:
-
-``sequence``
-    Numbers rows within a group in two levels. The leading order columns (for
-    AE the start date; for LB the test and the date) split a group into
-    sub-groups: their row counts are partially aggregated before any shuffle,
-    and a running sum over that small table (one row per subject and date, not
-    per record) gives each sub-group its offset. Rows are then numbered within
-    their sub-group only, so a subject with a huge number of records is spread
-    over as many tasks as it has distinct dates. Everything is a deterministic
-    function of the data -- no partition ids -- so a recomputed task after an
-    executor loss yields the same numbers.
-
-``first_in_group``
-    ``min(struct(order..., id))`` per group, partially aggregated before the
-    shuffle (a huge group collapses to one row per map task), joined back on the
-    unique row id. The join side is one row per group; AQE broadcasts it when
-    small and splits skewed partitions otherwise.
+"""Per-group numbering and "first row of a group" that stay balanced when one group is huge.
+
+``grain_of`` cuts the rows of a subject into small grains: the order columns
+themselves, and a coarse part of the input order, so that even all rows of one
+subject on one date are many grains. Row counts (and whatever else is needed,
+such as the first eligible row) are aggregated by grain, partially before any
+shuffle. Windows then run over that small table only, and one join by grain
+brings their results back to the rows, where rows are numbered within their
+grain. Everything is a function of the data, so a recomputed task gives the
+same numbers.
 """
 
 from __future__ import annotations
@@ -31,49 +17,45 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Column of the coarse input order; rows that share it number at most about a thousand for readers' RECNO.
+PART = "_part"
 
-def _cols(cs: Sequence[Column | str]) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in cs]
 
+def coarse_order(df: DataFrame, recno: str = "RECNO") -> Column:
+    """A value that never falls as ``recno`` rises, shared by about a thousand neighbouring rows.
 
-def sequence(
-    df: DataFrame,
-    keys: Sequence[str],
-    split: Sequence[str],
-    rest: Sequence[str],
-    name: str,
-) -> DataFrame:
-    """Add ``name`` = 1, 2, ... within ``keys`` in the order ``split + rest`` (ascending).
-
-    ``split`` columns must be non-NULL (they are join keys); ``split + rest``
-    must order the rows of a group uniquely.
+    Numbers are cut by 1024. Text as the readers make it (a path, ``#`` and 20 digits) loses its last three
+    digits; any other text has one value for all rows.
     """
-    sub = [*keys, *split]
-    counts = df.groupBy(*sub).agg(F.count(F.lit(1)).alias("_seq_n"))
-    earlier = Window.partitionBy(*keys).orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_seq_off", F.coalesce(F.sum("_seq_n").over(earlier), F.lit(0))).drop("_seq_n")
-    out = df.join(offsets, list(sub), "inner")
-    within = F.row_number().over(Window.partitionBy(*sub).orderBy(*rest))
-    return out.withColumn(name, (F.col("_seq_off") + within).cast("int")).drop("_seq_off")
+    kind = dict(df.dtypes)[recno]
+    if kind in ("int", "bigint", "smallint", "tinyint"):
+        return F.shiftright(F.col(recno).cast("long"), 10)
+    return F.regexp_extract(F.col(recno).cast("string"), r"(?s)^(.*#\d{17})\d{3}$", 1)
 
 
-def first_in_group(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    row_id: Sequence[str],
-    name: str,
-    where: Column | None = None,
-) -> DataFrame:
-    """Add boolean ``name``: the row is the first of its ``keys`` group by ``order`` (ascending),
-    among rows satisfying ``where``. ``row_id`` columns identify a row uniquely (with ``keys``)."""
-    cand = df if where is None else df.filter(where)
-    winner = F.min(F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], *[F.col(c).alias(f"_id_{c}") for c in row_id]))
-    firsts = cand.groupBy(*keys).agg(winner.alias("_w")).select(
-        *keys, *[F.col(f"_w._id_{c}").alias(c) for c in row_id], F.lit(True).alias(name)
-    )
-    joined = df.join(firsts, [*keys, *row_id], "left")
-    return joined.withColumn(name, F.coalesce(F.col(name), F.lit(False)))
+def grain_of(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with the coarse input order, and the columns of its grain; ``order`` columns must not be NULL."""
+    return df.withColumn(PART, coarse_order(df)), [*keys, *order, PART]
+
+
+def rows_before(keys: Sequence[str], order: Sequence[str], n: str) -> Column:
+    """Rows of earlier grains of the same ``keys`` group, over a table with one row per grain."""
+    earlier = Window.partitionBy(*keys).orderBy(*order, PART).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(n).over(earlier), F.lit(0))
+
+
+def place_in_grain(grain: Sequence[str]) -> Column:
+    """1, 2, ... in input order within a grain."""
+    return F.row_number().over(Window.partitionBy(*grain).orderBy("RECNO"))
+
+
+def sequence(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """Add ``name`` = 1, 2, ... within ``keys``, by ``order`` and then input order."""
+    df, grain = grain_of(df, keys, order)
+    counts = df.groupBy(*grain).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.withColumn("_before", rows_before(keys, order, "_n")).drop("_n")
+    out = df.join(offsets, grain)
+    return out.withColumn(name, (F.col("_before") + place_in_grain(grain)).cast("int")).drop("_before", PART)
 
 
 def group_first_value(
@@ -89,13 +71,3 @@ def group_first_value(
     winner = F.min(F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], *[v.alias(k) for k, v in values.items()]))
     firsts = cand.groupBy(*keys).agg(winner.alias("_w")).select(*keys, *[F.col(f"_w.{k}").alias(k) for k in values])
     return df.join(firsts, list(keys), "left")
-
-
-def rebalance(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster only when the input has fewer partitions than
-    cores (e.g. one unsplittable file); split inputs are left as they are."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df

@@ -1,15 +1,15 @@
 """SDTM domains DM, AE and LB from clean raw tables.
 
-Per-subject numbering and baseline selection use the skew-safe operators of
-``keys``: sequence numbers in two levels (per subject and date, then within),
-so a subject with very many rows is spread over many tasks; the baseline flag
-as a partially aggregated "first row per (subject, test)" joined back on the
-row's sequence number.
+Numbering uses the grains of ``keys``. For labs one aggregate by grain carries
+the row count and the first row that can be a baseline; windows over that
+aggregate give sequence offsets and the baseline of each (subject, test), and
+one join brings both back to the rows, together with the baseline's value and
+indicator that ADLB needs (``lab_rows``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trialguard import schemas
@@ -69,7 +69,7 @@ def reference_dates(dm_sdtm: DataFrame) -> DataFrame:
 def build_ae(ae_clean: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
     """B2: SDTM AE with AESEQ (per subject by start date, term, input order) and study days."""
     ae = _ensure_usubjid(ae_clean).join(reference_dates(dm_sdtm), "USUBJID", "left")
-    ae = keys.sequence(ae, ["USUBJID"], ["AESTDT"], ["AEDECOD", "RECNO"], "AESEQ")
+    ae = keys.sequence(ae, ["USUBJID"], ["AESTDT", "AEDECOD"], "AESEQ")
     out = ae.select(
         F.lit(STUDYID).alias("STUDYID"),
         F.lit("AE").alias("DOMAIN"),
@@ -92,20 +92,45 @@ def build_ae(ae_clean: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
     return conform(out, "AE")
 
 
-def build_lb(lb_clean: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
-    """SDTM LB with LBSEQ, study day, range indicator and baseline flag.
+#: Value and indicator of the baseline row, beside the variables of the domain.
+BASE_VALUE, BASE_INDICATOR = "_BASE", "_BNRIND"
+
+
+def lab_rows(lb_clean: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
+    """Clean labs with LBSEQ, LBNRIND, LBBLFL, the reference date, and the baseline's value and indicator.
 
-    Baseline (W3): among rows with a numeric result on or before the reference
-    date, the latest date per (subject, test); ties on that date go to the
-    lowest visit number, then input order.
+    Baseline (W3): among rows with a numeric result on or before the reference date, the latest date per
+    (subject, test); ties on that date go to the lowest visit number, then input order.
     """
     lb = _ensure_usubjid(lb_clean).join(reference_dates(dm_sdtm), "USUBJID", "left")
-    lb = keys.sequence(lb, ["USUBJID"], ["LBTESTCD", "LBDT"], ["VISITNUM", "RECNO"], "LBSEQ")
+    lb = lb.withColumn("LBNRIND", range_indicator("LBSTRESN", "LBORNRLO", "LBORNRHI"))
+    order = ["LBTESTCD", "LBDT", "VISITNUM"]
+    lb, grain = keys.grain_of(lb, ["USUBJID"], order)
     eligible = F.col("LBSTRESN").isNotNull() & F.coalesce(F.col("LBDT") <= F.col("_RFSTDT"), F.lit(False))
-    # latest date first (negated day number), then lowest visit, then input order
-    order = [-F.unix_date(F.col("LBDT")), F.col("VISITNUM"), F.col("RECNO")]
-    lb = keys.first_in_group(lb, ["USUBJID", "LBTESTCD"], order, ["LBSEQ"], "_base", where=eligible)
-    out = lb.select(
+    first = F.min(F.when(eligible, F.struct("RECNO", "LBSTRESN", "LBNRIND")))
+    grains = lb.groupBy(*grain).agg(F.count(F.lit(1)).alias("_n"), first.alias("_first"))
+    candidate = F.when(
+        F.col("_first").isNotNull(), F.struct((-F.unix_date("LBDT")).alias("late"), "VISITNUM", "_first.*")
+    )
+    grains = grains.select(
+        *grain,
+        keys.rows_before(["USUBJID"], order, "_n").alias("_before"),
+        F.min(candidate).over(Window.partitionBy("USUBJID", "LBTESTCD")).alias("_baseline"),
+    )
+    lb = lb.join(grains, grain)
+    return lb.withColumns(
+        {
+            "LBSEQ": (F.col("_before") + keys.place_in_grain(grain)).cast("int"),
+            "LBBLFL": flag(F.coalesce(F.col("RECNO") == F.col("_baseline.RECNO"), F.lit(False))),
+            BASE_VALUE: F.col("_baseline.LBSTRESN"),
+            BASE_INDICATOR: F.col("_baseline.LBNRIND"),
+        }
+    ).drop("_before", "_baseline", keys.PART)
+
+
+def lab_domain(rows: DataFrame, *more: str) -> DataFrame:
+    """The variables of LB from ``lab_rows``, and the columns ``more``."""
+    out = rows.select(
         F.lit(STUDYID).alias("STUDYID"),
         F.lit("LB").alias("DOMAIN"),
         "USUBJID",
@@ -118,11 +143,22 @@ def build_lb(lb_clean: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
         "LBORNRHI",
         "LBSTRESN",
         F.col("LBORRESU").alias("LBSTRESU"),
-        range_indicator("LBSTRESN", "LBORNRLO", "LBORNRHI").alias("LBNRIND"),
-        flag(F.col("_base")).alias("LBBLFL"),
+        "LBNRIND",
+        "LBBLFL",
         F.col("VISITNUM").try_cast("int").alias("VISITNUM"),
         "VISIT",
         iso_text("LBDT").alias("LBDTC"),
         study_day("LBDT", "_RFSTDT").alias("LBDY"),
+        *more,
     )
-    return conform(out, "LB")
+    return out.select(*[F.col(n).cast(t).alias(n) for n, t in schemas.SPECS["LB"]], *more)
+
+
+def build_lb(lb_clean: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
+    """SDTM LB with LBSEQ, study day, range indicator and baseline flag."""
+    return lab_domain(lab_rows(lb_clean, dm_sdtm))
+
+
+def build_lb_with_baseline(lb_clean: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
+    """LB and, beside its variables, the baseline's value and indicator: ADLB then needs no second lookup."""
+    return lab_domain(lab_rows(lb_clean, dm_sdtm), BASE_VALUE, BASE_INDICATOR)

@@ -22,7 +22,6 @@ from trialguard import terminology as tm
 from trialguard.functions import fixed, n_pct, newcombe_diff, wilson
 
 TOTAL = "Total"
-MAX_ARMS = 64  # more distinct arm texts than this is a data error; reported, never truncated
 
 
 @dataclass(frozen=True)
@@ -45,13 +44,10 @@ def arm_summary(adsl: DataFrame) -> Arms:
         adsl.groupBy("TRT01A")
         .agg(
             F.min_by("TRT01AN", "USUBJID").alias("code"),
-            F.count_distinct(F.when(saf, F.col("USUBJID"))).alias("n"),
+            F.count(F.when(saf, F.lit(1))).alias("n"),  # one row per subject
         )
-        .limit(MAX_ARMS + 1)
-        .collect()
+        .collect()  # a row per arm text; each becomes a column of the tables
     )
-    if len(rows) > MAX_ARMS:
-        raise ValueError(f"more than {MAX_ARMS} distinct treatment arms; check TRT01A")
     rows = sorted(rows, key=lambda r: (r["code"] is None, r["code"] if r["code"] is not None else 0, r["TRT01A"]))
     n = {r["TRT01A"]: int(r["n"]) for r in rows}
     n[TOTAL] = sum(n.values())
@@ -114,7 +110,7 @@ def demographics(adsl: DataFrame, arms: Arms | None = None) -> DataFrame:
     saf = adsl.filter(F.col("SAFFL") == "Y")
     stats = saf.rollup("TRT01A").agg(
         F.grouping("TRT01A").alias("_g"),
-        F.count_distinct("USUBJID").alias("n"),
+        F.count(F.lit(1)).alias("n"),  # one row per subject
         F.avg("AGE").alias("mean"),
         F.stddev_samp("AGE").alias("sd"),
         F.median("AGE").alias("median"),
@@ -254,19 +250,19 @@ def subjects_by_arm(df: DataFrame, keys: list[str], arms: Arms) -> DataFrame:
 def teae_soc_pt(adsl: DataFrame, adae: DataFrame, arms: Arms | None = None) -> DataFrame:
     """T4: one row per SOC (PT = '') and per (SOC, PT), ordered by SOC total, SOC, SOC row first, PT total.
 
-    Both grains come from one de-duplicated table: every TEAE row is expanded to
-    its SOC grain and its PT grain before the distinct, so a subject counts once
-    per SOC however many PTs it has there. Columns: SOC, PT, arms, Total, _total.
+    Subjects are de-duplicated per PT first; the SOC grain is expanded from those few rows and de-duplicated
+    again, so a subject counts once per SOC however many PTs it has there. Columns: SOC, PT, arms, Total, _total.
     """
     arms = arms or arm_summary(adsl)
-    t = teae(adae).select(
+    terms = teae(adae).select("TRTA", "USUBJID", F.col("AEBODSYS").alias("SOC"), F.col("AEDECOD").alias("PT")).distinct()
+    t = terms.select(
         "TRTA",
         "USUBJID",
-        F.col("AEBODSYS").alias("SOC"),
+        "SOC",
         F.explode(
             F.array(
                 F.struct(F.lit(True).alias("_is_soc"), F.lit("").alias("PT")),
-                F.struct(F.lit(False).alias("_is_soc"), F.col("AEDECOD").alias("PT")),
+                F.struct(F.lit(False).alias("_is_soc"), F.col("PT")),
             )
         ).alias("g"),
     ).select("TRTA", "USUBJID", "SOC", "g._is_soc", "g.PT")
@@ -283,8 +279,9 @@ def teae_soc_pt(adsl: DataFrame, adae: DataFrame, arms: Arms | None = None) -> D
 # T5 risk differences, E20 on data
 # ---------------------------------------------------------------------------
 
-# Spark (like DuckDB) resolves names case-insensitively, so the arm denominators
-# cannot be called N_active / N_control next to n_active / n_control.
+# Spark resolves names without case, so inside a plan the arm denominators can't be called N_active and N_control
+# beside n_active and n_control; ``PUBLISHED_NAMES`` gives them these names where the table is written.
+PUBLISHED_NAMES = {"N_active_arm": "N_active", "N_control_arm": "N_control"}
 RISK_TYPES = {
     "PT": "string", "SOC": "string", "Arm": "string", "n_active": "long", "N_active_arm": "long",
     "n_control": "long", "N_control_arm": "long", "Pct_active": "double", "Pct_control": "double",

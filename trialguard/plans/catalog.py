@@ -70,9 +70,13 @@ class Study:
     def sdtm_ae(self) -> DataFrame:
         return sdtm.build_ae(self.ae.clean, self.sdtm_dm)
 
+    @cached_property
+    def lab_rows(self) -> DataFrame:
+        return sdtm.lab_rows(self.lb.clean, self.sdtm_dm)
+
     @cached_property
     def sdtm_lb(self) -> DataFrame:
-        return sdtm.build_lb(self.lb.clean, self.sdtm_dm)
+        return sdtm.lab_domain(self.lab_rows)
 
     @cached_property
     def adsl(self) -> DataFrame:
@@ -84,7 +88,7 @@ class Study:
 
     @cached_property
     def adlb(self) -> DataFrame:
-        return adam.build_adlb(self.sdtm_lb, self.adsl)
+        return adam.build_adlb(sdtm.lab_domain(self.lab_rows, sdtm.BASE_VALUE, sdtm.BASE_INDICATOR), self.adsl)
 
     @cached_property
     def arms(self) -> tables.Arms:

@@ -70,4 +70,3 @@ def struct(name: str) -> T.StructType:
 
 DM_VARS, AE_VARS, LB_VARS = names("DM"), names("AE"), names("LB")
 ADSL_VARS, ADAE_VARS, ADLB_VARS = names("ADSL"), names("ADAE"), names("ADLB")
-FINDINGS_COLS = names("FINDINGS")

@@ -7,7 +7,6 @@ only chooses a folder itself when that setting is absent (local tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -45,11 +44,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of this session.
+    """The shared checkpoint folder of this session: the one set on the context, else ``spark.checkpoint.dir``.
 
-    Uses the folder already set on the context, else ``spark.checkpoint.dir``;
-    only when neither exists (a local test session) a fresh scratch folder is
-    created and set.
+    Without either a local session gets a new folder under the temp folder. On any other master that is an error,
+    because executors on other machines would not see the driver's folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,7 +55,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        base = os.environ.get("TMPDIR", "/tmp")
-        configured = tempfile.mkdtemp(prefix="trialguard-ckpt-", dir=base)
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = tempfile.mkdtemp(prefix="trialguard-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

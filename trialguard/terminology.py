@@ -18,16 +18,6 @@ STUDYID = "SYN-SAFETY-001"
 SEX_CT = ("M", "F", "U", "UNDIFFERENTIATED")
 AESEV_CT = ("MILD", "MODERATE", "SEVERE")
 NY_CT = ("Y", "N")
-AEREL_CT = ("NOT RELATED", "UNLIKELY RELATED", "POSSIBLY RELATED", "PROBABLY RELATED", "RELATED")
-AEACN_CT = ("DOSE NOT CHANGED", "DOSE REDUCED", "DRUG INTERRUPTED", "DRUG WITHDRAWN", "NOT APPLICABLE")
-AEOUT_CT = (
-    "RECOVERED/RESOLVED",
-    "RECOVERING/RESOLVING",
-    "NOT RECOVERED/NOT RESOLVED",
-    "RECOVERED/RESOLVED WITH SEQUELAE",
-    "FATAL",
-    "UNKNOWN",
-)
 RACE_CT = (
     "WHITE",
     "BLACK OR AFRICAN AMERICAN",
@@ -38,7 +28,6 @@ RACE_CT = (
     "NOT REPORTED",
     "UNKNOWN",
 )
-ETHNIC_CT = ("HISPANIC OR LATINO", "NOT HISPANIC OR LATINO", "NOT REPORTED", "UNKNOWN")
 RELATED_TERMS = ("POSSIBLY RELATED", "PROBABLY RELATED", "RELATED")
 LBNRIND_CT = ("LOW", "NORMAL", "HIGH", "")
 
