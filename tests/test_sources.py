@@ -79,11 +79,35 @@ def test_discovery_and_digest(spark, tmp_path):
     write(tmp_path / "dm_raw.csv", DM_HEADER + "\n" + DM_ROWS[0] + "\n")
     assert R.discover(spark, str(tmp_path), "dm").endswith("/dm_raw.csv")
     assert R.discover(spark, str(tmp_path), "lb") is None
-    import hashlib
 
-    d = R.file_digests(spark, str(tmp_path / "dm_raw.csv")).first()
-    assert d["sha256"] == hashlib.sha256((tmp_path / "dm_raw.csv").read_bytes()).hexdigest()
-    assert R.file_digests(spark, str(tmp_path / "dm_raw.csv"), max_bytes=10).first()["sha256"] is None
+
+def test_quotes_short_rows_and_line_breaks(spark, tmp_path):
+    rows = [
+        '101-0001,101,40,M,WHITE,DRGA50,"Drug ""A"", 50 mg",2025-01-01,2025-03-25',
+        "101-0002,101,50,F,ASIAN,PBO,Placebo,2025-01-01",
+        "101-0003,101,50,F,ASIAN,PBO,Placebo,2025-01-01,2025-03-25,",
+    ]
+    p = write(tmp_path / "dm.csv", DM_HEADER + "\n" + "\n".join(rows) + "\n")
+    got = {r["SUBJID"]: r for r in R.read_raw(spark, p, "dm").collect()}
+    assert got["101-0001"]["ARM"] == 'Drug "A", 50 mg' and got["101-0002"]["TRTEDT"] == "" and len(got) == 3
+    broken = '101-0004,101,40,M,"WH\nITE",PBO,Placebo,2025-01-01,2025-03-25'
+    p = write(tmp_path / "dm2.csv", DM_HEADER + "\n" + "\n".join([*rows, broken]) + "\n")
+    got = {r["SUBJID"]: r for r in R.read_raw(spark, p, "dm", multi_line=True).collect()}
+    assert got["101-0004"]["RACE"] == "WH\nITE" and len(got) == 4
+
+
+def test_input_order_of_many_files(spark, tmp_path):
+    """The first file's copy of a subject comes first, however large the files are."""
+    from trialguard.operators import cleaning
+
+    folder = tmp_path / "dm_raw.csv"
+    folder.mkdir()
+    copy = "7,101,{},M,WHITE,PBO,Placebo,2025-01-01,2025-03-25"
+    write(folder / "part-0.csv", DM_HEADER + "\n" + copy.format(40) + "\n")
+    many = "\n".join(f"{k},101,50,F,ASIAN,PBO,Placebo,2025-01-01,2025-03-25" for k in range(1000, 9000))
+    write(folder / "part-1.csv", DM_HEADER + "\n" + many + "\n" + copy.format(77) + "\n")
+    clean, quarantine, _ = cleaning.clean_dm(R.read_raw(spark, str(folder), "dm"))
+    assert clean.where("SUBJID = '7'").first()["AGE"] == 40 and quarantine.where("SUBJID = '7'").first()["AGE"] == "77"
 
 
 def test_delimiter_detection():

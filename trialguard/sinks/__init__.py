@@ -1,8 +1,10 @@
 """Writers: datasets, transport-ready copies, tables, reports, metadata and digests.
 
 Datasets are written by the executors (Parquet / CSV directories, no
-``coalesce``); only small, bounded results (tables, findings, the manifest) are
-written as single files.
+``coalesce``); only results whose size does not follow the number of subjects
+(tables by arm, findings, the manifest) are written as single files. Quotes in
+CSV are doubled. Datasets are in their published order: range partitions in
+order, sorted within.
 """
 
 from __future__ import annotations
@@ -20,6 +22,26 @@ from trialguard.functions import for_transport
 
 log = logging.getLogger(__name__)
 
+#: Published order of the datasets.
+ORDER = {
+    "DM": ["USUBJID"], "AE": ["USUBJID", "AESTDTC", "AEDECOD", "AESEQ"], "LB": ["USUBJID", "LBTESTCD", "LBDTC", "LBSEQ"],
+    "ADSL": ["USUBJID"], "ADAE": ["USUBJID", "ASTDT", "AESEQ"], "ADLB": ["USUBJID", "PARAMCD", "AVISITN", "ADT"],
+}
+
+
+def in_order(df: DataFrame, name: str) -> DataFrame:
+    """``df`` in the published order of dataset ``name``, over any number of files."""
+    keys = [k for k in ORDER.get(name.upper(), []) if k in df.columns]
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys) if keys else df
+
+
+def write_csv(df: DataFrame, path: str, single: bool = False) -> str:
+    """A CSV folder with a header and doubled quotes; ``single`` for results of bounded size: one file."""
+    out = df.coalesce(1) if single else df
+    out.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    return path
+
+
 
 def write_dataset(df: DataFrame, out_dir: str, name: str, formats: tuple[str, ...] = ("parquet", "csv")) -> dict[str, str]:
     """O1: one dataset in each format; a failing format is logged, not fatal."""
@@ -30,7 +52,7 @@ def write_dataset(df: DataFrame, out_dir: str, name: str, formats: tuple[str, ..
             if fmt == "parquet":
                 df.write.mode("overwrite").parquet(path)
             elif fmt == "csv":
-                df.write.mode("overwrite").option("header", True).csv(path)
+                write_csv(df, path)
             elif fmt == "xpt":
                 write_transport(df, out_dir, name)
                 path = f"{out_dir.rstrip('/')}/{name.lower()}.xpt.parquet"
@@ -52,11 +74,26 @@ def write_transport(df: DataFrame, out_dir: str, name: str) -> str:
     return path
 
 
-def write_small_csv(df: DataFrame, path: str, visible_only: bool = True) -> str:
-    """A small table (bounded size) as one CSV file; ``_`` columns dropped when ``visible_only``."""
-    cols = [f"`{c}`" for c in df.columns if not (visible_only and c.startswith("_"))]
-    df.select(*cols).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
-    return path
+#: Tables with a row per subject, which are written in parts like datasets.
+SUBJECT_TABLES = ("hys_law",)
+
+
+def write_table(df: DataFrame, path: str, name: str, names: dict[str, str] | None = None) -> str:
+    """A table as CSV without ``_`` columns, under its published names; one file unless it has a row per subject.
+
+    ``names`` gives published names that a plan can't hold beside another (they differ in case only).
+    """
+    names = names or {}
+    shown = [c for c in df.columns if not c.startswith("_")]
+    if any(c in names for c in shown):
+        # the names clash inside a plan, so rows are written without header below a first line with the names
+        order = F.monotonically_increasing_id()
+        head = ",".join(names.get(c, c) for c in shown)
+        text = df.select(order.alias("_at"), F.to_csv(F.struct(*[F.col(f"`{c}`") for c in shown]), {"escape": '"'}).alias("value"))
+        first = df.sparkSession.createDataFrame([(-1, head)], "_at long, value string")
+        first.unionByName(text).coalesce(1).sortWithinPartitions("_at").select("value").write.mode("overwrite").text(path)
+        return path
+    return write_csv(df.select(*[F.col(f"`{c}`") for c in shown]), path, single=name not in SUBJECT_TABLES)
 
 
 def dataset_metadata(spark: SparkSession, datasets: dict[str, DataFrame], records: dict[str, int] | None = None) -> DataFrame:
@@ -81,14 +118,33 @@ def dataset_metadata(spark: SparkSession, datasets: dict[str, DataFrame], record
     return meta.join(counts, "dataset", "left").select("dataset", "label", "records", "position", "variable", "variable_label", "type")
 
 
+def row_text(df: DataFrame) -> Column:
+    """A row as text that tells NULL from any value and keeps values in their columns.
+
+    Each value is ``V``, its length, a colon and its text, a NULL is ``N``. Numbers with a fraction are taken to six
+    decimals, so that other engines can make the same text.
+    """
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            exact = F.round(c, 6).try_cast("decimal(38,6)").cast("string")
+            c = F.when(c.isNotNull(), F.coalesce(exact, c.cast("string")))
+        else:
+            c = c.cast("string")
+        parts.append(F.coalesce(F.concat(F.lit("V"), F.length(c).cast("string"), F.lit(":"), c), F.lit("N")))
+    return F.concat(*parts)
+
+
 def digest_columns(df: DataFrame) -> list[Column]:
-    """O6 aggregates: ``records`` (row count) and ``digest`` (sum of per-row xxhash64 as decimal(38,0), as text)."""
-    h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
-    return [F.count(F.lit(1)).alias("records"), F.coalesce(F.sum(h), F.lit(0).cast("decimal(38,0)")).cast("string").alias("digest")]
+    """O6 aggregates: ``records`` (row count) and ``digest``, the sum over rows of the first 60 bits of the
+    SHA-256 of ``row_text``, as text."""
+    bits = F.conv(F.substring(F.sha2(row_text(df), 256), 1, 15), 16, 10).cast("decimal(38,0)")
+    return [F.count(F.lit(1)).alias("records"), F.coalesce(F.sum(bits), F.lit(0).cast("decimal(38,0)")).cast("string").alias("digest")]
 
 
 def content_digest(df: DataFrame) -> DataFrame:
-    """Order-insensitive digest of a dataset: row count and the sum of per-row xxhash64 (decimal(38,0)).
+    """Order-insensitive digest of a dataset: row count and sum of row hashes (``digest_columns``).
 
     Computed by the executors in one aggregation, so any size of output can be
     fingerprinted without a single task reading it whole.
@@ -96,8 +152,8 @@ def content_digest(df: DataFrame) -> DataFrame:
     return df.agg(*digest_columns(df))
 
 
-def observed_digest(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """``df`` with the O6 aggregates attached as observed metrics.
+def observed_digest(df: DataFrame, without: tuple[str, ...] = ()) -> tuple[DataFrame, Observation]:
+    """``df`` with the O6 aggregates of its columns, but for ``without``, attached as observed metrics.
 
     The digest is computed by the action that writes ``df`` (partial aggregates
     per task, merged on the driver), so fingerprinting an output costs no
@@ -105,7 +161,7 @@ def observed_digest(df: DataFrame) -> tuple[DataFrame, Observation]:
     once that action has finished.
     """
     obs = Observation(f"digest_{uuid.uuid4().hex}")
-    return df.observe(obs, *digest_columns(df)), obs
+    return df.observe(obs, *digest_columns(df.drop(*without))), obs
 
 
 def write_json(spark: SparkSession, obj, path: str) -> str:

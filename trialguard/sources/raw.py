@@ -5,10 +5,10 @@ A file is rejected as a whole (``InputError``) only when it cannot be used at
 all: missing, empty, unparseable, a row with more fields than the header,
 duplicate or missing required columns, or a demographics file without rows.
 
-The checks are Spark jobs over the files (existence and size from the
-``binaryFile`` listing, encoding by a distributed UTF-8 validity check,
-malformed rows through the CSV reader's corrupt-record column); only the header
-line is looked at on the driver, to name the columns.
+The checks are Spark jobs over the files (existence and size from the file
+system's metadata, encoding by a distributed UTF-8 validity check, surplus
+fields and emptiness by one aggregate of the parsed rows); only the header line
+is looked at on the driver, to name the columns.
 """
 
 from __future__ import annotations
@@ -27,7 +27,8 @@ MISSING_TOKENS = ("nan", "None", "NaT", "<NA>")
 DELIMITERS = (",", ";", "\t", "|")
 # Python's str.strip() whitespace, as one character class.
 _WS = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-_CORRUPT = "_corrupt_record"
+#: Columns read beyond the header's, so that surplus fields are seen.
+SURPLUS = 4
 
 
 class InputError(ValueError):
@@ -44,21 +45,6 @@ def path_size(spark: SparkSession, path: str) -> int | None:
     return int(fs.getContentSummary(p).getLength())
 
 
-def file_listing(spark: SparkSession, path: str) -> DataFrame:
-    """``path``, ``length`` of every file under ``path`` (contents are not read)."""
-    return spark.read.format("binaryFile").load(path).select("path", "length")
-
-
-def file_digests(spark: SparkSession, path: str, max_bytes: int = 256 * 1024 * 1024) -> DataFrame:
-    """SHA-256 per file for files up to ``max_bytes`` (the ``length`` filter is pushed into the
-    listing, so larger files are never loaded whole into one row); larger files get a NULL digest
-    and are covered by the distributed row digest of ``sinks.content_digest`` instead."""
-    listing = spark.read.format("binaryFile").load(path)
-    small = listing.filter(F.col("length") <= max_bytes).select("path", "length", F.sha2("content", 256).alias("sha256"))
-    large = listing.filter(F.col("length") > max_bytes).select("path", "length", F.lit(None).cast("string").alias("sha256"))
-    return small.unionByName(large)
-
-
 def detect_delimiter(header_line: str) -> str:
     """S3: the most frequent of comma, semicolon, tab and pipe in the header line."""
     counts = {d: header_line.count(d) for d in DELIMITERS}
@@ -90,7 +76,7 @@ def normalize_values(df: DataFrame) -> DataFrame:
     """Every text value stripped; exactly ``nan``/``None``/``NaT``/``<NA>`` and NULL become ``''``."""
     exprs = {}
     for name, dtype in df.dtypes:
-        if name == "RECNO" or name.startswith("_"):
+        if name == "RECNO":
             continue
         v = strip_text(F.col(f"`{name}`").cast("string"))
         exprs[name] = F.when(v.isNull() | v.isin(*MISSING_TOKENS), F.lit("")).otherwise(v)
@@ -117,13 +103,20 @@ def read_raw(
     fmt: str | None = None,
     sep: str | None = None,
     encoding: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read one raw table as text with normalised names and values.
 
-    CSV: header row, delimiter and encoding detected unless given, rows with
-    more fields than the header reject the file. Parquet: every column cast to
-    text. ``RECNO`` is the input order: the Parquet row index within its file,
-    or for CSV the read order (file order).
+    CSV: header row, delimiter and encoding detected unless given; quotes in a
+    quoted field are doubled; a row with fewer fields than the header is filled
+    with missing values, one with more rejects the file (empty surplus fields
+    are passed over). ``multi_line`` allows line breaks in quoted fields; such a
+    file is read by one task, so it is off unless asked for. Parquet: every
+    column cast to text.
+
+    ``RECNO`` is the input order as text: the file's path and, for Parquet, the
+    row's index in it, for CSV the place of its block and its number within the
+    block's partition.
     """
     name = path.rstrip("/").rsplit("/", 1)[-1]
     size = path_size(spark, path)
@@ -136,16 +129,18 @@ def read_raw(
         if kind == "parquet":
             df = _read_parquet(spark, path)
         else:
-            df = _read_csv(spark, path, name, sep, encoding)
+            df, rows = _read_csv(spark, path, name, sep, encoding, multi_line)
         df = df.toDF(*normalize_names(df.columns))
         df = normalize_values(df)
         _check_columns(df, name, domain)
-        if domain == "dm" and df.isEmpty():
+        if domain == "dm" and kind == "parquet" and df.isEmpty():
+            raise InputError(f"{name}: contains no subjects")
+        if domain == "dm" and kind != "parquet" and not rows:
             raise InputError(f"{name}: contains no subjects")
     except InputError:
         raise
     except Exception as exc:  # noqa: BLE001 - any reader failure makes the file unusable
-        raise InputError(f"{name}: could not be parsed ({exc.__class__.__name__}: {str(exc)[:200]})") from exc
+        raise InputError(f"{name}: could not be parsed ({exc.__class__.__name__}: {exc})") from exc
     return df
 
 
@@ -156,31 +151,41 @@ def _read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(recno.alias("RECNO"), *cols)
 
 
-def _read_csv(spark: SparkSession, path: str, name: str, sep: str | None, encoding: str | None) -> DataFrame:
+def _read_csv(
+    spark: SparkSession, path: str, name: str, sep: str | None, encoding: str | None, multi_line: bool
+) -> tuple[DataFrame, int]:
+    """The rows of a CSV file or folder, and how many there are."""
     encoding = encoding or detect_encoding(spark, path)
     header = _first_line(spark, path, encoding)
     if not header.strip():
         raise InputError(f"{name}: file is empty")
     sep = sep or detect_delimiter(header)
     columns = next(csv.reader(io.StringIO(header), delimiter=sep))
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(columns))] + [T.StructField(_CORRUPT, T.StringType())])
+    width = len(columns)
+    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width + SURPLUS)])
     df = (
         spark.read.option("header", True)
         .option("sep", sep)
         .option("encoding", encoding)
         .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _CORRUPT)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", multi_line)
         .option("enforceSchema", True)
         .schema(schema)
         .csv(path)
     )
-    # All columns are read: with CSV column pruning a narrower read would not see surplus
-    # fields (and a read of the corrupt-record column alone is refused).
-    bad = df.filter(F.col(_CORRUPT).isNotNull()).head(1)
-    if bad:
-        raise InputError(f"{name}: could not be parsed (row with more fields than the header: {bad[0][_CORRUPT][:80]!r})")
-    data = df.select(*[F.col(f"_c{i}").alias(f"_n{i}") for i in range(len(columns))])
-    return data.toDF(*columns).withColumn("RECNO", F.monotonically_increasing_id())
+    # one pass: the number of rows, and whether any has more fields than the header
+    surplus = F.coalesce(*[F.col(f"_c{i}") for i in range(width, width + SURPLUS)])
+    seen = df.agg(F.count(F.lit(1)).alias("rows"), F.max(surplus).alias("surplus")).first()
+    if seen["surplus"] is not None:
+        raise InputError(f"{name}: could not be parsed (row with more fields than the header: {seen['surplus']!r})")
+    recno = F.concat(
+        F.col("_metadata.file_path"), F.lit("#"), F.lpad(F.col("_metadata.file_block_start").cast("string"), 20, "0"),
+        F.lit("#"), F.lpad(F.monotonically_increasing_id().cast("string"), 20, "0"),
+    )
+    data = df.select(recno.alias("_recno"), *[F.col(f"_c{i}") for i in range(width)])
+    return data.toDF("RECNO", *columns), seen["rows"]
 
 
 def discover(spark: SparkSession, raw_dir: str, domain: str) -> str | None:
