@@ -42,6 +42,17 @@ def fresh(df: DataFrame, base: str) -> str:
     return name
 
 
+#: Rows that a Python worker takes in hand at once; Spark's own batches hold up to 10,000.
+PIECE_ROWS = 512
+
+
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` a few at a time, so that a task's Python objects are those of a few texts."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, PIECE_ROWS):
+            yield batch.slice(at, PIECE_ROWS)
+
+
 def append_column(
     df: DataFrame, text: str, name: str, kind: T.DataType, arrow: pa.DataType, values: Callable[[list], list]
 ) -> DataFrame:
@@ -49,7 +60,7 @@ def append_column(
     at = df.columns.index(text)
 
     def pass_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             texts = batch.column(at).cast(pa.binary()).to_pylist()
             new = pa.array(values(texts), arrow)
             yield pa.RecordBatch.from_arrays([*batch.columns, new], names=[*batch.schema.names, name])
