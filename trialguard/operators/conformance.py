@@ -20,17 +20,18 @@ from trialguard.operators.rules import Rule, literal_findings, summarize_hits, u
 SPEC = {"DM": schemas.DM_VARS, "AE": schemas.AE_VARS, "LB": schemas.LB_VARS}
 
 
-def structural_findings(domains: dict[str, DataFrame]) -> list[tuple]:
-    """SD0001-SD0003 from the schemas alone."""
+def structural_findings(domains: dict[str, DataFrame], labels: dict[str, str] | None = None) -> list[tuple]:
+    """SD0001-SD0003 from the schemas alone; ``labels`` are the study's own, beside the standard ones."""
     rows = []
+    labels = tm.LABELS | (labels or {})
     for name, df in domains.items():
         cols = df.columns
         missing = [v for v in SPEC.get(name, []) if v not in cols]
         rows.append(("SD0001", name, "ERROR", f"Required variables missing: {', '.join(missing)}", len(missing), ""))
         long_names = sorted({c for c in cols if len(c) > 8})
         rows.append(("SD0002", name, "ERROR", "Variable name longer than 8 characters", len([c for c in cols if len(c) > 8]), ", ".join(long_names[:5])))
-        long_labels = sorted({c for c in cols if len(tm.LABELS.get(c, "")) > 40})
-        rows.append(("SD0003", name, "ERROR", "Variable label longer than 40 characters", len([c for c in cols if len(tm.LABELS.get(c, "")) > 40]), ", ".join(long_labels[:5])))
+        long_labels = sorted({c for c in cols if len(labels.get(c, "")) > 40})
+        rows.append(("SD0003", name, "ERROR", "Variable label longer than 40 characters", len([c for c in cols if len(labels.get(c, "")) > 40]), ", ".join(long_labels[:5])))
     return rows
 
 
@@ -119,7 +120,9 @@ def subjects_without_baseline(lb: DataFrame) -> DataFrame:
     )
 
 
-def check_sdtm(spark: SparkSession, domains: dict[str, DataFrame | None]) -> DataFrame:
+def check_sdtm(
+    spark: SparkSession, domains: dict[str, DataFrame | None], labels: dict[str, str] | None = None
+) -> DataFrame:
     """All conformance findings for the given SDTM domains (``{"DM": ..., "AE": ..., "LB": ...}``).
 
     Row checks and the orphan check (a left join to the DM keys) are conditions
@@ -155,7 +158,7 @@ def check_sdtm(spark: SparkSession, domains: dict[str, DataFrame | None]) -> Dat
             df = df.withColumn("USUBJID", F.lit(None).cast("string"))
         hits.append(_hits(df, checks))
         hits.extend(_key_hits(df, seq, seq_rule, dup_rule, baseline_rule))
-    parts = [literal_findings(spark, structural_findings(domains))]
+    parts = [literal_findings(spark, structural_findings(domains, labels))]
     if hits:
         parts.append(summarize_hits(union_all(hits), rules))
     return union_all(parts)

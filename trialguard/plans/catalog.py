@@ -124,6 +124,12 @@ def _expr_numbers(s: Study) -> DataFrame:
     )
 
 
+def _conformance_broken(s: Study) -> DataFrame:
+    """C1-C18 on copies of the domains with faults: every rule fires."""
+    broken = fixtures.broken_domains(s.sdtm_dm, s.sdtm_ae, s.sdtm_lb)
+    return conformance.check_sdtm(s.spark, broken, fixtures.BROKEN_LABELS)
+
+
 def _conformance_orphans(s: Study) -> DataFrame:
     """J7 over the raw-derived subject keys of AE and LB against SDTM DM: domain, USUBJID, records."""
     parts = []
@@ -209,6 +215,7 @@ QUERIES: dict[str, Query] = {
     "adlb": _q(lambda s: s.adlb),
     # conformance
     "conformance": _q(lambda s: s.conformance()),
+    "conformance_broken": _q(_conformance_broken),
     "conformance_orphans": _q(_conformance_orphans),
     "labs_without_baseline": _q(lambda s: conformance.subjects_without_baseline(s.sdtm_lb)),
     # safety tables
@@ -241,6 +248,3 @@ QUERIES: dict[str, Query] = {
     "lab_shift_wide": _q(lambda s: views.lab_shift_wide(tables.lab_shift(s.adlb))),
     "dataset_preview": _q(lambda s: views.dataset_preview(s.adae, ["USUBJID", "AESEQ"], PREVIEW_ROWS)),
 }
-
-# Queries whose result cannot be reproduced in plain SQL on another engine.
-NO_ORACLE = {"content_digest"}  # Spark's xxhash64 row hash

@@ -9,6 +9,7 @@ query does not reference. Doubles are rounded to six places like the Spark side.
 
 from __future__ import annotations
 
+from trialguard import schemas
 from trialguard import terminology as tm
 from trialguard.operators import cleaning as C
 
@@ -76,7 +77,7 @@ SUBJECT_BASE = """SELECT c_custkey AS k, CAST(101 + c_custkey % 6 AS VARCHAR(10)
 
 RAW_DM = """SELECT k * 2 + copy AS RECNO,
  CASE WHEN k % 97 = 1 THEN '' ELSE subj END AS SUBJID, site AS SITEID,
- CASE WHEN k % 89 = 5 THEN 'abc' WHEN k % 83 = 7 THEN '150' ELSE CAST(16 + k * 7 % 72 AS VARCHAR(10)) END AS AGE,
+ CASE WHEN k % 89 = 5 THEN 'abc' WHEN k % 166 = 7 THEN '99999999999' WHEN k % 83 = 7 THEN '150' ELSE CAST(16 + k * 7 % 72 AS VARCHAR(10)) END AS AGE,
  CASE WHEN k % 79 = 11 THEN 'Q' WHEN k % 10 = 2 THEN 'Male' WHEN k % 10 = 3 THEN 'female' WHEN k % 2 = 0 THEN 'M' ELSE 'F' END AS SEX,
  CASE WHEN nk % 8 = 0 THEN 'martian' WHEN nk % 8 = 1 THEN '' WHEN nk % 8 IN (2,3) THEN 'ASIAN' WHEN nk % 8 IN (4,5) THEN 'White' ELSE 'BLACK OR AFRICAN AMERICAN' END AS RACE,
  CASE WHEN k % 67 = 13 THEN 'XXX' WHEN a = 0 THEN 'PBO' WHEN a = 1 THEN 'DRGA50' ELSE 'DRGA100' END AS ARMCD,
@@ -131,7 +132,7 @@ dm_c AS (SELECT *,
    COALESCE(SUBJID = '', false) AS c1,
    COALESCE(SUBJID <> '' AND RECNO <> first_recno, false) AS c2,
    COALESCE(p_age IS NULL OR p_age < 0 OR p_age > 120, false) AS c3,
-   COALESCE(CAST(trunc(p_age) AS INTEGER) < 18 OR CAST(trunc(p_age) AS INTEGER) > 85, false) AS c4,
+   COALESCE(TRY_CAST(trunc(p_age) AS INTEGER) < 18 OR TRY_CAST(trunc(p_age) AS INTEGER) > 85, false) AS c4,
    COALESCE(p_sex IS NOT NULL AND p_sex <> SEX, false) AS c5,
    COALESCE(p_sex IS NULL, false) AS c6,
    COALESCE(p_race NOT IN {RACE_IN}, false) AS c7,
@@ -147,7 +148,7 @@ dm_f AS (SELECT *,
    NOT (c1 OR c2 OR c3 OR c6) AND c8 AS h8, NOT (c1 OR c2 OR c3 OR c6 OR c8) AND c9 AS h9,
    NOT (c1 OR c2 OR c3 OR c6 OR c8 OR c9) AND c10 AS h10
  FROM dm_c),
-dm_clean AS (SELECT RECNO, SUBJID, 'SYN-SAFETY-001-' || SUBJID AS USUBJID, SITEID, CAST(trunc(p_age) AS INTEGER) AS AGE,
+dm_clean AS (SELECT RECNO, SUBJID, 'SYN-SAFETY-001-' || SUBJID AS USUBJID, SITEID, TRY_CAST(trunc(p_age) AS INTEGER) AS AGE,
    p_sex AS SEX, CASE WHEN p_race IN {RACE_IN} THEN p_race ELSE 'UNKNOWN' END AS RACE, 'NOT REPORTED' AS ETHNIC, '' AS COUNTRY,
    ARMCD, ARM, p_start AS TRTSDT, CASE WHEN p_end IS NULL OR p_end < p_start THEN p_start ELSE p_end END AS TRTEDT,
    CAST(NULL AS DATE) AS RANDDT, {ISO('DTHDT')} AS DTHDT, DCSREAS
@@ -486,6 +487,49 @@ UNION ALL SELECT 'Age, median (min-max)', {med_row}
 UNION ALL SELECT var || ': ' || level, {lev_cols}, {lev_total} FROM {lev}"""
 
 
+def _broken_sql(w: str) -> str:
+    """The domains with faults and the findings on them; the structural ones are plain rows."""
+    n, s, x = "TRY_CAST(right(USUBJID, 6) AS INTEGER)", "(TRY_CAST(right(USUBJID, 6) AS INTEGER) + AESEQ)", "(TRY_CAST(right(USUBJID, 6) AS INTEGER) + LBSEQ)"
+    orphan = "'SYN-SAFETY-001-999-000000'"
+
+    def put(table: str, **faults: str) -> str:
+        return f"SELECT * REPLACE ({', '.join(f'CASE WHEN {cond} THEN {value} ELSE {c} END AS {c}' for c, (cond, value) in faults.items())}) FROM {table}"
+
+    dm = put(
+        f"(SELECT * FROM sdtm_dm UNION ALL SELECT * FROM sdtm_dm WHERE {n} % 13 = 2)", STUDYID=(f"{n} % 11 = 1", "''"),
+        SEX=(f"{n} % 17 = 3", "'X'"), DTHFL=(f"{n} % 19 = 4", "'Y'"), DTHDTC=(f"{n} % 19 = 4", "''"), RFENDTC=(f"{n} % 23 = 5", "'2025/01/01'"),
+    )
+    ae = put(
+        "sdtm_ae", USUBJID=(f"{s} % 29 = 6", orphan), AESEQ=(f"{n} % 7 = 0 AND AESEQ = 2", "1"), AESTDTC=(f"{s} % 31 = 7", "'bad'"),
+        AESTDY=(f"{s} % 37 = 8", "0"), AESEV=(f"{s} % 41 = 9", f"CASE WHEN {s} % 2 = 0 THEN 'AWFUL' ELSE 'MILD' END"), AESER=(f"{s} % 43 = 10", "'U'"),
+        AEENDTC=(f"{s} % 47 = 11", "'1999-01-01'"), AEOUT=(f"{s} % 43 = 10", "'FATAL'"), AETOXGR=(f"{s} % 41 = 9", "4"), DOMAIN=(f"{s} % 53 = 12", "NULL"),
+    )
+    lb = put(
+        "sdtm_lb", USUBJID=(f"{x} % 61 = 13", orphan), LBSEQ=(f"{n} % 5 = 0 AND LBSEQ = 3", "1"), LBBLFL=(f"{n} % 6 = 1", "''"),
+        LBNRIND=(f"{x} % 67 = 14", "'ODD'"), LBDY=(f"{x} % 71 = 15", "0"), LBDTC=(f"{x} % 73 = 16", "'2025-13-01'"),
+    )
+    hits = CONF_HITS
+    for d in ("dm", "ae", "lb"):
+        hits = hits.replace(f"sdtm_{d}", f"broken_{d}")
+    structural = """ UNION ALL SELECT 'SD0001', 'DM', 'ERROR', 'Required variables missing: COUNTRY', 1, ''
+        UNION ALL SELECT 'SD0002', 'DM', 'ERROR', 'Variable name longer than 8 characters', 1, 'LONGVARNAME'
+        UNION ALL SELECT 'SD0003', 'DM', 'ERROR', 'Variable label longer than 40 characters', 1, 'XLABEL'"""
+    return f"{w}, broken_dm AS ({dm}), broken_ae AS ({ae}), broken_lb AS ({lb}), {hits} {findings_sql('conf_hits', _conformance_rules())}{structural}"
+
+
+def _digest_sql(w: str) -> str:
+    """Row counts and content digests of the datasets."""
+    parts = []
+    for name, table in (("DM", "sdtm_dm"), ("AE", "sdtm_ae"), ("LB", "sdtm_lb"), ("ADSL", "adsl"), ("ADAE", "adae"), ("ADLB", "adlb")):
+        texts = []
+        for column, kind in schemas.SPECS[name]:
+            text = f"CAST(CAST(round({column}, 6) AS DECIMAL(38, 6)) AS VARCHAR)" if kind == schemas.D else f"CAST({column} AS VARCHAR)"
+            texts.append(f"coalesce('V' || length({text}) || ':' || {text}, 'N')")
+        bits = f"CAST('0x' || substr(sha256({' || '.join(texts)}), 1, 15) AS BIGINT)"
+        parts.append(f"SELECT '{name}' AS dataset, CAST(count(*) AS BIGINT) AS records, CAST(coalesce(sum({bits}), 0) AS VARCHAR) AS digest FROM {table}")
+    return f"{w} " + " UNION ALL ".join(parts)
+
+
 def queries() -> dict[str, str]:
     w = CHAIN
     dm_rules, ae_rules, lb_rules = C.DM_RULES, C.AE_RULES, C.LB_RULES
@@ -534,6 +578,8 @@ FROM pti p LEFT JOIN nsaf s ON p.TRTA = s.arm WHERE p.AEDECOD IN (SELECT AEDECOD
         "adae": f"{w} SELECT * FROM adae",
         "adlb": f"{w} SELECT {lab_cols_r} FROM adlb",
         "conformance": f"{conf} {findings_sql('conf_hits', _conformance_rules())}",
+        "conformance_broken": _broken_sql(w),
+        "content_digest": _digest_sql(w),
         "conformance_orphans": f"""{w} SELECT domain, USUBJID, CAST(count(*) AS BIGINT) AS records FROM (
             SELECT 'AE' AS domain, 'SYN-SAFETY-001-' || SUBJID AS USUBJID FROM raw_ae UNION ALL
             SELECT 'LB', 'SYN-SAFETY-001-' || SUBJID FROM raw_lb) WHERE USUBJID NOT IN (SELECT USUBJID FROM sdtm_dm) GROUP BY domain, USUBJID""",
@@ -600,7 +646,6 @@ SELECT PT, Arm, x, n, round({lo}, 6) AS "Lower", round({hi}, 6) AS "Upper" FROM
 
 
 def _metadata_sql(w: str) -> str:
-    from trialguard import schemas
 
     rows = []
     for name in ("DM", "AE", "LB", "ADSL", "ADAE", "ADLB"):

@@ -57,7 +57,7 @@ def raw_dm(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k * 2 + F.col("copy")).alias("RECNO"),
         F.when(k % 97 == 1, lit("")).otherwise(F.col("subj")).alias("SUBJID"),
         F.col("site").alias("SITEID"),
-        _case((k % 89 == 5, lit("abc")), (k % 83 == 7, lit("150")), otherwise=_s(16 + k * 7 % 72)).alias("AGE"),
+        _case((k % 89 == 5, lit("abc")), (k % 166 == 7, lit("99999999999")), (k % 83 == 7, lit("150")), otherwise=_s(16 + k * 7 % 72)).alias("AGE"),
         _case(
             (k % 79 == 11, lit("Q")), (k % 10 == 2, lit("Male")), (k % 10 == 3, lit("female")),
             (k % 2 == 0, lit("M")), otherwise=lit("F"),
@@ -168,6 +168,45 @@ def raw_lb(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: A label of a variable of ``broken_domains`` that is too long.
+BROKEN_LABELS = {"XLABEL": "A label that is longer than the forty characters allowed"}
+
+
+def broken_domains(dm: DataFrame, ae: DataFrame, lb: DataFrame) -> dict[str, DataFrame]:
+    """Copies of the SDTM domains with faults, set by arithmetic on the subject number and the sequence number, so
+    that every conformance rule has something to find."""
+    n = F.substring("USUBJID", -6, 6).try_cast("int")
+    lit = F.lit
+
+    def put(df: DataFrame, **faults: tuple[Column, Column]) -> DataFrame:
+        kinds = dict(df.dtypes)
+        return df.select(
+            *(F.when(faults[c][0], faults[c][1].cast(kinds[c])).otherwise(F.col(c)).alias(c) if c in faults else c for c in df.columns)
+        )
+
+    s = n + F.col("AESEQ")
+    x = n + F.col("LBSEQ")
+    orphan = lit("SYN-SAFETY-001-999-000000")
+    dm = dm.unionByName(dm.where(n % 13 == 2))
+    dm = put(
+        dm, STUDYID=(n % 11 == 1, lit("")), SEX=(n % 17 == 3, lit("X")), DTHFL=(n % 19 == 4, lit("Y")),
+        DTHDTC=(n % 19 == 4, lit("")), RFENDTC=(n % 23 == 5, lit("2025/01/01")),
+    ).drop("COUNTRY").withColumns({"LONGVARNAME": lit(""), "XLABEL": lit("")})
+    ae = put(
+        ae, USUBJID=(s % 29 == 6, orphan), AESEQ=((n % 7 == 0) & (F.col("AESEQ") == 2), lit(1)),
+        AESTDTC=(s % 31 == 7, lit("bad")), AESTDY=(s % 37 == 8, lit(0)),
+        AESEV=(s % 41 == 9, F.when(s % 2 == 0, "AWFUL").otherwise("MILD")), AESER=(s % 43 == 10, lit("U")),
+        AEENDTC=(s % 47 == 11, lit("1999-01-01")), AEOUT=(s % 43 == 10, lit("FATAL")),
+        AETOXGR=(s % 41 == 9, lit(4)), DOMAIN=(s % 53 == 12, lit(None)),
+    )
+    lb = put(
+        lb, USUBJID=(x % 61 == 13, orphan), LBSEQ=((n % 5 == 0) & (F.col("LBSEQ") == 3), lit(1)),
+        LBBLFL=(n % 6 == 1, lit("")), LBNRIND=(x % 67 == 14, lit("ODD")), LBDY=(x % 71 == 15, lit(0)),
+        LBDTC=(x % 73 == 16, lit("2025-13-01")),
+    )
+    return {"DM": dm, "AE": ae, "LB": lb}
+
+
 def raw_bundle(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """``{"dm", "ae", "lb"}`` raw tables for one scale-factor directory."""
     return {"dm": raw_dm(spark, sf_dir), "ae": raw_ae(spark, sf_dir), "lb": raw_lb(spark, sf_dir)}
