@@ -34,10 +34,10 @@ from trialguard.terminology import STUDYID
 def unique_on(df: DataFrame, key: str, what: str) -> DataFrame:
     """Pass ``df`` through unchanged, failing at run time if ``key`` is not unique."""
     others = [c for c in df.columns if c != key]
-    rows = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), F.first(F.struct(*others)).alias("_row"))
+    rows = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), *[F.first(c).alias(c) for c in others])
     msg = F.concat(F.lit(f"{what}: {key} not unique: "), F.col(key).cast("string"))
     guard = F.when(F.col("_rows") > 1, F.raise_error(msg).cast("boolean")).otherwise(F.lit(True))
-    return rows.filter(guard).select(key, "_row.*")
+    return rows.filter(guard).select(*df.columns)
 
 
 def build_adsl(dm_clean: DataFrame) -> DataFrame:
