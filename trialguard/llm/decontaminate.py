@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trialguard.llm.common import pieces
+
 WINDOW = 10
 MAX_COVERAGE = 0.5
 SHARD_WORDS = 500_000
@@ -196,6 +198,11 @@ def _scanner(shards: list, window: int):
     return scan
 
 
+def _in_hand(batches: Iterator[pa.RecordBatch], shards: list) -> Iterator[pa.RecordBatch]:
+    """A few rows at a time; whole batches if each has to go through several automata, which are built for each."""
+    return pieces(batches) if len(shards) == 1 else batches
+
+
 def _merge(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     merged: list[tuple[int, int]] = []
     for s, e in sorted(ranges):
@@ -216,14 +223,15 @@ def contamination(
     numbers. Null texts have no words; null and empty items have no windows; an item with a null id is named "null".
     Repeated rows give one row each, an empty table none; without items nothing is hit. Other columns are not read.
     """
-    scan = _scanner(_shards(items, item_col, item_text_col, shard_words), window)
+    shards = _shards(items, item_col, item_text_col, shard_words)
+    scan = _scanner(shards, window)
     kinds = pa.schema([
         ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())),
         ("spans", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _in_hand(batches, shards):
             found = scan(batch.column(1).cast(pa.binary()).to_pylist())
             columns = [
                 pa.array([n for n, _, _ in found], pa.int64()),
@@ -270,12 +278,13 @@ def decontaminate(
     All columns stay; ``length_col``, where there is one, gets the new number of characters of a changed text. Rows
     without hits pass unchanged, null texts too.
     """
-    scan = _scanner(_shards(items, item_col, item_text_col, shard_words), window)
+    shards = _shards(items, item_col, item_text_col, shard_words)
+    scan = _scanner(shards, window)
     at = docs.columns.index(text_col)
     size_at = docs.columns.index(length_col) if length_col in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _in_hand(batches, shards):
             texts = batch.column(at).cast(pa.binary()).to_pylist()
             found = scan(texts)
             hit = [j for j, (_, r, _) in enumerate(found) if r]

@@ -225,20 +225,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the row with the smallest id (null ids last; ties: any one)."""
-    fp, rid = fresh(docs, "fp"), fresh(docs, "rid")
-    marked = staged(
-        with_fingerprint(docs, text_col, fp).withColumn(rid, F.monotonically_increasing_id()), "marked"
-    )
-    prints = staged(
-        marked.groupBy(F.col(fp).alias("fp")).agg(
-            F.min(F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col(rid).alias("rid")))
-            .alias("least")
-        ),
-        "fingerprints",
+    """The rows of ``docs`` that stay: of each component the row with the smallest id (null ids last; of rows with
+    that id any one).
+
+    Only ids, fingerprints and hashes of texts are stored; the kept rows are then picked from ``docs`` by id and hash.
+    """
+    rows = docs.select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("tie")
     )
+    marked = staged(with_fingerprint(rows, "text", "fp").select("id", "tie", "fp"), "marked")
+    own = F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("tie"))
+    prints = staged(marked.groupBy("fp").agg(F.min(own).alias("least")), "fingerprints")
     groups = connected_components(linked_prints(prints.select("fp"), **limits))
     groups = groups.select(F.col("node").alias("fp"), F.col("component"))
     labelled = prints.join(groups, "fp", "left").select("least", F.coalesce("component", "fp").alias("component"))
-    kept = labelled.groupBy("component").agg(F.min("least").alias("least")).select(F.col("least.rid").alias(rid))
-    return marked.join(kept, rid, "left_semi").select(*docs.columns)
+    kept = labelled.groupBy("component").agg(F.min("least").alias("least")).select("least.*")
+    # two components may have the same id and, by rows that are the same, never the same text
+    tie, kept_id, kept_tie = fresh(docs, "tie"), fresh(docs, "kept_id"), fresh(docs, "kept_tie")
+    kept = kept.select(F.col("id").alias(kept_id), F.col("tie").alias(kept_tie)).distinct()
+    match = F.col(id_col).eqNullSafe(F.col(kept_id)) & (F.col(tie) == F.col(kept_tie))
+    found = docs.withColumn(tie, F.xxhash64(F.col(text_col))).join(kept, match, "left_semi")
+    return found.dropDuplicates([id_col, tie]).select(*docs.columns)

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trialguard.llm.common import pieces as in_hand
+
 #: The mark before a word, which begins the pieces that may only stand at the start of a word.
 MARK = "▁"
 #: Different words that a task remembers at most.
@@ -101,7 +103,7 @@ def token_counts(docs: DataFrame, pieces: list[str], id_col: str = "doc_id", tex
         counter = PieceCounter(())
         vars(counter).update(shared.value)
         known: dict[bytes, int] = {}
-        for batch in batches:
+        for batch in in_hand(batches):
             n_words, n_tokens = [], []
             for text in batch.column(1).cast(pa.binary()).to_pylist():
                 words = (text or b"").split()
