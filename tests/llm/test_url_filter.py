@@ -51,6 +51,27 @@ def test_aliases_take_decisions_and_an_allow_goes_first(spark):
     assert all(rows[100 + k].verdict == "block" and rows[100 + k].by_alias for k in range(300))
 
 
+def test_sql_gives_the_same_verdicts(spark):
+    """The registered SQL over pages with every kind of link, against the operator."""
+    import duckdb
+
+    pages = [(k, x, None) for k, x in enumerate(URLS)] + [
+        (101, "https://a.org/x", "<LINK href='https://b.net/es/1' rel=\"alternate canonical\">"), (102, "http://www.b.net/es/1/", None),
+        (103, "https://c.org/q?utm_a=1&k=2", '<meta http-equiv="Refresh" content="0; URL=/r?utm_x=1">'),
+        (104, "http://c.org/r#k", "<link rel=canonical href=//d.com/ok><link rel=canonical href='http://b.net/fr/9'>"),
+        (105, "http://e.org/1/2", '<link rel="canonical" href="3">'), (106, "http://e.org/1/3", "<meta http-equiv=refresh content='5;url=http://b.net/es/1?a=1&amp;b=2'>"),
+        (107, "http://m.e.org/1/3/", "<link rel='canonical' href='?z=1'>"), (108, "http://www.com/", None), (109, "http://f.org/1/3", "<link rel=canonical href=#top>"),
+    ]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", pages)
+    columns = ["page_id", "host", "path", "rule", "verdict", "by_alias"]
+    want = con.execute(f"SELECT {', '.join(columns)} FROM ({u.sql(URL_RULES)})").fetchall()
+    got = [tuple(r) for r in u.judge(df, spark.createDataFrame(URL_RULES, RULES)).select(*columns).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_empty_tables(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert u.judge(pages, spark.createDataFrame(URL_RULES, RULES)).collect() == []

@@ -97,4 +97,5 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op2_decontamination": decontaminate.SQL,
     "op4_secret_scan": secret_scan.SQL,
+    "op6_url_filter": url_filter.sql(URL_RULES),
 }

@@ -173,3 +173,57 @@ def judge(
         F.coalesce("verdict", "alias_verdict", F.lit("allow")).alias("verdict"),
         (F.col("verdict").isNull() & F.col("alias_verdict").isNotNull()).alias("by_alias"),
     )
+
+
+def _sql_attribute(name: str) -> str:
+    pattern = ATTRIBUTE.format(name).replace("'", "''")
+    found = " || ".join(f"regexp_extract(t, '{pattern}', {k})" for k in (1, 2, 3))
+    return f"replace(trim({found}), '&amp;', '&')"
+
+
+def _sql_parts(url: str, prefix: str = "") -> str:
+    """Host, path and kept query of a URL as columns."""
+    asked = f"string_split(regexp_extract({url}, '(?s)^.*?://[^?#]*\\?([^#]*)', 1), '&')"
+    kept = f"list_filter({asked}, lambda x: x <> '' AND NOT starts_with(x, 'utm_'))"
+    return f"""translate(regexp_extract({url}, '(?s)^.*?://([^/?#]*)', 1), '{string.ascii_uppercase}', '{string.ascii_lowercase}') AS {prefix}host,
+      regexp_extract({url}, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS {prefix}path,
+      CASE WHEN len({kept}) > 0 THEN '?' || array_to_string({kept}, '&') ELSE '' END AS {prefix}query"""
+
+
+def sql(rules: list[tuple[str, str, str]]) -> str:
+    """DuckDB: the same verdicts for the table ``pages``, with the closure of aliases by recursion."""
+    values = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in rules)
+    return f"""
+WITH RECURSIVE rules(h, p, v) AS (VALUES {values}),
+page AS (SELECT row_number() OVER () AS rid, page_id, coalesce(html, '') AS html, {_sql_parts("coalesce(url, '')")} FROM pages),
+tag AS (SELECT host, path, query, unnest(regexp_extract_all(html, '{TAG}')) AS t FROM page WHERE host <> ''),
+link AS (
+  SELECT host, path, query, CASE
+    WHEN regexp_matches(t, '(?i)^<link') AND regexp_matches(lower({_sql_attribute("rel")}), '(^|\\s)canonical(\\s|$)') THEN {_sql_attribute("href")}
+    WHEN regexp_matches(t, '(?i)^<meta') AND lower({_sql_attribute("http-equiv")}) = 'refresh'
+      THEN regexp_extract({_sql_attribute("content")}, '(?is);\\s*url\\s*=\\s*["'']?([^"'']*)', 1) ELSE '' END AS link FROM tag),
+target AS (
+  SELECT host, path, query, CASE
+    WHEN regexp_matches(link, '(?s)^[A-Za-z][A-Za-z0-9+.-]*://') THEN link WHEN starts_with(link, '//') THEN 'x:' || link
+    WHEN starts_with(link, '/') THEN 'x://' || host || link
+    WHEN starts_with(link, '?') OR starts_with(link, '#') THEN 'x://' || host || path || link
+    ELSE 'x://' || host || CASE WHEN regexp_extract(path, '(?s)^(.*/)', 1) = '' THEN '/' ELSE regexp_extract(path, '(?s)^(.*/)', 1) END || link
+    END AS t FROM link WHERE link <> ''
+  UNION ALL SELECT host, path, query, 'x://' || CASE WHEN regexp_matches(host, '^(www|m)\\.[^.]+\\.') THEN substr(host, instr(host, '.') + 1) ELSE host END
+    || CASE WHEN length(path) > 1 AND ends_with(path, '/') THEN left(path, length(path) - 1) ELSE path END || query FROM page WHERE host <> ''),
+pair AS (SELECT DISTINCT host, path, query, {_sql_parts("t", "to_")} FROM target),
+edge AS (
+  SELECT host || chr(10) || path || query AS a, to_host || chr(10) || to_path || to_query AS b FROM pair WHERE to_host <> ''),
+both_ways AS (SELECT a, b FROM edge WHERE a <> b UNION SELECT b, a FROM edge WHERE a <> b),
+reach(a, b) AS (SELECT a, a FROM both_ways UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a),
+node AS (
+  SELECT host || chr(10) || path || query AS node, host, path FROM page
+  UNION SELECT to_host || chr(10) || to_path || to_query, to_host, to_path FROM pair),
+ruled AS (
+  SELECT node, arg_max(h || p, (length(h || p), length(h), v = 'allow')) AS rule, arg_max(v, (length(h || p), length(h), v = 'allow')) AS verdict
+  FROM node, rules WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY node),
+alias AS (SELECT r.a AS node, min(d.verdict) AS verdict FROM reach r JOIN ruled d ON r.b = d.node GROUP BY r.a)
+SELECT page_id, host, path, rule, coalesce(d.verdict, CASE WHEN host <> '' THEN s.verdict END, 'allow') AS verdict,
+  d.verdict IS NULL AND host <> '' AND s.verdict IS NOT NULL AS by_alias
+FROM page LEFT JOIN ruled d ON d.node = host || chr(10) || path || query LEFT JOIN alias s ON s.node = host || chr(10) || path || query
+"""
