@@ -14,7 +14,7 @@ SF0001 = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session(cores="*", shuffle_partitions=8)
+    s = local_session(cores="*", shuffle_partitions=4)
     yield s
     s.stop()
 

@@ -8,6 +8,7 @@ import pytest
 import __spark_entry__ as E
 from tests.conftest import SF0001
 from tools.oracle_check import TABLES, digest
+from trialguard.plans import catalog
 
 SQL = E.oracle_sql()
 
@@ -20,7 +21,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF0001)
     cols, rows = df.columns, [tuple(r) for r in df.collect()]
