@@ -88,19 +88,21 @@ def _hits(df: DataFrame, checks: list[tuple[Rule, Column]], weights: dict[int, C
     return found.filter(F.col("_h").isNotNull()).select("_h.key", "_id", "_h._w")
 
 
-def _key_hits(df: DataFrame, seq: str | None, seq_rule: Rule | None, dup_rule: Rule | None, baseline_rule: Rule | None) -> list[DataFrame]:
+def _key_hits(df: DataFrame, seq: str | None, seq_rule: Rule | None, dup_rule: Rule | None, baseline_rule: Rule | None) -> DataFrame:
     """Hits of the rules on keys: later copies of (subject, sequence number), later copies of a subject, and
-    subjects without a baseline record. Each reads its key columns only."""
-    out = []
-    if seq_rule is not None:
-        counts = df.groupBy("USUBJID", seq).agg(F.count(F.lit(1)).alias("_n"))
-        out.append(_hits(counts, [(seq_rule, F.col("_n") > 1)], {0: F.col("_n") - 1}))
-    if dup_rule is not None:
-        counts = df.groupBy("USUBJID").agg(F.count(F.lit(1)).alias("_n"))
-        out.append(_hits(counts, [(dup_rule, F.col("_n") > 1)], {0: F.col("_n") - 1}))
-    if baseline_rule is not None:
-        out.append(_hits(subjects_without_baseline(df), [(baseline_rule, F.lit(True))]))
-    return out
+    subjects without a baseline record. The key columns are counted by (subject, sequence number), then by subject."""
+    is_base = F.coalesce(F.col("LBBLFL") == "Y", F.lit(False)) if baseline_rule is not None else F.lit(True)
+    keys = ["USUBJID", seq] if seq_rule is not None else ["USUBJID"]
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.bool_or(is_base).alias("_base"))
+    subjects = per_key.groupBy("USUBJID").agg(
+        F.sum("_n").alias("_n"), F.sum(F.col("_n") - 1).alias("_again"), F.bool_or("_base").alias("_base")
+    )
+    rules = (
+        (seq_rule, F.col("_again") > 0, F.col("_again")), (dup_rule, F.col("_n") > 1, F.col("_n") - 1),
+        (baseline_rule, ~F.col("_base"), F.lit(1)),
+    )
+    rules = [r for r in rules if r[0] is not None]
+    return _hits(subjects, [(rule, cond) for rule, cond, _ in rules], {i: w for i, (_, _, w) in enumerate(rules)})
 
 
 def orphan_subjects(df: DataFrame, dm: DataFrame | None) -> DataFrame:
@@ -157,7 +159,8 @@ def check_sdtm(
         if not has_id:
             df = df.withColumn("USUBJID", F.lit(None).cast("string"))
         hits.append(_hits(df, checks))
-        hits.extend(_key_hits(df, seq, seq_rule, dup_rule, baseline_rule))
+        if extra:
+            hits.append(_key_hits(df, seq, seq_rule, dup_rule, baseline_rule))
     parts = [literal_findings(spark, structural_findings(domains, labels))]
     if hits:
         parts.append(summarize_hits(union_all(hits), rules))

@@ -62,9 +62,10 @@ def arm_order(adsl: DataFrame) -> DataFrame:
 def safety_n(adsl: DataFrame) -> DataFrame:
     """Subjects in the safety population per arm plus Total (arms without safety subjects -> 0)."""
     saf = F.col("SAFFL") == "Y"
-    per_arm = adsl.groupBy("TRT01A").agg(F.count_distinct(F.when(saf, F.col("USUBJID"))).alias("N"))
-    total = adsl.filter(saf).agg(F.count_distinct("USUBJID").alias("N")).select(F.lit(TOTAL).alias("TRT01A"), "N")
-    return per_arm.unionByName(total).select(F.col("TRT01A").alias("Arm"), "N")
+    per_arm = adsl.groupBy("TRT01A").agg(F.count(F.when(saf, F.lit(1))).alias("N"))  # one row per subject
+    total = adsl.filter(saf).agg(F.count(F.lit(1)).alias("N")).select(F.lit(TOTAL).alias("TRT01A"), "N")
+    out = per_arm.unionByName(total).select(F.col("TRT01A").alias("Arm"), "N")
+    return out.orderBy(F.col("Arm") == TOTAL, "Arm")
 
 
 def teae(adae: DataFrame, safety_only: bool = True) -> DataFrame:
@@ -366,7 +367,7 @@ def lab_shift(adlb: DataFrame) -> DataFrame:
     label = F.when(r == 1, "NORMAL").when(r == 2, "LOW").when(r == 3, "HIGH").otherwise("")
     return worst.groupBy("PARAMCD", "TRTA", "BNRIND", label.alias("Worst post-baseline")).agg(
         F.count(F.lit(1)).alias("Subjects")
-    )
+    ).orderBy(*SHIFT_COLUMNS[:4])
 
 
 def hys_law(adlb: DataFrame) -> DataFrame:
@@ -401,4 +402,4 @@ def lab_mean_change(adlb: DataFrame) -> DataFrame:
     return g.select(
         "PARAMCD", "PARAM", "TRTA", "AVISITN", "AVISIT", "n", "`Mean CHG`",
         (F.col("_sd") / F.sqrt(F.col("n").cast("double"))).alias("SE"),
-    )
+    ).orderBy(*MEAN_CHANGE_COLUMNS[:5])

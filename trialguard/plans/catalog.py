@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from trialguard import sinks
 from trialguard.functions import for_transport, iso_date, to_number
 from trialguard.operators import adam, cleaning, conformance, sdtm, tables, views
-from trialguard.operators.rules import by_severity, union_all
+from trialguard.operators.rules import by_severity, sort_findings, union_all
 from trialguard.sources import fixtures
 from trialguard.sources.raw import normalize_values
 from trialguard import terminology as tm
@@ -230,7 +230,7 @@ QUERIES: dict[str, Query] = {
     "hys_law": _q(lambda s: tables.hys_law(s.adlb)),
     "lab_mean_change": _q(lambda s: tables.lab_mean_change(s.adlb)),
     # findings and run control
-    "findings": _q(lambda s: s.findings()),
+    "findings": _q(lambda s: sort_findings(s.findings())),
     "findings_by_severity": _q(lambda s: by_severity(s.findings())),
     "run_status": _q(_run_status),
     "record_counts": _q(_record_counts),
