@@ -33,6 +33,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_stages(spark: SparkSession) -> None:
+    """Delete the tables that ``staged`` wrote in this session; results that read them have to be written before."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark)}/tables")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh(df: DataFrame, base: str) -> str:
     """A column name that starts with ``base`` and that ``df`` does not have yet (names compare without case)."""
     taken = {c.lower() for c in df.columns}
