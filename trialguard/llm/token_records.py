@@ -21,22 +21,19 @@ task can't spoil a file. Files are written under the shared folder through ``pya
 from __future__ import annotations
 
 import array
-import re
 import struct
 import sys
-import types
 import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trialguard.llm.common import shared_path, staged
+from trialguard.llm.common import filesystem, pieces, shared_path, staged, worker_cache
 
 MASK_DELTA = 0xA282EAD8
 END_ID = 1
@@ -88,11 +85,6 @@ def unpack(payload: bytes) -> tuple[int | None, np.ndarray]:
     return (doc_id if has_id else None), ids
 
 
-def _filesystem(uri: str):
-    """File system and path of a folder URI; ``file:/x`` counts as ``file:///x``."""
-    return pyarrow.fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
-
-
 class Encoder:
     """Ids of texts by a ``tokenizers`` model whose pieces never cross white space.
 
@@ -183,21 +175,15 @@ class Encoder:
         return b"".join(got)
 
 
-def _worker_cache(path: str) -> dict[str, bytes]:
-    """A dictionary that lives as long as the worker process, so that its tasks share what they encoded."""
-    holder = sys.modules.setdefault("trialguard_worker_cache", types.ModuleType("trialguard_worker_cache"))
-    return holder.__dict__.setdefault("pieces", {}).setdefault(path, {})
-
-
 def _writer(folder: str, tokenizer_path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = _filesystem(folder)
+        fs, root = filesystem(folder)
         part, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
-        encoder = Encoder(tokenizer_path, _worker_cache(tokenizer_path))
+        encoder = Encoder(tokenizer_path, worker_cache(f"pieces of {tokenizer_path}"))
         end = encoder.pack_ids([end_id])
         path = f"{root}/part-{part:06d}-{attempt}"
         out, index, at, tokens, records = None, None, 0, 0, 0
-        for batch in batches:
+        for batch in pieces(batches):
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for doc_id, text in zip(ids, texts, strict=True):
                 if out is None:
@@ -238,7 +224,7 @@ def write_records(
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            fs, path = _filesystem(row["path"])
+            fs, path = filesystem(row["path"])
             with fs.open_input_file(f"{path}.idx") as f:
                 index = np.frombuffer(f.read(), "<u8").reshape(-1, 2)
             if len(index) != row["records"] + 1:
@@ -271,7 +257,7 @@ def read_records(spark: SparkSession, manifest: DataFrame) -> DataFrame:
 
 def read_record(folder_path: str, record: int) -> tuple[int | None, np.ndarray]:
     """One record of a file, through its index (for shuffled reads)."""
-    fs, path = _filesystem(folder_path)
+    fs, path = filesystem(folder_path)
     with fs.open_input_file(f"{path}.idx") as f:
         f.seek(record * PAIR_SIZE)
         offset, _ = struct.unpack(PAIR, f.read(PAIR_SIZE))
