@@ -14,6 +14,7 @@ DOCS = [
     (4, "o3", COPIED), (5, "o4", f"x{COPIED.lower()} {COPIED}"), (6, "o4", None), (7, None, ""),
     (8, "o1", "passwd:" * 300 + "x" * 4000 + " SECRET  :  a.b/c=d+e"), (9, "o5", "apikey=\"'zzzzzzzzz api__key=aaaaaaa ſecret=abcdefg toKen=abcdefg"),
     (9, "o5", "apikey=\"'zzzzzzzzz api__key=aaaaaaa ſecret=abcdefg toKen=abcdefg"), (None, "o6", "token=" + "ab1" * 9),
+    (10, "o6", "é ".join(f"secret: {'ab' * 12}{k:04d}" for k in range(700))), (11, "o7", "token=abcdef " * 256), (12, "o7", "token=abcdef,\U0001f511 " * 257),
 ]
 
 

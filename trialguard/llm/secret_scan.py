@@ -30,39 +30,59 @@ LEAST_BARE = 16
 EXAMPLE_OWNERS = 4
 #: What a live-looking value has at least: characters, and different ones.
 LIVE_LENGTH, LIVE_CHARACTERS = 16, 8
+#: Matches whose places are summed up in a row; a text with many matches is walked in chunks.
+CHUNK = 256
 KINDS = ("assign", "access", "hex", "live", "example")
 SPAN = "array<struct<start:bigint,stop:bigint,value:string>>"
 
 
-def _places(text: Column, pattern: str, matches: Column, values: Column, least: int) -> Column:
-    """Spans of the matches whose value has ``least`` characters: ``start, stop`` in code points, and the value."""
+def _steps(text: Column, pattern: str, matches: Column, values: Column) -> Column:
+    """For each match the length of the text between it and the one before, its own length, and its value."""
     between = F.transform(F.split(text, pattern, -1), lambda x: F.length(x).cast("long"))
     lengths = F.transform(matches, lambda x: F.length(x).cast("long"))
     steps = F.arrays_zip(
         F.slice(between, 1, F.size(matches)).alias("gap"), lengths.alias("n"), values.alias("value")
     )
-    empty = F.array().cast(SPAN)
-    walked = F.aggregate(
-        steps,
-        F.struct(F.lit(0).cast("long").alias("at"), empty.alias("spans")),
-        lambda acc, s: F.struct(
-            (acc["at"] + s["gap"] + s["n"]).alias("at"),
-            F.when(
-                F.length(s["value"]) >= least,
-                F.concat(
-                    acc["spans"],
-                    F.array(
-                        F.struct(
-                            (acc["at"] + s["gap"]).alias("start"), (acc["at"] + s["gap"] + s["n"]).alias("stop"),
-                            s["value"].alias("value"),
-                        )
-                    ),
-                ),
-            ).otherwise(acc["spans"]).alias("spans"),
-        ),
-        lambda acc: acc["spans"],
+    return F.when(F.size(matches) > 0, steps).otherwise(
+        F.array().cast("array<struct<gap:bigint,n:bigint,value:string>>")
+    )
+
+
+def _chunk(steps: Column, k: Column) -> Column:
+    return F.slice(steps, k * CHUNK + 1, F.lit(CHUNK))
+
+
+def _chunk_lengths(steps: Column) -> Column:
+    """Length of text that each ``CHUNK`` steps take, so that places in a chunk start from a sum of few numbers."""
+    chunks = F.sequence(F.lit(0), F.ceil(F.size(steps) / CHUNK).cast("int") - 1)
+    lengths = F.transform(
+        chunks, lambda k: F.aggregate(_chunk(steps, k), F.lit(0).cast("long"), lambda a, s: a + s["gap"] + s["n"])
     )
-    return F.when(F.size(matches) > 0, walked).otherwise(empty)
+    return F.when(F.size(steps) > 0, lengths).otherwise(F.array().cast("array<bigint>"))
+
+
+def _places(steps: Column, lengths: Column, least: int) -> Column:
+    """Spans of the matches whose value has ``least`` characters: ``start, stop`` in code points, and the value."""
+    empty = F.array().cast(SPAN)
+
+    def span(at: Column, s: Column) -> Column:
+        start = at + s["gap"]
+        return F.struct(start.alias("start"), (start + s["n"]).alias("stop"), s["value"].alias("value"))
+
+    def walked(k: Column) -> Column:
+        before = F.aggregate(F.slice(lengths, F.lit(1), k), F.lit(0).cast("long"), lambda a, x: a + x)
+        return F.aggregate(
+            _chunk(steps, k),
+            F.struct(before.alias("at"), empty.alias("spans")),
+            lambda acc, s: F.struct(
+                (acc["at"] + s["gap"] + s["n"]).alias("at"),
+                F.when(F.length(s["value"]) >= least, F.concat(acc["spans"], F.array(span(acc["at"], s))))
+                .otherwise(acc["spans"]).alias("spans"),
+            ),
+            lambda acc: acc["spans"],
+        )
+
+    return F.flatten(F.transform(lengths, lambda _, k: walked(k)))
 
 
 def _scanned(rows: DataFrame) -> DataFrame:
@@ -74,17 +94,22 @@ def _scanned(rows: DataFrame) -> DataFrame:
         "hex": (f"[0-9a-f]{{{LEAST_HEX},}}", 0, LEAST_HEX),
         "bare": (f"[A-Za-z0-9+/_.=-]{{{LEAST_BARE},}}", 0, LEAST_BARE),
     }
-    text = F.col("text")
+    keys, text = ["id", "owner", "repo"], F.col("text")
     found = rows.select(
-        "id", "owner", "repo", "text",
-        *(F.regexp_extract_all(text, F.lit(p), F.lit(0)).alias(f"{k}_all") for k, (p, _, _) in patterns.items()),
-    )
-    spans = []
-    for k, (p, group, least) in patterns.items():
-        whole = F.col(f"{k}_all")
-        values = F.regexp_extract_all(text, F.lit(p), F.lit(group)) if group else whole
-        spans.append(_places(text, p, whole, values, least).alias(k))
-    return found.select(F.monotonically_increasing_id().alias("rid"), "id", "owner", "repo", *spans)
+        *keys, "text", *(F.regexp_extract_all(text, F.lit(p), F.lit(0)).alias(k) for k, (p, _, _) in patterns.items())
+    )
+    steps = found.select(
+        *keys,
+        *(
+            _steps(text, p, F.col(k), F.regexp_extract_all(text, F.lit(p), F.lit(group)) if group else F.col(k)).alias(k)
+            for k, (p, group, _) in patterns.items()
+        ),
+    )
+    steps = steps.select("*", *(_chunk_lengths(F.col(k)).alias(f"{k}_lengths") for k in patterns))
+    return steps.select(
+        F.monotonically_increasing_id().alias("rid"), *keys,
+        *(_places(F.col(k), F.col(f"{k}_lengths"), least).alias(k) for k, (_, _, least) in patterns.items()),
+    )
 
 
 def classes(candidates: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
