@@ -89,11 +89,18 @@ class Cleaned:
     raw_columns: list[str]
     clean_columns: list[str]
     rules: tuple[Rule, ...]
+    looked_up: tuple[str, ...] = ()  # of the subject, beside the domain's own columns
 
     @property
     def clean(self) -> DataFrame:
         return self.flagged.filter(F.col("QREASON").isNull()).select(*[F.col(f"_c_{c}").alias(c) for c in self.clean_columns])
 
+    @property
+    def clean_with_subject(self) -> DataFrame:
+        """The clean rows and what the subject lookup brought along, so that it isn't looked up again."""
+        columns = [*self.clean_columns, *self.looked_up]
+        return self.flagged.filter(F.col("QREASON").isNull()).select(*[F.col(f"_c_{c}").alias(c) for c in columns])
+
     @property
     def quarantine(self) -> DataFrame:
         return self.flagged.filter(F.col("QREASON").isNotNull()).select(*self.raw_columns, "QREASON")
@@ -105,12 +112,12 @@ class Cleaned:
     @property
     def essential(self) -> DataFrame:
         """The flagged table without intermediate columns: what clean, quarantine and findings read."""
-        keep = [*self.raw_columns, *[f"_c_{c}" for c in self.clean_columns], "_hits", "QREASON"]
+        keep = [*self.raw_columns, *[f"_c_{c}" for c in (*self.clean_columns, *self.looked_up)], "_hits", "QREASON"]
         return self.flagged.select(*[F.col(f"`{c}`") for c in dict.fromkeys(keep)])
 
     def with_flagged(self, flagged: DataFrame) -> Cleaned:
         """Same views over a materialised copy of the (essential) flagged table."""
-        return Cleaned(flagged, self.raw_columns, self.clean_columns, self.rules)
+        return Cleaned(flagged, self.raw_columns, self.clean_columns, self.rules, self.looked_up)
 
 
 def with_defaults(raw: DataFrame, domain: str) -> DataFrame:
@@ -191,17 +198,29 @@ def flag_dm(raw: DataFrame) -> Cleaned:
     return Cleaned(flagged, raw_cols, DM_CLEAN_COLS, DM_RULES)
 
 
+#: Reference start date of a row's subject.
+REFERENCE_DATE = "_RFSTDT"
+
+
 def _known_subjects(subjects: DataFrame) -> DataFrame:
-    """Clean-DM subject keys with a match marker (one row per subject by construction)."""
-    keys = subjects.select("USUBJID") if "USUBJID" in subjects.columns else subjects.select(usubjid("SUBJID").alias("USUBJID"))
-    return keys.select("USUBJID", F.lit(True).alias("_known"))
+    """Clean-DM subject keys with a match marker and, if known, the reference date (one row per subject)."""
+    key = F.col("USUBJID") if "USUBJID" in subjects.columns else usubjid("SUBJID")
+    date = [F.col("TRTSDT").alias(REFERENCE_DATE)] if dict(subjects.dtypes).get("TRTSDT") == "date" else []
+    return subjects.select(key.alias("USUBJID"), F.lit(True).alias("_known"), *date)
+
+
+def _with_subject(df: DataFrame, subjects: DataFrame) -> tuple[DataFrame, tuple[str, ...]]:
+    """Rows keyed by USUBJID and joined with the known subjects; what the join brought along."""
+    known = _known_subjects(subjects)
+    joined = df.withColumn("USUBJID", usubjid("SUBJID")).join(known, "USUBJID", "left")
+    return joined, tuple(c for c in known.columns if c == REFERENCE_DATE)
 
 
 def flag_ae(raw: DataFrame, subjects: DataFrame) -> Cleaned:
     """Flag adverse events with AE-R01..AE-R06; ``subjects`` is the clean DM (or its keys)."""
     df = with_defaults(raw, "ae")
     raw_cols = _raw_columns(df)
-    df = df.withColumn("USUBJID", usubjid("SUBJID")).join(_known_subjects(subjects), "USUBJID", "left")
+    df, looked_up = _with_subject(df, subjects)
     df = df.withColumns(
         {
             "_p_start": iso_date("AESTDT"),
@@ -237,16 +256,17 @@ def flag_ae(raw: DataFrame, subjects: DataFrame) -> Cleaned:
             "_c_AEREL": F.col("AEREL"),
             "_c_AEACN": F.col("AEACN"),
             "_c_AEOUT": F.col("AEOUT"),
+            **{f"_c_{c}": F.col(c) for c in looked_up},
         }
     )
-    return Cleaned(flagged, raw_cols, AE_CLEAN_COLS, AE_RULES)
+    return Cleaned(flagged, raw_cols, AE_CLEAN_COLS, AE_RULES, looked_up)
 
 
 def flag_lb(raw: DataFrame, subjects: DataFrame) -> Cleaned:
     """Flag lab results with LB-R01..LB-R05; ``subjects`` is the clean DM (or its keys)."""
     df = with_defaults(raw, "lb")
     raw_cols = _raw_columns(df)
-    df = df.withColumn("USUBJID", usubjid("SUBJID")).join(_known_subjects(subjects), "USUBJID", "left")
+    df, looked_up = _with_subject(df, subjects)
     df = df.withColumns(
         {
             "_p_lbdt": iso_date("LBDT"),
@@ -280,9 +300,10 @@ def flag_lb(raw: DataFrame, subjects: DataFrame) -> Cleaned:
             "_c_LBSTRESN": value,
             "_c_LBORNRLO": F.when(~bad_range, lo),
             "_c_LBORNRHI": F.when(~bad_range, hi),
+            **{f"_c_{c}": F.col(c) for c in looked_up},
         }
     )
-    return Cleaned(flagged, raw_cols, LB_CLEAN_COLS, LB_RULES)
+    return Cleaned(flagged, raw_cols, LB_CLEAN_COLS, LB_RULES, looked_up)
 
 
 def clean_dm(raw: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -66,9 +66,15 @@ def reference_dates(dm_sdtm: DataFrame) -> DataFrame:
     return dm_sdtm.select("USUBJID", iso_date("RFSTDTC").alias("_RFSTDT"))
 
 
+def _with_reference(df: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
+    """Rows with their subject's reference date: brought along by cleaning, else looked up in DM."""
+    df = _ensure_usubjid(df)
+    return df if "_RFSTDT" in df.columns else df.join(reference_dates(dm_sdtm), "USUBJID", "left")
+
+
 def build_ae(ae_clean: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
     """B2: SDTM AE with AESEQ (per subject by start date, term, input order) and study days."""
-    ae = _ensure_usubjid(ae_clean).join(reference_dates(dm_sdtm), "USUBJID", "left")
+    ae = _with_reference(ae_clean, dm_sdtm)
     ae = keys.sequence(ae, ["USUBJID"], ["AESTDT", "AEDECOD"], "AESEQ")
     out = ae.select(
         F.lit(STUDYID).alias("STUDYID"),
@@ -102,7 +108,7 @@ def lab_rows(lb_clean: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
     Baseline (W3): among rows with a numeric result on or before the reference date, the latest date per
     (subject, test); ties on that date go to the lowest visit number, then input order.
     """
-    lb = _ensure_usubjid(lb_clean).join(reference_dates(dm_sdtm), "USUBJID", "left")
+    lb = _with_reference(lb_clean, dm_sdtm)
     lb = lb.withColumn("LBNRIND", range_indicator("LBSTRESN", "LBORNRLO", "LBORNRHI"))
     order = ["LBTESTCD", "LBDT", "VISITNUM"]
     lb, grain = keys.grain_of(lb, ["USUBJID"], order)

@@ -68,11 +68,11 @@ class Study:
 
     @cached_property
     def sdtm_ae(self) -> DataFrame:
-        return sdtm.build_ae(self.ae.clean, self.sdtm_dm)
+        return sdtm.build_ae(self.ae.clean_with_subject, self.sdtm_dm)
 
     @cached_property
     def lab_rows(self) -> DataFrame:
-        return sdtm.lab_rows(self.lb.clean, self.sdtm_dm)
+        return sdtm.lab_rows(self.lb.clean_with_subject, self.sdtm_dm)
 
     @cached_property
     def sdtm_lb(self) -> DataFrame:
