@@ -61,3 +61,18 @@ def test_recall_and_split_lists(spark, monkeypatch):
     assert sum(hits) / (20 * len(want)) >= 0.95
     scores = {(q, i): s for q, found in want.items() for i, s in found}
     assert all(s == pytest.approx(scores[q, i], abs=1e-12) for q, found in got.items() for i, s in found if (q, i) in scores)
+
+
+def test_every_neighbour_is_found_among_far_more_lists_than_are_visited_first(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(i, v.tolist(), "x") for i, v in enumerate(rng.normal(size=(3000, 8)) * rng.uniform(0.5, 2, (3000, 1)))]
+    monkeypatch.setattr(ann, "LIST_ROWS", 2)  # 1,500 lists
+    monkeypatch.setattr(ann, "HELD_ROWS", 500)
+    _same(_got(spark.createDataFrame(rows, SCHEMA)), _brute(rows, 20))
+
+
+def test_lists_out_of_reach_are_passed_over():
+    rng = np.random.default_rng(4)
+    vectors = np.concatenate([rng.normal(size=(50, 8)) * 0.01 + c for c in (np.eye(8)[0], -np.eye(8)[0])])
+    q, v = ann._reaching(np.eye(8)[:1], vectors, np.array([0, 50]), np.array([0.9]), 20)
+    assert set(v.tolist()) <= set(range(50)) and len(v) == 24 and not q.any()

@@ -1,14 +1,17 @@
-"""Approximate nearest neighbours by balanced posting lists.
+"""Nearest neighbours by balanced posting lists, exact through bounds.
 
 Vectors are cut into lists around centroids. The centroids come from a bounded sample by halving it again and again
 across its widest direction, so lists are balanced. Largest inner products become smallest distances by one more
 component that brings all vectors to the same length. A vector near the border of lists is filed in each list whose
-centroid is nearly as close as the closest. Centroids, a bounded number, are searched in each task through a graph of
-neighbouring centroids, best first from a few pivots. A query visits the lists whose centroids are, as a ratio of
-distances, close enough to its closest; the vectors there are scored on the original components.
-
-Skew: of equal vectors only the ``k + 1`` smallest ids are filed, which decide every answer exactly. A list longer than
-``CHUNK_ROWS`` is cut into chunks, and the queries of a list too, so a task never holds more than a chunk of each.
+centroid is nearly as close as the closest. Centroids, a bounded number, are all compared in each task by one matrix
+product. A query visits the lists of its closest centroids first; the vectors there are scored on the original components, and the k-th score is its bound. After that it visits every list
+whose mean and radius can still reach the bound, so no neighbour is missed whatever the number of lists. How many lists
+these are is up to the data: few where vectors form clusters, nearly all where they are spread evenly.
+
+Skew: of equal vectors only the ``k + 1`` smallest ids are filed, which decide every answer exactly. For the first
+visits a list longer than ``CHUNK_ROWS`` is cut into chunks, and the queries of a list too, so a task never holds more
+than a chunk of each. For the others the vectors are dealt by ranges of lists, and tasks read the queries with their
+bounds from the shared folder a few at a time, so no row is copied for each list that a query visits.
 """
 
 from __future__ import annotations
@@ -17,23 +20,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trialguard.llm.common import staged
+from trialguard.llm.common import filesystem, staged
 
 #: Vectors to a list, and the largest number of lists: the bound of the centroids that each task holds.
 LIST_ROWS, MAX_LISTS = 128, 4096
 #: Sampled vectors to a list, which bounds the sample that centroids are fitted on.
 SAMPLE_PER_LIST = 32
-#: Neighbours of a centroid in the graph, pivots to start from, and candidates kept during a search.
-DEGREE, PIVOTS, BEAM = 24, 64, 192
 #: A vector is filed in up to ``COPIES`` lists whose centroids are up to this ratio farther than the closest.
 COPIES, FILE_RATIO = 4, 1.10
-#: A query visits up to ``PROBES`` lists whose centroids are up to this ratio farther than the closest. What it finds
-#: in the first ``FIRST`` of them bounds what the others return.
-PROBES, PROBE_RATIO, FIRST = 80, 1.5, 8
+#: What a query finds in the lists of its ``FIRST`` closest centroids bounds what the others return.
+FIRST = 8
 CHUNK_ROWS = 1024
+#: Vectors that a task holds while it goes through the queries.
+HELD_ROWS = 8192
 SEED = 11
 
 
@@ -63,68 +66,15 @@ def _halved(vectors: np.ndarray, lists: int, rng: np.random.Generator) -> list[n
     return [p for p in parts if len(p)]
 
 
-class CentroidGraph:
-    """Unit centroids with links between near ones, and some far ones by chance."""
-
-    def __init__(self, centroids: np.ndarray, rng: np.random.Generator):
-        length = np.linalg.norm(centroids, axis=1)[:, None]
-        self.centroids = (centroids / np.where(length > 0, length, 1)).astype(np.float32)
-        n = len(centroids)
-        degree = min(DEGREE, n)
-        self.links = np.empty((n, degree), np.int32)
-        for at in range(0, n, 512):
-            near = self.centroids[at : at + 512] @ self.centroids.T
-            self.links[at : at + 512] = np.argsort(-near, axis=1, kind="stable")[:, :degree]
-        if n > degree:
-            self.links[:, degree - degree // 6 :] = rng.integers(0, n, (n, degree // 6))
-        self.pivots = np.sort(rng.permutation(n)[:PIVOTS]).astype(np.int32)
-
-    def search(self, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """For each row of ``x`` up to ``k`` close centroids, closest first: ids (-1: none) and inner products."""
-        x = x.astype(np.float32)
-        n, beam = len(x), max(BEAM, k)
-        ids = np.full((n, beam), -1, np.int32)
-        near = np.full((n, beam), -np.inf, np.float32)
-        m = min(beam, len(self.pivots))
-        first = x @ self.centroids[self.pivots].T
-        order = np.argsort(-first, axis=1, kind="stable")[:, :m]
-        ids[:, :m] = self.pivots[order]
-        near[:, :m] = np.take_along_axis(first, order, 1)
-        opened = np.zeros((n, beam), bool)
-        seen = np.zeros((n, len(self.centroids)), bool)
-        np.put_along_axis(seen, ids[:, :m], True, 1)
-        rows = np.arange(n)
-        for _ in range(4 * beam):
-            todo = np.where(opened[rows] | (ids[rows] < 0), -np.inf, near[rows])
-            at = todo.argmax(axis=1)
-            live = todo[np.arange(len(rows)), at] > -np.inf
-            rows, at = rows[live], at[live]
-            if not len(rows):
-                break
-            opened[rows, at] = True
-            next_ = self.links[ids[rows, at]]
-            new = ~np.take_along_axis(seen[rows], next_, 1)
-            seen[rows[:, None], next_] = True
-            score = np.einsum("nd,nkd->nk", x[rows], self.centroids[next_])
-            score = np.where(new, score, -np.inf)
-            all_near = np.concatenate([near[rows], score], axis=1)
-            all_ids = np.concatenate([ids[rows], next_], axis=1)
-            all_open = np.concatenate([opened[rows], ~new], axis=1)
-            best = np.argpartition(-all_near, beam - 1, axis=1)[:, :beam]
-            near[rows] = np.take_along_axis(all_near, best, 1)
-            ids[rows] = np.where(near[rows] == -np.inf, -1, np.take_along_axis(all_ids, best, 1))
-            opened[rows] = np.take_along_axis(all_open, best, 1)
-        order = np.argsort(-near, axis=1, kind="stable")[:, :k]
-        return np.take_along_axis(ids, order, 1), np.take_along_axis(near, order, 1)
-
-
-def _lists_of(graph: dict, x: np.ndarray, k: int, ratio: float) -> np.ndarray:
-    """For each unit row of ``x`` the lists within ``ratio`` of the closest centroid's distance (others -1)."""
-    g = CentroidGraph.__new__(CentroidGraph)
-    vars(g).update(graph)
-    ids, near = g.search(x, min(k, len(g.centroids)))
-    away = np.sqrt(np.maximum(2 - 2 * near, 0))
-    return np.where((ids >= 0) & (away <= ratio * away[:, :1] + 1e-6), ids, -1)
+def _lists_of(centroids: np.ndarray, x: np.ndarray, k: int, ratio: float) -> np.ndarray:
+    """For each unit row of ``x`` the ``k`` lists of closest centroids within ``ratio`` of the closest (others -1)."""
+    near = x.astype(np.float32) @ centroids.T
+    k = min(k, len(centroids))
+    ids = np.argpartition(-near, k - 1, axis=1)[:, :k]
+    order = np.argsort(-np.take_along_axis(near, ids, 1), axis=1, kind="stable")
+    ids = np.take_along_axis(ids, order, 1)
+    away = np.sqrt(np.maximum(2 - 2 * np.take_along_axis(near, ids, 1), 0))
+    return np.where(away <= ratio * away[:, :1] + 1e-6, ids, -1)
 
 
 def _usable(column: Column, width: int) -> Column:
@@ -143,7 +93,7 @@ def _distinct(rows: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _file(graph, width: int, longest: float):
+def _file(centroids, width: int, longest: float):
     """Rows of distinct vectors to a row for each list."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,18 +102,19 @@ def _file(graph, width: int, longest: float):
                 part = batch.slice(at, 1024)
                 x = _matrix(part.column(0), width) / longest
                 rest = np.sqrt(np.maximum(1 - np.einsum("nd,nd->n", x, x), 0))
-                lists = _lists_of(graph.value, np.column_stack([x, rest]), COPIES, FILE_RATIO)
+                lists = _lists_of(centroids.value, np.column_stack([x, rest]), COPIES, FILE_RATIO)
                 row, slot = np.nonzero(lists >= 0)
                 taken = part.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(lists[row, slot], pa.int32()), *taken.columns], names=["list", "vec", "ids", "least"]
+                    [pa.array(lists[row, slot], pa.int32()), pa.array(slot, pa.int32()), *taken.columns],
+                    names=["list", "copy", "vec", "ids", "least"],
                 )
 
     return run
 
 
-def _ask(graph, width: int, probes: int, ratio: float):
-    """Queries to a row for each list that they visit."""
+def _ask(centroids, width: int):
+    """Queries to a row for each list that they visit first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -171,55 +122,117 @@ def _ask(graph, width: int, probes: int, ratio: float):
                 part = batch.slice(at, 1024)
                 x = _matrix(part.column(1), width)
                 x = np.column_stack([x / np.linalg.norm(x, axis=1)[:, None], np.zeros(len(x))])
-                lists = _lists_of(graph.value, x, probes, ratio)
+                lists = _lists_of(centroids.value, x, FIRST, float("inf"))
                 row, slot = np.nonzero(lists >= 0)
                 taken = part.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(lists[row, slot], pa.int32()), pa.array(slot, pa.int32()), *taken.columns],
-                    names=["list", "turn", "query_id", "query"],
+                    [pa.array(lists[row, slot], pa.int32()), *taken.columns], names=["list", "query_id", "query"]
                 )
 
     return run
 
 
+def _found(
+    q: np.ndarray, v: np.ndarray, queries: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, ids: pa.ListArray,
+    bound: np.ndarray, k: int,
+) -> pa.Table:
+    """The ``k`` best ids for each query among the pairs of rows ``q, v`` that reach its bound (NaN: none)."""
+    exact = (queries[q] * vectors[v]).sum(axis=1)
+    start = ids.offsets.to_numpy()
+    many = np.diff(start)[v]
+    flat = np.repeat(start[v] - np.cumsum(many) + many, many) + np.arange(many.sum())
+    q, scores = np.repeat(q, many), np.repeat(exact, many)
+    found = ids.values.to_numpy()[flat]
+    keep = np.flatnonzero((found != query_ids[q]) & ~(scores < bound[q]))
+    keep = keep[np.lexsort((found[keep], -scores[keep], q[keep]))]
+    place = np.arange(len(keep)) - np.searchsorted(q[keep], q[keep])
+    keep = keep[place < k]
+    return pa.table({"query_id": query_ids[q[keep]], "id": found[keep], "score": scores[keep]})
+
+
 def _best(width: int, k: int):
-    """The best ids for each query of a cell among its vectors; of those only the ones that reach the query's bound."""
+    """The best ids for each query of a cell among its vectors."""
 
     def run(filed: pa.Table, asked: pa.Table) -> pa.Table:
-        empty = np.empty(0, np.int64)
-        query_ids, found, scores = empty, empty, np.empty(0)
-        if filed.num_rows and asked.num_rows:
-            vectors, queries = _matrix(filed.column("vec"), width), _matrix(asked.column("query"), width)
-            bound = asked.column("bound").to_numpy()  # NaN: none
-            near = queries @ vectors.T
-            m = min(k + 4, len(vectors))
-            top = np.argpartition(-near, m - 1, axis=1)[:, :m]
-            reach = ~(np.take_along_axis(near, top, 1) < bound[:, None] - 1e-9)
-            q, slot = np.nonzero(reach)
-            v = top[q, slot]
-            exact = (queries[q] * vectors[v]).sum(axis=1)
-            ids = filed.column("ids").combine_chunks()
-            start = ids.offsets.to_numpy()
-            many = np.diff(start)[v]
-            flat = np.repeat(start[v] - np.cumsum(many) + many, many) + np.arange(many.sum())
-            q, scores = np.repeat(q, many), np.repeat(exact, many)
-            found = ids.values.to_numpy()[flat]
-            query_ids = asked.column("query_id").to_numpy()[q]
-            keep = np.flatnonzero((found != query_ids) & ~(scores < bound[q]))
-            keep = keep[np.lexsort((found[keep], -scores[keep], q[keep]))]
-            place = np.arange(len(keep)) - np.searchsorted(q[keep], q[keep])
-            keep = keep[place < k]
-            query_ids, found, scores = query_ids[keep], found[keep], scores[keep]
-        return pa.table({"query_id": query_ids, "id": found, "score": scores})
+        if not filed.num_rows or not asked.num_rows:
+            empty = np.empty(0, np.int64)
+            return pa.table({"query_id": empty, "id": empty, "score": np.empty(0)})
+        vectors, queries = _matrix(filed.column("vec"), width), _matrix(asked.column("query"), width)
+        m = min(k + 4, len(vectors))
+        top = np.argpartition(-(queries @ vectors.T), m - 1, axis=1)[:, :m]
+        q = np.repeat(np.arange(len(queries)), m)
+        ids, query_ids = filed.column("ids").combine_chunks(), asked.column("query_id").to_numpy()
+        return _found(q, top.ravel(), queries, vectors, query_ids, ids, np.full(len(queries), np.nan), k)
+
+    return run
+
+
+def _reaching(queries: np.ndarray, vectors: np.ndarray, starts: np.ndarray, bound: np.ndarray, k: int) -> tuple:
+    """Rows of queries and vectors whose products may reach the bounds; ``starts`` are the first rows of the lists.
+
+    A list is passed over for a query only if no vector within its radius of its mean can reach the query's bound.
+    """
+    many = np.diff(np.append(starts, len(vectors)))
+    means = np.add.reduceat(vectors, starts) / many[:, None]
+    away = vectors - np.repeat(means, many, axis=0)
+    radius = np.sqrt(np.maximum.reduceat(np.einsum("nd,nd->n", away, away), starts))
+    length = np.linalg.norm(queries, axis=1)
+    longest = np.sqrt(np.einsum("nd,nd->n", vectors, vectors).max())
+    least = np.where(np.isnan(bound), -np.inf, bound) - 1e-9 * (1 + length * longest)  # room for rounding
+    visits = queries @ means.T + length[:, None] * radius >= least[:, None]
+    all_q, all_v = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for at, n, rows in zip(starts.tolist(), many.tolist(), map(np.flatnonzero, visits.T), strict=True):
+        if not len(rows):
+            continue
+        near = queries[rows] @ vectors[at : at + n].T
+        hit = near >= least[rows, None]
+        full = np.flatnonzero(hit.sum(axis=1) > k + 4)
+        if len(full):
+            top = np.argpartition(-near[full], k + 3, axis=1)[:, : k + 4]
+            hit[full] = False
+            hit[full[:, None], top] = True
+        q, v = np.nonzero(hit)
+        all_q.append(rows[q])
+        all_v.append(v + at)
+    return np.concatenate(all_q), np.concatenate(all_v)
+
+
+def _search_rest(files: list[str], width: int, k: int):
+    """The best ids that reach the bounds of the queries in ``files``, among each ``HELD_ROWS`` vectors in list order."""
+
+    def searched(held: pa.Table) -> Iterator[pa.RecordBatch]:
+        vectors, lists = _matrix(held.column("vec"), width), held.column("list").to_numpy()
+        ids = held.column("ids").combine_chunks()
+        starts = np.flatnonzero(np.concatenate([[True], lists[1:] != lists[:-1]]))
+        for file in files:
+            fs, path = filesystem(file)
+            with fs.open_input_file(path) as opened:
+                for asked in pq.ParquetFile(opened).iter_batches(CHUNK_ROWS):
+                    queries = _matrix(asked.column("query"), width)
+                    bound = asked.column("bound").to_numpy(zero_copy_only=False)
+                    q, v = _reaching(queries, vectors, starts, bound, k)
+                    query_ids = asked.column("query_id").to_numpy()
+                    yield from _found(q, v, queries, vectors, query_ids, ids, bound, k).to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, HELD_ROWS):
+                held.append(batch.slice(at, HELD_ROWS))
+                n += held[-1].num_rows
+                if n >= HELD_ROWS:
+                    yield from searched(pa.Table.from_batches(held))
+                    held, n = [], 0
+        if n:
+            yield from searched(pa.Table.from_batches(held))
 
     return run
 
 
 def nearest(
     vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",
-    probes: int = PROBES, probe_ratio: float = PROBE_RATIO,
 ) -> DataFrame:
-    """``query_id, rank, id_col, score``: the ``k`` nearest found for each row of ``vectors`` where ``queries`` holds.
+    """``query_id, rank, id_col, score``: the ``k`` nearest for each row of ``vectors`` where ``queries`` holds.
 
     Nearness is the largest inner product in double precision; ties go to the smaller id. Rows whose id or vector is
     null, whose vector is zero, holds null or non-finite components or has another length than most, take no part.
@@ -242,16 +255,17 @@ def nearest(
     x = _matrix(sample.column("vec"), width) / longest
     x = np.column_stack([x, np.sqrt(np.maximum(1 - np.einsum("nd,nd->n", x, x), 0))])
     centroids = np.array([x[part].mean(axis=0) for part in _halved(x, lists, rng)]) if len(x) else np.zeros((1, width + 1))
-    graph = vectors.sparkSession.sparkContext.broadcast(vars(CentroidGraph(centroids, rng)))
+    length = np.linalg.norm(centroids, axis=1)[:, None]
+    unit = (centroids / np.where(length > 0, length, 1)).astype(np.float32)
+    shared = vectors.sparkSession.sparkContext.broadcast(unit)
 
     kind = rows.schema["vec"].dataType.simpleString()
     filed = staged(
-        kept.mapInArrow(_file(graph, width, longest), f"list int, vec {kind}, ids array<bigint>, least bigint"), "lists"
-    )
-    asked = rows.where("asks").select(F.col("id").alias("query_id"), F.col("vec").alias("query"))
-    asked = staged(
-        asked.mapInArrow(_ask(graph, width, probes, probe_ratio), f"list int, turn int, query_id bigint, query {kind}"), "asked"
+        kept.mapInArrow(_file(shared, width, longest), f"list int, copy int, vec {kind}, ids array<bigint>, least bigint"),
+        "lists",
     )
+    queries_ = rows.where("asks").select(F.col("id").alias("query_id"), F.col("vec").alias("query"))
+    asked = staged(queries_.mapInArrow(_ask(shared, width), f"list int, query_id bigint, query {kind}"), "asked")
     lengths = filed.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / CHUNK_ROWS).cast("int").alias("chunks"))
 
     def scored(part: DataFrame) -> DataFrame:
@@ -278,10 +292,12 @@ def nearest(
         order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
         return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
-    no_bound = F.lit(float("nan")).alias("bound")
-    first = staged(ranked(scored(asked.where(F.col("turn") < FIRST).select("*", no_bound))), "first")
+    first = staged(ranked(scored(asked)), "first")
     bounds = first.where(F.col("rank") == k).select("query_id", F.col("score").alias("bound"))
-    rest = asked.where(F.col("turn") >= FIRST).join(bounds, "query_id", "left")
-    rest = scored(staged(rest.withColumn("bound", F.coalesce("bound", no_bound)), "bounded"))
+    bounded = staged(queries_.join(bounds, "query_id", "left"), "bounded")
+    dealt_out = filed.where("copy = 0").repartitionByRange(max(1, -(-n // HELD_ROWS)), "list", "least")
+    rest = dealt_out.sortWithinPartitions("list").select("list", "vec", "ids").mapInArrow(
+        _search_rest(bounded.inputFiles(), width, k), "query_id bigint, id bigint, score double"
+    )
     final = ranked(first.select("query_id", "id", "score").unionAll(rest))
     return final.select("query_id", "rank", F.col("id").alias(id_col), "score")
