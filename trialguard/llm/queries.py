@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trialguard.llm import ann, decontaminate, kneser_ney, maxent_lm, mixing, secret_scan, simhash, token_records, url_filter, wordpiece
+from trialguard.llm import (
+    ann,
+    decontaminate,
+    fill_in_middle,
+    filter_audit,
+    kneser_ney,
+    maxent_lm,
+    mixing,
+    quality_rules,
+    secret_scan,
+    simhash,
+    token_records,
+    url_filter,
+    wordpiece,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +95,26 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.token_records(_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of each document by base rules and certified cutoffs."""
+    return quality_rules.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cuts and form of each document, with digests of the output and of the text rebuilt from it."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = fill_in_middle.fill_in_middle(docs)
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_in_middle.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each step of each order of the five filters removes, by language."""
+    return filter_audit.filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_decontamination": op2_decontamination,
@@ -92,10 +126,16 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_maxent_lm": op9_maxent_lm,
     "op10_token_records": op10_token_records,
+    "op11_quality_rules": op11_quality_rules,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_decontamination": decontaminate.SQL,
     "op4_secret_scan": secret_scan.SQL,
     "op6_url_filter": url_filter.sql(URL_RULES),
+    "op11_quality_rules": quality_rules.SQL,
+    "op12_fill_in_middle": fill_in_middle.SQL,
+    "op13_filter_audit": filter_audit.SQL,
 }
