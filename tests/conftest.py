@@ -21,9 +21,9 @@ def spark():
 
 @pytest.fixture(scope="session")
 def study(spark):
-    from trialguard.plans.catalog import Study
+    from trialguard.plans.catalog import StoredStudy
 
-    return Study(spark, SF0001)
+    return StoredStudy(spark, SF0001)
 
 
 @pytest.fixture(scope="session")
@@ -32,7 +32,8 @@ def run_result(spark, tmp_path_factory):
     from trialguard.sources import fixtures
 
     out = str(tmp_path_factory.mktemp("run"))
-    return pipeline.run(spark, fixtures.raw_bundle(spark, SF0001), out_dir=out), out
+    result = pipeline.run(spark, fixtures.raw_bundle(spark, SF0001), out_dir=out)
+    return result, out
 
 
 def frame(spark, columns: dict[str, list]):
@@ -44,7 +45,3 @@ def frame(spark, columns: dict[str, list]):
     from pyspark.sql import functions as F
 
     return df.withColumn("RECNO", F.monotonically_increasing_id())
-
-
-def rules_of(findings_df) -> set[str]:
-    return {r["rule_id"] for r in findings_df.collect()}

@@ -1,62 +1,66 @@
+"""Each conformance rule on two or three rows of a domain, one fault at a time."""
+
 from __future__ import annotations
 
-from pyspark.sql import Window
+import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import rules_of
+from tests import inline
 from trialguard.operators import conformance
 
+SOUND = {
+    "DM": {"STUDYID": "s", "DOMAIN": "DM", "USUBJID": "u1", "SEX": "F", "DTHFL": "", "RFSTDTC": "2025-01-01"},
+    "AE": {"STUDYID": "s", "DOMAIN": "AE", "USUBJID": "u1", "AESEQ": 1, "AESEV": "MILD", "AESER": "N", "AETOXGR": 2, "AESTDTC": "2025-01-02", "AESTDY": 2},
+    "LB": {"STUDYID": "s", "DOMAIN": "LB", "USUBJID": "u1", "LBSEQ": 1, "LBNRIND": "LOW", "LBBLFL": "Y", "LBDTC": "2025-01-01"},
+}
+#: domain, changed values of rows (the first row is sound), findings as (rule, severity, count, examples)
+CASES = [
+    ("DM", [{"STUDYID": ""}], [("SD0004", "ERROR", 1, "u2")]),
+    ("DM", [{"SEX": "X"}, {"SEX": None}], [("DM0002", "ERROR", 2, "u2, u3")]),
+    ("DM", [{"DTHFL": "Y"}, {"DTHFL": "Y", "DTHDTC": "2025-03-01"}], [("DM0003", "WARNING", 1, "u2")]),
+    ("DM", [{"USUBJID": "u1"}, {"USUBJID": "u1"}], [("DM0001", "ERROR", 2, "u1")]),
+    ("DM", [{"RFSTDTC": "1/2/2025"}, {"RFENDTC": "2025-02"}], [("SD0007", "ERROR", 1, "u2"), ("SD0007", "ERROR", 1, "u3")]),
+    ("AE", [{"USUBJID": "nobody"}], [("SD0005", "ERROR", 1, "nobody")]),
+    ("AE", [{"USUBJID": "u1"}, {"USUBJID": "u1", "AESEQ": 2}], [("SD0006", "ERROR", 1, "u1")]),
+    ("AE", [{"AESTDY": 0}, {"AEENDY": 0}], [("SD0008", "ERROR", 1, "u2"), ("SD0008", "ERROR", 1, "u3")]),
+    ("AE", [{"AESEV": "AWFUL"}, {"AESEV": None}], [("AE0001", "ERROR", 2, "u2, u3")]),
+    ("AE", [{"AESER": ""}], [("AE0002", "ERROR", 1, "u2")]),
+    ("AE", [{"AEENDTC": "2025-01-01"}, {"AEENDTC": "2025-01-02"}], [("AE0003", "ERROR", 1, "u2")]),
+    ("AE", [{"AEOUT": "FATAL"}, {"AEOUT": "FATAL", "AESER": "Y"}], [("AE0004", "WARNING", 1, "u2")]),
+    ("AE", [{"AETOXGR": 3}, {"AETOXGR": 3, "AESEV": "SEVERE"}], [("AE0005", "WARNING", 1, "u2")]),
+    ("LB", [{"LBBLFL": ""}, {"USUBJID": "u2", "LBSEQ": 2}], [("LB0001", "WARNING", 0, "")]),
+    ("LB", [{"LBBLFL": ""}, {"LBBLFL": ""}], [("LB0001", "WARNING", 2, "u2, u3")]),
+    ("LB", [{"LBNRIND": "odd"}, {"LBNRIND": ""}], [("LB0002", "ERROR", 1, "u2")]),
+]
+
+
+def _check(spark, domain, changes, edit=lambda df: df):
+    rows = [SOUND[domain]] + [SOUND[domain] | {"USUBJID": f"u{i}"} | c for i, c in enumerate(changes, start=2)]
+    sets = {domain: edit(inline.dataset(spark, domain, rows))}
+    if domain != "DM":
+        sets["DM"] = inline.dataset(spark, "DM", [SOUND["DM"] | {"USUBJID": f"u{i}"} for i in (1, 2, 3)])
+    return sorted(tuple(r) for r in conformance.check_sdtm(spark, sets).select("rule_id", "severity", "count", "examples").collect())
+
+
+@pytest.mark.parametrize(("domain", "changes", "want"), CASES, ids=lambda v: v[0][0] if isinstance(v, list) and v and isinstance(v[0], tuple) else None)
+def test_a_fault_is_found_and_nothing_else(spark, domain, changes, want):
+    assert _check(spark, domain, changes) == [w for w in want if w[2]]
+
+
+def test_structure_is_checked_without_rows(spark):
+    got = _check(spark, "AE", [], lambda df: df.drop("AEREL", "AEOUT").withColumn("LONGVARNAME", F.lit(1)))
+    assert got == [("SD0001", "ERROR", 2, ""), ("SD0002", "ERROR", 1, "LONGVARNAME")]
+    assert _check(spark, "LB", []) == []
+
+
+def test_examples_are_the_first_five_subjects(spark):
+    got = _check(spark, "DM", [{"SEX": "?"}] * 9)
+    assert got == [("DM0002", "ERROR", 9, "u10, u2, u3, u4, u5")]
+
 
-def test_clean_outputs_fire_only_data_rules(spark, study):
-    f = conformance.check_sdtm(spark, {"DM": study.sdtm_dm, "AE": study.sdtm_ae, "LB": study.sdtm_lb})
-    got = {r["rule_id"]: r["count"] for r in f.collect()}
-    # the fixture's faults: undeterminable severity, fatal-not-serious, grade>=3 MILD, one subject without baseline
-    assert got == {"AE0001": 47, "AE0004": 13, "AE0005": 112, "LB0001": 1}
-
-
-def _nth(df, key_cols, n):
-    """Row marker: the n-th row in key order (deterministic edit target)."""
-    return F.row_number().over(Window.orderBy(*key_cols)) == n
-
-
-def test_conformance_detects_broken_sdtm(spark, study):
-    dm = study.sdtm_dm.withColumn("_n", F.row_number().over(Window.orderBy("USUBJID")))
-    dm = dm.withColumn("SEX", F.when(F.col("_n") == 1, F.lit("X")).otherwise(F.col("SEX")))
-    dm = dm.unionByName(dm.filter(F.col("_n") == 2)).withColumn("DTHFL", F.lit("Y")).drop("_n", "AGEU")
-    ae = study.sdtm_ae.withColumn("_n", F.row_number().over(Window.orderBy("USUBJID", "AESEQ")))
-    n = F.col("_n")
-    ae = ae.withColumns(
-        {
-            "USUBJID": F.when(n == 1, F.lit("ghost")).otherwise(F.col("USUBJID")),
-            "AESTDTC": F.when(n == 2, F.lit("10/01/2025")).otherwise(F.col("AESTDTC")),
-            "AESEV": F.when(n == 3, F.lit("TERRIBLE")).when(n == 7, F.lit("MILD")).otherwise(F.col("AESEV")),
-            "AESER": F.when(n == 4, F.lit("?")).when(n == 6, F.lit("N")).otherwise(F.col("AESER")),
-            "AESTDY": F.when(n == 5, F.lit(0)).otherwise(F.col("AESTDY")),
-            "AEOUT": F.when(n == 6, F.lit("FATAL")).otherwise(F.col("AEOUT")),
-            "AETOXGR": F.when(n == 7, F.lit(4)).otherwise(F.col("AETOXGR")),
-        }
-    )
-    ae = ae.unionByName(ae.filter(n == 8)).drop("_n").withColumn("LONGVARIABLE", F.lit(1))
-    lb = study.sdtm_lb.withColumn("_n", F.row_number().over(Window.orderBy("USUBJID", "LBSEQ")))
-    first_subject = study.sdtm_lb.agg(F.min("USUBJID")).first()[0]
-    lb = lb.withColumns(
-        {
-            "LBNRIND": F.when(F.col("_n") == 1, F.lit("WEIRD")).otherwise(F.col("LBNRIND")),
-            "LBBLFL": F.when(F.col("USUBJID") == first_subject, F.lit("")).otherwise(F.col("LBBLFL")),
-        }
-    ).drop("_n")
-    f = conformance.check_sdtm(spark, {"DM": dm, "AE": ae, "LB": lb})
-    assert {
-        "SD0001", "SD0002", "SD0005", "SD0006", "SD0007", "SD0008", "DM0001", "DM0002", "DM0003",
-        "AE0001", "AE0002", "AE0004", "AE0005", "LB0001", "LB0002",
-    } <= rules_of(f)
-    rows = {(r["rule_id"], r["domain"]): r for r in f.collect()}
-    assert rows[("SD0001", "DM")]["message"] == "Required variables missing: AGEU"
-    assert rows[("SD0002", "AE")]["examples"] == "LONGVARIABLE"
-    assert rows[("DM0001", "DM")]["count"] == 1
-
-
-def test_orphans_and_missing_baseline(spark, study):
-    orphans = conformance.orphan_subjects(study.sdtm_ae.withColumn("USUBJID", F.concat(F.col("USUBJID"), F.lit("x"))), study.sdtm_dm)
-    assert orphans.count() == study.sdtm_ae.count()
-    assert conformance.subjects_without_baseline(study.sdtm_lb).count() == 1
+def test_key_sets(spark):
+    ae = inline.dataset(spark, "AE", [{"USUBJID": u} for u in ("x", "x", "y", "z")])
+    dm = inline.dataset(spark, "DM", [{"USUBJID": u} for u in ("y", "w")])
+    assert sorted(r.USUBJID for r in conformance.orphan_subjects(ae, dm).collect()) == ["x", "x", "z"]
+    lb = inline.dataset(spark, "LB", [{"USUBJID": "x", "LBBLFL": ""}, {"USUBJID": "x", "LBBLFL": "Y"}, {"USUBJID": "y"}])
+    assert [r.USUBJID for r in conformance.subjects_without_baseline(lb).collect()] == ["y"]

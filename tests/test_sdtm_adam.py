@@ -1,101 +1,116 @@
+"""Derivations on a study of three subjects, with every derived value written out."""
+
 from __future__ import annotations
 
-from pyspark.sql import Window
-from pyspark.sql import functions as F
+import datetime as dt
+
+import pytest
 
+from tests import inline
 from trialguard import schemas
-from trialguard.operators import adam, sdtm
-from trialguard.terminology import STUDYID, TEAE_WINDOW_DAYS
-
-
-def test_dm_structure(study):
-    dm = study.sdtm_dm
-    assert dm.columns == schemas.DM_VARS
-    assert dm.count() == dm.select("USUBJID").distinct().count() == 138
-    assert dm.filter(~F.col("USUBJID").startswith(STUDYID + "-")).count() == 0
-    assert {r[0] for r in dm.select("DOMAIN").distinct().collect()} == {"DM"}
-
-
-def test_ae_sequence_and_days(study):
-    ae = study.sdtm_ae
-    assert ae.columns == schemas.AE_VARS
-    g = ae.groupBy("USUBJID").agg(F.count("*").alias("n"), F.max("AESEQ").alias("mx"), F.count_distinct("AESEQ").alias("d"), F.min("AESEQ").alias("mn"))
-    assert g.filter((F.col("n") != F.col("mx")) | (F.col("n") != F.col("d")) | (F.col("mn") != 1)).count() == 0
-    assert ae.filter(F.col("AESTDY") == 0).count() == 0
-
-
-def test_lb_baseline_one_per_subject_test(study):
-    lb = study.sdtm_lb
-    base = lb.filter(F.col("LBBLFL") == "Y")
-    assert base.count() == 617
-    assert base.groupBy("USUBJID", "LBTESTCD").count().filter("count > 1").count() == 0
-    assert base.filter(F.col("LBDY") > 1).count() == 0
-    assert {r[0] for r in lb.select("LBNRIND").distinct().collect()} <= {"LOW", "NORMAL", "HIGH", ""}
-
-
-def test_empty_domains_keep_structure(spark, study):
-    empty_ae = spark.createDataFrame([], schemas.struct("AE"))
-    empty_lb = spark.createDataFrame([], schemas.struct("LB"))
-    assert adam.build_adae(empty_ae, study.adsl).columns == schemas.ADAE_VARS
-    assert adam.build_adlb(empty_lb, study.adsl).columns == schemas.ADLB_VARS
-    assert adam.build_adae(empty_ae, study.adsl).count() == 0
-
-
-def test_adsl(study):
-    adsl = study.adsl
-    assert adsl.columns == schemas.ADSL_VARS
-    assert {r[0] for r in adsl.select("SAFFL").distinct().collect()} == {"Y"}
-    assert adsl.filter(F.col("TRTDURD") < 1).count() == 0
-    assert {r[0] for r in adsl.select("AGEGR1").distinct().collect()} <= {"<45", "45-64", ">=65"}
-    assert {r[0] for r in adsl.filter(F.col("DCSREAS") != "").select("EOSSTT").distinct().collect()} <= {"DISCONTINUED"}
-    assert adsl.filter(~F.col("TRT01PN").isin(0, 1, 2)).count() == 0
-
-
-def test_adae_treatment_emergent_flag(study):
-    adae = study.adae
-    expected = (F.col("ASTDT") >= F.col("TRTSDT")) & (F.col("ASTDT") <= F.date_add("TRTEDT", TEAE_WINDOW_DAYS))
-    assert adae.filter((F.col("TRTEMFL") == "Y") != F.coalesce(expected, F.lit(False))).count() == 0
-    counts = {r["TRTEMFL"]: r["count"] for r in adae.groupBy("TRTEMFL").count().collect()}
-    assert counts == {"Y": 818, "": 536}
-
-
-def test_adae_first_occurrence_flags(study):
-    adae = study.adae
-    teae = adae.filter(F.col("TRTEMFL") == "Y")
-    per = teae.groupBy("USUBJID").agg(F.sum((F.col("AOCCFL") == "Y").cast("int")).alias("n"))
-    assert per.filter("n != 1").count() == 0
-    per_pt = teae.groupBy("USUBJID", "AEDECOD").agg(F.sum((F.col("AOCCPFL") == "Y").cast("int")).alias("n"))
-    assert per_pt.filter("n != 1").count() == 0
-    non = adae.filter(F.col("TRTEMFL") != "Y")
-    assert non.filter((F.col("AOCCFL") != "") | (F.col("AOCCSFL") != "") | (F.col("AOCCPFL") != "")).count() == 0
-
-
-def test_adlb_change_from_baseline(study):
-    adlb = study.adlb
-    rows = adlb.filter(F.col("AVAL").isNotNull() & F.col("BASE").isNotNull())
-    assert rows.filter(F.abs(F.col("AVAL") - F.col("BASE") - F.col("CHG")) > 1e-9).count() == 0
-    assert adlb.filter((F.col("ABLFL") == "Y") & (F.abs(F.col("CHG")) > 1e-9)).count() == 0
-    ratio = adlb.filter(F.col("AVAL").isNotNull() & (F.col("ANRHI") > 0))
-    assert ratio.filter(F.abs(F.col("AVAL") / F.col("ANRHI") - F.col("R2ANRHI")) > 1e-9).count() == 0
-
-
-def test_adsl_uniqueness_is_enforced(spark, study):
-    dup = study.adsl.unionByName(study.adsl.limit(1))
-    try:
-        adam.build_adae(study.sdtm_ae, dup).count()
-    except Exception as exc:  # noqa: BLE001
-        assert "not unique" in str(exc)
-    else:
-        raise AssertionError("duplicate ADSL subject was not detected")
-
-
-def test_sequence_numbers_follow_input_order_on_ties(spark):
-    from tests.conftest import frame
-    from trialguard.operators import cleaning
-
-    dm = frame(spark, {"SUBJID": ["1"], "SITEID": ["1"], "AGE": ["40"], "SEX": ["M"], "RACE": ["ASIAN"], "ARMCD": ["PBO"], "ARM": ["Placebo"], "TRTSDT": ["2025-01-01"], "TRTEDT": ["2025-02-01"]})
-    ae = frame(spark, {"SUBJID": ["1", "1", "1"], "AEDECOD": ["B", "A", "A"], "AEBODSYS": ["S", "S", "S"], "AESTDT": ["2025-01-05", "2025-01-05", "2025-01-05"], "AETOXGR": ["1", "2", "3"], "AESER": ["N", "N", "N"]})
-    dmc = cleaning.flag_dm(dm).clean
-    aes = sdtm.build_ae(cleaning.flag_ae(ae, dmc).clean, sdtm.build_dm(dmc))
-    got = {r["AESEQ"]: r["AETOXGR"] for r in aes.collect()}
-    assert got == {1: 2, 2: 3, 3: 1}
+from trialguard.operators import adam, cleaning, sdtm
+
+D = dt.date.fromisoformat
+SUBJECTS = [
+    {"SUBJID": "a", "AGE": "44", "ARM": "Drug A 50 mg", "ARMCD": "DRGA50"},
+    {"SUBJID": "b", "AGE": "45", "TRTEDT": "2025-01-10"},
+    {"SUBJID": "c", "AGE": "65", "TRTSDT": "2025-02-01", "TRTEDT": "2025-01-01"},
+]
+EVENTS = [
+    {"SUBJID": "a", "AEDECOD": "Rash", "AEBODSYS": "Skin", "AESTDT": "2025-01-10", "AETOXGR": "2"},
+    {"SUBJID": "a", "AESTDT": "2025-01-09", "AETOXGR": "3"},  # the day before the first dose
+    {"SUBJID": "a", "AESTDT": "2025-01-10", "AETOXGR": "4"},
+    {"SUBJID": "a", "AEDECOD": "Rash", "AEBODSYS": "Skin", "AESTDT": "2025-01-10", "AETOXGR": "5"},
+    {"SUBJID": "a", "AEDECOD": "Vertigo", "AESTDT": "2025-02-19", "AETOXGR": "1"},  # 30 days after the last dose
+    {"SUBJID": "b", "AESTDT": "2025-02-10", "AETOXGR": "1"},  # 31 days after
+]
+LABS = [
+    {"SUBJID": "a", "LBDT": "2025-01-08", "LBORRES": "30"},
+    {"SUBJID": "a", "LBDT": "2025-01-10", "LBORRES": "50", "VISITNUM": "2.5", "VISIT": "V2"},
+    {"SUBJID": "a", "LBDT": "2025-01-10", "LBORRES": "40", "VISITNUM": "2.25", "VISIT": "V2"},
+    {"SUBJID": "a", "LBDT": "2025-01-10", "LBORRES": "n/a", "VISITNUM": "1"},  # no number, so no baseline
+    {"SUBJID": "a", "LBDT": "2025-01-20", "LBORRES": "100", "VISITNUM": "3", "VISIT": "V3"},
+    {"SUBJID": "a", "LBDT": "2025-01-20", "LBORRES": "5", "LBTESTCD": "AST", "LBTEST": ""},
+    {"SUBJID": "b", "LBDT": "2025-01-09", "LBORRES": "0"},
+    {"SUBJID": "b", "LBDT": "2025-01-11", "LBORRES": "8", "LBORNRHI": "x"},
+]
+
+
+@pytest.fixture(scope="module")
+def built(spark):
+    dm = cleaning.flag_dm(inline.raw(spark, inline.DM, SUBJECTS)).clean
+    ae = cleaning.flag_ae(inline.raw(spark, inline.AE, EVENTS), dm).clean_with_subject
+    lb = cleaning.flag_lb(inline.raw(spark, inline.LB, LABS), dm).clean_with_subject
+    out = {"DM": sdtm.build_dm(dm), "ADSL": adam.build_adsl(dm)}
+    out |= {"AE": sdtm.build_ae(ae, out["DM"]), "LB": sdtm.build_lb(lb, out["DM"])}
+    out |= {"ADAE": adam.build_adae(out["AE"], out["ADSL"]), "ADLB": adam.build_adlb(out["LB"], out["ADSL"])}
+    out["ADLB in one plan"] = adam.build_adlb(sdtm.build_lb_with_baseline(lb, out["DM"]), out["ADSL"])
+    return out
+
+
+def _rows(df, *columns):
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=str)
+
+
+@pytest.mark.parametrize("name", ["DM", "AE", "LB", "ADSL", "ADAE", "ADLB"])
+def test_variables_and_types_are_the_specified_ones(built, name):
+    assert [(f.name, f.dataType) for f in built[name].schema] == list(schemas.SPECS[name])
+
+
+def test_subjects(built):
+    got = _rows(built["ADSL"], "SUBJID", "AGEGR1", "AGEGR1N", "TRT01PN", "TRTEDT", "TRTDURD", "SAFFL", "EOSSTT")
+    assert got == [
+        ("a", "<45", 1, 1, D("2025-01-20"), 11, "Y", "COMPLETED"),
+        ("b", "45-64", 2, 0, D("2025-01-10"), 1, "Y", "COMPLETED"),
+        ("c", ">=65", 3, 0, D("2025-02-01"), 1, "Y", "COMPLETED"),
+    ]
+    assert _rows(built["DM"], "DOMAIN", "USUBJID")[0] == ("DM", "SYN-SAFETY-001-a")
+
+
+def test_events_are_numbered_and_flagged(built):
+    # grade tells the event; equal dates go by term, equal terms by input order; there is no day 0
+    got = _rows(built["ADAE"], "AESEQ", "AETOXGR", "ASTDY", "TRTEMFL", "AOCCFL", "AOCCSFL", "AOCCPFL")
+    assert got == [
+        (1, 1, 32, "", "", "", ""),
+        (1, 3, -1, "", "", "", ""),
+        (2, 4, 1, "Y", "Y", "Y", "Y"),
+        (3, 2, 1, "Y", "", "Y", "Y"),
+        (4, 5, 1, "Y", "", "", ""),
+        (5, 1, 41, "Y", "", "", "Y"),
+    ]
+
+
+def test_labs_are_numbered_and_have_a_baseline(built):
+    got = _rows(built["LB"], "USUBJID", "LBTESTCD", "LBSEQ", "LBORRES", "LBBLFL", "LBNRIND", "VISITNUM")
+    who = "SYN-SAFETY-001-"
+    assert got == [
+        (f"{who}a", "ALT", 1, "30", "", "NORMAL", 1), (f"{who}a", "ALT", 2, "n/a", "", "", 1),
+        (f"{who}a", "ALT", 3, "40", "Y", "NORMAL", 2), (f"{who}a", "ALT", 4, "50", "", "HIGH", 2),
+        (f"{who}a", "ALT", 5, "100", "", "HIGH", 3), (f"{who}a", "AST", 6, "5", "", "LOW", 1),
+        (f"{who}b", "ALT", 1, "0", "Y", "LOW", 1), (f"{who}b", "ALT", 2, "8", "", "", 1),
+    ]
+
+
+def test_change_from_baseline(built):
+    columns = ("PARAM", "AVAL", "BASE", "CHG", "PCHG", "BNRIND", "R2ANRHI")
+    alt, ast = "Alanine (U/L)", "AST (U/L)"
+    want = sorted([
+        (alt, 30.0, 40.0, -10.0, -25.0, "NORMAL", 0.75), (alt, None, 40.0, None, None, "NORMAL", None),
+        (alt, 40.0, 40.0, 0.0, 0.0, "NORMAL", 1.0), (alt, 50.0, 40.0, 10.0, 25.0, "NORMAL", 1.25),
+        (alt, 100.0, 40.0, 60.0, 150.0, "NORMAL", 2.5), (ast, 5.0, None, None, None, "", 0.125),
+        (alt, 0.0, 0.0, 0.0, None, "LOW", 0.0), (alt, 8.0, 0.0, 8.0, None, "LOW", None),
+    ], key=str)
+    assert _rows(built["ADLB"], *columns) == want and _rows(built["ADLB in one plan"], *columns) == want
+
+
+@pytest.mark.parametrize("name", ["AE", "LB"])
+def test_nothing_gives_nothing_with_all_variables(spark, built, name):
+    nothing = spark.createDataFrame([], schemas.struct(name))
+    made = (adam.build_adae if name == "AE" else adam.build_adlb)(nothing, built["ADSL"])
+    assert made.columns == schemas.struct(f"AD{name}").names and made.collect() == []
+
+
+def test_a_subject_that_is_there_twice_is_an_error(built):
+    twice = built["ADSL"].unionByName(built["ADSL"].limit(1))
+    with pytest.raises(Exception, match="not unique"):
+        adam.build_adae(built["AE"], twice).collect()

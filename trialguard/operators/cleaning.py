@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trialguard import terminology as tm
@@ -120,6 +120,21 @@ class Cleaned:
         return Cleaned(flagged, self.raw_columns, self.clean_columns, self.rules, self.looked_up)
 
 
+def of_stored(domain: str, flagged: DataFrame) -> Cleaned:
+    """The views over a stored (essential) flagged table of ``domain`` (``dm``, ``ae`` or ``lb``)."""
+    columns, rules = {
+        "dm": (DM_CLEAN_COLS, DM_RULES), "ae": (AE_CLEAN_COLS, AE_RULES), "lb": (LB_CLEAN_COLS, LB_RULES),
+    }[domain]
+    raw = [c for c in flagged.columns if not c.startswith(("_c_", "_hits")) and c != "QREASON"]
+    looked_up = tuple(c for c in (REFERENCE_DATE,) if f"_c_{c}" in flagged.columns)
+    return Cleaned(flagged, raw, columns, rules, looked_up)
+
+
+def quarantined() -> Column:
+    """Rows of a flagged table that are quarantined, as an aggregate."""
+    return F.count("QREASON").alias("quarantined")
+
+
 def with_defaults(raw: DataFrame, domain: str) -> DataFrame:
     """Add absent optional columns with their defaults, NULL text as ``''`` and ``RECNO`` if missing."""
     df = raw
@@ -136,8 +151,11 @@ def _raw_columns(df: DataFrame) -> list[str]:
     return ["RECNO"] + [c for c in df.columns if c != "RECNO"]
 
 
-def flag_dm(raw: DataFrame) -> Cleaned:
-    """Flag demographics with DM-R01..DM-R10 in one pass."""
+def flag_dm(raw: DataFrame, again: DataFrame | None = None) -> Cleaned:
+    """Flag demographics with DM-R01..DM-R10 in one pass.
+
+    The first copies of subjects are read from ``again``: the same rows without the metrics that ``raw`` may carry.
+    """
     df = with_defaults(raw, "dm")
     raw_cols = _raw_columns(df)
     subj = F.col("SUBJID")
@@ -145,7 +163,8 @@ def flag_dm(raw: DataFrame) -> Cleaned:
     # DM-R02: the first copy of a subject is the one with the lowest RECNO. A per-subject
     # minimum (partially aggregated before the shuffle) joined back keeps a heavily
     # duplicated subject from landing in one task.
-    first = df.filter(~blank).groupBy("SUBJID").agg(F.min("RECNO").alias("_first_recno"))
+    copies = df if again is None else with_defaults(again, "dm")
+    first = copies.filter(~blank).groupBy("SUBJID").agg(F.min("RECNO").alias("_first_recno"))
     df = df.join(first, "SUBJID", "left")
     df = df.withColumns(
         {

@@ -29,6 +29,10 @@ def _ensure_usubjid(df: DataFrame) -> DataFrame:
     return df if "USUBJID" in df.columns else df.withColumn("USUBJID", usubjid("SUBJID"))
 
 
+#: The domains that are built here.
+DOMAINS = ("DM", "AE", "LB")
+
+
 def conform(df: DataFrame, name: str) -> DataFrame:
     """Project to the dataset's fixed variable list and types."""
     return df.select(*[F.col(n).cast(t).alias(n) for n, t in schemas.SPECS[name]])
@@ -168,3 +172,8 @@ def build_lb(lb_clean: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
 def build_lb_with_baseline(lb_clean: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
     """LB and, beside its variables, the baseline's value and indicator: ADLB then needs no second lookup."""
     return lab_domain(lab_rows(lb_clean, dm_sdtm), BASE_VALUE, BASE_INDICATOR)
+
+
+def without_baseline(lb: DataFrame) -> DataFrame:
+    """The variables of LB alone."""
+    return lb.drop(BASE_VALUE, BASE_INDICATOR)

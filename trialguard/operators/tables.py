@@ -68,12 +68,48 @@ def safety_n(adsl: DataFrame) -> DataFrame:
     return out.orderBy(F.col("Arm") == TOTAL, "Arm")
 
 
+def _event_flags() -> list[Column]:
+    """Conditions on an event: the overview's categories in display order, then the safety population."""
+    return [
+        F.lit(True),
+        F.col("AESER") == "Y",
+        F.col("ATOXGR") >= 3,
+        F.col("AEREL").isin(*tm.RELATED_TERMS),
+        F.col("AEACN") == "DRUG WITHDRAWN",
+        F.col("AEOUT") == "FATAL",
+        F.col("SAFFL") == "Y",
+    ]
+
+
+#: The conditions that a subject's events of one term meet, as bits in the order of ``_event_flags``.
+EVENT_BITS = "_bits"
+SAFETY_BIT = 6
+
+
+def event_profile(adae: DataFrame) -> DataFrame:
+    """Treatment-emergent events as ``TRTA, USUBJID, SOC, PT`` and the set of conditions that any of them meets.
+
+    One aggregate of ADAE, partially done before the shuffle, from which every event table is read. A profile is
+    passed on as it is.
+    """
+    if EVENT_BITS in adae.columns:
+        return adae
+    bits = sum((F.when(c, 1 << i).otherwise(0) for i, c in enumerate(_event_flags())), F.lit(0))
+    return (
+        adae.filter(F.col("TRTEMFL") == "Y")
+        .groupBy("TRTA", "USUBJID", F.col("AEBODSYS").alias("SOC"), F.col("AEDECOD").alias("PT"))
+        .agg(F.bit_or(bits).alias(EVENT_BITS))
+    )
+
+
+def _has(bit: int) -> Column:
+    return F.col(EVENT_BITS).bitwiseAND(1 << bit) > 0
+
+
 def teae(adae: DataFrame, safety_only: bool = True) -> DataFrame:
-    """Treatment-emergent rows (of the safety population unless ``safety_only`` is False)."""
-    cond = F.col("TRTEMFL") == "Y"
-    if safety_only:
-        cond = cond & (F.col("SAFFL") == "Y")
-    return adae.filter(cond)
+    """The profile of treatment-emergent events (of the safety population unless ``safety_only`` is False)."""
+    profile = event_profile(adae)
+    return profile.filter(_has(SAFETY_BIT)) if safety_only else profile
 
 
 def per_arm_counts(arms: Arms, arm_col: str = "TRTA") -> list[Column]:
@@ -185,32 +221,18 @@ OVERVIEW_CATEGORIES = (
 )
 
 
-def _overview_flags() -> list[Column]:
-    return [
-        F.lit(True),
-        F.col("AESER") == "Y",
-        F.col("ATOXGR") >= 3,
-        F.col("AEREL").isin(*tm.RELATED_TERMS),
-        F.col("AEACN") == "DRUG WITHDRAWN",
-        F.col("AEOUT") == "FATAL",
-    ]
-
-
 def teae_overview(adsl: DataFrame, adae: DataFrame, arms: Arms | None = None) -> DataFrame:
     """Six category rows; n (%) per arm and Total plus numeric ``_n_<arm>`` columns.
 
-    One pass: per-subject ``bool_or`` of the six categories, then one global
-    aggregate of subject counts per (category, arm). A global aggregate always
-    yields a row, so an empty ADAE still gives six rows of zeros.
+    Conditions are united by subject, then one global aggregate counts subjects
+    per (category, arm). A global aggregate always yields a row, so an empty
+    ADAE still gives six rows of zeros.
     """
     arms = arms or arm_summary(adsl)
-    flags = _overview_flags()
-    per_subject = teae(adae).groupBy("TRTA", "USUBJID").agg(
-        *[F.bool_or(F.coalesce(f, F.lit(False))).alias(f"c{i}") for i, f in enumerate(flags)]
-    )
+    per_subject = teae(adae).groupBy("TRTA", "USUBJID").agg(F.bit_or(EVENT_BITS).alias(EVENT_BITS))
     sums = [
-        F.count(F.when((F.col("TRTA") == a) & F.col(f"c{i}"), F.lit(1))).alias(f"n{i}_{j}")
-        for i in range(len(flags))
+        F.count(F.when((F.col("TRTA") == a) & _has(i), F.lit(1))).alias(f"n{i}_{j}")
+        for i in range(len(OVERVIEW_CATEGORIES))
         for j, a in enumerate(arms.names)
     ] or [F.count(F.lit(1)).alias("_rows")]
     agg = per_subject.agg(*sums)
@@ -251,12 +273,10 @@ def subjects_by_arm(df: DataFrame, keys: list[str], arms: Arms) -> DataFrame:
 def teae_soc_pt(adsl: DataFrame, adae: DataFrame, arms: Arms | None = None) -> DataFrame:
     """T4: one row per SOC (PT = '') and per (SOC, PT), ordered by SOC total, SOC, SOC row first, PT total.
 
-    Subjects are de-duplicated per PT first; the SOC grain is expanded from those few rows and de-duplicated
-    again, so a subject counts once per SOC however many PTs it has there. Columns: SOC, PT, arms, Total, _total.
+    The profile has a subject once per PT; the SOC grain is expanded from it and de-duplicated, so a subject counts once per SOC however many PTs it has there. Columns: SOC, PT, arms, Total, _total.
     """
     arms = arms or arm_summary(adsl)
-    terms = teae(adae).select("TRTA", "USUBJID", F.col("AEBODSYS").alias("SOC"), F.col("AEDECOD").alias("PT")).distinct()
-    t = terms.select(
+    t = teae(adae).select(
         "TRTA",
         "USUBJID",
         "SOC",
@@ -305,7 +325,7 @@ def risk_differences(adsl: DataFrame, adae: DataFrame, control: str = tm.CONTROL
     actives = [a for a in arms.names if a != control]
     if control not in arms.names or not actives:
         return t.select(*[F.lit(None).cast(v).alias(c) for c, v in RISK_TYPES.items()]).limit(0)
-    wide = subjects_by_arm(t.withColumnRenamed("AEBODSYS", "SOC").withColumnRenamed("AEDECOD", "PT"), ["SOC", "PT"], arms)
+    wide = t.groupBy("SOC", "PT").agg(*per_arm_counts(arms))  # the profile has a subject once per term
     k = _k(arms)
     per_arm = F.explode(
         F.array(*[F.struct(F.lit(a).alias("Arm"), k(a).alias("xa"), F.lit(arms.n[a]).cast("long").alias("na")) for a in actives])
@@ -330,7 +350,7 @@ def risk_differences(adsl: DataFrame, adae: DataFrame, control: str = tm.CONTROL
 def wilson_by_pt(adsl: DataFrame, adae: DataFrame, arms: Arms | None = None) -> DataFrame:
     """E20 on data: Wilson 95% interval of each (PT, arm) TEAE incidence in the safety population."""
     arms = arms or arm_summary(adsl)
-    wide = subjects_by_arm(teae(adae).withColumnRenamed("AEDECOD", "PT"), ["PT"], arms)
+    wide = subjects_by_arm(teae(adae), ["PT"], arms)
     k = _k(arms)
     per_arm = F.explode(
         F.array(*[F.struct(F.lit(a).alias("Arm"), k(a).alias("x"), F.lit(arms.n[a]).cast("long").alias("n")) for a in arms.names])
@@ -353,16 +373,47 @@ def post_baseline() -> Column:
     return (F.col("ABLFL") != "Y") & (F.coalesce(F.col("ADY"), F.lit(0)) > 1)
 
 
-def lab_shift(adlb: DataFrame) -> DataFrame:
-    """Subjects by parameter, arm, baseline indicator and worst post-baseline indicator (HIGH > LOW > NORMAL).
+#: Which grouping of the lab profile a row belongs to.
+LAB_SET = "_set"
+_SUBJECT_SET, _VISIT_SET = ["PARAMCD", "TRTA", "USUBJID", "BNRIND"], ["PARAMCD", "TRTA", "PARAM", "AVISITN", "AVISIT"]
 
-    No safety-population filter (as published).
+
+def lab_profile(adlb: DataFrame) -> DataFrame:
+    """What the lab tables are made of, in one pass over ADLB: two grouping sets, each partially aggregated.
+
+    By parameter, arm, subject and baseline indicator: ``_rank`` of the worst post-baseline indicator and ``_peak``
+    ratio to the upper limit. By parameter, arm and visit: ``_n``, ``_mean`` and ``_sd`` of the change. A profile is
+    passed on as it is.
     """
-    post = adlb.filter(post_baseline() & (F.col("ANRIND") != "") & (F.col("BNRIND") != ""))
+    if LAB_SET in adlb.columns:
+        return adlb
     # FIXED VALUES: worst-indicator ranking '' 0, NORMAL 1, LOW 2, HIGH 3.
     a = F.col("ANRIND")
     rank = F.when(a == "NORMAL", 1).when(a == "LOW", 2).when(a == "HIGH", 3).otherwise(0)
-    worst = post.groupBy("PARAMCD", "TRTA", "USUBJID", "BNRIND").agg(F.max(rank).alias("_rank"))
+    shifted = post_baseline() & (a != "") & (F.col("BNRIND") != "")
+    changed = (F.col("ABLFL") != "Y") & (F.col("AVISITN") > 1)
+    # grouping columns are NULL in the other set's rows, so what is aggregated is computed before
+    rows = adlb.select(
+        *dict.fromkeys(_SUBJECT_SET + _VISIT_SET),
+        F.when(shifted, rank).alias("_rank"), F.when(post_baseline(), F.col("R2ANRHI")).alias("_peak"),
+        F.when(changed, F.col("CHG")).alias("_chg"),
+    ).filter(F.coalesce("_rank", "_peak", "_chg").isNotNull())
+    return rows.groupingSets(
+        [[F.col(c) for c in _SUBJECT_SET], [F.col(c) for c in _VISIT_SET]],
+        *[F.col(c) for c in dict.fromkeys(_SUBJECT_SET + _VISIT_SET)],
+    ).agg(
+        F.when(F.grouping("USUBJID") == 1, "visit").otherwise("subject").alias(LAB_SET),
+        F.max("_rank").alias("_rank"), F.max("_peak").alias("_peak"),
+        F.count("_chg").alias("_n"), F.avg("_chg").alias("_mean"), F.stddev_samp("_chg").alias("_sd"),
+    )
+
+
+def lab_shift(adlb: DataFrame) -> DataFrame:
+    """Subjects by parameter, arm, baseline indicator and worst post-baseline indicator (HIGH > LOW > NORMAL).
+
+    No safety-population filter (as published).
+    """
+    worst = lab_profile(adlb).filter((F.col(LAB_SET) == "subject") & F.col("_rank").isNotNull())
     r = F.col("_rank")
     label = F.when(r == 1, "NORMAL").when(r == 2, "LOW").when(r == 3, "HIGH").otherwise("")
     return worst.groupBy("PARAMCD", "TRTA", "BNRIND", label.alias("Worst post-baseline")).agg(
@@ -375,9 +426,9 @@ def hys_law(adlb: DataFrame) -> DataFrame:
 
     Peaks need not come from the same visit; subjects with no ratio at all are absent.
     """
-    post = adlb.filter(post_baseline() & F.col("PARAMCD").isin("ALT", "AST", "BILI"))
+    post = lab_profile(adlb).filter((F.col(LAB_SET) == "subject") & F.col("PARAMCD").isin("ALT", "AST", "BILI"))
     wide = post.groupBy("USUBJID", "TRTA").agg(
-        *[F.max(F.when(F.col("PARAMCD") == p, F.col("R2ANRHI"))).alias(p) for p in ("ALT", "AST", "BILI")]
+        *[F.max(F.when(F.col("PARAMCD") == p, F.col("_peak"))).alias(p) for p in ("ALT", "AST", "BILI")]
     )
     wide = wide.filter(F.col("ALT").isNotNull() | F.col("AST").isNotNull() | F.col("BILI").isNotNull())
     peak = F.greatest("ALT", "AST")
@@ -393,13 +444,8 @@ def hys_law(adlb: DataFrame) -> DataFrame:
 
 def lab_mean_change(adlb: DataFrame) -> DataFrame:
     """N, mean change and SE = sd / sqrt(n) by parameter, arm and post-baseline visit (n = 1 -> SE NULL)."""
-    post = adlb.filter((F.col("ABLFL") != "Y") & F.col("CHG").isNotNull() & (F.col("AVISITN") > 1))
-    g = post.groupBy("PARAMCD", "PARAM", "TRTA", "AVISITN", "AVISIT").agg(
-        F.count("CHG").alias("n"),
-        F.avg("CHG").alias("Mean CHG"),
-        F.stddev_samp("CHG").alias("_sd"),
-    )
-    return g.select(
-        "PARAMCD", "PARAM", "TRTA", "AVISITN", "AVISIT", "n", "`Mean CHG`",
-        (F.col("_sd") / F.sqrt(F.col("n").cast("double"))).alias("SE"),
+    visits = lab_profile(adlb).filter((F.col(LAB_SET) == "visit") & (F.col("_n") > 0))
+    return visits.select(
+        "PARAMCD", "PARAM", "TRTA", "AVISITN", "AVISIT", F.col("_n").alias("n"), F.col("_mean").alias("Mean CHG"),
+        (F.col("_sd") / F.sqrt(F.col("_n").cast("double"))).alias("SE"),
     ).orderBy(*MEAN_CHANGE_COLUMNS[:5])

@@ -53,7 +53,7 @@ def pt_incidence_top(adae: DataFrame, arms: T.Arms, top_n: int = 12) -> DataFram
     """
     counts = (
         T.teae(adae, safety_only=False)
-        .select("AEDECOD", "TRTA", "USUBJID")
+        .select(F.col("PT").alias("AEDECOD"), "TRTA", "USUBJID")
         .distinct()
         .groupBy("AEDECOD", "TRTA")
         .agg(F.count(F.lit(1)).alias("Subjects"))

@@ -16,10 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trialguard import sinks
+from trialguard import files, sinks
 from trialguard.functions import for_transport, iso_date, to_number
 from trialguard.operators import adam, cleaning, conformance, sdtm, tables, views
 from trialguard.operators.rules import by_severity, sort_findings, union_all
+from trialguard.plans.stages import StageStore, shared_store
 from trialguard.sources import fixtures
 from trialguard.sources.raw import normalize_values
 from trialguard import terminology as tm
@@ -94,6 +95,16 @@ class Study:
     def arms(self) -> tables.Arms:
         return tables.arm_summary(self.adsl)
 
+    @property
+    def events(self) -> DataFrame:
+        """What the event tables are read from."""
+        return self.adae
+
+    @property
+    def labs(self) -> DataFrame:
+        """What the lab tables are read from."""
+        return self.adlb
+
     def conformance(self) -> DataFrame:
         return conformance.check_sdtm(self.spark, {"DM": self.sdtm_dm, "AE": self.sdtm_ae, "LB": self.sdtm_lb})
 
@@ -101,6 +112,66 @@ class Study:
         return union_all([self.dm.findings, self.ae.findings, self.lb.findings, self.conformance()])
 
 
+class StoredStudy(Study):
+    """The same study over stored stages, which all its queries share.
+
+    Stages lie in the session's shared folder under the fingerprint of the input files, so each raw table is read
+    once however many queries ask, and a plan starts at the closest stage. Asking for a stage that is not there yet
+    stores it.
+    """
+
+    @cached_property
+    def store(self) -> StageStore:
+        inputs = (f"{self.sf_dir.rstrip('/')}/{t}.parquet" for t in ("customer", "orders", "lineitem"))
+        return shared_store(self.spark, files.fingerprint(self.spark, *inputs))
+
+    def _flagged(self, domain: str, build: Callable[[], cleaning.Cleaned]) -> cleaning.Cleaned:
+        return cleaning.of_stored(domain, self.store.get(f"flagged/{domain}", lambda: build().essential))
+
+    @cached_property
+    def dm(self) -> cleaning.Cleaned:
+        return self._flagged("dm", lambda: cleaning.flag_dm(self.raw["dm"]))
+
+    @cached_property
+    def ae(self) -> cleaning.Cleaned:
+        return self._flagged("ae", lambda: cleaning.flag_ae(self.raw["ae"], self.dm.clean))
+
+    @cached_property
+    def lb(self) -> cleaning.Cleaned:
+        return self._flagged("lb", lambda: cleaning.flag_lb(self.raw["lb"], self.dm.clean))
+
+    @cached_property
+    def sdtm_ae(self) -> DataFrame:
+        return self.store.get("sdtm/ae", lambda: sdtm.build_ae(self.ae.clean_with_subject, self.sdtm_dm))
+
+    @cached_property
+    def lb_with_baseline(self) -> DataFrame:
+        return self.store.get("sdtm/lb", lambda: sdtm.build_lb_with_baseline(self.lb.clean_with_subject, self.sdtm_dm))
+
+    @cached_property
+    def sdtm_lb(self) -> DataFrame:
+        return sdtm.without_baseline(self.lb_with_baseline)
+
+    @cached_property
+    def adae(self) -> DataFrame:
+        return self.store.get("adam/adae", lambda: adam.build_adae(self.sdtm_ae, self.adsl))
+
+    @cached_property
+    def adlb(self) -> DataFrame:
+        return self.store.get("adam/adlb", lambda: adam.build_adlb(self.lb_with_baseline, self.adsl))
+
+    @cached_property
+    def events(self) -> DataFrame:
+        return self.store.get("profile/events", lambda: tables.event_profile(self.adae))
+
+    @cached_property
+    def labs(self) -> DataFrame:
+        return self.store.get("profile/labs", lambda: tables.lab_profile(self.adlb))
+
+    def findings(self) -> DataFrame:
+        return self.store.get("findings", super().findings)
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -108,6 +179,10 @@ def _q(fn: Callable[[Study], DataFrame]) -> Query:
     return lambda spark, sf_dir: rounded(fn(Study(spark, sf_dir)))
 
 
+def _stored(fn: Callable[[Study], DataFrame]) -> Query:
+    return lambda spark, sf_dir: rounded(fn(StoredStudy(spark, sf_dir)))
+
+
 def _expr_dates(s: Study) -> DataFrame:
     r = s.raw["ae"]
     return r.select(
@@ -177,14 +252,14 @@ def _digest(s: Study) -> DataFrame:
 
 
 def _forest(s: Study) -> DataFrame:
-    risk = tables.risk_differences(s.adsl, s.adae, arms=s.arms)
+    risk = tables.risk_differences(s.adsl, s.events, arms=s.arms)
     arm = views.default_forest_arm(s.arms)
     return views.forest_rows(risk, arm or "")
 
 
 def _kpis(s: Study) -> DataFrame:
-    ov = tables.teae_overview(s.adsl, s.adae, s.arms)
-    return views.dashboard_kpis(s.adsl, ov, tables.hys_law(s.adlb))
+    ov = tables.teae_overview(s.adsl, s.events, s.arms)
+    return views.dashboard_kpis(s.adsl, ov, tables.hys_law(s.labs))
 
 
 QUERIES: dict[str, Query] = {
@@ -214,37 +289,37 @@ QUERIES: dict[str, Query] = {
     "adae": _q(lambda s: s.adae),
     "adlb": _q(lambda s: s.adlb),
     # conformance
-    "conformance": _q(lambda s: s.conformance()),
-    "conformance_broken": _q(_conformance_broken),
+    "conformance": _stored(lambda s: s.conformance()),
+    "conformance_broken": _stored(_conformance_broken),
     "conformance_orphans": _q(_conformance_orphans),
-    "labs_without_baseline": _q(lambda s: conformance.subjects_without_baseline(s.sdtm_lb)),
+    "labs_without_baseline": _stored(lambda s: conformance.subjects_without_baseline(s.sdtm_lb)),
     # safety tables
     "arm_order": _q(lambda s: tables.arm_order(s.adsl)),
     "safety_n": _q(lambda s: tables.safety_n(s.adsl)),
-    "demographics": _q(lambda s: tables.demographics(s.adsl, s.arms)),
-    "teae_overview": _q(lambda s: tables.teae_overview(s.adsl, s.adae, s.arms)),
-    "teae_soc_pt": _q(lambda s: tables.teae_soc_pt(s.adsl, s.adae, s.arms)),
-    "risk_differences": _q(lambda s: tables.risk_differences(s.adsl, s.adae, arms=s.arms)),
-    "wilson_by_pt": _q(lambda s: tables.wilson_by_pt(s.adsl, s.adae, s.arms)),
-    "lab_shift": _q(lambda s: tables.lab_shift(s.adlb)),
-    "hys_law": _q(lambda s: tables.hys_law(s.adlb)),
-    "lab_mean_change": _q(lambda s: tables.lab_mean_change(s.adlb)),
+    "demographics": _stored(lambda s: tables.demographics(s.adsl, s.arms)),
+    "teae_overview": _stored(lambda s: tables.teae_overview(s.adsl, s.events, s.arms)),
+    "teae_soc_pt": _stored(lambda s: tables.teae_soc_pt(s.adsl, s.events, s.arms)),
+    "risk_differences": _stored(lambda s: tables.risk_differences(s.adsl, s.events, arms=s.arms)),
+    "wilson_by_pt": _stored(lambda s: tables.wilson_by_pt(s.adsl, s.events, s.arms)),
+    "lab_shift": _stored(lambda s: tables.lab_shift(s.labs)),
+    "hys_law": _stored(lambda s: tables.hys_law(s.labs)),
+    "lab_mean_change": _stored(lambda s: tables.lab_mean_change(s.labs)),
     # findings and run control
-    "findings": _q(lambda s: sort_findings(s.findings())),
-    "findings_by_severity": _q(lambda s: by_severity(s.findings())),
-    "run_status": _q(_run_status),
-    "record_counts": _q(_record_counts),
+    "findings": _stored(lambda s: sort_findings(s.findings())),
+    "findings_by_severity": _stored(lambda s: by_severity(s.findings())),
+    "run_status": _stored(_run_status),
+    "record_counts": _stored(_record_counts),
     # sinks
     "xpt_ready_adsl": _q(lambda s: for_transport(s.adsl)),
-    "dataset_metadata": _q(_metadata),
-    "content_digest": _q(_digest),
+    "dataset_metadata": _stored(_metadata),
+    "content_digest": _stored(_digest),
     # dashboard views
-    "dashboard_kpis": _q(_kpis),
-    "pt_incidence_top": _q(lambda s: views.pt_incidence_top(s.adae, s.arms, TOP_PTS)),
-    "forest_rows": _q(_forest),
-    "soc_pt_search": _q(lambda s: views.soc_pt_search(tables.teae_soc_pt(s.adsl, s.adae, s.arms), SEARCH_QUERY)),
-    "edish_points": _q(lambda s: views.edish_points(tables.hys_law(s.adlb))),
-    "mean_change_band": _q(lambda s: views.mean_change_band(tables.lab_mean_change(s.adlb))),
-    "lab_shift_wide": _q(lambda s: views.lab_shift_wide(tables.lab_shift(s.adlb))),
-    "dataset_preview": _q(lambda s: views.dataset_preview(s.adae, ["USUBJID", "AESEQ"], PREVIEW_ROWS)),
+    "dashboard_kpis": _stored(_kpis),
+    "pt_incidence_top": _stored(lambda s: views.pt_incidence_top(s.events, s.arms, TOP_PTS)),
+    "forest_rows": _stored(_forest),
+    "soc_pt_search": _stored(lambda s: views.soc_pt_search(tables.teae_soc_pt(s.adsl, s.events, s.arms), SEARCH_QUERY)),
+    "edish_points": _stored(lambda s: views.edish_points(tables.hys_law(s.labs))),
+    "mean_change_band": _stored(lambda s: views.mean_change_band(tables.lab_mean_change(s.labs))),
+    "lab_shift_wide": _stored(lambda s: views.lab_shift_wide(tables.lab_shift(s.labs))),
+    "dataset_preview": _stored(lambda s: views.dataset_preview(s.adae, ["USUBJID", "AESEQ"], PREVIEW_ROWS)),
 }

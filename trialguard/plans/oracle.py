@@ -523,8 +523,13 @@ def _digest_sql(w: str) -> str:
     for name, table in (("DM", "sdtm_dm"), ("AE", "sdtm_ae"), ("LB", "sdtm_lb"), ("ADSL", "adsl"), ("ADAE", "adae"), ("ADLB", "adlb")):
         texts = []
         for column, kind in schemas.SPECS[name]:
-            text = f"CAST(CAST(round({column}, 6) AS DECIMAL(38, 6)) AS VARCHAR)" if kind == schemas.D else f"CAST({column} AS VARCHAR)"
-            texts.append(f"coalesce('V' || length({text}) || ':' || {text}, 'N')")
+            if kind == schemas.D:
+                text = f"CAST(CAST(floor({column} * 1e6 + 0.5) AS BIGINT) AS VARCHAR) || ';'"
+            elif kind.typeName() == "string":
+                text = f"'V' || length({column}) || ':' || {column}"
+            else:
+                text = f"CAST({column} AS VARCHAR) || ';'"
+            texts.append(f"coalesce({text}, 'N')")
         bits = f"CAST('0x' || substr(sha256({' || '.join(texts)}), 1, 15) AS BIGINT)"
         parts.append(f"SELECT '{name}' AS dataset, CAST(count(*) AS BIGINT) AS records, CAST(coalesce(sum({bits}), 0) AS VARCHAR) AS digest FROM {table}")
     return f"{w} " + " UNION ALL ".join(parts)

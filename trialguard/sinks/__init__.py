@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trialguard import files
 from trialguard import terminology as tm
 from trialguard.functions import for_transport
 
@@ -121,39 +122,48 @@ def dataset_metadata(spark: SparkSession, datasets: dict[str, DataFrame], record
 def row_text(df: DataFrame) -> Column:
     """A row as text that tells NULL from any value and keeps values in their columns.
 
-    Each value is ``V``, its length, a colon and its text, a NULL is ``N``. Numbers with a fraction are taken to six
-    decimals, so that other engines can make the same text.
+    A NULL is ``N``; text is ``V``, its length, a colon and itself; other values are their text and a semicolon.
+    Numbers with a fraction are taken to six decimals, as a whole number of millionths, so that other engines can make
+    the same text; beyond 10**12 they are taken as they are.
     """
     parts = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            exact = F.round(c, 6).try_cast("decimal(38,6)").cast("string")
-            c = F.when(c.isNotNull(), F.coalesce(exact, c.cast("string")))
+        if isinstance(f.dataType, T.StringType):
+            part = F.concat(F.lit("V"), F.length(c).cast("string"), F.lit(":"), c)
+        elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            millionths = F.when(F.abs(c) < 1e12, F.floor(c * 1e6 + 0.5).cast("string")).otherwise(c.cast("string"))
+            part = F.concat(millionths, F.lit(";"))
         else:
-            c = c.cast("string")
-        parts.append(F.coalesce(F.concat(F.lit("V"), F.length(c).cast("string"), F.lit(":"), c), F.lit("N")))
+            part = F.concat(c.cast("string"), F.lit(";"))
+        parts.append(F.coalesce(part, F.lit("N")))
     return F.concat(*parts)
 
 
-def digest_columns(df: DataFrame) -> list[Column]:
-    """O6 aggregates: ``records`` (row count) and ``digest``, the sum over rows of the first 60 bits of the
-    SHA-256 of ``row_text``, as text."""
-    bits = F.conv(F.substring(F.sha2(row_text(df), 256), 1, 15), 16, 10).cast("decimal(38,0)")
-    return [F.count(F.lit(1)).alias("records"), F.coalesce(F.sum(bits), F.lit(0).cast("decimal(38,0)")).cast("string").alias("digest")]
+def row_digest(df: DataFrame) -> Column:
+    """The first 60 bits of the SHA-256 of ``row_text``, as a whole number."""
+    return F.conv(F.substring(F.sha2(row_text(df), 256), 1, 15), 16, 10).cast("long")
+
+
+def _digest_of(row: Column) -> list[Column]:
+    """O6 aggregates of row digests: ``records`` (row count) and ``digest`` (their sum, as text)."""
+    total = F.sum(row.cast("decimal(20,0)")).cast("decimal(38,0)")
+    return [F.count(F.lit(1)).alias("records"), F.coalesce(total, F.lit(0).cast("decimal(38,0)")).cast("string").alias("digest")]
 
 
 def content_digest(df: DataFrame) -> DataFrame:
-    """Order-insensitive digest of a dataset: row count and sum of row hashes (``digest_columns``).
+    """Order-insensitive digest of a dataset: row count and sum of row hashes (``row_digest``).
 
     Computed by the executors in one aggregation, so any size of output can be
     fingerprinted without a single task reading it whole.
     """
-    return df.agg(*digest_columns(df))
+    return df.agg(*_digest_of(row_digest(df)))
 
 
-def observed_digest(df: DataFrame, without: tuple[str, ...] = ()) -> tuple[DataFrame, Observation]:
-    """``df`` with the O6 aggregates of its columns, but for ``without``, attached as observed metrics.
+def observed_digest(
+    df: DataFrame, without: tuple[str, ...] = (), metrics: tuple[Column, ...] = ()
+) -> tuple[DataFrame, Observation]:
+    """``df`` with the O6 aggregates of its columns, but for ``without``, and ``metrics`` attached as observed metrics.
 
     The digest is computed by the action that writes ``df`` (partial aggregates
     per task, merged on the driver), so fingerprinting an output costs no
@@ -161,11 +171,12 @@ def observed_digest(df: DataFrame, without: tuple[str, ...] = ()) -> tuple[DataF
     once that action has finished.
     """
     obs = Observation(f"digest_{uuid.uuid4().hex}")
-    return df.observe(obs, *digest_columns(df.drop(*without))), obs
+    # the row's digest is a column of its own, so that it is generated code and not the metric's interpreted one
+    row = "_row_digest"
+    marked = df.withColumn(row, row_digest(df.drop(*without)))
+    return marked.observe(obs, *_digest_of(F.col(row)), *metrics).drop(row), obs
 
 
 def write_json(spark: SparkSession, obj, path: str) -> str:
-    """A small JSON document (manifest, metadata) as one text file through Spark's writers."""
-    text = json.dumps(obj, indent=2, default=str)
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
-    return path
+    """A small JSON document (the manifest) as one file, put in place in one act."""
+    return files.write_text(spark, path, json.dumps(obj, indent=2, default=str))

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trialguard import files
 from trialguard.terminology import REQUIRED_RAW
 
 # FIXED VALUES: text the raw reader treats as missing, and candidate delimiters.
@@ -35,16 +36,6 @@ class InputError(ValueError):
     """A raw file that cannot be used at all (as opposed to row-level problems)."""
 
 
-def path_size(spark: SparkSession, path: str) -> int | None:
-    """Total bytes under ``path`` from the Hadoop file system (metadata only), None if it does not exist."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return None
-    return int(fs.getContentSummary(p).getLength())
-
-
 def detect_delimiter(header_line: str) -> str:
     """S3: the most frequent of comma, semicolon, tab and pipe in the header line."""
     counts = {d: header_line.count(d) for d in DELIMITERS}
@@ -119,7 +110,7 @@ def read_raw(
     block's partition.
     """
     name = path.rstrip("/").rsplit("/", 1)[-1]
-    size = path_size(spark, path)
+    size = files.size(spark, path)
     if size is None:
         raise InputError(f"{name}: file not found")
     if size == 0:
@@ -192,6 +183,6 @@ def discover(spark: SparkSession, raw_dir: str, domain: str) -> str | None:
     """``{d}_raw.csv``, then ``{d}_raw.parquet``, then ``{d}.csv`` under ``raw_dir``; None if absent."""
     for candidate in (f"{domain}_raw.csv", f"{domain}_raw.parquet", f"{domain}.csv"):
         path = f"{raw_dir.rstrip('/')}/{candidate}"
-        if path_size(spark, path) is not None:
+        if files.size(spark, path) is not None:
             return path
     return None
