@@ -112,3 +112,21 @@ def test_input_order_of_many_files(spark, tmp_path):
 
 def test_delimiter_detection():
     assert R.detect_delimiter("A;B;C") == ";" and R.detect_delimiter("A\tB") == "\t" and R.detect_delimiter("A") == ","
+
+
+@pytest.mark.parametrize(
+    ("line", "rejected"),
+    [
+        ("1,2,3,4,5,6,7,8,9", False), ("1,2", False), ("1,2,3,4,5,6,7,8,9,,,,,,,", False), ("1,2,3,4,5,6,7,8,9, , ", False),
+        ("1,2,3,4,5,6,7,8,9,x", True), ("1,2,3,4,5,6,7,8,9,,,,,x", True), ("1,2,3,4,5,6,7,8,9" + "," * 40 + "x", True),
+        ('1,2,3,4,"a,b,c,d,e,f,g",6,7,8,9', False), ('1,2,3,4,"a ""q"", b",6,7,8,9,,"z"', True), ('"a,b","c,d,e,f,g,h,i,j,k"', False),
+    ],
+)
+def test_a_value_beyond_the_header_rejects_the_file(spark, tmp_path, line, rejected):
+    path = tmp_path / "dm_raw.csv"
+    path.write_text("SUBJID,SITEID,AGE,SEX,RACE,ARMCD,ARM,TRTSDT,TRTEDT\na,1,40,M,ASIAN,PBO,Placebo,2025-01-01,2025-01-02\n" + line + "\n")
+    if rejected:
+        with pytest.raises(R.InputError, match="more fields than the header"):
+            R.read_raw(spark, str(path), "dm")
+    else:
+        assert R.read_raw(spark, str(path), "dm").count() == 2

@@ -20,6 +20,7 @@ from trialguard import files, sinks
 from trialguard.functions import for_transport, iso_date, to_number
 from trialguard.operators import adam, cleaning, conformance, sdtm, tables, views
 from trialguard.operators.rules import by_severity, sort_findings, union_all
+from trialguard.plans import readers
 from trialguard.plans.stages import StageStore, shared_store
 from trialguard.sources import fixtures
 from trialguard.sources.raw import normalize_values
@@ -179,7 +180,12 @@ def _q(fn: Callable[[Study], DataFrame]) -> Query:
     return lambda spark, sf_dir: rounded(fn(Study(spark, sf_dir)))
 
 
-def _stored(fn: Callable[[Study], DataFrame]) -> Query:
+#: Queries that store stages, or files to read, when they are composed.
+STORING = set(readers.QUERIES)
+
+
+def _stored(name: str, fn: Callable[[Study], DataFrame]) -> Query:
+    STORING.add(name)
     return lambda spark, sf_dir: rounded(fn(StoredStudy(spark, sf_dir)))
 
 
@@ -270,6 +276,7 @@ QUERIES: dict[str, Query] = {
     "normalized_dm": _q(lambda s: normalize_values(s.raw["dm"])),
     "expr_dates": _q(_expr_dates),
     "expr_numbers": _q(_expr_numbers),
+    **readers.QUERIES,
     # cleaning, quarantine, findings
     "dm_clean": _q(lambda s: s.dm.clean),
     "ae_clean": _q(lambda s: s.ae.clean),
@@ -289,37 +296,37 @@ QUERIES: dict[str, Query] = {
     "adae": _q(lambda s: s.adae),
     "adlb": _q(lambda s: s.adlb),
     # conformance
-    "conformance": _stored(lambda s: s.conformance()),
-    "conformance_broken": _stored(_conformance_broken),
+    "conformance": _stored("conformance", lambda s: s.conformance()),
+    "conformance_broken": _stored("conformance_broken", _conformance_broken),
     "conformance_orphans": _q(_conformance_orphans),
-    "labs_without_baseline": _stored(lambda s: conformance.subjects_without_baseline(s.sdtm_lb)),
+    "labs_without_baseline": _stored("labs_without_baseline", lambda s: conformance.subjects_without_baseline(s.sdtm_lb)),
     # safety tables
     "arm_order": _q(lambda s: tables.arm_order(s.adsl)),
     "safety_n": _q(lambda s: tables.safety_n(s.adsl)),
-    "demographics": _stored(lambda s: tables.demographics(s.adsl, s.arms)),
-    "teae_overview": _stored(lambda s: tables.teae_overview(s.adsl, s.events, s.arms)),
-    "teae_soc_pt": _stored(lambda s: tables.teae_soc_pt(s.adsl, s.events, s.arms)),
-    "risk_differences": _stored(lambda s: tables.risk_differences(s.adsl, s.events, arms=s.arms)),
-    "wilson_by_pt": _stored(lambda s: tables.wilson_by_pt(s.adsl, s.events, s.arms)),
-    "lab_shift": _stored(lambda s: tables.lab_shift(s.labs)),
-    "hys_law": _stored(lambda s: tables.hys_law(s.labs)),
-    "lab_mean_change": _stored(lambda s: tables.lab_mean_change(s.labs)),
+    "demographics": _stored("demographics", lambda s: tables.demographics(s.adsl, s.arms)),
+    "teae_overview": _stored("teae_overview", lambda s: tables.teae_overview(s.adsl, s.events, s.arms)),
+    "teae_soc_pt": _stored("teae_soc_pt", lambda s: tables.teae_soc_pt(s.adsl, s.events, s.arms)),
+    "risk_differences": _stored("risk_differences", lambda s: tables.risk_differences(s.adsl, s.events, arms=s.arms)),
+    "wilson_by_pt": _stored("wilson_by_pt", lambda s: tables.wilson_by_pt(s.adsl, s.events, s.arms)),
+    "lab_shift": _stored("lab_shift", lambda s: tables.lab_shift(s.labs)),
+    "hys_law": _stored("hys_law", lambda s: tables.hys_law(s.labs)),
+    "lab_mean_change": _stored("lab_mean_change", lambda s: tables.lab_mean_change(s.labs)),
     # findings and run control
-    "findings": _stored(lambda s: sort_findings(s.findings())),
-    "findings_by_severity": _stored(lambda s: by_severity(s.findings())),
-    "run_status": _stored(_run_status),
-    "record_counts": _stored(_record_counts),
+    "findings": _stored("findings", lambda s: sort_findings(s.findings())),
+    "findings_by_severity": _stored("findings_by_severity", lambda s: by_severity(s.findings())),
+    "run_status": _stored("run_status", _run_status),
+    "record_counts": _stored("record_counts", _record_counts),
     # sinks
     "xpt_ready_adsl": _q(lambda s: for_transport(s.adsl)),
-    "dataset_metadata": _stored(_metadata),
-    "content_digest": _stored(_digest),
+    "dataset_metadata": _stored("dataset_metadata", _metadata),
+    "content_digest": _stored("content_digest", _digest),
     # dashboard views
-    "dashboard_kpis": _stored(_kpis),
-    "pt_incidence_top": _stored(lambda s: views.pt_incidence_top(s.events, s.arms, TOP_PTS)),
-    "forest_rows": _stored(_forest),
-    "soc_pt_search": _stored(lambda s: views.soc_pt_search(tables.teae_soc_pt(s.adsl, s.events, s.arms), SEARCH_QUERY)),
-    "edish_points": _stored(lambda s: views.edish_points(tables.hys_law(s.labs))),
-    "mean_change_band": _stored(lambda s: views.mean_change_band(tables.lab_mean_change(s.labs))),
-    "lab_shift_wide": _stored(lambda s: views.lab_shift_wide(tables.lab_shift(s.labs))),
-    "dataset_preview": _stored(lambda s: views.dataset_preview(s.adae, ["USUBJID", "AESEQ"], PREVIEW_ROWS)),
+    "dashboard_kpis": _stored("dashboard_kpis", _kpis),
+    "pt_incidence_top": _stored("pt_incidence_top", lambda s: views.pt_incidence_top(s.events, s.arms, TOP_PTS)),
+    "forest_rows": _stored("forest_rows", _forest),
+    "soc_pt_search": _stored("soc_pt_search", lambda s: views.soc_pt_search(tables.teae_soc_pt(s.adsl, s.events, s.arms), SEARCH_QUERY)),
+    "edish_points": _stored("edish_points", lambda s: views.edish_points(tables.hys_law(s.labs))),
+    "mean_change_band": _stored("mean_change_band", lambda s: views.mean_change_band(tables.lab_mean_change(s.labs))),
+    "lab_shift_wide": _stored("lab_shift_wide", lambda s: views.lab_shift_wide(tables.lab_shift(s.labs))),
+    "dataset_preview": _stored("dataset_preview", lambda s: views.dataset_preview(s.adae, ["USUBJID", "AESEQ"], PREVIEW_ROWS)),
 }

@@ -558,6 +558,15 @@ FROM pti p LEFT JOIN nsaf s ON p.TRTA = s.arm WHERE p.AEDECOD IN (SELECT AEDECOD
         "raw_dm": f"{w} SELECT * FROM raw_dm",
         "raw_ae": f"{w} SELECT * FROM raw_ae",
         "raw_lb": f"{w} SELECT * FROM raw_lb",
+        # values as they were before they were written; what is missing is empty text
+        "read_csv_dm": f"""{w} SELECT CAST(RECNO AS VARCHAR) AS ROW, SUBJID, SITEID, AGE, SEX,
+ CASE RECNO % 7 WHEN 0 THEN '' WHEN 1 THEN '' WHEN 2 THEN '' WHEN 3 THEN 'NA' ELSE RACE END AS RACE, ARMCD, ARM, TRTSDT, TRTEDT, DCSREAS, DTHDT,
+ CASE WHEN RECNO % 5 = 0 THEN 'Côte d''Ivoire; est' ELSE '' END AS COUNTRY FROM raw_dm""",
+        "read_csv_lb": f"""{w} SELECT * REPLACE (concat('a "quoted", té', LBTESTCD) AS LBTEST, CASE WHEN LBTESTCD = 'ALT' THEN '' ELSE '"' END AS LBORRESU)
+ RENAME (RECNO AS ROW) FROM raw_lb""",
+        "read_parquet_ae": f"""{w} SELECT * REPLACE (coalesce(CAST(TRY_CAST(AETOXGR AS INTEGER) AS VARCHAR), '') AS AETOXGR,
+ coalesce(CAST(TRY_CAST(AESTDT AS DATE) AS VARCHAR), '') AS AESTDT, CASE AESER WHEN 'yes' THEN 'true' WHEN 'N' THEN 'false' ELSE '' END AS AESER)
+ RENAME (RECNO AS ROW) FROM raw_ae""",
         "normalized_dm": f"{w} SELECT RECNO, "
         + ", ".join(
             f"CASE WHEN trim({c}) IN ('nan', 'None', 'NaT', '<NA>') THEN '' ELSE trim({c}) END AS {c}"

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import csv
 import io
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,8 +29,8 @@ MISSING_TOKENS = ("nan", "None", "NaT", "<NA>")
 DELIMITERS = (",", ";", "\t", "|")
 # Python's str.strip() whitespace, as one character class.
 _WS = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-#: Columns read beyond the header's, so that surplus fields are seen.
-SURPLUS = 4
+#: The text of a row that has not as many fields as the header.
+_ODD_ROW = "_odd_row"
 
 
 class InputError(ValueError):
@@ -101,7 +102,7 @@ def read_raw(
     CSV: header row, delimiter and encoding detected unless given; quotes in a
     quoted field are doubled; a row with fewer fields than the header is filled
     with missing values, one with more rejects the file (empty surplus fields
-    are passed over). ``multi_line`` allows line breaks in quoted fields; such a
+    are passed over, a value in any of them rejects). ``multi_line`` allows line breaks in quoted fields; such a
     file is read by one task, so it is off unless asked for. Parquet: every
     column cast to text.
 
@@ -153,12 +154,13 @@ def _read_csv(
     sep = sep or detect_delimiter(header)
     columns = next(csv.reader(io.StringIO(header), delimiter=sep))
     width = len(columns)
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width + SURPLUS)])
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*(f"_c{i}" for i in range(width)), _ODD_ROW)])
     df = (
         spark.read.option("header", True)
         .option("sep", sep)
         .option("encoding", encoding)
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", _ODD_ROW)
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multi_line)
@@ -166,9 +168,12 @@ def _read_csv(
         .schema(schema)
         .csv(path)
     )
-    # one pass: the number of rows, and whether any has more fields than the header
-    surplus = F.coalesce(*[F.col(f"_c{i}") for i in range(width, width + SURPLUS)])
-    seen = df.agg(F.count(F.lit(1)).alias("rows"), F.max(surplus).alias("surplus")).first()
+    # one pass: the number of rows, and whether any has a value beyond the header's fields, however far; all fields are
+    # read, because a parser that leaves columns out does not count the fields of a row
+    every = F.xxhash64(*[F.col(f"_c{i}") for i in range(width)])
+    seen = df.agg(
+        F.count(F.lit(1)).alias("rows"), F.max(F.when(_has_surplus(sep, width), F.col(_ODD_ROW))).alias("surplus"), F.max(every),
+    ).first()
     if seen["surplus"] is not None:
         raise InputError(f"{name}: could not be parsed (row with more fields than the header: {seen['surplus']!r})")
     recno = F.concat(
@@ -179,6 +184,13 @@ def _read_csv(
     return data.toDF("RECNO", *columns), seen["rows"]
 
 
+def _has_surplus(sep: str, width: int) -> Column:
+    """Whether a row with another number of fields than ``width`` has a value beyond them (quoted ones count as values)."""
+    unquoted = F.regexp_replace(F.col(_ODD_ROW), '"(?:[^"]|"")*+"', "q")
+    s = re.escape(sep)
+    return unquoted.rlike(rf"(?s)^(?:[^{s}]*+{s}){{{width}}}.*[^\s{s}]")
+
+
 def discover(spark: SparkSession, raw_dir: str, domain: str) -> str | None:
     """``{d}_raw.csv``, then ``{d}_raw.parquet``, then ``{d}.csv`` under ``raw_dir``; None if absent."""
     for candidate in (f"{domain}_raw.csv", f"{domain}_raw.parquet", f"{domain}.csv"):
