@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import hashlib
+import random
+import re
 
 from tests.llm import brute
 from trialguard.llm import secret_scan as s
@@ -46,5 +48,56 @@ def test_owners_tell_examples_from_live_values(spark):
     assert all(r.n_example == 0 and r.n_live == 1 for r in few)
 
 
+SCHEMA = "doc_id long, source string, text string"
+
+
+def _brute_classes(docs, owners=4, repos=20):
+    """Class, owners and repositories of the values that patterns find, by plain search."""
+    held = {}
+    known = {x[3] for _, _, t in docs for x in brute.base_secrets(t)}
+    for doc_id, owner, text in docs:
+        runs = set(re.findall("[A-Za-z0-9+/_.=-]{6,}", text or "")) | {x[3] for x in brute.base_secrets(text)}
+        for value in runs & known:
+            held.setdefault(value, set()).add((owner, doc_id))
+    out = {}
+    for value, where in held.items():
+        n = len({o for o, _ in where})
+        random_ = len(value) >= 16 and re.search("[0-9]", value) and re.search("[A-Za-z]", value) and len(set(value)) >= 8
+        kind = "example" if n >= owners or len(where) >= repos else "live" if random_ else None
+        out[value] = (kind, n, len(where))
+    return out
+
+
+def test_a_value_in_many_repositories_of_one_owner_is_an_example(spark):
+    paste = f"token={LIVE}"
+    hot = [(k, "hot", f"{k} {paste}") for k in range(60)]
+    own = [(100 + k, "own", "token=Own1" + "abcdefghijklmnop") for k in range(19)] + [(100, "own", "Own1abcdefghijklmnop again")]
+    rows = s.scan(spark.createDataFrame(hot + own, SCHEMA).repartition(3)).collect()
+    assert {(r.n_live, r.n_example, r.n_owners, r.n_repos) for r in rows if r.doc_id < 100} == {(0, 1, 1, 60)}
+    assert {(r.n_live, r.n_example, r.n_owners, r.n_repos) for r in rows if r.doc_id >= 100} == {(1, 0, 1, 19)}
+
+
+def test_bare_words_count_as_far_as_patterns_do(spark):
+    docs = [(0, "o0", "password=correcthorsebattery"), *((k, f"o{k}", "the correcthorsebattery is bare") for k in range(1, 7))]
+    rows = {r.doc_id: r for r in s.scan(spark.createDataFrame(docs, SCHEMA)).collect()}
+    assert rows[3].spans == "example:4:23" and rows[0].spans == "assign:0:28,example:9:28"
+    assert {(r.n_example, r.n_owners, r.n_repos) for r in rows.values()} == {(1, 7, 7)}
+
+
+def test_classes_match_brute_force(spark):
+    rng = random.Random(6)
+    values = ["secret99", "abcdef", LIVE, "Zz9" * 9, "abcdefghij0123456789", COPIED]
+    docs = [(rng.randint(0, 60), rng.choice(["hot", "hot", "a", "b", "c", None]), " ".join(
+        rng.choice(["{}", "{}", "token={}", "x{}y", "secret: '{}'"]).format(rng.choice(values)) for _ in range(rng.randint(0, 3))
+    )) for _ in range(150)]
+    want = _brute_classes(docs)
+    assert "example" in {k for k, *_ in want.values()}
+    for r, (_, _, text) in zip(sorted(s.scan(spark.createDataFrame([(i, *d[1:]) for i, d in enumerate(docs)], SCHEMA)).collect(), key=lambda r: r.doc_id), docs, strict=True):
+        known = _brute_classes([(i, *d[1:]) for i, d in enumerate(docs)])
+        found = {x[3] for x in brute.base_secrets(text)} | set(re.findall("[A-Za-z0-9+/_.=-]{6,}", text))
+        classed = [known[v] for v in found if v in known and known[v][0]]
+        assert (r.n_owners, r.n_repos) == (max((n for _, n, _ in classed), default=0), max((n for *_, n in classed), default=0))
+
+
 def test_empty_table(spark):
     assert s.scan(spark.createDataFrame([], "doc_id long, source string, text string")).collect() == []

@@ -3,12 +3,13 @@
 Three patterns give the base spans of every text: assignments of a credential word, access keys and long hexadecimal
 runs. Their values are candidates; so is any bare run of credential characters, which counts only where the same value
 is a candidate of a pattern elsewhere. Candidate hashes are aggregated by the repositories and owners that have them:
-a value that many owners share is a copied example, a value of few owners that looks random is live. The spans of the
-classified values are added to the base spans.
+a value that many owners share, or that very many repositories of few owners hold, is a copied example; any other value
+that looks random is its owner's live credential. The spans of the classified values are added to the base spans.
 
-All work is DataFrame expressions. Places come from the pieces between matches, in code points. Aggregation goes by
-(hash, owner, repository) first, so a value that a third of the documents hold is counted in many tasks; it goes back
-to the documents by a plain join whose hot partitions AQE splits.
+All work is DataFrame expressions over two scans of the texts: the first finds the base spans, the second the bare runs,
+of which only those stay that an equi-join with the values of the patterns finds. Places come from the pieces between
+matches, in code points. Aggregation goes by (hash, owner, repository) first, so a value that a third of the documents
+hold is counted in many tasks; it goes back to the documents by a plain join whose hot partitions AQE splits.
 """
 
 from __future__ import annotations
@@ -24,10 +25,10 @@ ASSIGN = (
 )
 ACCESS = r"AKIA[A-Z0-9]+"
 LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
-#: Bare candidates: runs of credential characters at least this long.
-LEAST_BARE = 16
-#: A value that this many owners have is a copied example.
-EXAMPLE_OWNERS = 4
+#: Bare candidates: runs of credential characters as long as the shortest value of a pattern.
+LEAST_BARE = LEAST_ASSIGN
+#: A value that this many owners have, or this many repositories, is a copied example.
+EXAMPLE_OWNERS, EXAMPLE_REPOS = 4, 20
 #: What a live-looking value has at least: characters, and different ones.
 LIVE_LENGTH, LIVE_CHARACTERS = 16, 8
 #: Matches whose places are summed up in a row; a text with many matches is walked in chunks.
@@ -85,16 +86,20 @@ def _places(steps: Column, lengths: Column, least: int) -> Column:
     return F.flatten(F.transform(lengths, lambda _, k: walked(k)))
 
 
-def _scanned(rows: DataFrame) -> DataFrame:
-    """``rid, id, owner, repo, assign, access, hex, bare`` of ``rows(id, owner, repo, text)``."""
-    # a run that is long enough is the same match as a run of any length, where all runs are matched whole
-    patterns = {
-        "assign": (ASSIGN, 2, LEAST_ASSIGN),
-        "access": (f"AKIA[A-Z0-9]{{{LEAST_ACCESS - 4},}}", 0, LEAST_ACCESS),
-        "hex": (f"[0-9a-f]{{{LEAST_HEX},}}", 0, LEAST_HEX),
-        "bare": (f"[A-Za-z0-9+/_.=-]{{{LEAST_BARE},}}", 0, LEAST_BARE),
-    }
-    keys, text = ["id", "owner", "repo"], F.col("text")
+#: Patterns, the group that is the value, and the least length of the value. A run that is long enough is the same match
+#: as a run of any length, where all runs are matched whole.
+PATTERNS = {
+    "assign": (ASSIGN, 2, LEAST_ASSIGN),
+    "access": (f"AKIA[A-Z0-9]{{{LEAST_ACCESS - 4},}}", 0, LEAST_ACCESS),
+    "hex": (f"[0-9a-f]{{{LEAST_HEX},}}", 0, LEAST_HEX),
+    "bare": (f"[A-Za-z0-9+/_.=-]{{{LEAST_BARE},}}", 0, LEAST_BARE),
+}
+
+
+def _scanned(rows: DataFrame, *kinds: str) -> DataFrame:
+    """``row, id, owner, repo`` and the spans of each of ``kinds`` of ``rows(row, id, owner, repo, text)``."""
+    patterns = {k: PATTERNS[k] for k in kinds}
+    keys, text = ["row", "id", "owner", "repo"], F.col("text")
     found = rows.select(
         *keys, "text", *(F.regexp_extract_all(text, F.lit(p), F.lit(0)).alias(k) for k, (p, _, _) in patterns.items())
     )
@@ -107,23 +112,24 @@ def _scanned(rows: DataFrame) -> DataFrame:
     )
     steps = steps.select("*", *(_chunk_lengths(F.col(k)).alias(f"{k}_lengths") for k in patterns))
     return steps.select(
-        F.monotonically_increasing_id().alias("rid"), *keys,
-        *(_places(F.col(k), F.col(f"{k}_lengths"), least).alias(k) for k, (_, _, least) in patterns.items()),
+        *keys, *(_places(F.col(k), F.col(f"{k}_lengths"), least).alias(k) for k, (_, _, least) in patterns.items())
     )
 
 
-def classes(candidates: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
-    """``hash, class, owners, repos`` of the values in ``candidates(hash, value_ok, base, owner, repo)``."""
-    repos = candidates.groupBy("hash", "owner", "repo").agg(F.max("base").alias("base"), F.max("value_ok").alias("ok"))
-    owners = repos.groupBy("hash", "owner").agg(
-        F.count(F.lit(1)).alias("repos"), F.max("base").alias("base"), F.max("ok").alias("ok")
-    )
+def classes(
+    candidates: DataFrame, example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS
+) -> DataFrame:
+    """``hash, class, owners, repos`` of the values in ``candidates(hash, value_ok, owner, repo)``.
+
+    A repository is one of its owner's: the same name under two owners is two repositories.
+    """
+    repos = candidates.groupBy("hash", "owner", "repo").agg(F.max("value_ok").alias("ok"))
+    owners = repos.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("repos"), F.max("ok").alias("ok"))
     values = owners.groupBy("hash").agg(
-        F.count(F.lit(1)).alias("owners"), F.sum("repos").alias("repos"), F.max("base").alias("base"),
-        F.max("ok").alias("ok"),
+        F.count(F.lit(1)).alias("owners"), F.sum("repos").alias("repos"), F.max("ok").alias("ok")
     )
-    kind = F.when(F.col("owners") >= example_owners, "example").when(F.col("ok"), "live")
-    return values.where("base").withColumn("class", kind).where("class is not null")
+    copied = (F.col("owners") >= example_owners) | (F.col("repos") >= example_repos)
+    return values.withColumn("class", F.when(copied, "example").when(F.col("ok"), "live")).where("class is not null")
 
 
 def _live_looking(value: Column) -> Column:
@@ -141,47 +147,49 @@ def _written(spans: Column) -> Column:
     )
 
 
+def _candidates(scanned: DataFrame, spans: Column) -> DataFrame:
+    """A row for each of the ``spans``: ``row, owner, repo, start, stop, value``."""
+    return scanned.select("row", "owner", "repo", F.explode(spans).alias("c")).select("row", "owner", "repo", "c.*")
+
+
 def scan(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-    repo_col: str = "doc_id", example_owners: int = EXAMPLE_OWNERS,
+    repo_col: str = "doc_id", example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS,
 ) -> DataFrame:
     """Spans of secrets for each row of ``docs``.
 
-    ``id_col, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example``: counts and digest of the base
-    spans, all spans as ``kind:start:end`` by start and kind, and the numbers of classified values. A null text is
-    empty; a null owner is an owner of its own, a null repository one repository. Repeated rows count as the same
-    repository and owner. An empty table gives no rows; other columns are not read.
+    ``id_col, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example, n_owners, n_repos``: counts and digest of
+    the base spans, all spans as ``kind:start:end`` by start and kind, the numbers of spans of classified values, and of
+    these values the most owners and the most repositories that one has (0 without one). A null text is empty; a null
+    owner is an owner of its own, a null repository one repository. Repeated rows count as the same repository and
+    owner. An empty table gives no rows; other columns are not read.
     """
     owner = F.when(F.col(owner_col).isNull(), F.lit("1")).otherwise(
         F.concat(F.lit("0"), F.col(owner_col).cast("string"))
     )
+    text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
-        F.col(id_col).alias("id"), owner.alias("owner"), F.col(repo_col).alias("repo"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-    )
-    scanned = staged(_scanned(rows), "secrets")
-    value_spans = F.concat(
-        F.transform("assign", lambda s: F.struct(
-            (s["stop"] - F.length(s["value"])).alias("start"), s["stop"].alias("stop"), s["value"].alias("value"),
-            F.lit(True).alias("base"))),
-        *(
-            F.transform(k, lambda s: F.struct(
-                s["start"].alias("start"), s["stop"].alias("stop"), s["value"].alias("value"), F.lit(True).alias("base")))
-            for k in ("access", "hex")
-        ),
-        F.transform(F.filter("bare", lambda s: s["value"].rlike("[0-9]")), lambda s: F.struct(
-            s["start"].alias("start"), s["stop"].alias("stop"), s["value"].alias("value"), F.lit(False).alias("base"))),
+        F.col(id_col).alias("id"), owner.alias("owner"), F.col(repo_col).alias("repo"), text.alias("text"),
     )
-    candidates = scanned.select("rid", "owner", "repo", F.explode(value_spans).alias("c")).select(
-        "rid", "owner", "repo", F.col("c.start").alias("start"), F.col("c.stop").alias("stop"),
-        F.col("c.base").alias("base"), F.sha2("c.value", 256).alias("hash"),
-        _live_looking(F.col("c.value")).alias("value_ok"),
+    # rows that agree in all that is read have the same spans, so both scans can name them alike
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("id", "owner", "repo", "text")]
+    nulls = F.concat(*(F.col(c).isNull().cast("string") for c in ("id", "repo")))
+    rows = rows.withColumn("row", F.unhex(F.sha2(F.concat_ws("\n", nulls, *(F.sha2(p, 256) for p in parts)), 256)))
+    scanned = staged(_scanned(rows, "assign", "access", "hex"), "secrets")
+    in_assign = F.transform("assign", lambda s: F.struct(
+        (s["stop"] - F.length(s["value"])).alias("start"), s["stop"].alias("stop"), s["value"].alias("value")))
+    of_patterns = staged(_candidates(scanned, F.concat(in_assign, "access", "hex")), "values")
+    known_values = staged(of_patterns.select("value").distinct(), "known_values")
+    bare = _candidates(_scanned(rows, "bare"), F.col("bare")).join(known_values, "value", "left_semi")
+    found = of_patterns.unionByName(staged(bare.select(*of_patterns.columns), "bare"))
+    candidates = found.select(
+        "row", "owner", "repo", "start", "stop", F.sha2("value", 256).alias("hash"), _live_looking(F.col("value")).alias("value_ok")
     )
-    candidates = staged(candidates, "candidates")
-    known = classes(candidates, example_owners).select("hash", "class")
+    known = classes(candidates, example_owners, example_repos)
     place = F.when(F.col("class") == "live", KINDS.index("live")).otherwise(KINDS.index("example"))
-    added = candidates.join(known, "hash").groupBy("rid").agg(
-        F.collect_set(F.struct("start", place.alias("place"), "stop")).alias("added")
+    added = candidates.join(known, "hash").groupBy("row").agg(
+        F.collect_set(F.struct("start", place.alias("place"), "stop")).alias("added"),
+        F.max("owners").alias("owners"), F.max("repos").alias("repos"),
     )
     base = F.concat(
         *(
@@ -190,7 +198,7 @@ def scan(
         )
     )
     more = F.coalesce("added", F.array().cast("array<struct<start:bigint,place:int,stop:bigint>>"))
-    return scanned.join(added, "rid", "left").select(
+    return scanned.join(added, "row", "left").select(
         F.col("id").alias(id_col),
         *(F.size(k).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")),
         F.sha2(_written(F.array_sort(base)), 256).alias("base_sha256"),
@@ -199,6 +207,7 @@ def scan(
             F.size(F.filter(more, _is(KINDS.index(k)))).cast("long").alias(f"n_{k}")
             for k in ("live", "example")
         ),
+        *(F.coalesce(c, F.lit(0).cast("long")).alias(f"n_{c}") for c in ("owners", "repos")),
     )
 
 
@@ -210,45 +219,50 @@ def _is(place: int):
     return lambda s: s["place"] == place
 
 
-def _sql_spans(kind: str, place: int, pattern: str, value: str, least: int) -> str:
+def _sql_spans(place: int, pattern: str, least: int, group: int = 0) -> str:
+    """Spans of a pattern: its matches in turn, each after the pieces of text and the matches before it."""
     p = pattern.replace("'", "''")
     return f"""
-  SELECT rid, {place} AS place, start, stop, value FROM (
-    SELECT rid, list_sum(list_transform(gaps[1:k], lambda x: length(x)))
-        + coalesce(list_sum(list_transform(found[1:k - 1], lambda x: length(x))), 0) AS start,
-      start + length(found[k]) AS stop, {value} AS value
-    FROM (SELECT rid, gaps, found, vals, unnest(generate_series(1, len(found))) AS k FROM (
-      SELECT rid, regexp_split_to_array(text, '{p}') AS gaps, regexp_extract_all(text, '{p}', 0) AS found,
-        regexp_extract_all(text, '{p}', {2 if kind == "assign" else 0}) AS vals FROM docs)))
-  WHERE length(value) >= {least}"""
+  SELECT rid, {place} AS place, stop - length(found) AS start, stop, val AS value FROM (
+    SELECT rid, found, val, (sum(length(gap) + length(found)) OVER (PARTITION BY rid ORDER BY k))::BIGINT AS stop FROM (
+      SELECT rid, unnest(range(len(found))) AS k, unnest(gaps[1:len(found)]) AS gap, unnest(found) AS found, unnest(vals) AS val
+      FROM (SELECT rid, regexp_split_to_array(text, '{p}') AS gaps, regexp_extract_all(text, '{p}', 0) AS found,
+        regexp_extract_all(text, '{p}', {group}) AS vals FROM docs)))
+  WHERE length(val) >= {least}"""
 
 
+#: Written from the contract and the method, with their own numbers.
 SQL = f"""
 WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS text FROM documents),
-base AS ({_sql_spans("assign", 0, ASSIGN, "vals[k]", LEAST_ASSIGN)}
-  UNION ALL {_sql_spans("access", 1, ACCESS, "vals[k]", LEAST_ACCESS)}
-  UNION ALL {_sql_spans("hex", 2, "[0-9a-f]{24,}", "vals[k]", LEAST_HEX)}),
-bare AS ({_sql_spans("bare", 9, "[A-Za-z0-9+/_.=-]{16,}", "vals[k]", LEAST_BARE)}),
+base AS ({_sql_spans(0, """((?i:password|passwd|secret|token|api_?key))["']?\\x20*[:=]\\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6, 2)}
+  UNION ALL {_sql_spans(1, "AKIA[A-Z0-9]+", 20)}
+  UNION ALL {_sql_spans(2, "[0-9a-f]+", 24)}),
+bare AS ({_sql_spans(9, "[A-Za-z0-9+/_.=-]+", 6)}),
 cand AS (
-  SELECT rid, CASE place WHEN 0 THEN stop - length(value) ELSE start END AS start, stop, value, true AS base FROM base
-  UNION ALL SELECT rid, start, stop, value, false FROM bare WHERE regexp_matches(value, '[0-9]')),
+  SELECT rid, CASE place WHEN 0 THEN stop - length(value) ELSE start END AS start, stop, value FROM base
+  UNION ALL SELECT rid, start, stop, value FROM bare WHERE value IN (SELECT value FROM base)),
 known AS (
-  SELECT value, CASE WHEN count(DISTINCT coalesce('0' || source, '1')) >= {EXAMPLE_OWNERS} THEN 4
-    WHEN length(value) >= {LIVE_LENGTH} AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
-      AND len(list_distinct(string_split(value, ''))) >= {LIVE_CHARACTERS} THEN 3 END AS place
-  FROM cand JOIN docs USING (rid) GROUP BY value HAVING bool_or(base)),
-added AS (SELECT DISTINCT rid, place, start, stop FROM cand JOIN known USING (value) WHERE place IS NOT NULL),
-spans AS (SELECT rid, place, start, stop FROM base UNION ALL SELECT rid, place, start, stop FROM added),
+  SELECT value, count(DISTINCT source_key) AS owners, count(DISTINCT (source_key, coalesce(doc_id, -1))) AS repos,
+    CASE WHEN owners >= 4 OR repos >= 20 THEN 4
+    WHEN length(value) >= 16 AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
+      AND len(list_distinct(string_split(value, ''))) >= 8 THEN 3 END AS place
+  FROM cand JOIN (SELECT rid, doc_id, coalesce('0' || source, '1') AS source_key FROM docs) USING (rid) GROUP BY value),
+added AS (
+  SELECT rid, place, start, stop, max(owners) AS owners, max(repos) AS repos
+  FROM cand JOIN known USING (value) WHERE place IS NOT NULL GROUP BY rid, place, start, stop),
+spans AS (
+  SELECT rid, place, start, stop, 0 AS owners, 0 AS repos FROM base
+  UNION ALL SELECT rid, place, start, stop, owners, repos FROM added),
 named AS (
   SELECT rid, string_agg(s, ',' ORDER BY start, place, stop) AS spans,
     string_agg(s, ',' ORDER BY start, place, stop) FILTER (place < 3) AS base,
     count(*) FILTER (place = 0) AS n_assign, count(*) FILTER (place = 1) AS n_access,
     count(*) FILTER (place = 2) AS n_hex, count(*) FILTER (place = 3) AS n_live,
-    count(*) FILTER (place = 4) AS n_example
+    count(*) FILTER (place = 4) AS n_example, max(owners) AS owners, max(repos) AS repos
   FROM (SELECT *, ['assign', 'access', 'hex', 'live', 'example'][place + 1] || ':' || start || ':' || stop AS s
     FROM spans) GROUP BY rid)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live,
-  coalesce(n_example, 0) AS n_example
+  coalesce(n_example, 0) AS n_example, coalesce(owners, 0)::BIGINT AS n_owners, coalesce(repos, 0)::BIGINT AS n_repos
 FROM docs LEFT JOIN named USING (rid)
 """
