@@ -6,8 +6,9 @@ is a candidate of a pattern elsewhere. Candidate hashes are aggregated by the re
 a value that many owners share, or that very many repositories of few owners hold, is a copied example; any other value
 that looks random is its owner's live credential. The spans of the classified values are added to the base spans.
 
-All work is DataFrame expressions over two scans of the texts: the first finds the base spans, the second the bare runs,
-of which only those stay that an equi-join with the values of the patterns finds. Places come from the pieces between
+All work is DataFrame expressions over three scans of the texts: the first finds the base spans, the second the bare
+runs, of which only those stay that an equi-join with the values of the patterns finds, the third their places in the
+texts that have any. Places come from the pieces between
 matches, in code points. Aggregation goes by (hash, owner, repository) first, so a value that a third of the documents
 hold is counted in many tasks; it goes back to the documents by a plain join whose hot partitions AQE splits.
 """
@@ -62,8 +63,8 @@ def _chunk_lengths(steps: Column) -> Column:
     return F.when(F.size(steps) > 0, lengths).otherwise(F.array().cast("array<bigint>"))
 
 
-def _places(steps: Column, lengths: Column, least: int) -> Column:
-    """Spans of the matches whose value has ``least`` characters: ``start, stop`` in code points, and the value."""
+def _places(steps: Column, lengths: Column, wanted) -> Column:
+    """Spans of the matches whose value is ``wanted``: ``start, stop`` in code points, and the value."""
     empty = F.array().cast(SPAN)
 
     def span(at: Column, s: Column) -> Column:
@@ -77,7 +78,7 @@ def _places(steps: Column, lengths: Column, least: int) -> Column:
             F.struct(before.alias("at"), empty.alias("spans")),
             lambda acc, s: F.struct(
                 (acc["at"] + s["gap"] + s["n"]).alias("at"),
-                F.when(F.length(s["value"]) >= least, F.concat(acc["spans"], F.array(span(acc["at"], s))))
+                F.when(wanted(s["value"]), F.concat(acc["spans"], F.array(span(acc["at"], s))))
                 .otherwise(acc["spans"]).alias("spans"),
             ),
             lambda acc: acc["spans"],
@@ -96,10 +97,17 @@ PATTERNS = {
 }
 
 
-def _scanned(rows: DataFrame, *kinds: str) -> DataFrame:
-    """``row, id, owner, repo`` and the spans of each of ``kinds`` of ``rows(row, id, owner, repo, text)``."""
+def _long_enough(least: int):
+    return lambda value: F.length(value) >= least
+
+
+def _scanned(rows: DataFrame, *kinds: str, only: str | None = None) -> DataFrame:
+    """``row, id, owner, repo`` and the spans of each of ``kinds`` of ``rows(row, id, owner, repo, text)``.
+
+    ``only`` names an array column of the values that count; else those that are long enough do.
+    """
     patterns = {k: PATTERNS[k] for k in kinds}
-    keys, text = ["row", "id", "owner", "repo"], F.col("text")
+    keys, text = ["row", "id", "owner", "repo", *([only] if only else [])], F.col("text")
     found = rows.select(
         *keys, "text", *(F.regexp_extract_all(text, F.lit(p), F.lit(0)).alias(k) for k, (p, _, _) in patterns.items())
     )
@@ -111,9 +119,12 @@ def _scanned(rows: DataFrame, *kinds: str) -> DataFrame:
         ),
     )
     steps = steps.select("*", *(_chunk_lengths(F.col(k)).alias(f"{k}_lengths") for k in patterns))
-    return steps.select(
-        *keys, *(_places(F.col(k), F.col(f"{k}_lengths"), least).alias(k) for k, (_, _, least) in patterns.items())
-    )
+
+    def places(kind: str) -> Column:
+        wanted = (lambda value: F.array_contains(only, value)) if only else _long_enough(PATTERNS[kind][2])
+        return _places(F.col(kind), F.col(f"{kind}_lengths"), wanted)
+
+    return steps.select(*keys, *(places(k).alias(k) for k in patterns))
 
 
 def classes(
@@ -180,7 +191,11 @@ def scan(
         (s["stop"] - F.length(s["value"])).alias("start"), s["stop"].alias("stop"), s["value"].alias("value")))
     of_patterns = staged(_candidates(scanned, F.concat(in_assign, "access", "hex")), "values")
     known_values = staged(of_patterns.select("value").distinct(), "known_values")
-    bare = _candidates(_scanned(rows, "bare"), F.col("bare")).join(known_values, "value", "left_semi")
+    # places are worked out only in the texts, and only for the runs, that have such a value
+    runs = F.regexp_extract_all("text", F.lit(PATTERNS["bare"][0]), F.lit(0))
+    held = rows.select("row", F.explode(F.array_distinct(runs)).alias("value")).join(known_values, "value", "left_semi")
+    wanted = staged(held.groupBy("row").agg(F.collect_set("value").alias("wanted")), "wanted")
+    bare = _candidates(_scanned(rows.join(wanted, "row"), "bare", only="wanted"), F.col("bare"))
     found = of_patterns.unionByName(staged(bare.select(*of_patterns.columns), "bare"))
     candidates = found.select(
         "row", "owner", "repo", "start", "stop", F.sha2("value", 256).alias("hash"), _live_looking(F.col("value")).alias("value_ok")
