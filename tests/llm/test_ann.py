@@ -20,9 +20,9 @@ def _brute(rows, k):
     return out
 
 
-def _got(df, k=20):
+def _got(df, k=20, **options):
     out = {}
-    for r in sorted(ann.nearest(df, F.col("vec_id") % 20 == 0, k).collect(), key=lambda r: (r.query_id, r["rank"])):
+    for r in sorted(ann.nearest(df, F.col("vec_id") % 20 == 0, k, **options).collect(), key=lambda r: (r.query_id, r["rank"])):
         out.setdefault(r.query_id, []).append((r.vec_id, r.score))
         assert r["rank"] == len(out[r.query_id])
     return out
@@ -55,7 +55,8 @@ def test_recall_and_split_lists(spark, monkeypatch):
     x = centres[rng.integers(0, 12, 3000)] + rng.normal(size=(3000, 8)) * 0.5
     x[:900] = x[0] + rng.normal(size=(900, 8)) * 1e-3  # a hot neighbourhood
     rows = [(i, v.tolist(), "x") for i, v in enumerate(x)]
-    monkeypatch.setattr(ann, "CHUNK_ROWS", 100)
+    monkeypatch.setattr(ann, "CELL_ROWS", 100)
+    monkeypatch.setattr(ann, "ASKED_ROWS", 20)
     got, want = _got(spark.createDataFrame(rows, SCHEMA)), _brute(rows, 20)
     hits = [len({i for i, _ in got[q]} & {i for i, _ in found}) for q, found in want.items()]
     assert sum(hits) / (20 * len(want)) >= 0.95
@@ -63,16 +64,39 @@ def test_recall_and_split_lists(spark, monkeypatch):
     assert all(s == pytest.approx(scores[q, i], abs=1e-12) for q, found in got.items() for i, s in found if (q, i) in scores)
 
 
-def test_every_neighbour_is_found_among_far_more_lists_than_are_visited_first(spark, monkeypatch):
+@pytest.mark.parametrize("ratio", [ann.VISIT_RATIO, float("inf")])
+def test_far_more_lists_than_are_visited(spark, monkeypatch, ratio):
     rng = np.random.default_rng(3)
-    rows = [(i, v.tolist(), "x") for i, v in enumerate(rng.normal(size=(3000, 8)) * rng.uniform(0.5, 2, (3000, 1)))]
-    monkeypatch.setattr(ann, "LIST_ROWS", 2)  # 1,500 lists
-    monkeypatch.setattr(ann, "HELD_ROWS", 500)
-    _same(_got(spark.createDataFrame(rows, SCHEMA)), _brute(rows, 20))
-
-
-def test_lists_out_of_reach_are_passed_over():
-    rng = np.random.default_rng(4)
-    vectors = np.concatenate([rng.normal(size=(50, 8)) * 0.01 + c for c in (np.eye(8)[0], -np.eye(8)[0])])
-    q, v = ann._reaching(np.eye(8)[:1], vectors, np.array([0, 50]), np.array([0.9]), 20)
-    assert set(v.tolist()) <= set(range(50)) and len(v) == 24 and not q.any()
+    centres = rng.normal(size=(60, 8)) * 2
+    x = centres[rng.integers(0, 60, 3000)] + rng.normal(size=(3000, 8)) * rng.uniform(0.2, 0.6, (3000, 1))
+    rows = [(i, v.tolist(), "x") for i, v in enumerate(x)]
+    monkeypatch.setattr(ann, "LIST_ROWS", 4)  # 750 lists
+    got, want = _got(spark.createDataFrame(rows, SCHEMA), ratio=ratio), _brute(rows, 20)
+    if ratio == float("inf"):
+        _same(got, want)
+    hits = [len({i for i, _ in got[q]} & {i for i, _ in found}) for q, found in want.items()]
+    assert sum(hits) / (20 * len(want)) >= 0.9 and all(len(found) == 20 for found in got.values())
+
+
+def test_graph_search_visits_the_lists_within_the_ratio():
+    rng = np.random.default_rng(5)
+    c = rng.normal(size=(900, 16))
+    c = (c / np.linalg.norm(c, axis=1)[:, None]).astype(np.float32)
+    x = rng.normal(size=(40, 16))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    visits, found, due = ann._visits((c, *ann._linked(c, rng)), x, 1.3), 0, 0
+    for own, q in zip(visits, x, strict=True):
+        away = np.linalg.norm(c - q, axis=1)
+        want = set(np.flatnonzero(away <= 1.3 * away.min())) | set(np.argsort(away)[: ann.FIRST])
+        assert list(own) == sorted(own, key=lambda k: away[k]) and len(own) < 900
+        found, due = found + len(want & set(own.tolist())), due + len(want)
+    assert found >= 0.97 * due
+
+
+def test_queries_whose_first_lists_hold_too_few_visit_all(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LIST_ROWS", 1)
+    monkeypatch.setattr(ann, "FIRST", 1)
+    rng = np.random.default_rng(6)
+    rows = [(i, v.tolist(), "x") for i, v in enumerate(rng.normal(size=(60, 8)))]
+    got = _got(spark.createDataFrame(rows, SCHEMA), k=50, ratio=1.0)
+    assert {len(v) for v in got.values()} == {50}
