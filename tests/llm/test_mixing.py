@@ -36,6 +36,27 @@ def _docs(spark, seed=1):
     return spark.createDataFrame(rows, "doc_id long, source string, text string, size long")
 
 
+def test_tiny_sources_meet_their_targets(spark):
+    sizes = {"big": 40_000, "b": 10, "c": 1, "d": 100, "e": 33, "f": 7, "g": 64}
+    rows = [(k, s, " ".join(["w"] * n)) for k, (s, n) in enumerate(sizes.items())]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    want = brute.targets(sizes)
+    got = {rows[r.doc_id][1]: r for r in mixing.mixture(df).collect()}
+    for source, r in got.items():
+        assert abs(r.taken - want[source]) <= 1 and r.taken <= 3 * r.size, source
+    assert got["b"].taken == 30 and got["c"].taken == 3
+    mixed = mixing.mix(df).collect()
+    for source in sizes:
+        assert sum(len(r.text.split()) for r in mixed if r.source == source) == got[source].taken
+
+
+def test_a_very_long_text_is_mixed_whole(spark):
+    rows = [(1, "a", "word " * 300_000), (2, "b", "x y z"), (3, "c", None)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = {r.doc_id: r for r in mixing.mixture(df).collect()}
+    assert got[1].size == 300_000 and abs(got[1].taken - got[1].target) <= 1 and (got[2].taken, got[3].taken) == (9, 0)
+
+
 @pytest.mark.parametrize("shard_words", [500, 1 << 15])
 def test_mixture_meets_its_targets(spark, shard_words):
     df = _docs(spark)

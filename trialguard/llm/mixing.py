@@ -1,8 +1,8 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment of equal-token blocks.
 
 Targets share the words of all documents by weight; a target stops at ``max_repeats`` times its source and the excess
-is shared again. Blocks of ``block_words`` words are then allocated to sources by highest quotients
-``weight / (2 * seats + 1)``. A source is cut into shards by a seeded hash of its documents, and the source's blocks
+is shared again. Blocks of up to ``block_words`` words, all of one length that also counts the smallest target well,
+are then allocated to sources by highest quotients ``weight / (2 * seats + 1)``. A source is cut into shards by a seeded hash of its documents, and the source's blocks
 are apportioned to its shards in the same way, so each shard has an integer quota. In a shard, documents stand in
 seeded order, and the words are cut into equal blocks; whole passes take all blocks, and what is left of the quota
 takes a run of consecutive blocks from a seeded start. The documents on a block's border are taken in part.
@@ -22,7 +22,8 @@ from trialguard.llm.common import SPACE, fresh, staged, words_of
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
-BLOCK_WORDS = 32
+#: Words to a block, and the least number of blocks that the smallest target has to be worth (down to blocks of a word).
+BLOCK_WORDS, LEAST_BLOCKS = 32, 64
 SHARD_WORDS = 1 << 15
 MAX_SHARDS = 1 << 16
 SEED = 7
@@ -125,7 +126,10 @@ def _plan(
     """
     sources = sized.groupBy("source_key").agg(F.sum("size").alias("source_size"))
     aimed = targets(sources, weights, max_repeats)
-    words = aimed.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
+    words, least = aimed.agg(
+        F.coalesce(F.sum("source_size"), F.lit(0)), F.min(F.when(F.col("target") > 0, F.col("target")))
+    ).first()
+    block_words = max(1, min(block_words, int((least or 0) // LEAST_BLOCKS)))
     aimed = aimed.withColumn("blocks", F.lit(round(words / block_words)))
     quotas = apportion(aimed, ["source_key"], "target", "blocks")
     shards_of = F.greatest(F.lit(1), F.least(F.ceil(F.col("source_size") / shard_words), F.lit(MAX_SHARDS)))
