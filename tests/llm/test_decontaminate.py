@@ -53,14 +53,15 @@ def test_report_digest(spark):
         assert r.n_items == len(names) and r.contaminated == bool(hit)
 
 
-def test_decontaminate_removes_spans_and_heavily_covered_rows(spark):
+@pytest.mark.parametrize("shard_words", [5, 10_000])
+def test_decontaminate_removes_spans_and_heavily_covered_rows(spark, shard_words):
     item = " ".join(f"w{k}" for k in range(12))
     other = "Clean words, stay as they are!"
     long = " ".join(f"c{k}" for k in range(40))
     rows = [(1, other, 1, "a"), (2, f"{long}; {item.upper()}.\n{other}", 2, None), (3, item, 3, "b"), (4, None, None, "c")]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, TEXT2 string")
-    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
-    got = {r.doc_id: r for r in d.decontaminate(df, bench).collect()}
+    bench = spark.createDataFrame([(7, item), (8, "no such run"), (9, "nor this")], "item_id long, text string")
+    got = {r.doc_id: r for r in d.decontaminate(df, bench, shard_words=shard_words).collect()}
     assert set(got) == {1, 2, 4} and got[1] == df.where("doc_id = 1").first() and got[4].text is None
     assert got[2].text == f"{long};  .\n{other}" and got[2].n_chars == len(got[2].text)
     assert d.contamination(d.decontaminate(df, bench), bench).where("n_hit > 0").count() == 0
@@ -72,3 +73,24 @@ def test_empty_tables(spark):
     assert d.report(docs, bench).collect() == [] and d.decontaminate(docs, bench).collect() == []
     one = spark.createDataFrame([(1, "a b", 3)], docs.schema)
     assert d.report(one, bench).first().contaminated is False and d.decontaminate(one, bench).count() == 1
+
+
+def test_a_null_item_id_is_not_the_text_null(spark):
+    bench = spark.createDataFrame([(None, "one two three"), ("null", "four five")], "item_id string, text string")
+    df = spark.createDataFrame([(1, "One two, three. Four five!"), (2, "four five")], "doc_id long, text string")
+    for shard_words in (1, 10_000):
+        got = {r.doc_id: r for r in d.contamination(df, bench, shard_words=shard_words).collect()}
+        assert got[1]["items"] == ["null", "null"] and got[2]["items"] == ["null"] and got[1].n_hit == 5
+
+
+def test_an_automaton_is_built_once_for_a_task_and_shard(spark, monkeypatch):
+    items = [(k, " ".join(f"w{k}x{j}" for j in range(20))) for k in range(40)]
+    shards = d._shards(spark.createDataFrame(items, "item_id long, text string"), "item_id", "text", 160)
+    built, automaton = [], d.ItemAutomaton
+    monkeypatch.setattr(d, "ItemAutomaton", lambda *a: built.append(a) or automaton(*a))
+    hits = []
+    for files in shards:
+        scan = d._scanner(files, 10)
+        hits += [scan(text.encode())[2] for _ in range(30) for _, text in items]  # as many batches
+    assert len(shards) == len(built) == 5
+    assert sorted(i for found in hits for i in found) == sorted(str(k) for k in range(40) for _ in range(30))

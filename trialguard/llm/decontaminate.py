@@ -4,8 +4,9 @@ The automaton accepts every run of words of every benchmark item. Streaming a do
 each word, the longest run ending there that some item contains. A run of at least ``window`` words (or a whole item,
 if the item is shorter) marks its words as hit and names the items. Documents are read once and never shuffled.
 
-Items reach the tasks as broadcasts of at most ``SHARD_WORDS`` words each, so one automaton has a fixed size bound
-however large the benchmark is; a task goes through the shards one after the other for each batch of documents.
+Spark deals the items to shards of about ``SHARD_WORDS`` words, a file each in the shared folder, so one automaton has
+a size bound however large the benchmark is and none passes through the driver. A task reads one shard and builds its
+automaton once. With several shards the documents are read once for each, and the hits of a document are merged.
 """
 
 from __future__ import annotations
@@ -15,11 +16,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trialguard.llm.common import pieces
+from trialguard.llm.common import filesystem, fresh, pieces, shared_path, staged
 
 WINDOW = 10
 MAX_COVERAGE = 0.5
@@ -36,9 +38,9 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 class ItemAutomaton:
-    """Generalised suffix automaton over the words of items ``(item_id, text)``."""
+    """Generalised suffix automaton over the words of items ``(item_id, text)``; ids are strings or null."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int = WINDOW):
         self.window = window
         self.vocab: dict[bytes, int] = {}
         self.next: list[dict[int, int]] = [{}]
@@ -83,14 +85,14 @@ class ItemAutomaton:
             self.link[new] = self._split(v, t)
         return new
 
-    def _name_windows(self, runs: list[tuple[str, list[int]]]) -> None:
+    def _name_windows(self, runs: list[tuple[str | None, list[int]]]) -> None:
         order = sorted(range(1, len(self.link)), key=self.length.__getitem__)
         #: for states of runs of at least a window: the ancestor state that holds the window itself
         self.top = [0] * len(self.link)
         for v in order:
             if self.length[v] >= self.window:
                 self.top[v] = self.top[self.link[v]] if self.length[self.link[v]] >= self.window else v
-        self.items: dict[int, set[str]] = {}
+        self.items: dict[int, set[str | None]] = {}
         short: set[int] = set()
         for item, ids in runs:
             v = 0
@@ -108,7 +110,7 @@ class ItemAutomaton:
         self.least_run = min([self.window, *(self.length[v] for v in short)])
         self.any_short = bool(short)
 
-    def hits(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
+    def hits(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str | None]]:
         """Hit runs of words as disjoint ranges in order, and the items whose windows occur."""
         get = self.vocab.get
         ids = np.array([get(w, -1) for w in words], np.int64)
@@ -117,17 +119,10 @@ class ItemAutomaton:
         ranges, seen = [], set()
         for s, e in ends[ends[:, 1] - ends[:, 0] >= self.least_run].tolist():
             self._stream(ids[s:e].tolist(), s, ranges, seen)
-        ranges.sort()
-        merged: list[tuple[int, int]] = []
-        for s, e in ranges:
-            if merged and s <= merged[-1][1]:
-                merged[-1] = (merged[-1][0], max(e, merged[-1][1]))
-            else:
-                merged.append((s, e))
-        found: set[str] = set()
+        found: set[str | None] = set()
         for v in seen:
             found |= self.items[v]
-        return merged, found
+        return _merge(ranges), found
 
     def _stream(self, ids: list[int], at: int, ranges: list[tuple[int, int]], seen: set[int]) -> None:
         nxt, link, length, window, any_short = self.next, self.link, self.length, self.window, self.any_short
@@ -157,50 +152,90 @@ class ItemAutomaton:
                     u = self.short_up[link[u]]
 
 
-def _shards(items: DataFrame, id_col: str, text_col: str, shard_words: int) -> list:
-    """Broadcasts of ``(item_id, text)`` lists of a bounded number of words each, or of one longer item."""
-    sc = items.sparkSession.sparkContext
-    rows = items.select(F.col(id_col).cast("string"), F.col(text_col)).where(F.col(text_col).isNotNull())
-    shards, held, size = [], [], 0
-    for item, text in rows.toLocalIterator():
-        n = len(words_of(text.encode()))
-        if held and size + n > shard_words:
-            shards.append(sc.broadcast(held))
-            held, size = [], 0
-        held.append(("null" if item is None else item, text.encode()))
-        size += n
-    shards.append(sc.broadcast(held))
-    return shards
-
-
-def _scanner(shards: list, window: int):
-    """A function from a batch of texts to ``(words, hit ranges, items)`` of each; one automaton at a time."""
-    kept: dict[int, ItemAutomaton] = {}
-
-    def automaton(k: int) -> ItemAutomaton:
-        if k not in kept:
-            kept.clear()
-            kept[k] = ItemAutomaton(shards[k].value, window)
-        return kept[k]
-
-    def scan(texts: list[bytes | None]) -> list[tuple[int, list[tuple[int, int]], set[str]]]:
-        out: list = [(0, [], set())] * len(texts)
-        for k in range(len(shards)):
-            a = automaton(k)
-            for j, text in enumerate(texts):
-                words = words_of(text)
-                ranges, items = a.hits(words)
-                if k:
-                    ranges, items = _merge(out[j][1] + ranges), out[j][2] | items
-                out[j] = (len(words), ranges, items)
-        return out
+def _shards(items: DataFrame, id_col: str, text_col: str, shard_words: int) -> list[list[str]]:
+    """Files of ``item, text`` for each shard of about ``shard_words`` words; a shard has at least one item."""
+    words = F.regexp_count("text", F.lit(r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"))
+    rows = items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text")).where(words > 0)
+    n = -(-(rows.agg(F.sum(words)).first()[0] or 0) // shard_words)
+    if not n:
+        return []
+    dealt = rows.distinct().withColumn("shard", F.pmod(F.xxhash64("item", "text"), F.lit(n)).cast("int"))
+    path = shared_path(items.sparkSession, "items")
+    dealt.repartition("shard").write.partitionBy("shard").parquet(path)
+    shards: dict[str, list[str]] = {}
+    for file in sorted(items.sparkSession.read.schema(dealt.schema).parquet(path).inputFiles()):
+        shards.setdefault(file.rsplit("/", 2)[1], []).append(file)
+    return list(shards.values())
+
+
+def _scanner(files: list[str], window: int):
+    """A function from a text to ``(words, hit ranges, items)``; its automaton is built with the first text."""
+    kept: list[ItemAutomaton] = []
+
+    def scan(text: bytes | None) -> tuple[int, list[tuple[int, int]], set[str | None]]:
+        words = words_of(text)
+        if not files:
+            return len(words), [], set()
+        if not kept:
+            items = []
+            for file in files:
+                fs, path = filesystem(file)
+                with fs.open_input_file(path) as opened:
+                    table = pq.ParquetFile(opened).read(["item", "text"])
+                items += zip(table.column("item").to_pylist(), table.column("text").cast(pa.binary()).to_pylist(), strict=True)
+            kept.append(ItemAutomaton(items, window))
+        return len(words), *kept[0].hits(words)
 
     return scan
 
 
-def _in_hand(batches: Iterator[pa.RecordBatch], shards: list) -> Iterator[pa.RecordBatch]:
-    """A few rows at a time; whole batches if each has to go through several automata, which are built for each."""
-    return pieces(batches) if len(shards) == 1 else batches
+SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+
+
+def _as_spans(found: list[list[tuple[int, int]]]) -> pa.Array:
+    return pa.array([[{"start": s, "stop": e} for s, e in ranges] for ranges in found], SPANS)
+
+
+def _pass(files: list[str], window: int, whole: bool):
+    """Rows ``rid, text`` to ``rid, n_words, items, spans`` under one shard; only those with hits unless ``whole``."""
+    scan = _scanner(files, window)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            found = [scan(t) for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            out = pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0), pa.array([n for n, _, _ in found], pa.int64()),
+                    pa.array([list(i) for _, _, i in found], pa.list_(pa.string())), _as_spans([r for _, r, _ in found]),
+                ],
+                names=["rid", "n_words", "items", "spans"],
+            )
+            yield out if whole else out.filter(pa.array([bool(r) for _, r, _ in found], pa.bool_()))
+
+    return run
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``rid, n_words, items, spans`` with overlapping spans made one."""
+    for batch in pieces(batches):
+        spans = [_merge([(s["start"], s["stop"]) for s in row]) for row in batch.column(3).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], _as_spans(spans)], names=batch.schema.names)
+
+
+def _hits(rows: DataFrame, shards: list[list[str]], window: int) -> DataFrame:
+    """``rid, n_words, items, spans`` for each row of ``rows(rid, text)``; with several shards ``rid`` has to be a key."""
+    kind = rows.schema["rid"].dataType.simpleString()
+    schema = f"rid {kind}, n_words long, items array<string>, spans array<struct<start:long,stop:long>>"
+    found = rows.mapInArrow(_pass(shards[0] if shards else [], window, True), schema)
+    if len(shards) < 2:
+        return found
+    for files in shards[1:]:
+        found = found.unionAll(rows.mapInArrow(_pass(files, window, False), schema))
+    found = found.groupBy("rid").agg(
+        F.max("n_words").alias("n_words"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
+        F.flatten(F.collect_list("spans")).alias("spans"),
+    )
+    return found.mapInArrow(_merged, schema)
 
 
 def _merge(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -220,31 +255,20 @@ def contamination(
     """``id_col, n_words, n_hit, items, spans`` for each row of ``docs``.
 
     ``items`` are the different ids (as strings, sorted) with occurring windows, ``spans`` the hit ranges of word
-    numbers. Null texts have no words; null and empty items have no windows; an item with a null id is named "null".
+    numbers. Null texts have no words; null and empty items have no windows. An item with a
+    null id is named "null" and is another than one whose id is that text.
     Repeated rows give one row each, an empty table none; without items nothing is hit. Other columns are not read.
     """
     shards = _shards(items, item_col, item_text_col, shard_words)
-    scan = _scanner(shards, window)
-    kinds = pa.schema([
-        ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())),
-        ("spans", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
-    ])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _in_hand(batches, shards):
-            found = scan(batch.column(1).cast(pa.binary()).to_pylist())
-            columns = [
-                pa.array([n for n, _, _ in found], pa.int64()),
-                pa.array([sum(e - s for s, e in r) for _, r, _ in found], pa.int64()),
-                pa.array([sorted(i) for _, _, i in found], kinds.field("items").type),
-                pa.array([[{"start": s, "stop": e} for s, e in r] for _, r, _ in found], kinds.field("spans").type),
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["id", *kinds.names])
-
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, n_words long, n_hit long, items array<string>, spans array<struct<start:long,stop:long>>"
-    return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    if len(shards) < 2:
+        found = _hits(rows.withColumnRenamed("id", "rid"), shards, window).withColumnRenamed("rid", "id")
+    else:
+        rows = staged(rows.withColumn("rid", F.monotonically_increasing_id()), "texts")
+        found = rows.select("rid", "id").join(_hits(rows.select("rid", "text"), shards, window), "rid")
+    names = F.array_sort(F.transform("items", lambda i: F.coalesce(i, F.lit("null"))))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return found.select(F.col("id").alias(id_col), "n_words", n_hit.alias("n_hit"), names.alias("items"), "spans")
 
 
 def report(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -279,35 +303,44 @@ def decontaminate(
     without hits pass unchanged, null texts too.
     """
     shards = _shards(items, item_col, item_text_col, shard_words)
-    scan = _scanner(shards, window)
     at = docs.columns.index(text_col)
     size_at = docs.columns.index(length_col) if length_col in docs.columns else None
+    several = len(shards) > 1
+    rows = docs
+    if several:
+        rid, spans = fresh(docs, "rid"), fresh(docs, "spans")
+        rows = staged(docs.withColumn(rid, F.monotonically_increasing_id()), "texts")
+        hits = _hits(rows.select(F.col(rid).alias("rid"), F.col(text_col).alias("text")), shards, window)
+        hits = hits.where(F.size("spans") > 0).select(F.col("rid").alias(rid), F.col("spans").alias(spans))
+        rows = rows.join(hits, rid, "left").select(*docs.columns, spans)
+    scan = _scanner(shards[0] if shards else [], window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _in_hand(batches, shards):
-            texts = batch.column(at).cast(pa.binary()).to_pylist()
-            found = scan(texts)
-            hit = [j for j, (_, r, _) in enumerate(found) if r]
-            if not hit:
-                yield batch
-                continue
-            keep = np.ones(len(texts), bool)
+        for batch in pieces(batches):
             columns = list(batch.columns)
+            texts = columns[at].cast(pa.binary()).to_pylist()
+            if several:
+                ranges = [[(s["start"], s["stop"]) for s in row or []] for row in columns.pop().to_pylist()]
+            else:
+                ranges = [scan(text)[1] for text in texts]
+            keep = np.ones(len(texts), bool)
             sizes = columns[size_at].to_pylist() if size_at is not None else None
-            for j in hit:
-                n, ranges, _ = found[j]
-                if sum(e - s for s, e in ranges) > max_coverage * n:
+            for j, own in enumerate(ranges):
+                if not own:
+                    continue
+                if sum(e - s for s, e in own) > max_coverage * len(words_of(texts[j])):
                     keep[j] = False
                 else:
-                    texts[j] = cut(texts[j], ranges)
+                    texts[j] = cut(texts[j], own)
                     if sizes is not None:
                         sizes[j] = len(texts[j].decode())
-            columns[at] = pa.array(texts, pa.binary()).cast(columns[at].type)
-            if sizes is not None:
-                columns[size_at] = pa.array(sizes, columns[size_at].type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(pa.array(keep))
+            if any(ranges):
+                columns[at] = pa.array(texts, pa.binary()).cast(columns[at].type)
+                if sizes is not None:
+                    columns[size_at] = pa.array(sizes, columns[size_at].type)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[: len(columns)]).filter(pa.array(keep))
 
-    return docs.mapInArrow(run, T.StructType(docs.schema.fields))
+    return rows.mapInArrow(run, T.StructType(docs.schema.fields))
 
 
 #: DuckDB: item windows and short items joined with all runs of the same length of each document.
