@@ -80,6 +80,13 @@ LB_CLEAN_COLS = [
     "LBSTRESN", "LBORNRLO", "LBORNRHI",
 ]
 
+#: Clean columns that hold the raw text as it is (defaults filled in).
+UNCHANGED = {
+    "DM": ("RECNO", "SUBJID", "SITEID", "ETHNIC", "COUNTRY", "ARMCD", "ARM", "DCSREAS"),
+    "AE": ("RECNO", "SUBJID", "AEDECOD", "AEBODSYS", "AEREL", "AEACN", "AEOUT"),
+    "LB": ("RECNO", "SUBJID", "VISIT", "LBTESTCD", "LBTEST", "LBORRES", "LBORRESU"),
+}
+
 
 @dataclass
 class Cleaned:
@@ -111,8 +118,12 @@ class Cleaned:
 
     @property
     def essential(self) -> DataFrame:
-        """The flagged table without intermediate columns: what clean, quarantine and findings read."""
-        keep = [*self.raw_columns, *[f"_c_{c}" for c in (*self.clean_columns, *self.looked_up)], "_hits", "QREASON"]
+        """The flagged table without intermediate columns: what clean, quarantine and findings read.
+
+        Clean values that are the raw ones are left out; ``of_stored`` gives them back.
+        """
+        derived = [f"_c_{c}" for c in (*self.clean_columns, *self.looked_up) if c not in UNCHANGED[self.rules[0].domain]]
+        keep = [*self.raw_columns, *derived, "_hits", "QREASON"]
         return self.flagged.select(*[F.col(f"`{c}`") for c in dict.fromkeys(keep)])
 
     def with_flagged(self, flagged: DataFrame) -> Cleaned:
@@ -127,6 +138,7 @@ def of_stored(domain: str, flagged: DataFrame) -> Cleaned:
     }[domain]
     raw = [c for c in flagged.columns if not c.startswith(("_c_", "_hits")) and c != "QREASON"]
     looked_up = tuple(c for c in (REFERENCE_DATE,) if f"_c_{c}" in flagged.columns)
+    flagged = flagged.withColumns({f"_c_{c}": F.col(c) for c in UNCHANGED[domain.upper()]})
     return Cleaned(flagged, raw, columns, rules, looked_up)
 
 

@@ -9,7 +9,7 @@ indicator that ADLB needs (``lab_rows``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trialguard import schemas
@@ -106,18 +106,47 @@ def build_ae(ae_clean: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
 BASE_VALUE, BASE_INDICATOR = "_BASE", "_BNRIND"
 
 
+def _eligible() -> Column:
+    """Whether a row can be a baseline: a numeric result on or before the reference date."""
+    return F.col("LBSTRESN").isNotNull() & F.coalesce(F.col("LBDT") <= F.col("_RFSTDT"), F.lit(False))
+
+
+def _with_indicator(lb_clean: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
+    lb = _with_reference(lb_clean, dm_sdtm)
+    return lb.withColumn("LBNRIND", range_indicator("LBSTRESN", "LBORNRLO", "LBORNRHI"))
+
+
+def _baseline_columns() -> dict[str, Column]:
+    return {
+        "LBBLFL": flag(F.coalesce(F.col("RECNO") == F.col("_baseline.RECNO"), F.lit(False))),
+        BASE_VALUE: F.col("_baseline.LBSTRESN"),
+        BASE_INDICATOR: F.col("_baseline.LBNRIND"),
+    }
+
+
+def unnumbered_lab_rows(lb_clean: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
+    """``lab_rows`` with a NULL LBSEQ, for what has no sequence number (ADLB).
+
+    The baseline of each (subject, test) is one aggregate of the rows that can be one, partially done before the
+    shuffle, and a lookup; no row is numbered.
+    """
+    lb = _with_indicator(lb_clean, dm_sdtm)
+    first = F.min(F.struct((-F.unix_date("LBDT")).alias("late"), "VISITNUM", "RECNO", "LBSTRESN", "LBNRIND"))
+    baselines = lb.filter(_eligible()).groupBy("USUBJID", "LBTESTCD").agg(first.alias("_baseline"))
+    lb = lb.join(baselines, ["USUBJID", "LBTESTCD"], "left")
+    return lb.withColumns({"LBSEQ": F.lit(None).cast("int"), **_baseline_columns()}).drop("_baseline")
+
+
 def lab_rows(lb_clean: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
     """Clean labs with LBSEQ, LBNRIND, LBBLFL, the reference date, and the baseline's value and indicator.
 
     Baseline (W3): among rows with a numeric result on or before the reference date, the latest date per
     (subject, test); ties on that date go to the lowest visit number, then input order.
     """
-    lb = _with_reference(lb_clean, dm_sdtm)
-    lb = lb.withColumn("LBNRIND", range_indicator("LBSTRESN", "LBORNRLO", "LBORNRHI"))
+    lb = _with_indicator(lb_clean, dm_sdtm)
     order = ["LBTESTCD", "LBDT", "VISITNUM"]
     lb, grain = keys.grain_of(lb, ["USUBJID"], order)
-    eligible = F.col("LBSTRESN").isNotNull() & F.coalesce(F.col("LBDT") <= F.col("_RFSTDT"), F.lit(False))
-    first = F.min(F.when(eligible, F.struct("RECNO", "LBSTRESN", "LBNRIND")))
+    first = F.min(F.when(_eligible(), F.struct("RECNO", "LBSTRESN", "LBNRIND")))
     grains = lb.groupBy(*grain).agg(F.count(F.lit(1)).alias("_n"), first.alias("_first"))
     candidate = F.when(
         F.col("_first").isNotNull(), F.struct((-F.unix_date("LBDT")).alias("late"), "VISITNUM", "_first.*")
@@ -128,14 +157,8 @@ def lab_rows(lb_clean: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
         F.min(candidate).over(Window.partitionBy("USUBJID", "LBTESTCD")).alias("_baseline"),
     )
     lb = lb.join(grains, grain)
-    return lb.withColumns(
-        {
-            "LBSEQ": (F.col("_before") + keys.place_in_grain(grain)).cast("int"),
-            "LBBLFL": flag(F.coalesce(F.col("RECNO") == F.col("_baseline.RECNO"), F.lit(False))),
-            BASE_VALUE: F.col("_baseline.LBSTRESN"),
-            BASE_INDICATOR: F.col("_baseline.LBNRIND"),
-        }
-    ).drop("_before", "_baseline", keys.PART)
+    number = (F.col("_before") + keys.place_in_grain(grain)).cast("int")
+    return lb.withColumns({"LBSEQ": number, **_baseline_columns()}).drop("_before", "_baseline", keys.PART)
 
 
 def lab_domain(rows: DataFrame, *more: str) -> DataFrame:

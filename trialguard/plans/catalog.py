@@ -90,7 +90,8 @@ class Study:
 
     @cached_property
     def adlb(self) -> DataFrame:
-        return adam.build_adlb(sdtm.lab_domain(self.lab_rows, sdtm.BASE_VALUE, sdtm.BASE_INDICATOR), self.adsl)
+        rows = sdtm.unnumbered_lab_rows(self.lb.clean_with_subject, self.sdtm_dm)  # ADLB has no sequence number
+        return adam.build_adlb(sdtm.lab_domain(rows, sdtm.BASE_VALUE, sdtm.BASE_INDICATOR), self.adsl)
 
     @cached_property
     def arms(self) -> tables.Arms:
@@ -159,7 +160,8 @@ class StoredStudy(Study):
 
     @cached_property
     def adlb(self) -> DataFrame:
-        return self.store.get("adam/adlb", lambda: adam.build_adlb(self.lb_with_baseline, self.adsl))
+        """Read once by what needs it, so it is not stored; the stored LB is taken if there is one."""
+        return adam.build_adlb(self.lb_with_baseline, self.adsl) if self.store.mark("sdtm/lb") else super().adlb
 
     @cached_property
     def events(self) -> DataFrame:
@@ -291,10 +293,10 @@ QUERIES: dict[str, Query] = {
     # SDTM and ADaM
     "sdtm_dm": _q(lambda s: s.sdtm_dm),
     "sdtm_ae": _q(lambda s: s.sdtm_ae),
-    "sdtm_lb": _q(lambda s: s.sdtm_lb),
+    "sdtm_lb": _stored("sdtm_lb", lambda s: sdtm.lab_domain(s.lab_rows)),
     "adsl": _q(lambda s: s.adsl),
     "adae": _q(lambda s: s.adae),
-    "adlb": _q(lambda s: s.adlb),
+    "adlb": _stored("adlb", lambda s: s.adlb),
     # conformance
     "conformance": _stored("conformance", lambda s: s.conformance()),
     "conformance_broken": _stored("conformance_broken", _conformance_broken),

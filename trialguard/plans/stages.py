@@ -18,7 +18,7 @@ from trialguard import files, sinks
 from trialguard.session import checkpoint_dir
 
 #: Version of the library; stages of another version are not read.
-VERSION = "0.3.0"
+VERSION = "0.3.1"
 
 
 class StageStore:

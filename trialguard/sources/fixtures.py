@@ -84,7 +84,7 @@ def raw_ae(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw adverse events: one row per order, for the order's customer."""
     b = _subjects(_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"))
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    orders = orders.repartition("o_orderkey")  # the supplied file is one row group, which can't be read in parts
+    orders = orders.repartition("o_custkey")  # the supplied file is one row group; the join then needs no other shuffle
     o = orders.join(b, orders.o_custkey == b.k)
     n, a, d0, lit = F.col("o_orderkey"), F.col("a"), F.col("d0"), F.lit
     term = F.when((a > 0) & (n % 4 == 0), lit(0)).otherwise(n % 19)
@@ -124,7 +124,9 @@ def raw_lb(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"
     ).repartition("l_orderkey")  # the supplied file is one row group, which can't be read in parts
-    joined = items.join(orders, items.l_orderkey == orders.o_orderkey).join(b, F.col("o_custkey") == b.k)
+    # subjects meet the orders first, so that the many items are shuffled by order alone
+    subjects = orders.join(b, orders.o_custkey == b.k).select("o_orderkey", "subj", "d0")
+    joined = items.join(subjects, items.l_orderkey == subjects.o_orderkey)
     lo, p, s, v = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     q = F.col("l_quantity").cast("int")
     px = F.round(F.col("l_extendedprice") * 100).cast("bigint")
