@@ -95,3 +95,25 @@ def test_all_trusted_documents_that_are_not_fitted_on_set_thresholds(spark):
     df = spark.createDataFrame([*docs, (900, "a b c d e f g h i j", "xx", 0.0)], DOC)
     limits = {r.lang: (r.low, r.high) for r in k.thresholds(df, labels, max_trusted=5)[2].collect()}
     assert limits["en"] != limits["xx"]  # 125 and more documents of its own, not the thresholds of all
+
+
+def test_every_trusted_document_of_its_half_is_fitted_on_however_many_there_are(spark, monkeypatch):
+    import trialguard.llm.kneser_ney as module
+
+    seen = []
+    monkeypatch.setattr(module, "fit", lambda trusted: seen.append(trusted.count()) or (_ for _ in ()).throw(KeyError()))
+    n = 9000  # half of these are more than the 4,000 that once were the bound
+    docs = spark.range(n).selectExpr("id AS doc_id", "'a b' AS text", "'en' AS lang", "0D AS nll")
+    labels = spark.range(n).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    with pytest.raises(KeyError):
+        k.thresholds(docs, labels)
+    assert seen == [docs.where(k._half("doc_id") == 0).count()] and seen[0] > 4000
+
+
+def test_tables_that_are_read_shard_by_shard_give_the_same_scores(spark, corpus, monkeypatch):
+    docs, labels = (spark.createDataFrame(rows, s) for rows, s in zip(corpus, (DOC, LABELS), strict=True))
+    held = sorted(map(str, k.quality(docs, labels).collect()))
+    monkeypatch.setattr(k, "HELD_ROWS", 10)
+    monkeypatch.setattr(k, "SHARD_ROWS", 100)
+    monkeypatch.setattr(k, "CHUNK", 2000)
+    assert sorted(map(str, k.quality(docs, labels).collect())) == held

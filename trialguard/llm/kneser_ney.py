@@ -5,18 +5,19 @@ order gets its three discounts from its counts of counts. Probabilities come fro
 their contexts, all as Spark aggregates and joins over integer keys. Words outside the vocabulary fall into classes
 by their shape; a class's probability is spread evenly over the kinds of words that it stood for in training.
 
-The trusted text is at most ``MAX_TRUSTED`` documents (the documented bound of the fit), so the finished tables have a
-fixed size bound. They are written in the shared folder as shards by key range, and the n-grams of every document are
-joined with one shard after the other in sorted arrays: documents are never shuffled, and the tables don't pass through
-the driver. Thresholds are quantiles of perplexity by language, and by length, over all trusted
-documents that the model was not fitted on.
+The model is fitted on every trusted document of one half by hash, so the finished tables grow with the trusted text.
+They are written in the shared folder as shards by key range, and the n-grams of every document are joined with one
+shard after the other in sorted arrays: documents are never shuffled for it, and the tables don't pass through the
+driver. Tables of up to ``HELD_ROWS`` rows stay in a worker; of larger ones it holds a single shard at a time and takes
+``CHUNK`` bytes of text through them at once. Thresholds are quantiles of perplexity by language, and by length,
+over all trusted documents of the other half.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +28,10 @@ from pyspark.sql import types as T
 
 from trialguard.llm.common import filesystem, fresh, pieces, staged, worker_cache
 
-MAX_TRUSTED = 4000
 MAX_WORDS = 1 << 18
 SHARD_ROWS = 1 << 20
+#: Rows of both tables together that a worker keeps in memory; bytes of text that go through the shards of larger ones at once.
+HELD_ROWS, CHUNK = 12 * SHARD_ROWS, 1 << 23
 #: Share of trusted documents that lies between the thresholds, and how much further out, as a share of the distance
 #: from the median, a document has to be to be rejected.
 QUANTILE, MARGIN = 0.995, 0.4
@@ -196,37 +198,47 @@ def fit(trusted: DataFrame) -> dict:
     with np.errstate(divide="ignore"):
         log1 = np.log(p1).astype(np.float32)
     log1[BEGIN] = 0.0
-    return {
-        "vocab": shared, "spread": -np.log(kinds).astype(np.float32), "p1": log1, "back1": backoff1,
+    tables = {
         "bigrams": _shards(bigrams, "bigram-shards"),
         "trigrams": _shards(p3.select("key", F.log("p").cast("float").alias("p")), "trigram-shards"),
     }
+    return {
+        "held": sum(rows for _, rows in tables.values()) <= HELD_ROWS,
+        "vocab": shared, "spread": -np.log(kinds).astype(np.float32), "p1": log1, "back1": backoff1,
+        **{k: files for k, (files, _) in tables.items()},
+    }
 
 
-def _shards(table: DataFrame, name: str) -> list[str]:
-    """Write ``table`` as files of about ``SHARD_ROWS`` rows, each a range of keys in order; the files."""
+def _shards(table: DataFrame, name: str) -> tuple[list[str], int]:
+    """Write ``table`` as files of about ``SHARD_ROWS`` rows, each a range of keys in order; the files and all rows."""
     rows = staged(table, name)
-    parts = max(1, -(-rows.count() // SHARD_ROWS))
-    return staged(rows.repartitionByRange(parts, "key").sortWithinPartitions("key"), name).inputFiles()
-
-
-def _loaded(files: list[str], kind: str) -> list[list[np.ndarray]]:
-    """The columns of each shard that holds rows; a worker process reads them once."""
+    n = rows.count()
+    parts = max(1, -(-n // SHARD_ROWS))
+    return staged(rows.repartitionByRange(parts, "key").sortWithinPartitions("key"), name).inputFiles(), n
+
+
+def _read(files: list[str]) -> Iterator[list[np.ndarray]]:
+    """The columns of each shard that holds rows, one shard after the other."""
+    for file in files:
+        fs, path = filesystem(file)
+        table = pq.read_table(path, filesystem=fs)
+        if table.num_rows:
+            yield [c.to_numpy().copy() for c in table.columns]
+        del table
+        pa.default_memory_pool().release_unused()
+
+
+def _loaded(files: list[str], kind: str, held: bool) -> Iterable[list[np.ndarray]]:
+    """The columns of each shard that holds rows; a worker process reads them once if they are ``held``."""
+    if not held:
+        return _read(files)
     cache = worker_cache(f"n-gram shards {kind}")
     if cache.get("files") != files:
-        shards = []
-        for file in files:
-            fs, path = filesystem(file)
-            table = pq.read_table(path, filesystem=fs)
-            if table.num_rows:
-                shards.append([c.to_numpy().copy() for c in table.columns])
-            del table
-            pa.default_memory_pool().release_unused()
-        cache.update(files=files, shards=shards)
+        cache.update(files=files, shards=list(_read(files)))
     return cache["shards"]
 
 
-def _look_up(keys: np.ndarray, shards: list[list[np.ndarray]], width: int) -> tuple[np.ndarray, list[np.ndarray]]:
+def _look_up(keys: np.ndarray, shards: Iterable[list[np.ndarray]], width: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """Whether each key is in the sharded table, and the values of those that are (0 for the others)."""
     found = np.zeros(len(keys), bool)
     values = [np.zeros(len(keys), np.float32) for _ in range(width)]
@@ -246,12 +258,12 @@ def log_probabilities(ids: np.ndarray, model: dict) -> np.ndarray:
     """Natural log probability of each id after the first two; ``ids`` may hold several texts one after the other."""
     u, v, w = ids[:-2], ids[1:-1], ids[2:]
     pairs = (ids[:-1] << BITS) | ids[1:]
-    known, (p2, back2) = _look_up(pairs, _loaded(model["bigrams"], "2"), 2)
+    known, (p2, back2) = _look_up(pairs, _loaded(model["bigrams"], "2", model["held"]), 2)
     low = np.where(known[1:] & ~np.isnan(p2[1:]), p2[1:], model["back1"][v] + model["p1"][w])
     out = back2[:-1] + low  # an unknown context has weight 1
     ask = np.flatnonzero(known[:-1] & known[1:])
     triples = (u[ask] << (2 * BITS)) | (v[ask] << BITS) | w[ask]
-    hit, (p3,) = _look_up(triples, _loaded(model["trigrams"], "3"), 1)
+    hit, (p3,) = _look_up(triples, _loaded(model["trigrams"], "3", model["held"]), 1)
     out[ask[hit]] = p3[hit]
     special = w < FIRST_WORD
     out[special] += model["spread"][w[special]]
@@ -286,7 +298,7 @@ def _score_texts(texts: list[str | None], model: dict) -> list[tuple[int, float
             held.append(_ids(tokens, vocab))
             pending += len(held[-1])
         sizes.append(len(tokens) + 1 if tokens else 0)
-        if pending > 100_000:
+        if model["held"] and pending > 100_000:
             flush()
             pending = 0
     if held:
@@ -303,8 +315,21 @@ def with_perplexity(
     at = docs.columns.index(text_col)
     out = [k for k in range(len(docs.columns)) if keep_text or k != at]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def taken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pieces as they come or, if the shards have to be read for each, put together to ``CHUNK`` bytes of text."""
+        some: list[pa.RecordBatch] = []
+        size = 0
         for batch in pieces(batches):
+            some.append(batch)
+            size += batch.column(at).nbytes
+            if model["held"] or size > CHUNK:
+                yield pa.concat_batches(some)
+                some, size = [], 0
+        if some:
+            yield pa.concat_batches(some)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in taken(batches):
             n, nll = zip(*_score_texts(batch.column(at).to_pylist(), model), strict=True)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(k) for k in out), pa.array(n, pa.int64()), pa.array(nll, pa.float64())],
@@ -350,27 +375,28 @@ def _limits(calibration: DataFrame, keys: list[str], quantile: float, margin: fl
 
 def thresholds(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-    max_trusted: int = MAX_TRUSTED, quantile: float = QUANTILE, margin: float = MARGIN,
+    max_trusted: int | None = None, quantile: float = QUANTILE, margin: float = MARGIN,
 ) -> tuple[dict, DataFrame, DataFrame]:
     """The model, ``id, lang, tokens, nll`` of all rows of ``docs``, and ``lang, band, low, high``.
 
-    Trusted are documents with a label of quality 1 and toxic 0. Every second one by hash, up to ``max_trusted``, is
-    fitted on; all others set the thresholds. A null language is a language of its own.
+    Trusted are documents with a label of quality 1 and toxic 0. Every second one by hash is fitted on (a caller
+    may set ``max_trusted``); all others set the thresholds. A null language is a language of its own.
     """
     good = labels.where("quality = 1 and toxic = 0").select(F.col("doc_id").alias("good_id")).distinct()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     read = rows.where(_half("id") == 0)
-    # the sample is chosen by id alone, then its texts are fetched
-    there = good.where(_half("good_id") == 0).join(read.select(F.col("id").alias("good_id")).distinct(), "good_id")
-    sample = there.orderBy(F.xxhash64("good_id", F.lit(1)), "good_id").limit(max_trusted)
-    sample = staged(sample, "fitted")
-    trusted = read.join(F.broadcast(sample), read["id"] == sample["good_id"], "left_semi").select("text")
+    fitted = good.where(_half("good_id") == 0)
+    if max_trusted is not None:
+        # those that are fitted on are chosen by id alone, then their texts are fetched
+        there = fitted.join(read.select(F.col("id").alias("good_id")).distinct(), "good_id")
+        fitted = staged(there.orderBy(F.xxhash64("good_id", F.lit(1)), "good_id").limit(max_trusted), "fitted")
+    trusted = read.join(fitted, read["id"] == fitted["good_id"], "left_semi").select("text")
     model = fit(staged(trusted, "trusted"))
 
     scored = staged(with_perplexity(rows, model, "text", "tokens", "nll", keep_text=False), "scored")
     banded = scored.select("id", "lang", _band(F.col("tokens")).alias("band"), "nll")
     calibration = banded.join(good, banded["id"] == good["good_id"], "left_semi")
-    calibration = calibration.join(sample, calibration["id"] == sample["good_id"], "left_anti")
+    calibration = calibration.join(fitted, calibration["id"] == fitted["good_id"], "left_anti")
     calibration = staged(calibration, "calibration")
     overall = _limits(calibration.withColumn("all", F.lit(0)), ["all"], quantile, margin).first()  # one row, or none
     limits = banded.select("lang", "band").distinct()
