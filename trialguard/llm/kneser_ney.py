@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trialguard import files
 from trialguard.llm.common import filesystem, fresh, pieces, staged, worker_cache
 
 MAX_WORDS = 1 << 18
@@ -68,6 +69,21 @@ def _ids(tokens: list[str], vocab: dict[str, int]) -> np.ndarray:
     return np.array(ids, np.int64)
 
 
+#: Spark's own setting to delete a query's shuffle files as soon as it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``staged``; the shuffle files of the write are deleted after it, as those of the fit would add up."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        return staged(df, name)
+    finally:
+        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
+
+
 def _vocabulary(trusted: DataFrame) -> tuple[dict[str, int], np.ndarray]:
     """Ids of the most frequent words seen twice or more, and how many kinds of words each class stands for."""
 
@@ -80,7 +96,7 @@ def _vocabulary(trusted: DataFrame) -> tuple[dict[str, int], np.ndarray]:
             [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"]
         )
 
-    counts = staged(
+    counts = _stored(
         trusted.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")),
         "words",
     )
@@ -149,11 +165,11 @@ def fit(trusted: DataFrame) -> dict:
 
     mask = F.lit((1 << (2 * BITS)) - 1)
     word = F.lit((1 << BITS) - 1)
-    c3 = staged(
+    c3 = _stored(
         trusted.select("text").mapInArrow(trigrams, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n")),
         "trigrams",
     )
-    c2 = staged(
+    c2 = _stored(
         c3.groupBy(F.col("key").bitwiseAND(mask).alias("key")).agg(F.count(F.lit(1)).alias("n")), "bigrams"
     )
     c1 = c2.groupBy(F.col("key").bitwiseAND(word).alias("key")).agg(F.count(F.lit(1)).alias("n")).toPandas()
@@ -172,22 +188,21 @@ def fit(trusted: DataFrame) -> dict:
 
     d2, d3 = _discounts_of(c2), _discounts_of(c3)
     first2 = F.shiftright("key", BITS)
-    x2 = staged(_contexts(c2, first2, "n", d2), "contexts")
+    x2 = _stored(_contexts(c2, first2, "n", d2), "contexts")
     p2 = c2.withColumn("context", first2).join(x2, "context").withColumn("last", F.col("key").bitwiseAND(word))
     p2 = p2.join(unigrams, "last").select(
         "key",
         ((F.col("n") - _discount(F.col("n"), d2)) / F.col("total") + F.col("rest") * F.col("p1")).alias("p"),
     )
-    p2 = staged(p2, "bigram-p")
-    x3 = staged(_contexts(c3, F.shiftright("key", BITS), "n", d3), "contexts")
-    p3 = (
-        c3.withColumn("context", F.shiftright("key", BITS)).join(x3, "context")
-        .withColumn("low", F.col("key").bitwiseAND(mask))
-        .join(p2.select(F.col("key").alias("low"), F.col("p").alias("p2")), "low")
-        .select(
-            "key",
-            ((F.col("n") - _discount(F.col("n"), d3)) / F.col("total") + F.col("rest") * F.col("p2")).alias("p"),
-        )
+    p2 = _stored(p2, "bigram-p")
+    x3 = _stored(_contexts(c3, F.shiftright("key", BITS), "n", d3), "contexts")
+    # the second shuffle carries no more than it needs: its join key is worked out from the trigram
+    own = c3.withColumn("context", F.shiftright("key", BITS)).join(x3, "context").select(
+        "key", ((F.col("n") - _discount(F.col("n"), d3)) / F.col("total")).alias("own"), "rest"
+    )
+    low = p2.select(F.col("key").alias("low"), F.col("p").alias("p2"))
+    p3 = own.join(low, own["key"].bitwiseAND(mask) == low["low"]).select(
+        "key", (F.col("own") + F.col("rest") * F.col("p2")).alias("p")
     )
     bigrams = p2.join(x3.select(F.col("context").alias("key"), "rest"), "key", "full").select(
         "key", F.log("p").cast("float").alias("p"), F.coalesce(F.log("rest"), F.lit(0.0)).cast("float").alias("back")
@@ -205,21 +220,24 @@ def fit(trusted: DataFrame) -> dict:
     return {
         "held": sum(rows for _, rows in tables.values()) <= HELD_ROWS,
         "vocab": shared, "spread": -np.log(kinds).astype(np.float32), "p1": log1, "back1": backoff1,
-        **{k: files for k, (files, _) in tables.items()},
+        **{k: shards for k, (shards, _) in tables.items()},
     }
 
 
 def _shards(table: DataFrame, name: str) -> tuple[list[str], int]:
     """Write ``table`` as files of about ``SHARD_ROWS`` rows, each a range of keys in order; the files and all rows."""
-    rows = staged(table, name)
+    rows = _stored(table, name)
     n = rows.count()
     parts = max(1, -(-n // SHARD_ROWS))
-    return staged(rows.repartitionByRange(parts, "key").sortWithinPartitions("key"), name).inputFiles(), n
+    found = _stored(rows.repartitionByRange(parts, "key").sortWithinPartitions("key"), name).inputFiles()
+    for file in rows.inputFiles():
+        files.delete(table.sparkSession, file)
+    return found, n
 
 
-def _read(files: list[str]) -> Iterator[list[np.ndarray]]:
+def _read(paths: list[str]) -> Iterator[list[np.ndarray]]:
     """The columns of each shard that holds rows, one shard after the other."""
-    for file in files:
+    for file in paths:
         fs, path = filesystem(file)
         table = pq.read_table(path, filesystem=fs)
         if table.num_rows:
@@ -228,13 +246,13 @@ def _read(files: list[str]) -> Iterator[list[np.ndarray]]:
         pa.default_memory_pool().release_unused()
 
 
-def _loaded(files: list[str], kind: str, held: bool) -> Iterable[list[np.ndarray]]:
+def _loaded(paths: list[str], kind: str, held: bool) -> Iterable[list[np.ndarray]]:
     """The columns of each shard that holds rows; a worker process reads them once if they are ``held``."""
     if not held:
-        return _read(files)
+        return _read(paths)
     cache = worker_cache(f"n-gram shards {kind}")
-    if cache.get("files") != files:
-        cache.update(files=files, shards=list(_read(files)))
+    if cache.get("files") != paths:
+        cache.update(files=paths, shards=list(_read(paths)))
     return cache["shards"]
 
 
@@ -391,7 +409,7 @@ def thresholds(
         there = fitted.join(read.select(F.col("id").alias("good_id")).distinct(), "good_id")
         fitted = staged(there.orderBy(F.xxhash64("good_id", F.lit(1)), "good_id").limit(max_trusted), "fitted")
     trusted = read.join(fitted, read["id"] == fitted["good_id"], "left_semi").select("text")
-    model = fit(staged(trusted, "trusted"))
+    model = fit(_stored(trusted, "trusted"))
 
     scored = staged(with_perplexity(rows, model, "text", "tokens", "nll", keep_text=False), "scored")
     banded = scored.select("id", "lang", _band(F.col("tokens")).alias("band"), "nll")
