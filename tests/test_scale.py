@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tests import inline
-from trialguard.operators import cleaning, sdtm
+from trialguard.operators import cleaning, conformance, keys, rules, sdtm
 from trialguard.plans import catalog
 from trialguard.sources import fixtures
 
@@ -56,3 +58,67 @@ def test_lab_tables_store_neither_lb_nor_adlb(spark, tmp_path):
     store = catalog.StoredStudy(spark, at).store
     assert store.mark("profile/labs") and store.mark("flagged/lb")
     assert not store.mark("sdtm/lb") and not store.mark("adam/adlb")
+
+
+def test_only_crowded_cells_are_cut_into_grains(spark, monkeypatch):
+    """Numbers are those of the grains of all rows; a subject or test of few rows is one grain, a crowded one is cut."""
+    monkeypatch.setattr(keys, "CROWDED", 100)
+    n = 6000
+    rows = spark.range(n).select(
+        F.col("id").alias("RECNO"), F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 300)).alias("USUBJID"),
+        F.date_add(F.lit("2025-01-01").cast("date"), (F.col("id") * 7 % 3).cast("int")).alias("DAY"), F.concat(F.lit("t"), F.col("id") % 3).alias("TERM"),
+    )
+    for order, cell in ((["DAY", "TERM"], ["USUBJID"]), (["TERM", "DAY"], ["USUBJID", "TERM"])):
+        many = keys.crowded(rows, cell)
+        df, grain = keys.cells_of(rows, ["USUBJID"], order, many)
+        sizes = df.groupBy(*grain).agg(F.count(F.lit(1)).alias("n")).groupBy("USUBJID").agg(F.count(F.lit(1)).alias("grains"), F.max("n").alias("n"))
+        cells = rows.groupBy("USUBJID").agg(F.countDistinct(*cell).alias("cells"))
+        few = sizes.where("USUBJID <> 'hot'").join(cells, "USUBJID")
+        assert few.count() == 150 and few.where("grains <> cells").count() == 0
+        hot = sizes.where("USUBJID = 'hot'").first()
+        assert hot.grains > 3 and hot.n <= 1024
+        plain, counted = (sorted(keys.sequence(rows, ["USUBJID"], order, "SEQ", m).select("RECNO", "SEQ").collect()) for m in (None, many))
+        assert plain == counted and len(plain) == n
+
+
+def test_stored_labs_are_numbered_as_others(spark, monkeypatch):
+    rows = [
+        {"SUBJID": s, "LBTESTCD": t, "LBDT": d, "VISITNUM": v, "LBORRES": x}
+        for s in "12" for t in ("ALT", "AST") if s + t != "2AST"
+        for d, v, x in (("2025-01-09", "2", "50"), ("2025-01-09", "1", "20"), ("2025-01-09", "1", "30"), ("2025-01-11", "3", "<5"), ("2025-01-08", "1", "7"))
+    ]
+    dm = cleaning.flag_dm(inline.raw(spark, inline.DM, [{"SUBJID": "1"}, {"SUBJID": "2"}])).clean
+    clean, domain = cleaning.flag_lb(inline.raw(spark, inline.LB, rows), dm).clean_with_subject, sdtm.build_dm(dm)
+    found = []
+    for stored, limit in ((False, 100), (True, 100), (True, 1), (True, 6)):
+        monkeypatch.setattr(keys, "CROWDED", limit)
+        found.append(sorted(map(str, sdtm.build_lb_with_baseline(clean, domain, stored).collect())))
+    assert len(found[0]) == 15 and all(f == found[0] for f in found)
+
+
+def test_hits_are_worked_out_once_for_counts_and_examples(spark):
+    raw = inline.raw(spark, inline.LB, [{"SUBJID": str(i % 9), "LBDT": "bad"} for i in range(40)] + [{"SUBJID": ""}, {"SUBJID": None}])
+    dm = cleaning.flag_dm(inline.raw(spark, inline.DM, [{"SUBJID": str(i)} for i in range(8)])).clean
+    found = cleaning.flag_lb(raw, dm).findings
+    got = {r.rule_id: (r["count"], r.examples) for r in found.collect()}
+    assert got == {"LB-R01": (6, ", 8"), "LB-R02": (36, "0, 1, 2, 3, 4")}
+    final = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final and final.count("Generate explode") == 1
+
+
+def test_examples_pass_over_missing_ids(spark):
+    hits = spark.createDataFrame([("a", None, 2), ("a", "x", 1), *(("b", f"{i}", 1) for i in range(7)), ("b", None, 1), ("c", None, 3)], "key string, _id string, _w long")
+    found = rules.summarize_hits(hits, [rules.Rule(k, "LB", "ERROR", k) for k in "abc"])
+    assert {r.rule_id: (r["count"], r.examples) for r in found.collect()} == {"a": (3, "x"), "b": (8, "0, 1, 2, 3, 4"), "c": (3, "")}
+
+
+def test_only_subjects_are_looked_up_in_dm(spark):
+    """SD0005 counts rows, those without a subject too, but the join to DM is of one row a subject."""
+    dm = inline.dataset(spark, "DM", [{"USUBJID": u} for u in ("1", "1", "2")])
+    ae = inline.dataset(spark, "AE", [{"USUBJID": u, "AESEQ": 1} for u in ("1", "2", "3", "3", None)])
+    found = conformance.check_sdtm(spark, {"DM": dm, "AE": ae})
+    hit = [r for r in found.collect() if r.rule_id == "SD0005"]
+    assert [(r["domain"], r["count"], r.examples) for r in hit] == [("AE", 3, "3")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    under = [plan[k + 1] for k, line in enumerate(plan) if "Join LeftOuter" in line and "USUBJID" in line]
+    assert under and all("Aggregate [USUBJID" in line for line in under)

@@ -242,9 +242,10 @@ def _known_subjects(subjects: DataFrame) -> DataFrame:
 
 def _with_subject(df: DataFrame, subjects: DataFrame) -> tuple[DataFrame, tuple[str, ...]]:
     """Rows keyed by USUBJID and joined with the known subjects; what the join brought along."""
-    known = _known_subjects(subjects)
-    joined = df.withColumn("USUBJID", usubjid("SUBJID")).join(known, "USUBJID", "left")
-    return joined, tuple(c for c in known.columns if c == REFERENCE_DATE)
+    # the key is worked out from SUBJID on both sides of the shuffle, which then carries it once
+    known = _known_subjects(subjects).withColumnRenamed("USUBJID", "_subject")
+    joined = df.join(known, usubjid("SUBJID") == F.col("_subject"), "left").drop("_subject")
+    return joined.withColumn("USUBJID", usubjid("SUBJID")), tuple(c for c in known.columns if c == REFERENCE_DATE)
 
 
 def flag_ae(raw: DataFrame, subjects: DataFrame) -> Cleaned:

@@ -88,18 +88,26 @@ def _hits(df: DataFrame, checks: list[tuple[Rule, Column]], weights: dict[int, C
     return found.filter(F.col("_h").isNotNull()).select("_h.key", "_id", "_h._w")
 
 
-def _key_hits(df: DataFrame, seq: str | None, seq_rule: Rule | None, dup_rule: Rule | None, baseline_rule: Rule | None) -> DataFrame:
-    """Hits of the rules on keys: later copies of (subject, sequence number), later copies of a subject, and
-    subjects without a baseline record. The key columns are counted by (subject, sequence number), then by subject."""
+def _key_hits(
+    df: DataFrame, seq: str | None, seq_rule: Rule | None, dup_rule: Rule | None, baseline_rule: Rule | None,
+    orphan_rule: Rule | None, dm_keys: DataFrame | None,
+) -> DataFrame:
+    """Hits of the rules on keys: later copies of (subject, sequence number), later copies of a subject, subjects
+    without a baseline record, and rows of subjects not in DM. The key columns are counted by (subject, sequence
+    number), then by subject; only subjects are looked up in DM."""
     is_base = F.coalesce(F.col("LBBLFL") == "Y", F.lit(False)) if baseline_rule is not None else F.lit(True)
     keys = ["USUBJID", seq] if seq_rule is not None else ["USUBJID"]
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.bool_or(is_base).alias("_base"))
     subjects = per_key.groupBy("USUBJID").agg(
         F.sum("_n").alias("_n"), F.sum(F.col("_n") - 1).alias("_again"), F.bool_or("_base").alias("_base")
     )
+    orphan = F.lit(True)
+    if orphan_rule is not None and dm_keys is not None:
+        subjects = subjects.join(dm_keys, "USUBJID", "left")
+        orphan = F.col("_in_dm").isNull()
     rules = (
         (seq_rule, F.col("_again") > 0, F.col("_again")), (dup_rule, F.col("_n") > 1, F.col("_n") - 1),
-        (baseline_rule, ~F.col("_base"), F.lit(1)),
+        (baseline_rule, ~F.col("_base"), F.lit(1)), (orphan_rule, orphan, F.col("_n")),
     )
     rules = [r for r in rules if r[0] is not None]
     return _hits(subjects, [(rule, cond) for rule, cond, _ in rules], {i: w for i, (_, _, w) in enumerate(rules)})
@@ -127,9 +135,9 @@ def check_sdtm(
 ) -> DataFrame:
     """All conformance findings for the given SDTM domains (``{"DM": ..., "AE": ..., "LB": ...}``).
 
-    Row checks and the orphan check (a left join to the DM keys) are conditions
-    of one scan per domain, and only rows that hit are counted. Duplicate keys
-    and missing baselines are partially aggregated counts of the key columns.
+    Row checks are conditions of one scan per domain, and only rows that hit
+    are counted. Duplicate keys, missing baselines and subjects not in DM are
+    taken from partially aggregated counts of the key columns.
     """
     domains = {k: v for k, v in domains.items() if v is not None}
     dm = domains.get("DM")
@@ -140,18 +148,12 @@ def check_sdtm(
         checks = _row_checks(name, df)
         cols = set(df.columns)
         has_id = "USUBJID" in cols
-        if has_id and name != "DM":
-            r = Rule("SD0005", name, "ERROR", "USUBJID not found in DM", key=f"SD0005:{name}")
-            if dm_keys is not None:
-                df = df.join(dm_keys, "USUBJID", "left")
-                checks.append((r, F.col("_in_dm").isNull()))
-            else:
-                checks.append((r, F.lit(True)))
+        orphan_rule = Rule("SD0005", name, "ERROR", "USUBJID not found in DM", key=f"SD0005:{name}") if has_id and name != "DM" else None
         seq = f"{name}SEQ"
         seq_rule = Rule("SD0006", name, "ERROR", f"{seq} not unique within subject", key=f"SD0006:{name}") if has_id and seq in cols else None
         dup_rule = Rule("DM0001", "DM", "ERROR", "USUBJID not unique in DM") if name == "DM" and has_id else None
         baseline_rule = Rule("LB0001", "LB", "WARNING", "Subject has no baseline lab record") if name == "LB" and has_id and "LBBLFL" in cols else None
-        extra = [r for r in (seq_rule, dup_rule, baseline_rule) if r is not None]
+        extra = [r for r in (seq_rule, dup_rule, baseline_rule, orphan_rule) if r is not None]
         if not checks and not extra:
             continue
         rules.extend(r for r, _ in checks)
@@ -160,7 +162,7 @@ def check_sdtm(
             df = df.withColumn("USUBJID", F.lit(None).cast("string"))
         hits.append(_hits(df, checks))
         if extra:
-            hits.append(_key_hits(df, seq, seq_rule, dup_rule, baseline_rule))
+            hits.append(_key_hits(df, seq, seq_rule, dup_rule, baseline_rule, orphan_rule, dm_keys))
     parts = [literal_findings(spark, structural_findings(domains, labels))]
     if hits:
         parts.append(summarize_hits(union_all(hits), rules))

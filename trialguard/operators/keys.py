@@ -8,6 +8,10 @@ shuffle. Windows then run over that small table only, and one join by grain
 brings their results back to the rows, where rows are numbered within their
 grain. Everything is a function of the data, so a recomputed task gives the
 same numbers.
+
+Where rows are read from a stored table they are counted first: a subject, or a
+subject's test, of up to ``CROWDED`` rows is then one grain (``cells_of``), and
+only larger ones are cut. The table of grains is much smaller that way.
 """
 
 from __future__ import annotations
@@ -19,6 +23,9 @@ from pyspark.sql import functions as F
 
 #: Column of the coarse input order; rows that share it number at most about a thousand for readers' RECNO.
 PART = "_part"
+#: Rows that one task may sort as one grain.
+CROWDED = 100_000
+_MARK = "_crowded"
 
 
 def coarse_order(df: DataFrame, recno: str = "RECNO") -> Column:
@@ -38,24 +45,57 @@ def grain_of(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[
     return df.withColumn(PART, coarse_order(df)), [*keys, *order, PART]
 
 
-def rows_before(keys: Sequence[str], order: Sequence[str], n: str) -> Column:
+def crowded(df: DataFrame, cell: Sequence[str]) -> DataFrame:
+    """The values of ``cell`` that more than ``CROWDED`` rows share: at most one in so many rows."""
+    counts = df.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.filter(F.col("_n") > CROWDED).select(*cell)
+
+
+def cells_of(df: DataFrame, keys: Sequence[str], order: Sequence[str], many: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``grain_of`` for the cells ``many`` (see ``crowded``); every other cell is one grain.
+
+    A cell is ``keys`` and, perhaps, the first of ``order``. The rows of other cells have constants in place of what
+    cuts grains, so each grain still lies in one piece of the order.
+    """
+    cell = many.columns
+    df, _ = grain_of(df, keys, order)
+    df = df.join(F.broadcast(many.withColumn(_MARK, F.lit(True))), cell, "left")  # bounded: rows / CROWDED
+    kinds = dict(df.dtypes)
+    cut = {
+        c: F.when(F.col(_MARK), F.col(c)).otherwise(F.lit("1970-01-01" if kinds[c] == "date" else "0").cast(kinds[c]))
+        for c in (*order, PART) if c not in cell
+    }
+    df = df.withColumns({f"{PART}_{c}": value for c, value in cut.items()}).drop(_MARK, PART)
+    return df, [f"{PART}_{c}" if c in cut else c for c in (*keys, *order, PART)]
+
+
+def rows_before(keys: Sequence[str], grain: Sequence[str], n: str) -> Column:
     """Rows of earlier grains of the same ``keys`` group, over a table with one row per grain."""
-    earlier = Window.partitionBy(*keys).orderBy(*order, PART).rowsBetween(Window.unboundedPreceding, -1)
+    order = [c for c in grain if c not in keys]
+    earlier = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum(n).over(earlier), F.lit(0))
 
 
-def place_in_grain(grain: Sequence[str]) -> Column:
-    """1, 2, ... in input order within a grain."""
-    return F.row_number().over(Window.partitionBy(*grain).orderBy("RECNO"))
+def place_in_grain(grain: Sequence[str], order: Sequence[str]) -> Column:
+    """1, 2, ... within a grain, by those columns of ``order`` that are not its own and then input order."""
+    return F.row_number().over(Window.partitionBy(*grain).orderBy(*[c for c in order if c not in grain], "RECNO"))
+
 
+def added(grain: Sequence[str]) -> list[str]:
+    """The columns of a grain that are not the rows' own."""
+    return [c for c in grain if c.startswith(PART)]
 
-def sequence(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
-    """Add ``name`` = 1, 2, ... within ``keys``, by ``order`` and then input order."""
-    df, grain = grain_of(df, keys, order)
+
+def sequence(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, many: DataFrame | None = None
+) -> DataFrame:
+    """Add ``name`` = 1, 2, ... within ``keys``, by ``order`` and then input order; ``many`` as in ``cells_of``."""
+    df, grain = grain_of(df, keys, order) if many is None else cells_of(df, keys, order, many)
     counts = df.groupBy(*grain).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.withColumn("_before", rows_before(keys, order, "_n")).drop("_n")
+    offsets = counts.withColumn("_before", rows_before(keys, grain, "_n")).drop("_n")
     out = df.join(offsets, grain)
-    return out.withColumn(name, (F.col("_before") + place_in_grain(grain)).cast("int")).drop("_before", PART)
+    number = (F.col("_before") + place_in_grain(grain, order)).cast("int")
+    return out.withColumn(name, number).drop("_before", *added(grain))
 
 
 def group_first_value(

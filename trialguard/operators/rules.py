@@ -93,9 +93,11 @@ def summarize_hits(hits: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Findings from hit rows ``(key, _id, _w)``: count = sum of weights; up to 5 sorted distinct ids."""
     per_id = hits.groupBy("key", "_id").agg(F.sum("_w").alias("_n"))
     counts = per_id.groupBy("key").agg(F.sum("_n").alias("count"))
+    # NULL ids come last and are passed over by collect_list. Nothing is filtered before, and the window reads the
+    # count too, so that both sides read one and the same shuffle and the hits are worked out once.
+    by_id = Window.partitionBy("key").orderBy(F.col("_id").asc_nulls_last(), "_n")
     top = (
-        per_id.filter(F.col("_id").isNotNull())
-        .withColumn("_rn", F.row_number().over(Window.partitionBy("key").orderBy("_id")))
+        per_id.withColumn("_rn", F.row_number().over(by_id))
         .filter(F.col("_rn") <= MAX_EXAMPLES)
         .groupBy("key")
         .agg(F.array_join(F.array_sort(F.collect_list("_id")), ", ").alias("examples"))

@@ -76,10 +76,14 @@ def _with_reference(df: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
     return df if "_RFSTDT" in df.columns else df.join(reference_dates(dm_sdtm), "USUBJID", "left")
 
 
-def build_ae(ae_clean: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
-    """B2: SDTM AE with AESEQ (per subject by start date, term, input order) and study days."""
+def build_ae(ae_clean: DataFrame, dm_sdtm: DataFrame, stored: bool = False) -> DataFrame:
+    """B2: SDTM AE with AESEQ (per subject by start date, term, input order) and study days.
+
+    ``stored`` rows are counted by subject first, which costs a scan of one column.
+    """
     ae = _with_reference(ae_clean, dm_sdtm)
-    ae = keys.sequence(ae, ["USUBJID"], ["AESTDT", "AEDECOD"], "AESEQ")
+    many = keys.crowded(_ensure_usubjid(ae_clean), ["USUBJID"]) if stored else None
+    ae = keys.sequence(ae, ["USUBJID"], ["AESTDT", "AEDECOD"], "AESEQ", many)
     out = ae.select(
         F.lit(STUDYID).alias("STUDYID"),
         F.lit("AE").alias("DOMAIN"),
@@ -137,28 +141,32 @@ def unnumbered_lab_rows(lb_clean: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
     return lb.withColumns({"LBSEQ": F.lit(None).cast("int"), **_baseline_columns()}).drop("_baseline")
 
 
-def lab_rows(lb_clean: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
+def lab_rows(lb_clean: DataFrame, dm_sdtm: DataFrame, stored: bool = False) -> DataFrame:
     """Clean labs with LBSEQ, LBNRIND, LBBLFL, the reference date, and the baseline's value and indicator.
 
     Baseline (W3): among rows with a numeric result on or before the reference date, the latest date per
-    (subject, test); ties on that date go to the lowest visit number, then input order.
+    (subject, test); ties on that date go to the lowest visit number, then input order. ``stored`` rows are counted
+    by subject and test first, which costs a scan of two columns.
     """
     lb = _with_indicator(lb_clean, dm_sdtm)
-    order = ["LBTESTCD", "LBDT", "VISITNUM"]
-    lb, grain = keys.grain_of(lb, ["USUBJID"], order)
-    first = F.min(F.when(_eligible(), F.struct("RECNO", "LBSTRESN", "LBNRIND")))
+    subject, order = ["USUBJID"], ["LBTESTCD", "LBDT", "VISITNUM"]
+    if stored:
+        lb, grain = keys.cells_of(lb, subject, order, keys.crowded(_ensure_usubjid(lb_clean), ["USUBJID", "LBTESTCD"]))
+    else:
+        lb, grain = keys.grain_of(lb, subject, order)
+    candidate = F.struct((-F.unix_date("LBDT")).alias("late"), "VISITNUM", "RECNO", "LBSTRESN", "LBNRIND")
+    first = F.min(F.when(_eligible(), candidate))
     grains = lb.groupBy(*grain).agg(F.count(F.lit(1)).alias("_n"), first.alias("_first"))
-    candidate = F.when(
-        F.col("_first").isNotNull(), F.struct((-F.unix_date("LBDT")).alias("late"), "VISITNUM", "_first.*")
-    )
     grains = grains.select(
         *grain,
-        keys.rows_before(["USUBJID"], order, "_n").alias("_before"),
-        F.min(candidate).over(Window.partitionBy("USUBJID", "LBTESTCD")).alias("_baseline"),
+        keys.rows_before(subject, grain, "_n").alias("_before"),
+        F.min("_first").over(Window.partitionBy("USUBJID", "LBTESTCD")).alias("_baseline"),
     )
-    lb = lb.join(grains, grain)
-    number = (F.col("_before") + keys.place_in_grain(grain)).cast("int")
-    return lb.withColumns({"LBSEQ": number, **_baseline_columns()}).drop("_before", "_baseline", keys.PART)
+    # the date and visit that chose the baseline stay behind
+    kept = F.struct("_baseline.RECNO", "_baseline.LBSTRESN", "_baseline.LBNRIND")
+    lb = lb.join(grains.withColumn("_baseline", F.when(F.col("_baseline").isNotNull(), kept)), grain)
+    number = (F.col("_before") + keys.place_in_grain(grain, order)).cast("int")
+    return lb.withColumns({"LBSEQ": number, **_baseline_columns()}).drop("_before", "_baseline", *keys.added(grain))
 
 
 def lab_domain(rows: DataFrame, *more: str) -> DataFrame:
@@ -192,9 +200,9 @@ def build_lb(lb_clean: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
     return lab_domain(lab_rows(lb_clean, dm_sdtm))
 
 
-def build_lb_with_baseline(lb_clean: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
+def build_lb_with_baseline(lb_clean: DataFrame, dm_sdtm: DataFrame, stored: bool = False) -> DataFrame:
     """LB and, beside its variables, the baseline's value and indicator: ADLB then needs no second lookup."""
-    return lab_domain(lab_rows(lb_clean, dm_sdtm), BASE_VALUE, BASE_INDICATOR)
+    return lab_domain(lab_rows(lb_clean, dm_sdtm, stored), BASE_VALUE, BASE_INDICATOR)
 
 
 def without_baseline(lb: DataFrame) -> DataFrame:

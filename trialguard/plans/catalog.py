@@ -144,11 +144,11 @@ class StoredStudy(Study):
 
     @cached_property
     def sdtm_ae(self) -> DataFrame:
-        return self.store.get("sdtm/ae", lambda: sdtm.build_ae(self.ae.clean_with_subject, self.sdtm_dm))
+        return self.store.get("sdtm/ae", lambda: sdtm.build_ae(self.ae.clean_with_subject, self.sdtm_dm, stored=True))
 
     @cached_property
     def lb_with_baseline(self) -> DataFrame:
-        return self.store.get("sdtm/lb", lambda: sdtm.build_lb_with_baseline(self.lb.clean_with_subject, self.sdtm_dm))
+        return self.store.get("sdtm/lb", lambda: sdtm.build_lb_with_baseline(self.lb.clean_with_subject, self.sdtm_dm, stored=True))
 
     @cached_property
     def sdtm_lb(self) -> DataFrame:

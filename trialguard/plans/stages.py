@@ -54,7 +54,7 @@ class StageStore:
         elif metrics:
             observed = Observation()
             df = df.observe(observed, *metrics)
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         if digest or metrics:
             seen = dict(observed.get)
         seen |= {k: v() if callable(v) else v for k, v in facts.items()}
