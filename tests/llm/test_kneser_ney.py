@@ -117,3 +117,21 @@ def test_tables_that_are_read_shard_by_shard_give_the_same_scores(spark, corpus,
     monkeypatch.setattr(k, "SHARD_ROWS", 100)
     monkeypatch.setattr(k, "CHUNK", 2000)
     assert sorted(map(str, k.quality(docs, labels).collect())) == held
+
+
+def test_a_fit_leaves_only_its_shards(spark):
+    from trialguard import files
+    from trialguard.session import checkpoint_dir
+
+    def tables() -> set[str]:
+        at = f"{checkpoint_dir(spark)}/tables"
+        return {n for n in files.folders(spark, at) if any(f.endswith(".parquet") for f in spark_files(f"{at}/{n}"))}
+
+    def spark_files(path: str) -> list[str]:
+        return [r[0] for r in spark.read.format("binaryFile").load(path).select("path").collect()]
+
+    before = tables()
+    model = k.fit(spark.createDataFrame([("the cat sat on the mat",), ("the dog sat on the cat",)], "text string"))
+    left = tables() - before
+    assert {n.rsplit("-", 1)[0] for n in left} == {"bigram-shards", "trigram-shards"} and len(left) == 2
+    assert len(model["bigrams"]) == len(model["trigrams"]) == 1

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trialguard import files
 from trialguard.session import checkpoint_dir
 
 #: The white space that separates words, as a character class body: space and U+0009 to U+000D.
@@ -25,14 +26,33 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Spark's own setting to delete a query's shuffle files as soon as it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back: cuts the lineage, survives lost executors."""
+    """Write ``df`` as a table in the shared folder and read it back: cuts the lineage, survives lost executors.
+
+    The shuffle files of the write are deleted after it, as those of an operator's stages would add up.
+    """
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables that ``staged`` wrote and that nothing reads any more."""
+    for table in tables:
+        for file in table.inputFiles():
+            files.delete(table.sparkSession, file)
+
+
 def clear_stages(spark: SparkSession) -> None:
     """Delete the tables that ``staged`` wrote in this session; results that read them have to be written before."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark)}/tables")

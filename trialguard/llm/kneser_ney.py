@@ -26,8 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trialguard import files
-from trialguard.llm.common import filesystem, fresh, pieces, staged, worker_cache
+from trialguard.llm.common import dropped, filesystem, fresh, pieces, staged, worker_cache
 
 MAX_WORDS = 1 << 18
 SHARD_ROWS = 1 << 20
@@ -69,21 +68,6 @@ def _ids(tokens: list[str], vocab: dict[str, int]) -> np.ndarray:
     return np.array(ids, np.int64)
 
 
-#: Spark's own setting to delete a query's shuffle files as soon as it has ended.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """``staged``; the shuffle files of the write are deleted after it, as those of the fit would add up."""
-    conf = df.sparkSession.conf
-    before = conf.get(CLEANUP, None)
-    conf.set(CLEANUP, "true")
-    try:
-        return staged(df, name)
-    finally:
-        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
-
-
 def _vocabulary(trusted: DataFrame) -> tuple[dict[str, int], np.ndarray]:
     """Ids of the most frequent words seen twice or more, and how many kinds of words each class stands for."""
 
@@ -96,7 +80,7 @@ def _vocabulary(trusted: DataFrame) -> tuple[dict[str, int], np.ndarray]:
             [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"]
         )
 
-    counts = _stored(
+    counts = staged(
         trusted.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")),
         "words",
     )
@@ -115,6 +99,7 @@ def _vocabulary(trusted: DataFrame) -> tuple[dict[str, int], np.ndarray]:
     kinds = np.ones(FIRST_WORD)
     for r in rare.groupBy("kind").agg(F.sum("n").alias("n")).collect():  # a row a class
         kinds[r.kind] = max(1, r.n) if r.kind >= LOWER else 1
+    dropped(counts)
     return vocab, kinds
 
 
@@ -147,9 +132,11 @@ def _contexts(counts: DataFrame, context: Column, n: str, d: list[float]) -> Dat
 def fit(trusted: DataFrame) -> dict:
     """The model of ``trusted(text)``: vocabulary, and arrays of log probabilities and backoff weights by n-gram.
 
-    Bigrams and trigrams are sorted by key; a key packs the ids in ``BITS`` bits each.
+    Bigrams and trigrams are sorted by key; a key packs the ids in ``BITS`` bits each. Tables in between are deleted
+    as soon as nothing reads them any more.
     """
     spark = trusted.sparkSession
+    trusted = staged(trusted.select("text"), "trusted")
     vocab, kinds = _vocabulary(trusted)
     shared = spark.sparkContext.broadcast(vocab)
 
@@ -165,11 +152,12 @@ def fit(trusted: DataFrame) -> dict:
 
     mask = F.lit((1 << (2 * BITS)) - 1)
     word = F.lit((1 << BITS) - 1)
-    c3 = _stored(
+    c3 = staged(
         trusted.select("text").mapInArrow(trigrams, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n")),
         "trigrams",
     )
-    c2 = _stored(
+    dropped(trusted)
+    c2 = staged(
         c3.groupBy(F.col("key").bitwiseAND(mask).alias("key")).agg(F.count(F.lit(1)).alias("n")), "bigrams"
     )
     c1 = c2.groupBy(F.col("key").bitwiseAND(word).alias("key")).agg(F.count(F.lit(1)).alias("n")).toPandas()
@@ -188,14 +176,18 @@ def fit(trusted: DataFrame) -> dict:
 
     d2, d3 = _discounts_of(c2), _discounts_of(c3)
     first2 = F.shiftright("key", BITS)
-    x2 = _stored(_contexts(c2, first2, "n", d2), "contexts")
+    x2 = staged(_contexts(c2, first2, "n", d2), "contexts")
     p2 = c2.withColumn("context", first2).join(x2, "context").withColumn("last", F.col("key").bitwiseAND(word))
     p2 = p2.join(unigrams, "last").select(
         "key",
         ((F.col("n") - _discount(F.col("n"), d2)) / F.col("total") + F.col("rest") * F.col("p1")).alias("p"),
     )
-    p2 = _stored(p2, "bigram-p")
-    x3 = _stored(_contexts(c3, F.shiftright("key", BITS), "n", d3), "contexts")
+    p2 = staged(p2, "bigram-p")
+    backoff1 = np.zeros(size, np.float32)
+    got = x2.toPandas()
+    backoff1[got["context"].to_numpy(np.int64)] = np.log(got["rest"].to_numpy())
+    dropped(c2, x2)
+    x3 = staged(_contexts(c3, F.shiftright("key", BITS), "n", d3), "contexts")
     # the second shuffle carries no more than it needs: its join key is worked out from the trigram
     own = c3.withColumn("context", F.shiftright("key", BITS)).join(x3, "context").select(
         "key", ((F.col("n") - _discount(F.col("n"), d3)) / F.col("total")).alias("own"), "rest"
@@ -207,16 +199,14 @@ def fit(trusted: DataFrame) -> dict:
     bigrams = p2.join(x3.select(F.col("context").alias("key"), "rest"), "key", "full").select(
         "key", F.log("p").cast("float").alias("p"), F.coalesce(F.log("rest"), F.lit(0.0)).cast("float").alias("back")
     )
-    backoff1 = np.zeros(size, np.float32)
-    got = x2.toPandas()
-    backoff1[got["context"].to_numpy(np.int64)] = np.log(got["rest"].to_numpy())
     with np.errstate(divide="ignore"):
         log1 = np.log(p1).astype(np.float32)
     log1[BEGIN] = 0.0
     tables = {
         "bigrams": _shards(bigrams, "bigram-shards"),
-        "trigrams": _shards(p3.select("key", F.log("p").cast("float").alias("p")), "trigram-shards"),
+        "trigrams": _shards(p3.select("key", F.log("p").cast("float").alias("p")), "trigram-shards", c3),
     }
+    dropped(p2, x3)
     return {
         "held": sum(rows for _, rows in tables.values()) <= HELD_ROWS,
         "vocab": shared, "spread": -np.log(kinds).astype(np.float32), "p1": log1, "back1": backoff1,
@@ -224,14 +214,17 @@ def fit(trusted: DataFrame) -> dict:
     }
 
 
-def _shards(table: DataFrame, name: str) -> tuple[list[str], int]:
-    """Write ``table`` as files of about ``SHARD_ROWS`` rows, each a range of keys in order; the files and all rows."""
-    rows = _stored(table, name)
+def _shards(table: DataFrame, name: str, *read: DataFrame) -> tuple[list[str], int]:
+    """Write ``table`` as files of about ``SHARD_ROWS`` rows, each a range of keys in order; the files and all rows.
+
+    The tables ``read`` are deleted once ``table`` has been worked out.
+    """
+    rows = staged(table, name)
+    dropped(*read)
     n = rows.count()
     parts = max(1, -(-n // SHARD_ROWS))
-    found = _stored(rows.repartitionByRange(parts, "key").sortWithinPartitions("key"), name).inputFiles()
-    for file in rows.inputFiles():
-        files.delete(table.sparkSession, file)
+    found = staged(rows.repartitionByRange(parts, "key").sortWithinPartitions("key"), name).inputFiles()
+    dropped(rows)
     return found, n
 
 
@@ -409,7 +402,7 @@ def thresholds(
         there = fitted.join(read.select(F.col("id").alias("good_id")).distinct(), "good_id")
         fitted = staged(there.orderBy(F.xxhash64("good_id", F.lit(1)), "good_id").limit(max_trusted), "fitted")
     trusted = read.join(fitted, read["id"] == fitted["good_id"], "left_semi").select("text")
-    model = fit(_stored(trusted, "trusted"))
+    model = fit(trusted)
 
     scored = staged(with_perplexity(rows, model, "text", "tokens", "nll", keep_text=False), "scored")
     banded = scored.select("id", "lang", _band(F.col("tokens")).alias("band"), "nll")
