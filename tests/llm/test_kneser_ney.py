@@ -135,3 +135,21 @@ def test_a_fit_leaves_only_its_shards(spark):
     left = tables() - before
     assert {n.rsplit("-", 1)[0] for n in left} == {"bigram-shards", "trigram-shards"} and len(left) == 2
     assert len(model["bigrams"]) == len(model["trigrams"]) == 1
+
+
+def test_trigrams_meet_bigrams_in_parts(spark, corpus, monkeypatch):
+    sizes = []
+
+    def seen(df, name, *more):
+        table = staged(df, name, *more)
+        sizes.append((name, table.count()))
+        return table
+
+    staged = k.staged
+    monkeypatch.setattr(k, "staged", seen)
+    texts = [t for _, t, _, _ in corpus[0][:100] if t]
+    model = k.fit(spark.createDataFrame([(t,) for t in texts], "text string"))
+    n = dict(sizes)["trigrams"]
+    keys = {int(x) for (table, *_) in k._read(model["trigrams"]) for x in table}
+    parts = [rows for name, rows in sizes if name == "trigram-p"]
+    assert len(keys) == sum(parts) == n and max(parts) < n / 2

@@ -30,17 +30,18 @@ def shared_path(spark: SparkSession, name: str) -> str:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: cuts the lineage, survives lost executors.
 
-    The shuffle files of the write are deleted after it, as those of an operator's stages would add up.
+    The shuffle files of the write are deleted after it, as those of an operator's stages would add up. ``codec`` is a
+    compression other than the session's.
     """
     spark = df.sparkSession
     path = shared_path(spark, name)
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        (df.write.option("compression", codec) if codec else df.write).parquet(path)
     finally:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

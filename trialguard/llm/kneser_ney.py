@@ -1,8 +1,8 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney trigram model of trusted text.
 
 Training counts trigrams of the trusted documents, then how many different words precede each bigram and word. Each
-order gets its three discounts from its counts of counts. Probabilities come from joins of these count tables on
-their contexts, all as Spark aggregates and joins over integer keys. Words outside the vocabulary fall into classes
+order gets its three discounts from its counts of counts. Probabilities come from these count tables: windows over
+contexts and joins with the next lower order, all over integer keys. Words outside the vocabulary fall into classes
 by their shape; a class's probability is spread evenly over the kinds of words that it stood for in training.
 
 The model is fitted on every trusted document of one half by hash, so the finished tables grow with the trusted text.
@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,9 @@ from pyspark.sql import types as T
 from trialguard.llm.common import dropped, filesystem, fresh, pieces, staged, worker_cache
 
 MAX_WORDS = 1 << 18
+#: Parts, by hash of their last two words, in which trigrams are joined with bigrams, so that only one lies in shuffle
+#: files at a time; compression of the stored tables.
+PARTS, CODEC = 4, "zstd"
 SHARD_ROWS = 1 << 20
 #: Rows of both tables together that a worker keeps in memory; bytes of text that go through the shards of larger ones at once.
 HELD_ROWS, CHUNK = 12 * SHARD_ROWS, 1 << 23
@@ -121,12 +125,23 @@ def _discount(n: Column, d: list[float]) -> Column:
     return F.when(n == 1, d[0]).when(n == 2, d[1]).otherwise(d[2])
 
 
-def _contexts(counts: DataFrame, context: Column, n: str, d: list[float]) -> DataFrame:
-    """``context, total, rest``: the total count of each context and the share that its discounts set free."""
-    c = F.col(n)
-    return counts.groupBy(context.alias("context")).agg(
-        F.sum(c).alias("total"), F.sum(_discount(c, d)).alias("freed")
-    ).select("context", "total", (F.col("freed") / F.col("total")).alias("rest"))
+def _with_context(counts: DataFrame) -> DataFrame:
+    """``counts(key, n)`` of trigrams and, of each one's context, ``total``, how many of its trigrams were counted once
+    (``once``), twice and more often (``twice``, ``more``), and a mark on one of them (``lead``).
+
+    A context has a row for each word that follows it, at most as many as there are words.
+    """
+    whole = Window.partitionBy(F.shiftright("key", BITS))
+    n = F.col("n")
+    of = {"total": F.sum(n), "once": F.count(F.when(n == 1, 1)), "twice": F.count(F.when(n == 2, 1)), "more": F.count(F.when(n > 2, 1))}
+    return counts.select(
+        "key", "n", *(c.over(whole).alias(name) for name, c in of.items()), (F.min("key").over(whole) == F.col("key")).alias("lead")
+    )
+
+
+def _rest(d: list[float]) -> Column:
+    """The share of a context's total count that its discounts set free."""
+    return (F.col("once") * d[0] + F.col("twice") * d[1] + F.col("more") * d[2]) / F.col("total")
 
 
 def fit(trusted: DataFrame) -> dict:
@@ -152,14 +167,11 @@ def fit(trusted: DataFrame) -> dict:
 
     mask = F.lit((1 << (2 * BITS)) - 1)
     word = F.lit((1 << BITS) - 1)
-    c3 = staged(
-        trusted.select("text").mapInArrow(trigrams, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n")),
-        "trigrams",
-    )
+    c3 = trusted.select("text").mapInArrow(trigrams, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    c3 = staged(_with_context(c3), "trigrams", CODEC)
     dropped(trusted)
-    c2 = staged(
-        c3.groupBy(F.col("key").bitwiseAND(mask).alias("key")).agg(F.count(F.lit(1)).alias("n")), "bigrams"
-    )
+    low = F.col("key").bitwiseAND(mask)
+    c2 = staged(c3.groupBy(low.alias("key")).agg(F.count(F.lit(1)).alias("n")), "bigrams", CODEC)
     c1 = c2.groupBy(F.col("key").bitwiseAND(word).alias("key")).agg(F.count(F.lit(1)).alias("n")).toPandas()
 
     # words: bounded by the vocabulary
@@ -176,37 +188,45 @@ def fit(trusted: DataFrame) -> dict:
 
     d2, d3 = _discounts_of(c2), _discounts_of(c3)
     first2 = F.shiftright("key", BITS)
-    x2 = staged(_contexts(c2, first2, "n", d2), "contexts")
+    c = F.col("n")
+    x2 = staged(
+        c2.groupBy(first2.alias("context")).agg(F.sum(c).alias("total"), F.sum(_discount(c, d2)).alias("freed"))
+        .select("context", "total", (F.col("freed") / F.col("total")).alias("rest")),
+        "contexts",
+    )
     p2 = c2.withColumn("context", first2).join(x2, "context").withColumn("last", F.col("key").bitwiseAND(word))
     p2 = p2.join(unigrams, "last").select(
         "key",
         ((F.col("n") - _discount(F.col("n"), d2)) / F.col("total") + F.col("rest") * F.col("p1")).alias("p"),
     )
-    p2 = staged(p2, "bigram-p")
+    p2 = staged(p2, "bigram-p", CODEC)
     backoff1 = np.zeros(size, np.float32)
     got = x2.toPandas()
     backoff1[got["context"].to_numpy(np.int64)] = np.log(got["rest"].to_numpy())
     dropped(c2, x2)
-    x3 = staged(_contexts(c3, F.shiftright("key", BITS), "n", d3), "contexts")
-    # the second shuffle carries no more than it needs: its join key is worked out from the trigram
-    own = c3.withColumn("context", F.shiftright("key", BITS)).join(x3, "context").select(
-        "key", ((F.col("n") - _discount(F.col("n"), d3)) / F.col("total")).alias("own"), "rest"
-    )
-    low = p2.select(F.col("key").alias("low"), F.col("p").alias("p2"))
-    p3 = own.join(low, own["key"].bitwiseAND(mask) == low["low"]).select(
-        "key", (F.col("own") + F.col("rest") * F.col("p2")).alias("p")
-    )
-    bigrams = p2.join(x3.select(F.col("context").alias("key"), "rest"), "key", "full").select(
+    # a trigram's row knows its context's counts, so it only meets its last two words' probability, a part at a time
+    p3 = []
+    for k in range(PARTS):
+        own = c3.where(_part(low) == k).select(
+            "key", ((c - _discount(c, d3)) / F.col("total")).alias("own"), _rest(d3).alias("rest")
+        )
+        of = p2.where(_part(F.col("key")) == k).select(F.col("key").alias("low"), F.col("p").alias("p2"))
+        part = own.join(of, low == F.col("low")).select(
+            "key", F.log(F.col("own") + F.col("rest") * F.col("p2")).cast("float").alias("p")
+        )
+        p3.append(staged(part, "trigram-p", CODEC))
+    x3 = staged(c3.where("lead").select(F.shiftright("key", BITS).alias("key"), _rest(d3).alias("rest")), "contexts", CODEC)
+    dropped(c3)
+    trigram_shards = _shards("trigram-shards", *p3)
+    bigrams = p2.join(x3, "key", "full").select(
         "key", F.log("p").cast("float").alias("p"), F.coalesce(F.log("rest"), F.lit(0.0)).cast("float").alias("back")
     )
+    bigrams = staged(bigrams, "bigram-p", CODEC)
+    dropped(p2, x3)
     with np.errstate(divide="ignore"):
         log1 = np.log(p1).astype(np.float32)
     log1[BEGIN] = 0.0
-    tables = {
-        "bigrams": _shards(bigrams, "bigram-shards"),
-        "trigrams": _shards(p3.select("key", F.log("p").cast("float").alias("p")), "trigram-shards", c3),
-    }
-    dropped(p2, x3)
+    tables = {"bigrams": _shards("bigram-shards", bigrams), "trigrams": trigram_shards}
     return {
         "held": sum(rows for _, rows in tables.values()) <= HELD_ROWS,
         "vocab": shared, "spread": -np.log(kinds).astype(np.float32), "p1": log1, "back1": backoff1,
@@ -214,17 +234,21 @@ def fit(trusted: DataFrame) -> dict:
     }
 
 
-def _shards(table: DataFrame, name: str, *read: DataFrame) -> tuple[list[str], int]:
-    """Write ``table`` as files of about ``SHARD_ROWS`` rows, each a range of keys in order; the files and all rows.
+def _part(key: Column) -> Column:
+    """Which of ``PARTS`` a bigram belongs to."""
+    return F.pmod(F.xxhash64(key), F.lit(PARTS))
+
+
+def _shards(name: str, *tables: DataFrame) -> tuple[list[str], int]:
+    """Write stored ``tables`` as files of about ``SHARD_ROWS`` rows, each a range of keys in order; the files and all rows.
 
-    The tables ``read`` are deleted once ``table`` has been worked out.
+    The tables are deleted after it.
     """
-    rows = staged(table, name)
-    dropped(*read)
+    rows = reduce(DataFrame.unionByName, tables)
     n = rows.count()
     parts = max(1, -(-n // SHARD_ROWS))
-    found = staged(rows.repartitionByRange(parts, "key").sortWithinPartitions("key"), name).inputFiles()
-    dropped(rows)
+    found = staged(rows.repartitionByRange(parts, "key").sortWithinPartitions("key"), name, CODEC).inputFiles()
+    dropped(*tables)
     return found, n
 
 
