@@ -153,3 +153,21 @@ def test_trigrams_meet_bigrams_in_parts(spark, corpus, monkeypatch):
     keys = {int(x) for (table, *_) in k._read(model["trigrams"]) for x in table}
     parts = [rows for name, rows in sizes if name == "trigram-p"]
     assert len(keys) == sum(parts) == n and max(parts) < n / 2
+
+
+def test_texts_are_encoded_at_once_as_by_a_dictionary(monkeypatch):
+    texts = ["The cat, the CAT!!", None, "", " \n\x1c", "x_y1²١\U0001d7ce z\x85q __", "\U0001F600 İǅ aB ba ab", "b" * 9000]
+    vocab = {w: k.FIRST_WORD + i for i, w in enumerate(["cat", "ab", "!!", "x", "b" * 9000, "z"])}
+    want = [k._ids(k.tokens_of(t), vocab).tolist() if k.tokens_of(t) else [] for t in texts]
+    monkeypatch.setattr(k, "tokens_of", None)  # no token is taken out and looked up by itself
+    for size in (5, 1 << 18):
+        monkeypatch.setattr(k, "ENCODED", size)
+        encoder = k._Encoder(vocab)
+        got = list(encoder.encode(texts))
+        assert np.concatenate([ids for ids, _ in got]).tolist() == sum(want, [])
+        assert np.concatenate([n for _, n in got]).tolist() == [max(len(w) - 2, 0) for w in want]
+    encoder = k._Encoder({"ab": 8})
+    encoder.weights[:] = 1  # "ba" has the hash of "ab" now
+    encoder.hashes = np.array([ord("a") + ord("b")], np.uint64)
+    assert next(encoder.encode(["ba ab"]))[0].tolist() == [k.BEGIN, k.BEGIN, k.LOWER, 8, k.END]
+    assert next(k._Encoder({}).encode(["ab 1"]))[0].tolist() == [k.BEGIN, k.BEGIN, k.LOWER, k.NUMBER, k.END]

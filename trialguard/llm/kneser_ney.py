@@ -16,9 +16,11 @@ over all trusted documents of the other half.
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import reduce
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -72,10 +74,110 @@ def _ids(tokens: list[str], vocab: dict[str, int]) -> np.ndarray:
     return np.array(ids, np.int64)
 
 
+#: Kinds of characters that tokens are runs of (see ``TOKEN``); white space is kind 0.
+KINDS = (r"[^\W\d_]+", r"\d+", r"[^\w\s]+", r"_+")
+#: Characters that are encoded at once; different weights of places in a token's hash (a power of 2).
+ENCODED, PLACES = 1 << 18, 1 << 12
+
+
+def _kinds() -> np.ndarray:
+    """The kind of each code point, worked out once in a worker process."""
+    cache = worker_cache("kinds of characters")
+    if "kinds" not in cache:
+        every = "".join(map(chr, range(sys.maxunicode + 1)))
+        kinds = np.zeros(len(every), np.uint8)
+        for kind, run in enumerate(KINDS, 1):
+            for found in re.finditer(run, every):
+                kinds[found.start() : found.end()] = kind
+        cache["kinds"] = kinds
+    return cache["kinds"]
+
+
+class _Encoder:
+    """``_ids`` of many texts at once in arrays.
+
+    Tokens are runs of one kind of characters. A token is found in the vocabulary by a hash and then compared with the
+    word it found, character by character, so ids are those of a dictionary.
+    """
+
+    def __init__(self, vocab: dict[str, int]):
+        self.kinds = _kinds()
+        words = list(vocab)
+        ids = np.fromiter(vocab.values(), np.int64, len(words))
+        code, starts, sizes, _ = self._runs("\n".join(words))
+        for seed in count(1):
+            self.weights = np.random.default_rng(seed).integers(1, 1 << 63, PLACES, np.uint64) * np.uint64(2) + np.uint64(1)
+            hashes = self._hashes(code, starts, sizes)[0]
+            order = np.argsort(hashes)
+            self.hashes = hashes[order]
+            if (self.hashes[1:] != self.hashes[:-1]).all():
+                break
+        self.code, self.at, self.sizes, self.word_ids = code, starts[order], sizes[order], ids[order]
+
+    def _runs(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Code points in tokens, where among them each token starts, its length, and where it starts in ``text``."""
+        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        kind = self.kinds[code]
+        first = kind != 0
+        inside = np.flatnonzero(first)
+        first[1:] &= kind[1:] != kind[:-1]
+        starts = np.flatnonzero(first[inside])
+        return code[inside], starts, np.diff(starts, append=len(inside)), inside[starts]
+
+    def _hashes(self, code: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A hash of each token, and each character's place in its token."""
+        place = np.arange(len(code)) - np.repeat(starts, sizes)
+        if not len(code):
+            return np.empty(0, np.uint64), place
+        return np.add.reduceat(code * self.weights[place & (PLACES - 1)], starts), place
+
+    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        text = "\n".join(texts)
+        code, starts, sizes, where = self._runs(text)
+        hashes, place = self._hashes(code, starts, sizes)
+        ids = np.zeros(len(starts), np.int64)
+        if len(self.hashes):
+            order = np.argsort(hashes)  # in order each is found close to the one before
+            at = np.empty(len(hashes), np.int64)
+            at[order] = np.searchsorted(self.hashes, hashes[order])
+            at = np.minimum(at, len(self.hashes) - 1)
+            like = (self.hashes[at] == hashes) & (self.sizes[at] == sizes)
+            own = np.repeat(like, sizes)
+            differs = self.code[(np.repeat(self.at[at], sizes) + place)[own]] != code[own]
+            if differs.any():
+                like[np.repeat(np.arange(len(starts)), sizes)[own][differs]] = False
+            ids[like] = self.word_ids[at[like]]
+        rest = np.flatnonzero(ids == 0)
+        begin, end = where[rest], where[rest] + sizes[rest]
+        ids[rest] = [shape(text[a:b]) for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+        bounds = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        n = np.diff(np.searchsorted(where, bounds))
+        full = n > 0
+        out = np.full(len(ids) + 3 * int(full.sum()), BEGIN, np.int64)
+        rank = np.cumsum(full) - 1
+        out[np.arange(len(ids)) + np.repeat(3 * rank + 2, n)] = ids
+        out[np.cumsum(n[full] + 3) - 1] = END
+        return out, n + full
+
+    def encode(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``_ids`` of ``texts`` one after the other, without texts that have no token, and how many ids each text has
+        after its begins; about ``ENCODED`` characters at a time."""
+        some: list[str] = []
+        size = 0
+        for text in texts:
+            some.append(text or "")
+            size += len(some[-1])
+            if size > ENCODED:
+                yield self._encoded(some)
+                some, size = [], 0
+        if some:
+            yield self._encoded(some)
+
+
 def _vocabulary(trusted: DataFrame) -> tuple[dict[str, int], np.ndarray]:
     """Ids of the most frequent words seen twice or more, and how many kinds of words each class stands for."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[str] = Counter()
         for batch in pieces(batches):
             for text in batch.column(0).to_pylist():
@@ -85,7 +187,7 @@ def _vocabulary(trusted: DataFrame) -> tuple[dict[str, int], np.ndarray]:
         )
 
     counts = staged(
-        trusted.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")),
+        trusted.select("text").mapInArrow(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")),
         "words",
     )
     order = [F.col("n").desc(), F.col("word")]
@@ -156,13 +258,12 @@ def fit(trusted: DataFrame) -> dict:
     shared = spark.sparkContext.broadcast(vocab)
 
     def trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _Encoder(shared.value)
         for batch in pieces(batches):
             keys = [np.empty(0, np.int64)]
-            for text in batch.column(0).to_pylist():
-                tokens = tokens_of(text)
-                if tokens:
-                    x = _ids(tokens, shared.value)
-                    keys.append((x[:-2] << (2 * BITS)) | (x[1:-1] << BITS) | x[2:])
+            for x, _ in encoder.encode(batch.column(0).to_pylist()):
+                packed = (x[:-2] << (2 * BITS)) | (x[1:-1] << BITS) | x[2:]
+                keys.append(packed[x[2:] != BEGIN])  # none reaches into the next text
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys))], names=["key"])
 
     mask = F.lit((1 << (2 * BITS)) - 1)
@@ -274,15 +375,20 @@ def _loaded(paths: list[str], kind: str, held: bool) -> Iterable[list[np.ndarray
 
 
 def _look_up(keys: np.ndarray, shards: Iterable[list[np.ndarray]], width: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Whether each key is in the sharded table, and the values of those that are (0 for the others)."""
+    """Whether each key is in the sharded table, and the values of those that are (0 for the others).
+
+    Keys are put in order first: those of a shard then lie together, and each is found close to the one before.
+    """
     found = np.zeros(len(keys), bool)
     values = [np.zeros(len(keys), np.float32) for _ in range(width)]
+    order = np.argsort(keys)
+    keys = keys[order]
     for table, *columns in shards:
-        inside = np.flatnonzero((keys >= table[0]) & (keys <= table[-1]))
-        k = keys[inside]
+        begin, end = np.searchsorted(keys, table[0]), np.searchsorted(keys, table[-1], "right")
+        k = keys[begin:end]
         at = np.searchsorted(table, k)
         hit = table[at] == k
-        rows = inside[hit]
+        rows = order[begin:end][hit]
         found[rows] = True
         for v, c in zip(values, columns, strict=True):
             v[rows] = c[at[hit]]
@@ -305,17 +411,15 @@ def log_probabilities(ids: np.ndarray, model: dict) -> np.ndarray:
     return out
 
 
-def _score_texts(texts: list[str | None], model: dict) -> list[tuple[int, float | None]]:
+def _score_texts(texts: list[str | None], model: dict, encoder: _Encoder) -> list[tuple[int, float | None]]:
     """Tokens (with the end) and mean negative log probability of each text; None without tokens."""
     out: list[tuple[int, float | None]] = []
-    vocab = model["vocab"].value
     held: list[np.ndarray] = []
     sizes: list[int] = []
 
     def flush() -> None:
-        if not held:
-            return
-        p = log_probabilities(np.concatenate(held), model)
+        ids = np.concatenate(held)
+        p = log_probabilities(ids, model) if len(ids) else ids
         at = 0
         for n in sizes:
             if n:
@@ -327,19 +431,15 @@ def _score_texts(texts: list[str | None], model: dict) -> list[tuple[int, float
         sizes.clear()
 
     pending = 0
-    for text in texts:
-        tokens = tokens_of(text)
-        if tokens:
-            held.append(_ids(tokens, vocab))
-            pending += len(held[-1])
-        sizes.append(len(tokens) + 1 if tokens else 0)
+    for ids, n in encoder.encode(texts):
+        held.append(ids)
+        sizes.extend(n.tolist())
+        pending += len(ids)
         if model["held"] and pending > 100_000:
             flush()
             pending = 0
     if held:
         flush()
-    else:
-        out.extend((0, None) for _ in sizes)
     return out
 
 
@@ -364,8 +464,9 @@ def with_perplexity(
             yield pa.concat_batches(some)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _Encoder(model["vocab"].value)
         for batch in taken(batches):
-            n, nll = zip(*_score_texts(batch.column(at).to_pylist(), model), strict=True)
+            n, nll = zip(*_score_texts(batch.column(at).to_pylist(), model, encoder), strict=True)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(k) for k in out), pa.array(n, pa.int64()), pa.array(nll, pa.float64())],
                 names=[*(batch.schema.names[k] for k in out), tokens_name, nll_name],
