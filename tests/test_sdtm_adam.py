@@ -114,3 +114,19 @@ def test_a_subject_that_is_there_twice_is_an_error(built):
     twice = built["ADSL"].unionByName(built["ADSL"].limit(1))
     with pytest.raises(Exception, match="not unique"):
         adam.build_adae(built["AE"], twice).collect()
+
+
+def test_labs_carry_what_adlb_needs_of_their_subject(spark):
+    dm = cleaning.flag_dm(inline.raw(spark, inline.DM, SUBJECTS)).clean
+    labs = cleaning.flag_lb(inline.raw(spark, inline.LB, LABS), dm).clean_with_subject
+    adsl, plain = adam.build_adsl(dm), sdtm.build_lb_with_baseline(labs, sdtm.build_dm(dm), stored=True)
+    rich = sdtm.build_lb_with_baseline(labs, sdtm.build_dm(dm), stored=True, subjects=adam.arms_of(adsl))
+    assert sorted(sdtm.without_baseline(rich).collect()) == sorted(sdtm.without_baseline(plain).collect())
+    stored = spark.createDataFrame(rich.collect(), rich.schema)
+    adlb = adam.build_adlb(stored, adsl)
+    assert "Join" not in adlb._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(str, adlb.collect())) == sorted(map(str, adam.build_adlb(plain, adsl).collect()))
+    twice = sdtm.build_lb_with_baseline(labs, sdtm.build_dm(dm), stored=True, subjects=adam.arms_of(adsl.union(adsl)))
+    assert sdtm.without_baseline(twice).count() == len(LABS)
+    with pytest.raises(Exception, match="not unique"):
+        adam.build_adlb(twice, adsl).collect()

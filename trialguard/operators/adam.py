@@ -9,7 +9,7 @@ the first action instead of silently multiplying rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trialguard.functions import (
@@ -27,7 +27,7 @@ from trialguard.functions import (
     usubjid,
 )
 from trialguard.operators.keys import group_first_value
-from trialguard.operators.sdtm import BASE_INDICATOR, BASE_VALUE, conform
+from trialguard.operators.sdtm import BASE_INDICATOR, BASE_VALUE, SUBJECT, conform
 from trialguard.terminology import STUDYID
 
 
@@ -35,9 +35,25 @@ def unique_on(df: DataFrame, key: str, what: str) -> DataFrame:
     """Pass ``df`` through unchanged, failing at run time if ``key`` is not unique."""
     others = [c for c in df.columns if c != key]
     rows = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), *[F.first(c).alias(c) for c in others])
+    return rows.filter(_once(F.col("_rows"), key, what)).select(*df.columns)
+
+
+def _once(rows: Column, key: str, what: str) -> Column:
+    """True; fails at run time where a key has several rows."""
     msg = F.concat(F.lit(f"{what}: {key} not unique: "), F.col(key).cast("string"))
-    guard = F.when(F.col("_rows") > 1, F.raise_error(msg).cast("boolean")).otherwise(F.lit(True))
-    return rows.filter(guard).select(*df.columns)
+    return F.when(rows > 1, F.raise_error(msg).cast("boolean")).otherwise(F.lit(True))
+
+
+def arms_of(adsl: DataFrame) -> DataFrame:
+    """What ADLB needs of each subject, and its number of rows in ADSL, for ``sdtm.build_lb_with_baseline``.
+
+    A repeated subject fails in ``build_adlb``, which reads it, and not in LB.
+    """
+    arms = F.struct(
+        F.count(F.lit(1)).alias("rows"), F.first("TRT01A").alias("TRTA"), F.first("TRT01AN").alias("TRTAN"),
+        F.first("SAFFL").alias("SAFFL"),
+    )
+    return adsl.groupBy("USUBJID").agg(arms.alias(SUBJECT))
 
 
 def build_adsl(dm_clean: DataFrame) -> DataFrame:
@@ -132,13 +148,21 @@ def _first_occurrences(ae: DataFrame) -> DataFrame:
 
 
 def build_adlb(lb_sdtm: DataFrame, adsl: DataFrame) -> DataFrame:
-    """ADLB with baseline value and indicator (J6), change, percent change and ratio to ULN."""
-    keys = unique_on(
-        adsl.select("USUBJID", F.col("TRT01A").alias("TRTA"), F.col("TRT01AN").alias("TRTAN"), "SAFFL"),
-        "USUBJID",
-        "ADSL",
-    )
-    lb = lb_sdtm.join(keys, "USUBJID", "inner")
+    """ADLB with baseline value and indicator (J6), change, percent change and ratio to ULN.
+
+    Labs that were built with ``arms_of`` the same ADSL hold what it has of their subjects.
+    """
+    if SUBJECT in lb_sdtm.columns:
+        of = F.col(SUBJECT)
+        lb = lb_sdtm.filter(of.isNotNull() & _once(of["rows"], "USUBJID", "ADSL"))
+        lb = lb.withColumns({c: of[c] for c in ("TRTA", "TRTAN", "SAFFL")})
+    else:
+        keys = unique_on(
+            adsl.select("USUBJID", F.col("TRT01A").alias("TRTA"), F.col("TRT01AN").alias("TRTAN"), "SAFFL"),
+            "USUBJID",
+            "ADSL",
+        )
+        lb = lb_sdtm.join(keys, "USUBJID", "inner")
     # Value and indicator of the baseline row of (subject, parameter); already there when the labs were built in
     # the same plan, else a partially aggregated lookup of the flagged row, joined back.
     if BASE_VALUE in lb.columns:

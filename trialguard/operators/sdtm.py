@@ -108,6 +108,8 @@ def build_ae(ae_clean: DataFrame, dm_sdtm: DataFrame, stored: bool = False) -> D
 
 #: Value and indicator of the baseline row, beside the variables of the domain.
 BASE_VALUE, BASE_INDICATOR = "_BASE", "_BNRIND"
+#: What ADLB needs of a row's subject, beside the variables of the domain (see ``adam.arms_of``).
+SUBJECT = "_SUBJECT"
 
 
 def _eligible() -> Column:
@@ -141,12 +143,15 @@ def unnumbered_lab_rows(lb_clean: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
     return lb.withColumns({"LBSEQ": F.lit(None).cast("int"), **_baseline_columns()}).drop("_baseline")
 
 
-def lab_rows(lb_clean: DataFrame, dm_sdtm: DataFrame, stored: bool = False) -> DataFrame:
+def lab_rows(
+    lb_clean: DataFrame, dm_sdtm: DataFrame, stored: bool = False, subjects: DataFrame | None = None
+) -> DataFrame:
     """Clean labs with LBSEQ, LBNRIND, LBBLFL, the reference date, and the baseline's value and indicator.
 
     Baseline (W3): among rows with a numeric result on or before the reference date, the latest date per
     (subject, test); ties on that date go to the lowest visit number, then input order. ``stored`` rows are counted
-    by subject and test first, which costs a scan of two columns.
+    by subject and test first, which costs a scan of two columns. ``subjects`` (see ``adam.arms_of``) come along as
+    ``SUBJECT``: they meet the table of grains, so that rows are not joined once more for them.
     """
     lb = _with_indicator(lb_clean, dm_sdtm)
     subject, order = ["USUBJID"], ["LBTESTCD", "LBDT", "VISITNUM"]
@@ -162,6 +167,8 @@ def lab_rows(lb_clean: DataFrame, dm_sdtm: DataFrame, stored: bool = False) -> D
         keys.rows_before(subject, grain, "_n").alias("_before"),
         F.min("_first").over(Window.partitionBy("USUBJID", "LBTESTCD")).alias("_baseline"),
     )
+    if subjects is not None:
+        grains = grains.join(subjects.select("USUBJID", SUBJECT), "USUBJID", "left")
     # the date and visit that chose the baseline stay behind
     kept = F.struct("_baseline.RECNO", "_baseline.LBSTRESN", "_baseline.LBNRIND")
     lb = lb.join(grains.withColumn("_baseline", F.when(F.col("_baseline").isNotNull(), kept)), grain)
@@ -200,11 +207,15 @@ def build_lb(lb_clean: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
     return lab_domain(lab_rows(lb_clean, dm_sdtm))
 
 
-def build_lb_with_baseline(lb_clean: DataFrame, dm_sdtm: DataFrame, stored: bool = False) -> DataFrame:
-    """LB and, beside its variables, the baseline's value and indicator: ADLB then needs no second lookup."""
-    return lab_domain(lab_rows(lb_clean, dm_sdtm, stored), BASE_VALUE, BASE_INDICATOR)
+def build_lb_with_baseline(
+    lb_clean: DataFrame, dm_sdtm: DataFrame, stored: bool = False, subjects: DataFrame | None = None
+) -> DataFrame:
+    """LB and, beside its variables, the baseline's value and indicator and, with ``subjects``, what ADLB needs of them:
+    ADLB then needs no lookup of its own."""
+    more = [SUBJECT] if subjects is not None else []
+    return lab_domain(lab_rows(lb_clean, dm_sdtm, stored, subjects), BASE_VALUE, BASE_INDICATOR, *more)
 
 
 def without_baseline(lb: DataFrame) -> DataFrame:
     """The variables of LB alone."""
-    return lb.drop(BASE_VALUE, BASE_INDICATOR)
+    return lb.drop(BASE_VALUE, BASE_INDICATOR, SUBJECT)

@@ -148,7 +148,10 @@ class StoredStudy(Study):
 
     @cached_property
     def lb_with_baseline(self) -> DataFrame:
-        return self.store.get("sdtm/lb", lambda: sdtm.build_lb_with_baseline(self.lb.clean_with_subject, self.sdtm_dm, stored=True))
+        plan = lambda: sdtm.build_lb_with_baseline(
+            self.lb.clean_with_subject, self.sdtm_dm, stored=True, subjects=adam.arms_of(self.adsl)
+        )
+        return self.store.get("sdtm/lb", plan)
 
     @cached_property
     def sdtm_lb(self) -> DataFrame:
