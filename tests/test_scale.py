@@ -122,3 +122,51 @@ def test_only_subjects_are_looked_up_in_dm(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString().split("\n")
     under = [plan[k + 1] for k, line in enumerate(plan) if "Join LeftOuter" in line and "USUBJID" in line]
     assert under and all("Aggregate [USUBJID" in line for line in under)
+
+
+def _lab_study(spark) -> catalog.Study:
+    """Three subjects of 2 to 12 labs, labs without a known subject, and some that are quarantined."""
+    days = (("2025-01-09", "2", "50"), ("2025-01-09", "1", "20"), ("2025-01-09", "1", "30"), ("2025-01-11", "3", "<5"), ("2025-01-08", "1", "7"), ("bad", "1", "9"))
+    rows = [
+        {"SUBJID": s, "LBTESTCD": t, "LBDT": d, "VISITNUM": v, "LBORRES": x}
+        for s, tests in (("1", ("AST", "ALT")), ("2", ("BILI",)), ("gone", ("ALT", "AST"))) for t in tests for d, v, x in days
+    ]
+    rows += [{"SUBJID": "3"}, {"SUBJID": "3", "VISITNUM": "x"}, *({"SUBJID": None} for _ in range(7))]
+    study = catalog.Study(spark, "")
+    study.raw = {"dm": inline.raw(spark, inline.DM, [{"SUBJID": s} for s in "123"]), "lb": inline.raw(spark, inline.LB, rows)}
+    return study
+
+
+def test_labs_of_usual_subjects_are_shuffled_for_the_lookup_alone(spark):
+    """Where no subject is crowded, labs are dealt out by subject to meet DM and stay there while they are numbered."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = _lab_study(spark).sdtm_lb
+        assert df.count() and len(df.collect()) == 16
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].split("\n")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    dealt = [line for line in final if "Exchange hashpartitioning" in line]
+    assert len(dealt) == 4, dealt  # labs, DM, and in DM its rows and their first copies
+    assert not any("LBTESTCD" in line for line in dealt) and sum("concat" in line for line in dealt) == 1
+
+
+def test_only_rows_of_known_crowded_subjects_are_set_apart(spark, monkeypatch):
+    monkeypatch.setattr(keys, "CROWDED", 6)
+    study = _lab_study(spark)
+    usual, large, known = cleaning.crowded_apart(study.raw["lb"], study.dm.clean)
+    assert {(r.SUBJID, r["count"]) for r in usual.groupBy("SUBJID").count().collect()} == {("2", 6), ("3", 2)}
+    assert {(r.SUBJID, r["count"]) for r in large.groupBy("SUBJID").count().collect()} == {("1", 12)}
+    assert [r.SUBJID for r in known.collect()] == ["1"]
+
+
+def test_labs_of_crowded_and_usual_subjects_are_numbered_alike(spark, monkeypatch):
+    study = _lab_study(spark)
+    expected = sdtm.build_lb(study.lb.clean_with_subject, study.sdtm_dm)
+    assert expected.where("LBBLFL = 'Y'").count() == 4
+    expected = sorted(map(str, expected.collect()))
+    for limit in (100, 6, 1, 0):
+        monkeypatch.setattr(keys, "CROWDED", limit)
+        df = _lab_study(spark).sdtm_lb
+        assert sorted(map(str, df.collect())) == expected and df.columns == list(study.sdtm_lb.columns), limit

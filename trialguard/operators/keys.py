@@ -12,6 +12,9 @@ same numbers.
 Where rows are read from a stored table they are counted first: a subject, or a
 subject's test, of up to ``CROWDED`` rows is then one grain (``cells_of``), and
 only larger ones are cut. The table of grains is much smaller that way.
+
+Rows that are not stored can be counted by subject before they are dealt out:
+``apart`` splits off the crowded subjects, and all others need no grains.
 """
 
 from __future__ import annotations
@@ -69,6 +72,15 @@ def cells_of(df: DataFrame, keys: Sequence[str], order: Sequence[str], many: Dat
     return df, [f"{PART}_{c}" if c in cut else c for c in (*keys, *order, PART)]
 
 
+def apart(df: DataFrame, key: Column, many: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose ``key`` is not among the values ``many`` (one column, as few as ``crowded`` gives), and those whose is.
+
+    ``key`` must not be NULL. Rows stay where they are.
+    """
+    listed = F.broadcast(many.toDF(_MARK))  # bounded: rows / CROWDED
+    return tuple(df.join(listed, key == F.col(_MARK), kind) for kind in ("left_anti", "left_semi"))
+
+
 def rows_before(keys: Sequence[str], grain: Sequence[str], n: str) -> Column:
     """Rows of earlier grains of the same ``keys`` group, over a table with one row per grain."""
     order = [c for c in grain if c not in keys]

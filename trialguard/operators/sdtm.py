@@ -106,6 +106,8 @@ def build_ae(ae_clean: DataFrame, dm_sdtm: DataFrame, stored: bool = False) -> D
     return conform(out, "AE")
 
 
+#: What LBSEQ goes by, before input order.
+LAB_ORDER = ["LBTESTCD", "LBDT", "VISITNUM"]
 #: Value and indicator of the baseline row, beside the variables of the domain.
 BASE_VALUE, BASE_INDICATOR = "_BASE", "_BNRIND"
 #: What ADLB needs of a row's subject, beside the variables of the domain (see ``adam.arms_of``).
@@ -117,6 +119,11 @@ def _eligible() -> Column:
     return F.col("LBSTRESN").isNotNull() & F.coalesce(F.col("LBDT") <= F.col("_RFSTDT"), F.lit(False))
 
 
+def _first_eligible() -> Column:
+    """The row that is the baseline of a (subject, test), as an aggregate; NULL if none can be."""
+    return F.min(F.when(_eligible(), F.struct((-F.unix_date("LBDT")).alias("late"), "VISITNUM", "RECNO", "LBSTRESN", "LBNRIND")))
+
+
 def _with_indicator(lb_clean: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
     lb = _with_reference(lb_clean, dm_sdtm)
     return lb.withColumn("LBNRIND", range_indicator("LBSTRESN", "LBORNRLO", "LBORNRHI"))
@@ -154,14 +161,12 @@ def lab_rows(
     ``SUBJECT``: they meet the table of grains, so that rows are not joined once more for them.
     """
     lb = _with_indicator(lb_clean, dm_sdtm)
-    subject, order = ["USUBJID"], ["LBTESTCD", "LBDT", "VISITNUM"]
+    subject, order = ["USUBJID"], LAB_ORDER
     if stored:
         lb, grain = keys.cells_of(lb, subject, order, keys.crowded(_ensure_usubjid(lb_clean), ["USUBJID", "LBTESTCD"]))
     else:
         lb, grain = keys.grain_of(lb, subject, order)
-    candidate = F.struct((-F.unix_date("LBDT")).alias("late"), "VISITNUM", "RECNO", "LBSTRESN", "LBNRIND")
-    first = F.min(F.when(_eligible(), candidate))
-    grains = lb.groupBy(*grain).agg(F.count(F.lit(1)).alias("_n"), first.alias("_first"))
+    grains = lb.groupBy(*grain).agg(F.count(F.lit(1)).alias("_n"), _first_eligible().alias("_first"))
     grains = grains.select(
         *grain,
         keys.rows_before(subject, grain, "_n").alias("_before"),
@@ -176,6 +181,31 @@ def lab_rows(
     return lb.withColumns({"LBSEQ": number, **_baseline_columns()}).drop("_before", "_baseline", *keys.added(grain))
 
 
+def never_null(lb_clean: DataFrame) -> DataFrame:
+    """Clean labs, which have a date and a visit, in columns that can't be NULL.
+
+    The join with the grains then filters none of its readings of the input for that, so that all readings share the
+    shuffles that lie in it.
+    """
+    date, visit = F.lit("1970-01-01").cast("date"), F.lit(0.0)
+    return lb_clean.withColumns({"LBDT": F.coalesce("LBDT", date), "VISITNUM": F.coalesce("VISITNUM", visit)})
+
+
+def whole_lab_rows(lb_clean: DataFrame, dm_sdtm: DataFrame) -> DataFrame:
+    """``lab_rows`` for subjects of so few rows that all of them may lie in one task (see ``cleaning.crowded_apart``).
+
+    They do once they have met DM, so numbers and baselines are windows over the rows as they lie, and no row is
+    shuffled for them.
+    """
+    lb = _with_indicator(lb_clean, dm_sdtm).repartition("USUBJID")  # nothing is moved if the lookup was a shuffled join
+    lb = lb.sortWithinPartitions("USUBJID", *LAB_ORDER, "RECNO")  # serves all windows
+    test = ["USUBJID", "LBTESTCD"]
+    before = F.rank().over(Window.partitionBy("USUBJID").orderBy("LBTESTCD")) - 1  # rows of the subject's earlier tests
+    number = (before + keys.place_in_grain(test, LAB_ORDER)).cast("int")
+    lb = lb.withColumn("_baseline", _first_eligible().over(Window.partitionBy(*test)))
+    return lb.withColumns({"LBSEQ": number, **_baseline_columns()}).drop("_baseline")
+
+
 def lab_domain(rows: DataFrame, *more: str) -> DataFrame:
     """The variables of LB from ``lab_rows``, and the columns ``more``."""
     out = rows.select(

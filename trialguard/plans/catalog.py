@@ -74,7 +74,10 @@ class Study:
 
     @cached_property
     def lab_rows(self) -> DataFrame:
-        return sdtm.lab_rows(self.lb.clean_with_subject, self.sdtm_dm)
+        """Only the rows of crowded subjects are shuffled by grain; all others are numbered where they meet DM."""
+        usual, large, known = cleaning.crowded_apart(self.raw["lb"], self.dm.clean)
+        usual, large = (cleaning.flag_lb(lb, dm).clean_with_subject for lb, dm in ((usual, self.dm.clean), (large, known)))
+        return sdtm.whole_lab_rows(usual, self.sdtm_dm).unionByName(sdtm.lab_rows(sdtm.never_null(large), self.sdtm_dm))
 
     @cached_property
     def sdtm_lb(self) -> DataFrame:
